@@ -123,14 +123,15 @@ def survivors(parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
 
 
 def exploded(reps: DataFrame, percent: int) -> DataFrame:
-    """token, rid, n, place: the shared shingles in the prefix of each set, rarest first.
+    """token, rid, n, place, weight: the shared shingles in the prefix of each set, rarest first.
 
-    Shingles found in one row only come first in the order; they use up the prefix but match nothing.
+    Shingles found in one row only come first in the order; they use up the prefix but match nothing. weight is the
+    mean logarithm of the counts of the set's shingles: high for the texts that others were copied from.
     """
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
             for rid, n, raw, cnt in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 hashes, where = np.unique(np.frombuffer(raw, np.uint64), return_index=True)
                 counts = np.frombuffer(cnt, np.uint32)[where]
@@ -143,10 +144,11 @@ def exploded(reps: DataFrame, percent: int) -> DataFrame:
                 out[1].append(np.full(len(head), rid))
                 out[2].append(np.full(len(head), n))
                 out[3].append(alone + np.arange(len(head)))
+                out[4].append(np.full(len(head), int(1e6 * np.log(counts).sum() / n)))
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in out], names=["token", "rid", "n", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in out], names=["token", "rid", "n", "place", "weight"])
 
-    return reps.select("rid", "n", "hashes", "counts").mapInArrow(per_batch, "token long, rid long, n long, place long")
+    return reps.select("rid", "n", "hashes", "counts").mapInArrow(per_batch, "token long, rid long, n long, place long, weight long")
 
 
 def overlaps(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -180,12 +182,22 @@ def overlaps(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return summed.where(f"100 * same >= {percent} * (na + nb - same)").select("a", "b")
 
 
-def hub_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Each posting list's members with the smallest set in their size class: as many pairs as members."""
+def hub_pairs(postings: DataFrame, percent: int, roots: DataFrame | None = None) -> DataFrame:
+    """Each posting list's members with one hub of their size class: at most as many pairs as members.
+
+    First the hub is the text that most looks like an original. Once roots (components so far) are given, each list
+    draws its hub by a hash, so that a member of many lists meets many hubs, and members of the hub's component rest.
+    """
     # Sets within one class of sizes may link; the classes are geometric with the threshold as their step.
     sized = postings.withColumn("size_class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))))
-    hubs = sized.groupBy("token", "size_class").agg(F.min(F.struct("n", "rid")).alias("hub"))
-    met = sized.join(hubs, ["token", "size_class"]).where(f"rid <> hub.rid AND 100 * hub.n >= {percent} * n")
+    rank = F.col("weight") if roots is None else F.xxhash64("token", "rid")
+    if roots is not None:
+        sized = sized.join(roots.select(F.col("node").alias("rid"), "root"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+    else:
+        sized = sized.withColumn("root", F.col("rid"))
+    hubs = sized.groupBy("token", "size_class").agg(F.max(F.struct(rank.alias("rank"), "rid", "n", "root")).alias("hub"))
+    near = f"100 * least(n, hub.n) >= {percent} * greatest(n, hub.n)"
+    met = sized.join(hubs, ["token", "size_class"]).where(f"root <> hub.root AND {near}")
     return met.select(F.least("rid", "hub.rid").alias("a"), F.greatest("rid", "hub.rid").alias("b")).distinct()
 
 
@@ -195,8 +207,8 @@ def cross_pairs(postings: DataFrame, roots: DataFrame, percent: int) -> DataFram
     mixed = labelled.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("token")
     left = labelled.join(mixed, "token")
     right = left.select("token", F.col("rid").alias("rid2"), F.col("n").alias("n2"), F.col("place").alias("place2"), F.col("root").alias("root2"))
-    # What can still overlap after the shared shingle's place in either set, plus what came before.
-    bound = "least(n - place, n2 - place2) + least(place, place2)"
+    # A pair that links has a first shared shingle; from there on, both sets must hold what the overlap needs.
+    bound = "least(n - place, n2 - place2)"
     near = left.join(right, "token").where(f"root <> root2 AND (n < n2 OR (n = n2 AND rid < rid2)) AND 100 * n >= {percent} * n2")
     near = near.where(f"(100 + {percent}) * ({bound}) >= {percent} * (n + n2)")
     return near.select(F.least("rid", "rid2").alias("a"), F.greatest("rid", "rid2").alias("b")).distinct()
@@ -223,12 +235,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
     reps = able.join(classes.select(F.col("rep").alias("rid")).distinct(), "rid", "left_semi")
     reps = written(reps, "class-sets")
     postings = written(exploded(reps, percent), "postings")
-    links = written(overlaps(hub_pairs(postings, percent), reps, percent), "hub-links")
-    roots = smallest_reachable(links)
-    more = written(overlaps(cross_pairs(postings, roots, percent), reps, percent), "cross-links")
-    every = links.unionByName(more)
-    if more.limit(1).count():
-        roots = smallest_reachable(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    every = written(overlaps(hub_pairs(postings, percent), reps, percent), "hub-links")
+    roots = smallest_reachable(every)
+    for meet in (lambda r: hub_pairs(postings, percent, r), lambda r: cross_pairs(postings, r, percent)):
+        more = written(overlaps(meet(roots), reps, percent), "more-links")
+        if more.limit(1).count():
+            roots = smallest_reachable(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+            every = every.unionByName(more)
     degree = every.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     labelled = classes.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").join(degree, "rep", "left")
     labelled = labelled.select("n", "f1", "f2", F.coalesce("root", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
