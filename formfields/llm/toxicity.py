@@ -19,7 +19,9 @@ from .common import LOWER, span_hashes, text_slices, word_spans
 
 BITS = 20
 # Bounds of the fitted sample: labelled rows of each class, and bytes of text in all.
-CLASS_ROWS, CLASS_BYTES = 3000, 24 << 20
+CLASS_ROWS, CLASS_BYTES = 2500, 6 << 20
+# Longer documents are fitted in pieces of so many tokens; scoring takes them whole.
+PIECE = 256
 PREFIXES = (4, 5)
 TRIM = np.zeros(256, bool)
 TRIM[[ord(c) for c in ".,;:!?\"'()[]{}*#$%&|<>-_"]] = True
@@ -42,7 +44,7 @@ def features(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     for k in PREFIXES:
         columns.append(span_hashes(low, starts, np.minimum(ends, starts + k)) + np.uint64(k))
     columns.append(span_hashes(low, np.maximum(starts, ends - 4), ends) + np.uint64(11))
-    return (np.stack(columns, 1) & np.uint64((1 << BITS) - 1)).astype(np.int64), owner, starts, ends
+    return (np.stack(columns, 1) & np.uint64((1 << BITS) - 1)).astype(np.int32), owner, starts, ends
 
 
 class Chain:
@@ -133,13 +135,20 @@ def fit_chain(texts: list[str], labels: np.ndarray, rounds: int = 30) -> Chain:
     toxic = np.bincount(feature, weights=labels[doc], minlength=size)
     clean = np.bincount(feature, minlength=size) - toxic
     gain = np.log((toxic + 0.1) / (toxic_docs + 1)) - np.log((clean + 0.1) / (clean_docs + 1))
-    telling = (gain > np.log(20)) & (toxic >= 3)
+    # Telling: ten times as frequent, and by a likelihood ratio that no feature reaches by chance among so many.
+    share, both = toxic_docs / len(labels), toxic + clean
+    term = lambda found, expected: np.where(found > 0, found * np.log(np.maximum(found, 1) / np.maximum(expected, 1e-9)), 0)
+    ratio = 2 * (term(toxic, both * share) + term(clean, both * (1 - share)))
+    telling = (gain > np.log(10)) & (ratio > 2 * np.log(max(2, np.count_nonzero(both)))) & (toxic >= 3)
     y = telling[x].any(1) & labels[owner].astype(bool)
     # Maximum conditional likelihood of the token labels, by AdaGrad over the whole sample.
-    starts, sizes = sequences(owner)
+    whole, lengths = sequences(owner)
+    place = np.arange(len(owner)) - np.repeat(whole, lengths)
+    starts, sizes = sequences(owner.astype(np.int64) * (1 << 32) + place // PIECE)
     weights, bias, t = np.where(telling, 1.0, 0.0), -3.0, np.array([[1.0, -1.0], [0.0, 0.0]])
     squares, bias_square, t_square = np.full(size, 1e-8), 1e-8, np.full((2, 2), 1e-8)
-    inner = owner[1:] == owner[:-1]
+    inner = np.ones(len(owner) - 1, bool)
+    inner[starts[1:] - 1] = False
     observed = np.zeros((2, 2))
     np.add.at(observed, (y[:-1][inner].astype(int), y[1:][inner].astype(int)), 1)
     n = len(labels)
@@ -148,7 +157,8 @@ def fit_chain(texts: list[str], labels: np.ndarray, rounds: int = 30) -> Chain:
         error = (y - marginal) / n
         grad = np.bincount(x.ravel(), weights=np.repeat(error, width), minlength=size) - 1e-6 * weights
         squares += grad**2
-        weights += 0.5 * grad / np.sqrt(squares)
+        # Only telling features have weights: rare words of the sample would else be learnt by heart.
+        weights += np.where(telling, 0.5 * grad / np.sqrt(squares), 0)
         g = error.sum()
         bias_square += g**2
         bias += 0.2 * g / np.sqrt(bias_square)
@@ -158,7 +168,7 @@ def fit_chain(texts: list[str], labels: np.ndarray, rounds: int = 30) -> Chain:
         t = t + 0.1 * gt / np.sqrt(t_square)
         t[0, 0] = t[1, 1] = 0
         weights[np.abs(weights) < 1e-3] = 0
-    marginal, _, clean_path = forward_backward(weights[x].sum(1) + bias, t, starts, sizes)
+    marginal, _, clean_path = forward_backward(weights[x].sum(1) + bias, t, whole, lengths)
     z = summary(marginal, clean_path, owner, n)
     # Calibration: logistic regression of the document label on the summary, classes as the sample has them.
     c = np.zeros(4)
