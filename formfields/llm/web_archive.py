@@ -1,7 +1,7 @@
 """Legacy web archives (ARC, versions 1 and 2) converted to WARC, as Spark jobs over archive files.
 
 Files are written with Spark's text sink (one record per row, its end as the line separator) and read whole, one
-file a row, so they work on any store. Writers deal rows out so that a file holds about FILE_BYTES.
+file a row, so they work on any store. A writer starts a new file after FILE_RECORDS records.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FILE_BYTES = 4 << 20
+FILE_RECORDS = 2000
 # The header lines of a version block, and the fields of a record line, by ARC version.
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -24,11 +24,6 @@ ARC_FIELDS = {
 NO_ADDRESS, NO_DATE = "0.0.0.0", "19700101000000"
 
 
-def file_count(df: DataFrame, payload: str) -> int:
-    size = df.agg(F.sum(F.octet_length(payload) + F.lit(300))).first()[0] or 0
-    return int(max(1, -(-size // FILE_BYTES)))
-
-
 def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
     """ARC files of pages (page_id, url, html): each file one or more records after a version block.
 
@@ -44,10 +39,9 @@ def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
     fields = {1: [F.col("url"), F.lit(NO_ADDRESS), F.lit(NO_DATE), mime, length], 2: [F.col("url"), F.lit(NO_ADDRESS), F.lit(NO_DATE), mime, F.lit("200"), F.lit("-"), F.lit("-"), F.lit("0"), F.lit("pages.arc"), length]}[version]
     about = f"{version} 0 formfields\n{ARC_FIELDS[version]}\n"
     first = f"filedesc://pages.arc {NO_ADDRESS} {NO_DATE} text/plain " + ("200 - - 0 pages.arc " if version == 2 else "") + f"{len(about)}\n{about}"
-    files = file_count(rows, "html")
     lines = rows.select(F.concat(F.concat_ws(" ", *fields), F.lit("\n"), body).alias("value"))
     # The version block comes with each record's line, since rows of a file have no order of their own.
-    lines.select(F.concat(F.lit(first + "\n"), "value").alias("value")).repartition(files).write.option("lineSep", "\n").option("compression", "gzip").text(path)
+    lines.select(F.concat(F.lit(first + "\n"), "value").alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(path)
 
 
 def arc_records(content: bytes) -> Iterator[dict]:
@@ -158,9 +152,9 @@ def warc_text(records: DataFrame) -> Column:
     )
 
 
-def write_warc(records: DataFrame, path: str, files: int) -> None:
-    out = records.repartition(files).select(warc_text(records).alias("value"))
-    out.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+def write_warc(records: DataFrame, path: str) -> None:
+    out = records.select(warc_text(records).alias("value"))
+    out.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(path)
 
 
 def warc_records(content: bytes) -> Iterator[tuple[dict, bytes]]:
@@ -207,5 +201,4 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 def archive_to_warc(spark: SparkSession, arc_path: str, warc_path: str, at_least: int = 0) -> None:
     """Convert ARC files to WARC files, equal payloads of at_least bytes or more kept once."""
     records = with_types(convert_arc(read_files(spark, arc_path)), at_least)
-    files = spark.read.format("binaryFile").load(arc_path).select("length").count()
-    write_warc(records, warc_path, max(1, files))
+    write_warc(records, warc_path)
