@@ -5,15 +5,236 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions.text import clean_date, clean_digits, fixed_date
+from .operators import anchors as A
+from .operators import fields as V
+from .operators import words as W
+from .plans.rules import ANCHORS, FIELD_ORDER, FIELDS, anchor_rules, field_rules
+from .sources import forms
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def found(spark: SparkSession, d: str, exact: bool) -> tuple[DataFrame, DataFrame]:
+    words = forms.form_words(spark, d)
+    return words, A.match_anchors(words, anchor_rules(spark), exact)
+
+
+def fields_of(spark: SparkSession, d: str) -> DataFrame:
+    words, anchors = found(spark, d, exact=False)
+    return V.validate(V.extract_fields(words, forms.pages(words), field_rules(spark), anchors))
+
+
+def q_form_truth(spark: SparkSession, d: str) -> DataFrame:
+    return forms.form_truth(spark, d)
+
+
+def q_form_words(spark: SparkSession, d: str) -> DataFrame:
+    return forms.form_words(spark, d).select("page_id", "word_no", "text", "conf", "x", "y", "w", "h", "line_num")
+
+
+def q_doc_words(spark: SparkSession, d: str) -> DataFrame:
+    lines = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "text"))
+    return W.lines_to_words(lines.select(F.col("doc_id").alias("page_id"), "line_no", "text", F.lit(0).alias("x"), (30 * F.col("line_no")).alias("y"), (10 * F.length("text")).alias("w"), F.lit(20).alias("h"), (40 + (F.col("doc_id") * 7 + F.col("line_no") * 13) % 61).cast("double").alias("conf")))
+
+
+def q_page_extents(spark: SparkSession, d: str) -> DataFrame:
+    return W.page_extents(forms.form_words(spark, d))
+
+
+def q_clean_words(spark: SparkSession, d: str) -> DataFrame:
+    return W.clean_words(forms.form_words(spark, d), 75.0).groupBy("page_id").agg(F.count("*").alias("n_words"), F.avg("conf").alias("avg_conf"))
+
+
+def q_assemble_lines(spark: SparkSession, d: str) -> DataFrame:
+    return W.assemble_lines(forms.form_words(spark, d)).select("page_id", "line_num", "text", "x", "y", "w", "h", "avg_conf", "n_words")
+
+
+def q_page_text(spark: SparkSession, d: str) -> DataFrame:
+    return W.page_text(W.assemble_lines(forms.form_words(spark, d)))
+
+
+def q_page_skew(spark: SparkSession, d: str) -> DataFrame:
+    return W.page_skew(forms.form_words(spark, d))
+
+
+def q_scope_words(spark: SparkSession, d: str) -> DataFrame:
+    return A.scope_words(forms.form_words(spark, d), anchor_rules(spark)).select("page_id", "anchor", "word_no", "text")
+
+
+def q_alias_overlap_probe(spark: SparkSession, d: str) -> DataFrame:
+    words = forms.form_words(spark, d)
+    return A.alias_overlap_probe(words, anchor_rules(spark), W.assemble_lines(words))
+
+
+def q_exact_anchors(spark: SparkSession, d: str) -> DataFrame:
+    return found(spark, d, exact=True)[1]
+
+
+def q_match_anchors(spark: SparkSession, d: str) -> DataFrame:
+    return found(spark, d, exact=False)[1]
+
+
+def q_anchor_coverage(spark: SparkSession, d: str) -> DataFrame:
+    words, anchors = found(spark, d, exact=True)
+    return A.anchor_coverage(anchors, anchor_rules(spark), forms.pages(words))
+
+
+def q_resolve_rois(spark: SparkSession, d: str) -> DataFrame:
+    words, anchors = found(spark, d, exact=True)
+    return V.resolve_rois(forms.pages(words), field_rules(spark), anchors)
+
+
+def q_value_windows(spark: SparkSession, d: str) -> DataFrame:
+    words, anchors = found(spark, d, exact=True)
+    return V.value_windows(forms.pages(words), field_rules(spark), anchors).select("page_id", "field", "rx", "ry", "rw", "rh")
+
+
+def q_best_lines(spark: SparkSession, d: str) -> DataFrame:
+    words, anchors = found(spark, d, exact=True)
+    return V.best_lines(words, V.value_windows(forms.pages(words), field_rules(spark), anchors)).select("page_id", "field", "method", "raw")
+
+
+def q_clean_dates(spark: SparkSession, d: str) -> DataFrame:
+    rows = forms.form_truth(spark, d).where("field LIKE '%date'").withColumn("raw", F.when(F.col("page_id") % 2 == 0, F.replace("value", F.lit("/"), F.lit("."))).otherwise(F.concat(F.lit("TARIH: "), "value")))
+    return rows.select("page_id", "field", clean_date(F.col("raw")).alias("cleaned"), fixed_date(F.col("raw")).alias("fixed"))
+
+
+def q_clean_digits(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.parquet(f"{d}/documents.parquet")
+    return rows.select("doc_id", clean_digits(F.coalesce("text", F.lit(""))).alias("digits"))
+
+
+def q_extract_fields(spark: SparkSession, d: str) -> DataFrame:
+    return fields_of(spark, d)
+
+
+def q_method_quality(spark: SparkSession, d: str) -> DataFrame:
+    return V.method_quality(fields_of(spark, d), forms.form_truth(spark, d))
+
+
+def q_fill_rate(spark: SparkSession, d: str) -> DataFrame:
+    return V.fill_rate(fields_of(spark, d))
+
+
+def q_run_corpus_wide(spark: SparkSession, d: str) -> DataFrame:
+    return V.export_wide(fields_of(spark, d), FIELD_ORDER)
+
+
+def q_export_wide(spark: SparkSession, d: str) -> DataFrame:
+    return V.export_wide(forms.form_truth(spark, d), FIELD_ORDER)
+
+
+def q_compare_runs(spark: SparkSession, d: str) -> DataFrame:
+    truth = forms.form_truth(spark, d)
+    other = truth.where("NOT (page_id % 7 = 3 AND field = 'brand')").withColumn("value", F.when((F.col("page_id") % 5 == 0) & (F.col("field") == "type"), F.lower("value")).otherwise(F.col("value")))
+    return V.compare_runs(truth, other).groupBy("field", "state").agg(F.count("*").alias("n"))
+
+
+def runs(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/events.parquet").select(F.col("event_id").alias("run_id"), F.col("user_id").alias("image"), F.col("event_type").alias("provider"), (F.col("event_type") != "error").alias("ok"), F.col("value").alias("seconds"))
+
+
+def q_run_summary(spark: SparkSession, d: str) -> DataFrame:
+    return V.run_summary(runs(spark, d))
+
+
+def q_latency_stats(spark: SparkSession, d: str) -> DataFrame:
+    return V.latency_stats(runs(spark, d))
+
+
+def q_markup_text(spark: SparkSession, d: str) -> DataFrame:
+    return W.markup_to_text(spark.read.parquet(f"{d}/pages.parquet"))
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").limit(1)
+    return q_run_corpus_wide(spark, sf_dir)
+
+
+def queries() -> dict[str, Query]:
+    return {name[2:]: f for name, f in globals().items() if name.startswith("q_")}
+
+
+def values(rows: list[tuple]) -> str:
+    one = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'" if isinstance(v, str) else f"CAST({v!r} AS DOUBLE)" if isinstance(v, float) else str(v)
+    return ", ".join("(" + ", ".join(map(one, r)) + ")" for r in rows)
+
+
+TRUTH = forms.TRUTH.replace("{orders}", "orders")
+LINES = forms.LINES.replace("{orders}", "orders").replace("{{orders}}", "orders").replace("{orders}", "orders")
+# Labels and values have three words at most, so the shares of a line's width need no recursion.
+WORDS = f"""
+lines AS (SELECT page_id, line_no, text, x, y, w, CAST(60 + (page_id * 7 + line_no * 13) % 40 AS DOUBLE) AS conf, string_split(text, ' ') AS p FROM ({LINES})),
+shares AS (SELECT *, CASE WHEN len(p) = 1 THEN w ELSE greatest(1, CAST(round_even(w * length(p[1]) / CAST(length(replace(text, ' ', '')) AS DOUBLE), 0) AS INT)) END AS w1 FROM lines),
+shares2 AS (SELECT *, CASE WHEN len(p) = 2 THEN greatest(1, w - w1) WHEN len(p) = 3 THEN greatest(1, CAST(round_even((w - w1) * length(p[2]) / CAST(length(p[2]) + length(p[3]) AS DOUBLE), 0) AS INT)) END AS w2 FROM shares),
+cut AS (SELECT page_id, line_no, conf, y, unnest(p) AS text, unnest(range(1, len(p) + 1)) AS i, x, w, w1, w2 FROM shares2),
+words AS (
+  SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY y, wx, line_no, i) - 1 AS word_no, text, conf, wx AS x, y, ww AS w, 24 AS h, line_no AS line_num
+  FROM (SELECT *, CASE i WHEN 1 THEN x WHEN 2 THEN x + w1 ELSE x + w1 + w2 END AS wx, CASE i WHEN 1 THEN w1 WHEN 2 THEN w2 ELSE greatest(1, w - w1 - w2) END AS ww FROM cut))
+"""
+ASSEMBLED = "joined AS (SELECT page_id, line_num, string_agg(text, ' ' ORDER BY x, word_no) AS text, min(x) AS x, min(y) AS y, max(x + w) - min(x) AS w, max(y + h) - min(y) AS h, avg(conf) AS avg_conf, count(*) AS n_words FROM words GROUP BY page_id, line_num)"
+RULES = f"rules AS (SELECT * FROM (VALUES {values([(a, *r) for a, _, _, r in ANCHORS])}) t(anchor, rx, ry, rw, rh))"
+EXTENTS = "ext AS (SELECT page_id, max(x + w) AS ext_w, max(y + h) AS ext_h FROM words GROUP BY page_id)"
+SCOPED = """scoped AS (SELECT w.*, r.anchor FROM words w JOIN ext USING (page_id) JOIN rules r
+  ON w.x + w.w / 2.0 BETWEEN trunc(rx * ext_w) AND trunc(rx * ext_w) + greatest(1, trunc(rw * ext_w)) AND w.y + w.h / 2.0 BETWEEN trunc(ry * ext_h) AND trunc(ry * ext_h) + greatest(1, trunc(rh * ext_h)))"""
+
+
+def folded(text: str) -> str:
+    return f"upper(translate({text}, 'ÇĞİÖŞÜÂÎÛçğıiöşüâîû', 'CGIOSUAIUCGIIOSUAIU'))"
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+ALIASES = f"aliases AS (SELECT *, trim(regexp_replace({folded('alias')}, '[^A-Z0-9 ]+', ' ', 'g')) AS norm FROM (VALUES {values([(a, k, s) for a, _, names, _ in ANCHORS for k, s in enumerate(names)])}) t(anchor, alias_no, alias))"
+EXACT = f"""
+normed AS (SELECT *, trim(regexp_replace({folded('text')}, '[^A-Z0-9 ]+', ' ', 'g')) AS norm FROM scoped),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY page_id, anchor ORDER BY word_no) AS q FROM normed WHERE norm <> ''),
+runs AS (
+  SELECT a.page_id, a.anchor, a.word_no, count(*) AS n, string_agg(b.norm, ' ' ORDER BY b.q) AS phrase, string_agg(b.norm, '' ORDER BY b.q) AS glued, min(b.x) AS ax, min(b.y) AS ay, max(b.x + b.w) - min(b.x) AS aw, max(b.y + b.h) - min(b.y) AS ah
+  FROM ordered a JOIN (VALUES (1), (2), (3), (4)) k(size) ON true JOIN ordered b ON b.page_id = a.page_id AND b.anchor = a.anchor AND b.line_num = a.line_num AND b.q >= a.q AND b.q < a.q + k.size
+  GROUP BY a.page_id, a.anchor, a.word_no, a.q, k.size HAVING count(*) = k.size),
+hits AS (
+  SELECT r.*, l.alias, l.alias_no, 0 AS kind FROM runs r JOIN aliases l ON l.anchor = r.anchor AND l.norm = r.phrase
+  UNION ALL SELECT r.*, l.alias, l.alias_no, 1 FROM runs r JOIN aliases l ON l.anchor = r.anchor AND contains(l.norm, ' ') AND r.n <= 3 AND replace(l.norm, ' ', '') = r.glued),
+anchors AS (SELECT page_id, anchor, alias, CAST(1.0 AS DOUBLE) AS score, ax, ay, aw, ah FROM hits QUALIFY row_number() OVER (PARTITION BY page_id, anchor ORDER BY alias_no, kind, CASE WHEN kind = 1 THEN n ELSE 0 END, word_no) = 1)
+"""
+FIELD_RULES = "field_rules AS (SELECT * FROM (VALUES " + values([(f, a, *map(float, o), *(map(float, b) if b else (None,) * 4), way, *map(float, m)) for f, a, o, b, way, m, *_ in FIELDS]) + ") t(field, anchor, dx, dy, dw, dh, fx, fy, fw, fh, direction, ml, mt, mr, mb))"
+CHAIN = f"{WORDS}, {EXTENTS}, {RULES}, {SCOPED}, {ALIASES}, {EXACT}"
+CLIP = "greatest(0, least(bx, 1599)) AS rx, greatest(0, least(by_, 999)) AS ry, greatest(1, least(bw, 1600 - greatest(0, least(bx, 1599)))) AS rw, greatest(1, least(bh, 1000 - greatest(0, least(by_, 999)))) AS rh"
+part = lambda share, whole: f"CAST(trunc({share} * {whole}) AS BIGINT)"
+ROIS = f"""SELECT page_id, field, {CLIP} FROM (
+  SELECT p.page_id, f.field, CASE WHEN a.ax IS NOT NULL THEN a.ax + {part("dx", 1600)} ELSE {part("fx", 1600)} END AS bx, CASE WHEN a.ax IS NOT NULL THEN a.ay + {part("dy", 1000)} ELSE {part("fy", 1000)} END AS by_,
+    greatest(1, CASE WHEN a.ax IS NOT NULL THEN {part("dw", 1600)} ELSE {part("fw", 1600)} END) AS bw, greatest(1, CASE WHEN a.ax IS NOT NULL THEN {part("dh", 1000)} ELSE {part("fh", 1000)} END) AS bh
+  FROM (SELECT DISTINCT page_id FROM words) p CROSS JOIN field_rules f LEFT JOIN anchors a ON a.page_id = p.page_id AND a.anchor = f.anchor WHERE a.ax IS NOT NULL OR f.fx IS NOT NULL)"""
+WINDOWS = f"""SELECT page_id, field, {CLIP} FROM (
+  SELECT page_id, field, CASE WHEN direction = 'right' THEN ax + aw + {part("ml", 1600)} ELSE ax - {part("ml", 1600)} END AS bx, CASE WHEN direction = 'right' THEN ay - {part("mt", 1000)} ELSE ay + ah + {part("mt", 1000)} END AS by_,
+    greatest(1, CASE WHEN direction = 'right' THEN {part("(mr - ml)", 1600)} ELSE aw + {part("(mr + ml)", 1600)} END) AS bw, greatest(1, CASE WHEN direction = 'right' THEN ah + {part("(mb + mt)", 1000)} ELSE {part("(mb - mt)", 1000)} END) AS bh
+  FROM anchors JOIN field_rules USING (anchor))"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    runs = "runs AS (SELECT event_type AS provider, event_type <> 'error' AS ok, value AS seconds FROM events)"
+    wide = ", ".join(f"coalesce(max(CASE WHEN field = '{f}' THEN value END), '') AS {f}" for f in FIELD_ORDER)
+    date = "CASE WHEN page_id % 2 = 0 THEN value ELSE value END"
+    return {
+        "form_truth": f"SELECT page_id, field, value FROM ({TRUTH})",
+        "form_words": f"WITH {WORDS} SELECT * FROM words",
+        "page_extents": f"WITH {WORDS}, {EXTENTS} SELECT * FROM ext",
+        "clean_words": f"WITH {WORDS} SELECT page_id, count(*) AS n_words, avg(conf) AS avg_conf FROM words WHERE conf >= 75 GROUP BY page_id",
+        "assemble_lines": f"WITH {WORDS}, {ASSEMBLED} SELECT * FROM joined",
+        "page_text": f"WITH {WORDS}, {ASSEMBLED} SELECT page_id, string_agg({folded('text')}, chr(10) ORDER BY y, x, line_num) AS text FROM joined GROUP BY page_id",
+        "page_skew": f"WITH {WORDS} SELECT DISTINCT page_id, CAST(0.0 AS DOUBLE) AS skew_angle_deg FROM words",
+        "scope_words": f"WITH {WORDS}, {EXTENTS}, {RULES}, {SCOPED} SELECT page_id, anchor, word_no, text FROM scoped",
+        "alias_overlap_probe": f"WITH {WORDS}, {ASSEMBLED}, {ALIASES}, t AS (SELECT DISTINCT page_id, line_num, x, y, unnest(string_split(trim(regexp_replace({folded('text')}, '[^A-Z0-9 ]+', ' ', 'g')), ' ')) AS token FROM joined), a AS (SELECT anchor, token, count(*) AS times FROM (SELECT anchor, unnest(string_split(norm, ' ')) AS token FROM aliases) GROUP BY ALL) SELECT page_id, anchor, line_num, CAST(sum(times) AS BIGINT) AS token_overlap, min(x) AS x, min(y) AS y FROM t JOIN a USING (token) GROUP BY page_id, anchor, line_num",
+        "exact_anchors": f"WITH {CHAIN} SELECT * FROM anchors",
+        "anchor_coverage": f"WITH {CHAIN} SELECT r.anchor, count(a.page_id) AS n_found, (SELECT count(DISTINCT page_id) FROM words) AS n_pages, count(a.page_id) / CAST((SELECT count(DISTINCT page_id) FROM words) AS DOUBLE) AS hit_rate FROM rules r LEFT JOIN anchors a USING (anchor) GROUP BY r.anchor",
+        "resolve_rois": f"WITH {CHAIN}, {FIELD_RULES} {ROIS}",
+        "value_windows": f"WITH {CHAIN}, {FIELD_RULES} {WINDOWS}",
+        "clean_dates": f"SELECT page_id, field, {date} AS cleaned, {date} AS fixed FROM ({TRUTH}) WHERE field LIKE '%date'",
+        "clean_digits": "SELECT doc_id, coalesce((SELECT d FROM (SELECT unnest(regexp_extract_all(text, '[0-9]+')) AS d, unnest(range(1, len(regexp_extract_all(text, '[0-9]+')) + 1)) AS i) ORDER BY length(d) DESC, i LIMIT 1), '') AS digits FROM documents",
+        "export_wide": f"SELECT page_id, {wide} FROM ({TRUTH}) GROUP BY page_id",
+        "compare_runs": f"WITH t AS ({TRUTH}) SELECT field, CASE WHEN page_id % 7 = 3 AND field = 'brand' THEN 'only_left' WHEN page_id % 5 = 0 AND field = 'type' AND lower(value) <> value THEN 'changed' ELSE 'same' END AS state, count(*) AS n FROM t GROUP BY ALL",
+        "run_summary": f"WITH {runs} SELECT provider, count(*) AS n_runs, count(*) FILTER (ok) AS n_ok, round(sum(seconds) FILTER (ok), 3) AS total_seconds, round(avg(seconds) FILTER (ok), 3) AS avg_seconds FROM runs GROUP BY provider",
+        "latency_stats": f"WITH {runs} SELECT provider, round(avg(seconds), 3) AS mean_s, min(seconds) AS min_s, max(seconds) AS max_s FROM runs GROUP BY provider",
+        "markup_text": """WITH l AS (SELECT page_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(html, chr(13), chr(10)), '<img[^>]*>', ' ', 'gi'), '</(tr|table|td)>', chr(10), 'gi'), '<br *\\/?>', chr(10), 'gi'), '<[^>]+>', ' ', 'g'), chr(10)), lambda t: trim(regexp_replace(t, '[ \\t\\f\\x0B]+', ' ', 'g'))), lambda t: regexp_matches(t, '[A-Za-z0-9ÇĞİÖŞÜçğıöşü]')) AS k FROM pages) SELECT page_id, unnest(range(0, len(k))) AS line_no, unnest(k) AS text FROM l""",
+    }
