@@ -18,12 +18,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def found(spark: SparkSession, d: str, exact: bool) -> tuple[DataFrame, DataFrame]:
-    words = forms.form_words(spark, d)
-    return words, A.match_anchors(words, anchor_rules(spark), exact)
+    # Read again and again below; lost blocks are computed anew.
+    words = forms.form_words(spark, d).persist()
+    return words, A.match_anchors(words, anchor_rules(spark), exact).persist()
 
 
-def fields_of(spark: SparkSession, d: str) -> DataFrame:
-    words, anchors = found(spark, d, exact=False)
+def fields_of(spark: SparkSession, d: str, exact: bool = False) -> DataFrame:
+    words, anchors = found(spark, d, exact)
     return V.validate(V.extract_fields(words, forms.pages(words), field_rules(spark), anchors))
 
 
@@ -150,7 +151,7 @@ def q_markup_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q_run_corpus_wide(spark, sf_dir)
+    return V.export_wide(fields_of(spark, sf_dir, exact=True), FIELD_ORDER)
 
 
 def queries() -> dict[str, Query]:
