@@ -1,10 +1,10 @@
 """N-gram Jaccard join by vertical partitioning.
 
-The global order of shingles (by document count, then hash) is cut into fragments by hash. Each fragment counts
-on its own, in one task, how many documents hold each of its shingles, and hands back to every document the part of
-its set that occurs elsewhere too. Summed over fragments, that bounds what any partner can share: only documents
-above the threshold go on. Candidate pairs come from the rare end of the order, their overlaps are again counted
-fragment by fragment and summed per pair.
+Equal sets are one class, known by a 64-bit fingerprint of the set; classes are what is joined. The global order of
+shingles (by class count, then hash) is cut into fragments by hash. Each fragment counts on its own, in one task, how
+many classes hold each of its shingles, and hands back to every class the part of its set that occurs elsewhere too.
+Summed over fragments, that bounds what any partner can share: only classes above the threshold go on. Candidate pairs
+come from the rare end of the order, their overlaps are again counted fragment by fragment and summed per pair.
 """
 
 from __future__ import annotations
@@ -43,83 +43,106 @@ def shingle_sets(column: pa.Array, width: int, slice_bytes: int = SLICE_BYTES) -
         yield first, sets
 
 
+def fingerprints(sets: list[np.ndarray]) -> np.ndarray:
+    """The class of each set: a hash of its size and of its members in any order."""
+    one = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64)
+    two = np.array([mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for s in sets], np.uint64)
+    return mix(mix(one + np.array([len(s) for s in sets], np.uint64)) ^ two)
+
+
 def set_sizes(docs: DataFrame, width: int) -> DataFrame:
-    """rid, n (set size) and a 128-bit fingerprint of the set (f1, f2), for every row."""
+    """rid, n (set size) and key (its class) of every row."""
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, sets in shingle_sets(batch.column(1), width):
                 n = np.array([len(s) for s in sets], np.int64)
-                f1 = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-                f2 = np.array([mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array(n), pa.array(f1), pa.array(f2)], names=["rid", "n", "f1", "f2"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array(n), pa.array(fingerprints(sets).view(np.int64))], names=["rid", "n", "key"])
+
+    return docs.mapInArrow(per_batch, "rid long, n long, key long")
 
-    return docs.mapInArrow(per_batch, "rid long, n long, f1 long, f2 long")
 
+def run_starts(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal items of a non-empty array begin, and its length at the end."""
+    return np.append(np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))), len(x))
 
-def shared_shingles(docs: DataFrame, width: int, fragments: int) -> DataFrame:
-    """rid, part (bytes of hashes) and counts (bytes of uint32): of each row and fragment, the shingles found in two rows or more."""
+
+def class_sets(docs: DataFrame, width: int, percent: int, fragments: int) -> DataFrame:
+    """rid (a class), n, hashes and counts (bytes): shingles found in other classes too, of classes that could reach the threshold.
+
+    Pieces travel as arrays, one row for each slice of texts and fragment, then for each fragment and bucket of classes.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.asarray(batch.column(0))
-            for first, sets in shingle_sets(batch.column(1), width, 2 * SLICE_BYTES):
+            for _, sets in shingle_sets(batch.column(0), width, 2 * SLICE_BYTES):
+                keys, once = np.unique(fingerprints(sets), return_index=True)
+                sets = [sets[k] for k in once.tolist()]
+                whole = np.array([len(s) for s in sets], np.uint32)
                 hashes = np.concatenate(sets)
-                owner = np.repeat(np.arange(len(sets), dtype=np.uint16 if len(sets) < 65536 else np.uint32), [len(s) for s in sets])
+                owner = np.repeat(np.arange(len(sets), dtype=np.uint16 if len(sets) < 65536 else np.uint32), whole)
                 fragment = (hashes >> np.uint64(32)) % np.uint64(fragments)
                 order = np.argsort(fragment, kind="stable")
                 bounds = np.searchsorted(fragment[order], np.arange(fragments + 1, dtype=np.uint64))
                 rows = [k for k in range(fragments) if bounds[k] < bounds[k + 1]]
                 take = [order[bounds[k] : bounds[k + 1]] for k in rows]
                 held = [np.unique(owner[t], return_counts=True) for t in take]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(rows, pa.int32()),
-                        pa.array([np.ascontiguousarray(ids[first + u.astype(np.int64)]).astype(np.int64).tobytes() for u, _ in held], pa.binary()),
-                        pa.array([c.astype(np.uint32).tobytes() for _, c in held], pa.binary()),
-                        pa.array([hashes[t].tobytes() for t in take], pa.binary()),
-                    ],
-                    names=["fragment", "owners", "sizes", "hashes"],
-                )
+                columns = [[keys[u].tobytes() for u, _ in held], [whole[u].tobytes() for u, _ in held], [c.astype(np.uint32).tobytes() for _, c in held], [hashes[t].tobytes() for t in take]]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], names=["fragment", "owners", "wholes", "sizes", "hashes"])
+
+    def joined(group: pd.DataFrame) -> tuple[np.ndarray, ...]:
+        kinds = {"owners": np.uint64, "wholes": np.uint32, "sizes": np.uint32, "hashes": np.uint64}
+        return tuple(np.concatenate([np.frombuffer(x, kind) for x in group[name]]) for name, kind in kinds.items())
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
-        hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in group["hashes"]])
-        owners = np.concatenate([np.frombuffer(x, np.int64) for x in group["owners"]])
-        sizes = np.concatenate([np.frombuffer(x, np.uint32) for x in group["sizes"]])
+        owners, wholes, sizes, hashes = joined(group)
         del group
+        # All copies of a set are here with the same shingles: one of them counts.
+        _, once = np.unique(owners, return_index=True)
+        first = np.zeros(len(owners), bool)
+        first[once] = True
+        hashes = hashes[np.repeat(first, sizes)]
+        owners, wholes, sizes = owners[first], wholes[first], sizes[first]
         order = np.argsort(hashes)
-        ordered = hashes[order]
-        begin = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        n = np.diff(np.append(begin, len(ordered)))
+        begin = run_starts(hashes[order])
+        n = np.diff(begin)
         found = np.empty(len(hashes), np.uint32)
         found[order] = np.repeat(n, n)
-        del order, ordered
+        del order
         common = found > 1
-        doc = np.repeat(np.arange(len(owners)), sizes)[common]
-        if not len(doc):
-            return pd.DataFrame({"rid": [], "part": [], "counts": []}).astype({"rid": "int64"})
-        hashes, found = hashes[common], found[common]
-        edge = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
-        ends = np.append(edge[1:], len(doc))
+        owner = np.repeat(np.arange(len(owners), dtype=np.uint32), sizes)[common]
+        if not len(owner):
+            return pd.DataFrame({"bucket": [], "owners": [], "wholes": [], "sizes": [], "hashes": [], "counts": []}).astype({"bucket": "int32"})
+        bucket = (owners % np.uint64(fragments)).astype(np.int32)
+        order = np.argsort(bucket[owner], kind="stable")
+        owner, hashes, found = owner[order], hashes[common][order], found[common][order]
+        edge = run_starts(owner)
+        who, held = owner[edge[:-1]], np.diff(edge).astype(np.uint32)
+        part = run_starts(bucket[who])
+        spans = list(zip(part[:-1].tolist(), part[1:].tolist(), strict=True))
         return pd.DataFrame({
-            "rid": owners[doc[edge]],
-            "part": [hashes[a:b].tobytes() for a, b in zip(edge.tolist(), ends.tolist(), strict=True)],
-            "counts": [found[a:b].tobytes() for a, b in zip(edge.tolist(), ends.tolist(), strict=True)],
+            "bucket": bucket[who[part[:-1]]],
+            "owners": [owners[who[a:b]].tobytes() for a, b in spans], "wholes": [wholes[who[a:b]].tobytes() for a, b in spans], "sizes": [held[a:b].tobytes() for a, b in spans],
+            "hashes": [hashes[edge[a] : edge[b]].tobytes() for a, b in spans], "counts": [found[edge[a] : edge[b]].tobytes() for a, b in spans],
         })
 
-    pieces = docs.mapInArrow(cut, "fragment int, owners binary, sizes binary, hashes binary")
-    return pieces.groupBy("fragment").applyInPandas(count, "rid long, part binary, counts binary")
-
+    def gather(group: pd.DataFrame) -> pd.DataFrame:
+        owners, wholes, sizes, hashes = joined(group)
+        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in group["counts"]])
+        del group
+        keys, where, which = np.unique(owners, return_index=True, return_inverse=True)
+        mine = np.repeat(which, sizes)
+        # A partner must share percent of the set, so a set with fewer shingles that occur elsewhere has none.
+        n = wholes[where].astype(np.int64)
+        able = 100 * np.bincount(mine, minlength=len(keys)) >= percent * n
+        order = np.argsort(mine, kind="stable")
+        bounds = np.searchsorted(mine[order], np.arange(len(keys) + 1))
+        take = [order[bounds[k] : bounds[k + 1]] for k in np.flatnonzero(able).tolist()]
+        return pd.DataFrame({"rid": keys[able].view(np.int64), "n": n[able], "hashes": [hashes[t].tobytes() for t in take], "counts": [counts[t].tobytes() for t in take]})
 
-def survivors(parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """rid, n, f1, f2, hashes (bytes, by hash) and prefix (bytes) of rows whose shared shingles could reach the threshold."""
-    # A partner must share percent of the set, so a row with fewer shingles that occur elsewhere has none.
-    totals = parts.select("rid", (F.octet_length("part") / 8).cast("long").alias("m")).groupBy("rid").agg(F.sum("m").alias("m"))
-    able = sizes.join(totals, "rid").where(f"100 * m >= {percent} * n")
-    held = parts.join(able.select("rid", "n", "f1", "f2"), "rid")
-    grouped = held.groupBy("rid").agg(F.first("n").alias("n"), F.first("f1").alias("f1"), F.first("f2").alias("f2"), F.sort_array(F.collect_list(F.struct("part", "counts"))).alias("parts"))
-    packed = grouped.select("rid", "n", "f1", "f2", F.expr("array_join(transform(parts, p -> hex(p.part)), '')").alias("hashes"), F.expr("array_join(transform(parts, p -> hex(p.counts)), '')").alias("counts"))
-    return packed.select("rid", "n", "f1", "f2", F.unhex("hashes").alias("hashes"), F.unhex("counts").alias("counts"))
+    pieces = docs.select("text").mapInArrow(cut, "fragment int, owners binary, wholes binary, sizes binary, hashes binary")
+    shared = pieces.groupBy("fragment").applyInPandas(count, "bucket int, owners binary, wholes binary, sizes binary, hashes binary, counts binary")
+    return shared.groupBy("bucket").applyInPandas(gather, "rid long, n long, hashes binary, counts binary")
 
 
 def exploded(reps: DataFrame, percent: int) -> DataFrame:
@@ -226,14 +249,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
     sizes = written(set_sizes(source, width), "set-sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
     fragments = int(max(1, -(-total // FRAGMENT_ROWS)))
-    known = source.where("rid IS NOT NULL")
-    parts = written(shared_shingles(known, width, fragments), "shared-shingles")
-    # Rows that repeat an id: the largest set stands for it in the candidate search; links of the others come by fingerprint.
-    one = sizes.where("rid IS NOT NULL AND n > 0")
-    able = written(survivors(parts, one.groupBy("rid").agg(F.max(F.struct("n", "f1", "f2")).alias("x")).select("rid", "x.n", "x.f1", "x.f2"), percent), "survivors")
-    classes = one.groupBy("n", "f1", "f2").agg(F.min("rid").alias("rep"))
-    reps = able.join(classes.select(F.col("rep").alias("rid")).distinct(), "rid", "left_semi")
-    reps = written(reps, "class-sets")
+    reps = written(class_sets(source.where("rid IS NOT NULL"), width, percent, fragments), "class-sets")
     postings = written(exploded(reps, percent), "postings")
     every = written(overlaps(hub_pairs(postings, percent), reps, percent), "hub-links")
     roots = smallest_reachable(every)
@@ -242,11 +258,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
         if more.limit(1).count():
             roots = smallest_reachable(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
             every = every.unionByName(more)
-    degree = every.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    labelled = classes.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").join(degree, "rep", "left")
-    labelled = labelled.select("n", "f1", "f2", F.coalesce("root", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    # Rows of one id are one node: where their sets differ, the classes are one component.
+    held = sizes.where("rid IS NOT NULL AND n > 0")
+    torn = held.groupBy("rid").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("rid", "a")
+    tied = written(held.select("rid", F.col("key").alias("b")).join(torn, "rid").where("a <> b").select("a", "b").distinct(), "tied-classes")
+    if tied.limit(1).count():
+        roots = smallest_reachable(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(tied))
+    degree = every.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
+    classes = held.groupBy("key").agg(F.min("rid").alias("rep")).join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    lowest = classes.groupBy("root").agg(F.min("rep").alias("component_id"))
+    labelled = classes.join(lowest, "root").join(degree, "key", "left").select("key", "component_id", "n_links")
     # Few classes hold very many rows: a class is one row here, and AQE splits the other side.
-    out = sizes.join(labelled, ["n", "f1", "f2"], "left")
+    out = sizes.join(labelled, "key", "left")
     return out.select(
         F.col("rid").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("rid").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("component_id")), F.col("rid"))).alias("component_id"),
