@@ -37,6 +37,37 @@ def test_near_duplicates_of_nothing(spark):
     assert ngram_join.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_near_duplicates_by_brute_force(spark):
+    rng = np.random.default_rng(3)
+    texts = []
+    for _ in range(12):
+        words = [WORDS[k] + str(k) for k in rng.integers(0, len(WORDS), 40)]
+        for _ in range(4):
+            own = list(words)
+            for k in rng.integers(0, len(own), int(rng.integers(0, 3))):
+                own[k] = "x" + str(rng.integers(0, 1000))
+            texts.append(" ".join(own))
+    # The last two rows repeat the ids of rows with other texts, and so tie their groups.
+    ids = [*range(len(texts)), 0, 9]
+    texts += [texts[20], texts[31]]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    root = {i: i for i in ids}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in range(len(ids)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                low, high = sorted((top(ids[a]), top(ids[b])))
+                root[high] = low
+    table = spark.createDataFrame([(i, t, None, None, None, None) for i, t in zip(ids, texts, strict=True)], SCHEMA)
+    found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(table).collect())
+    assert found == sorted((i, len(s), top(i)) for i, s in zip(ids, sets, strict=True))
+
+
 def test_secrets(spark, docs):
     found = {r.doc_id: r for r in secrets.scan_secrets(docs).collect()}
     assert found[6].spans == "assign:0:17,access:18:42" and found[6].n_assign == 1
