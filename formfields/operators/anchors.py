@@ -14,10 +14,19 @@ from ..functions.text import match_form
 from .words import page_extents
 
 
-@F.pandas_udf(T.DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp ratio; applied to distinct pairs only."""
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def sequence_ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Ratcliff-Obershelp ratios of the strings of two arrays, place by place; equal pairs of a batch are compared once."""
+    known: dict[tuple[str, str], float] = {}
+
+    def ratio(x: str, y: str) -> float:
+        if x == y:
+            return 1.0
+        if (x, y) not in known:
+            known[x, y] = difflib.SequenceMatcher(None, x, y).ratio()
+        return known[x, y]
+
+    return pd.Series([[ratio(p, q) for p, q in zip(x, y, strict=True)] for x, y in zip(a, b, strict=True)])
 
 
 def center_in(x: str, y: str, w: str, h: str, rx: Column, ry: Column, rw: Column, rh: Column) -> Column:
@@ -40,42 +49,56 @@ def alias_tokens(anchors: DataFrame) -> DataFrame:
     return split.withColumn("n_tokens", F.size("tokens")).where("n_tokens > 0")
 
 
-def similarity(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) with the larger of the Ratcliff ratio and, for near lengths, the Levenshtein share."""
-    la, lb = F.length("a"), F.length("b")
+def levenshtein_share(a: Column, b: Column) -> Column:
+    """1 - distance / longer length, for strings whose lengths are near each other; 0 else."""
+    la, lb = F.length(a), F.length(b)
     longest = F.greatest(la, lb)
-    lev = F.when(F.abs(la - lb) <= F.when(longest <= 4, 2).otherwise(3), F.greatest(F.lit(0.0), 1 - F.levenshtein("a", "b") / longest)).otherwise(F.lit(0.0))
-    return pairs.distinct().select("a", "b", F.greatest(sequence_ratio("a", "b"), lev).alias("sim"))
+    near = F.abs(la - lb) <= F.when(longest <= 4, 2).otherwise(3)
+    return F.when(near, F.greatest(F.lit(0.0), 1 - F.levenshtein(a, b) / longest)).otherwise(F.lit(0.0))
+
+
+def similarity_bound(a: Column, b: Column) -> Column:
+    """No similarity of two strings is higher: only characters that occur in both can match."""
+    la, lb = F.length(a), F.length(b)
+    left_over = lambda x, y: F.length(F.call_function("translate", x, y, F.lit("")))
+    common = F.least(la - left_over(a, b), lb - left_over(b, a))
+    return F.greatest(2.0 * common / (la + lb), common / F.greatest(la, lb))
+
+
+def mean(items: Column) -> Column:
+    return F.aggregate(items, F.lit(0.0), lambda acc, x: acc + x) / F.size(items)
 
 
 def match_anchors(words: DataFrame, anchors: DataFrame, exact: bool = False, max_tokens: int = 4) -> DataFrame:
     """page_id, anchor, alias, score and box of the best phrase of each anchor on each page.
 
     A phrase is n words in a row on one line, or one to three words run together that match the alias without its
-    blanks. Scores are the mean similarity of tokens, compared on distinct pairs only. exact: equality only, no Python.
+    blanks. Scores are the mean similarity of tokens. Where a phrase of a page equals an alias of an anchor, no other
+    can be better, so only the rest is compared, and of that only what can reach the least score. All of it keeps
+    the partitioning by page and anchor. exact: equality only, no Python.
     """
     scoped = scope_words(words, anchors).withColumn("norm", match_form(F.col("text"))).where("norm <> ''")
-    order = Window.partitionBy("page_id", "anchor_no").orderBy("word_no")
-    same = lambda k: (F.lead("block_num", k).over(order) == F.col("block_num")) & (F.lead("par_num", k).over(order) == F.col("par_num")) & (F.lead("line_num", k).over(order) == F.col("line_num"))
-    wide = scoped
-    for k in range(1, max_tokens):
-        wide = wide.withColumn(f"n{k}", F.when(same(k), F.lead("norm", k).over(order))).withColumn(f"e{k}", F.when(same(k), F.struct(F.lead("x", k).over(order).alias("x"), F.lead("y", k).over(order).alias("y"), F.lead("w", k).over(order).alias("w"), F.lead("h", k).over(order).alias("h"))))
-    first = F.struct("x", "y", "w", "h")
-    runs = [F.struct(F.lit(n).alias("n"), F.array(F.col("norm"), *[F.col(f"n{k}") for k in range(1, n)]).alias("ts"), F.array(first, *[F.col(f"e{k}") for k in range(1, n)]).alias("bs")) for n in range(1, max_tokens + 1)]
-    phrases = wide.select("page_id", "anchor_no", "anchor", "word_no", F.explode(F.array(*runs)).alias("p")).where(F.forall("p.ts", lambda t: t.isNotNull()))
-    phrases = phrases.select("page_id", "anchor_no", "anchor", "word_no", "p.n", "p.ts", F.array_join("p.ts", "").alias("joined"), "p.bs")
+    group = Window.partitionBy("page_id", "anchor_no")
+    order = group.orderBy("word_no")
+    word = F.struct("norm", "block_num", "par_num", "line_num", "x", "y", "w", "h")
+    # The word and those after it on the page; a run ends where the line changes.
+    following = scoped.withColumn("ws", F.collect_list(word).over(order.rowsBetween(0, max_tokens - 1)))
+    on_line = lambda n: F.forall(F.slice("ws", 1, n), lambda v: (v["block_num"] == F.col("block_num")) & (v["par_num"] == F.col("par_num")) & (v["line_num"] == F.col("line_num")))
+    runs = following.select("page_id", "anchor_no", "anchor", "word_no", "ws", F.explode(F.filter(F.sequence(F.lit(1), F.size("ws")), lambda n: on_line(n))).alias("n"))
+    phrases = runs.select("page_id", "anchor_no", "anchor", "word_no", "n", F.slice("ws", 1, F.col("n")).alias("bs")).withColumn("ts", F.transform("bs", lambda v: v["norm"])).withColumn("joined", F.array_join("ts", ""))
     aliases = F.broadcast(alias_tokens(anchors).select("anchor_no", "alias_no", "alias", "min_score", "tokens", "n_tokens", F.array_join("tokens", "").alias("alias_joined")))
-    met = phrases.join(aliases, "anchor_no")
-    token_pairs = met.where("n = n_tokens").withColumn("kind", F.lit(0))
-    merged = met.where("n_tokens > 1 AND n <= 3 AND abs(length(joined) - length(alias_joined)) <= 2").withColumn("kind", F.lit(1))
+    by_token = F.when(F.col("n") == F.col("n_tokens"), F.struct(F.lit(0).alias("kind"), F.col("ts").alias("a"), F.col("tokens").alias("b")))
+    merged = F.when((F.col("n_tokens") > 1) & (F.col("n") <= 3) & (F.abs(F.length("joined") - F.length("alias_joined")) <= 2), F.struct(F.lit(1).alias("kind"), F.array("joined").alias("a"), F.array("alias_joined").alias("b")))
+    met = phrases.join(aliases, "anchor_no").select("page_id", "anchor_no", "anchor", "word_no", "n", "bs", "alias_no", "alias", "min_score", F.explode(F.array_compact(F.array(by_token, merged))).alias("c"))
+    met = met.select("*", "c.kind", "c.a", "c.b").drop("c").withColumn("equal", F.col("a") == F.col("b"))
     if exact:
-        scored = token_pairs.where("ts = tokens").withColumn("score", F.lit(1.0)).unionByName(merged.where("joined = alias_joined").withColumn("score", F.lit(1.0)))
+        scored = met.where("equal").withColumn("score", F.lit(1.0))
     else:
-        both = token_pairs.withColumn("pairs", F.arrays_zip(F.col("ts").alias("a"), F.col("tokens").alias("b"))).unionByName(merged.withColumn("pairs", F.array(F.struct(F.col("joined").alias("a"), F.col("alias_joined").alias("b")))), allowMissingColumns=True)
-        keyed = both.select("page_id", "anchor_no", "anchor", "word_no", "n", "kind", "alias_no", "alias", "min_score", "n_tokens", "bs", F.explode("pairs").alias("q")).select("*", F.col("q.a").alias("a"), F.col("q.b").alias("b")).drop("q")
-        sims = similarity(keyed.select("a", "b"))
-        scored = keyed.join(sims, ["a", "b"]).groupBy("page_id", "anchor_no", "anchor", "word_no", "n", "kind", "alias_no", "alias", "min_score").agg(F.avg("sim").alias("score"), F.first("bs").alias("bs"))
-    rank = Window.partitionBy("page_id", "anchor_no").orderBy(F.desc("score"), "alias_no", "kind", F.when(F.col("kind") == 1, F.col("n")).otherwise(0), "word_no")
+        able = F.col("equal") | (mean(F.zip_with("a", "b", similarity_bound)) >= F.col("min_score") - 1e-9)
+        rest = met.where(able).withColumn("any_equal", F.max("equal").over(group)).where("equal OR NOT any_equal")
+        sims = F.zip_with(sequence_ratios("a", "b"), F.zip_with("a", "b", levenshtein_share), lambda x, y: F.greatest(x, y))
+        scored = rest.withColumn("score", mean(sims))
+    rank = group.orderBy(F.desc("score"), "alias_no", "kind", F.when(F.col("kind") == 1, F.col("n")).otherwise(0), "word_no")
     best = scored.where("score >= min_score").withColumn("rn", F.row_number().over(rank)).where("rn = 1")
     low = lambda c: F.array_min(F.transform("bs", lambda b: b[c]))
     high = lambda c, s: F.array_max(F.transform("bs", lambda b: b[c] + b[s]))

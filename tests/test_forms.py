@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from formfields.functions.text import clean_date, clean_digits, clean_plate, fixed_date, fixed_vin
+from formfields.operators.anchors import match_anchors
 from formfields.operators.fields import apply_secondary, compare_runs, validate
 from formfields.operators.words import clean_words, lines_to_words, page_skew
 
@@ -49,3 +50,15 @@ def test_compare_runs(spark):
     a = spark.createDataFrame([(1, "brand", "FORD"), (1, "type", "C4X"), (2, "brand", None)], "page_id long, field string, value string")
     b = spark.createDataFrame([(1, "brand", "FIAT"), (2, "brand", None)], "page_id long, field string, value string")
     assert {(r.page_id, r.field): r.state for r in compare_runs(a, b).collect()} == {(1, "brand"): "changed", (1, "type"): "only_left", (2, "brand"): "same"}
+
+
+def test_labels_exact_and_fuzzy(spark):
+    """Equal phrases win at once; near ones are compared; the bound drops only what can't reach the least score."""
+    words = "page_id long, word_no int, text string, conf double, x int, y int, w int, h int, block_num int, par_num int, line_num int"
+    texts = [(1, ["MOTOR", "NO"]), (2, ["M0T0RNO"]), (3, ["KLIMA", "CAM"]), (4, ["MOTQR", "NO"]), (5, ["NO"])]
+    table = spark.createDataFrame([(p, k, t, 90.0, 10 + 100 * k, 10, 90, 20, 1, 1, 0) for p, ts in texts for k, t in enumerate(ts)], words)
+    rules = spark.createDataFrame([(0, "engine", 0.7, ["MOTOR NO"], None, None, None, None)], "anchor_no int, anchor string, min_score double, aliases array<string>, rx double, ry double, rw double, rh double")
+    found = {r.page_id: (round(r.score, 3), r.ax, r.aw) for r in match_anchors(table, rules).collect()}
+    assert found == {1: (1.0, 10, 190), 2: (0.714, 10, 90), 4: (0.9, 10, 190)}
+    assert {r.page_id for r in match_anchors(table, rules, exact=True).collect()} == {1}
+    assert match_anchors(table.where("false"), rules).count() == 0
