@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import cleaned, null_if_blank, validated
+from ..functions.text import cleaned, folded, null_if_blank, validated
 from .anchors import center_in
 from .words import assemble_lines
 
@@ -122,11 +122,45 @@ def best_candidates(scored: DataFrame) -> DataFrame:
     return able.withColumn("rn", F.row_number().over(order)).where("rn = 1").select("page_id", "field", "value", "raw", "method", F.col("score").alias("confidence_score"))
 
 
+# A plate, and the tails of vehicle types that look like one.
+PLATE = "^[0-9]{2}[A-Z]{1,3}[0-9]{2,4}$"
+TYPE_TAIL = "(DCI|TDI|HDI|CDI|VVT|TSI|OIL|DIZEL|DIESEL)[0-9]{1,3}$"
+
+
+def plate_candidates(words: DataFrame, pages: DataFrame, rois: DataFrame) -> DataFrame:
+    """page_id, field, method, raw, value and score of the best plate among one to four tokens in a row on a line.
+
+    Words in the upper left part of the page count, by the plate's region; nearer to the region is better. Pages
+    without a plate region have none.
+    """
+    sized = words.join(rois.where("field = 'plate'").select("page_id", "rx", "ry", "rw", "rh"), "page_id").join(pages, "page_id")
+    lowest = F.least(F.col("doc_h"), F.greatest(F.col("ry") + 2 * F.col("rh"), (F.col("doc_h") * 0.46).cast("int")))
+    scoped = sized.where((F.col("y") + F.col("h") / 2 <= lowest) & (F.col("x") + F.col("w") / 2 <= (F.col("doc_w") * 0.68).cast("int")) & (F.col("conf") >= 10))
+    place = ["page_id", "doc_w", "doc_h", "rx", "ry", "rw", "rh"]
+    tokens = scoped.select(*place, "block_num", "par_num", "line_num", "word_no", "x", "y", "w", "h", F.posexplode(F.regexp_extract_all(folded(F.col("text")), F.lit("([A-Z0-9]+)"), 1)).alias("tok_no", "token"))
+    line = Window.partitionBy("page_id", "block_num", "par_num", "line_num").orderBy("x", "word_no", "tok_no")
+    following = tokens.withColumn("ts", F.collect_list(F.struct("token", "x", "y", "w", "h")).over(line.rowsBetween(0, 3)))
+    runs = following.select(*place, "word_no", "tok_no", "ts", F.explode(F.sequence(F.lit(1), F.size("ts"))).alias("n")).select(*place, "word_no", "tok_no", "n", F.slice("ts", 1, F.col("n")).alias("ts"))
+    plates = runs.withColumn("raw", F.array_join(F.transform("ts", lambda t: t["token"]), "")).where(F.rlike("raw", F.lit(PLATE)))
+    low = lambda c: F.array_min(F.transform("ts", lambda t: t[c]))
+    high = lambda c, size: F.array_max(F.transform("ts", lambda t: t[c] + t[size]))
+    bx, by, bw, bh = clipped(low("x"), low("y"), high("x", "w") - low("x"), high("y", "h") - low("y"), F.col("doc_w"), F.col("doc_h"))
+    boxed_runs = plates.select("*", bx.alias("bx"), by.alias("by"), bw.alias("bw"), bh.alias("bh"))
+    across = F.abs(F.col("bx") + F.col("bw") / 2 - F.col("rx") - F.col("rw") / 2) / F.greatest(F.lit(1), "doc_w")
+    down = F.abs(F.col("by") + F.col("bh") / 2 - F.col("ry") - F.col("rh") / 2) / F.greatest(F.lit(1), "doc_h")
+    score = score_of(F.lit("plate"), F.col("raw")) + 12 - F.rint(10 * (across + down)).cast("int") - F.when(F.rlike("raw", F.lit(TYPE_TAIL)), 12).otherwise(0)
+    order = Window.partitionBy("page_id").orderBy(F.desc("score"), "by", "bx", "word_no", "tok_no", "n")
+    best = boxed_runs.withColumn("score", score).withColumn("rn", F.row_number().over(order)).where("rn = 1")
+    return best.select("page_id", F.lit("plate").alias("field"), F.lit("semantic_plate_page_words").alias("method"), "raw", F.col("raw").alias("value"), "score")
+
+
 def extract_fields(words: DataFrame, pages: DataFrame, rules: DataFrame, anchors: DataFrame) -> DataFrame:
     """page_id, field, value, raw, method, confidence_score and low_confidence for every page and field."""
     by_anchor = best_lines(words, value_windows(pages, rules, anchors)).select("page_id", "field", "method", "raw", F.lit(4).alias("priority"), F.lit(3).alias("cand_no"))
-    by_roi = best_roi_lines(words, resolve_rois(pages, rules, anchors)).select("page_id", "field", "method", "raw", F.lit(3).alias("priority"), F.lit(4).alias("cand_no"))
-    best = best_candidates(standardize(by_anchor.unionByName(by_roi), rules))
+    rois = resolve_rois(pages, rules, anchors)
+    by_roi = best_roi_lines(words, rois).select("page_id", "field", "method", "raw", F.lit(3).alias("priority"), F.lit(4).alias("cand_no"))
+    plates = plate_candidates(words, pages, rois).join(F.broadcast(rules.select("field", "strategy", "threshold", "force_method")), "field").select("*", F.lit(6).alias("priority"), F.lit(0).alias("cand_no"))
+    best = best_candidates(standardize(by_anchor.unionByName(by_roi), rules).unionByName(plates))
     every = pages.select("page_id").join(F.broadcast(rules.select("field", "threshold"))).join(best, ["page_id", "field"], "left")
     return every.select("page_id", "field", "value", "raw", F.coalesce("method", F.lit("empty_fallback")).alias("method"), F.coalesce("confidence_score", F.lit(0)).alias("confidence_score"), F.coalesce(F.col("confidence_score") < F.col("threshold"), F.col("threshold") > 0).alias("low_confidence"))
 

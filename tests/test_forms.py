@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from formfields.functions.text import clean_date, clean_digits, clean_plate, fixed_date, fixed_vin
 from formfields.operators.anchors import match_anchors
-from formfields.operators.fields import apply_secondary, compare_runs, validate
+from formfields.operators.fields import apply_secondary, compare_runs, plate_candidates, validate
 from formfields.operators.words import clean_words, lines_to_words, page_skew
 
 
@@ -62,3 +62,16 @@ def test_labels_exact_and_fuzzy(spark):
     assert found == {1: (1.0, 10, 190), 2: (0.714, 10, 90), 4: (0.9, 10, 190)}
     assert {r.page_id for r in match_anchors(table, rules, exact=True).collect()} == {1}
     assert match_anchors(table.where("false"), rules).count() == 0
+
+
+def test_plates_from_page_words(spark):
+    words = "page_id long, word_no int, text string, conf double, x int, y int, w int, h int, block_num int, par_num int, line_num int"
+    near, far = [(1, k, t, 90.0, 100 + 60 * k, 150, 50, 24, 1, 1, 0) for k, t in enumerate(["34", "ab", "123"])], (1, 3, "06XY99", 90.0, 900, 400, 80, 24, 1, 1, 1)
+    unsure, tail = (2, 0, "34AB123", 5.0, 100, 150, 50, 24, 1, 1, 0), (3, 0, "15DCI65", 90.0, 100, 150, 80, 24, 1, 1, 0)
+    table = spark.createDataFrame([*near, far, unsure, tail], words)
+    pages = spark.createDataFrame([(p, 1600, 1000) for p in (1, 2, 3)], "page_id long, doc_w int, doc_h int")
+    rois = spark.createDataFrame([(p, "plate", 100, 140, 200, 60) for p in (1, 2, 3)], "page_id long, field string, rx int, ry int, rw int, rh int")
+    found = {r.page_id: (r.value, r.score) for r in plate_candidates(table, pages, rois).collect()}
+    # Seven characters, 12 for the pattern, 12 for the place; distances round to 0 (10 * (60 / 1600 + 8 / 1000) on page 3); 12 off for a type's tail.
+    assert found == {1: ("34AB123", 31), 3: ("15DCI65", 19)}
+    assert plate_candidates(table.where("false"), pages, rois).count() == 0
