@@ -2,11 +2,13 @@
 
 A classifier fitted on the labelled table predicts each document's domain posteriors. Nonnegative document rates are
 then fitted by projected-gradient least squares: the expected token totals of the domains, under the rates, shall
-match their targets, while rates stay near one. A step needs only the domain totals, one small aggregate.
+match their targets within a tolerance, while rates stay near one. A step needs only the domain totals and their
+curvature, one small aggregate.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -118,40 +120,67 @@ def posteriors(docs: DataFrame, model: Domains, domains: tuple[str, ...] = DOMAI
     return docs.select("doc_id", "text").mapInArrow(per_batch, f"doc_id {kind}, n_tokens long, " + ", ".join(f"{n} double" for n in names))
 
 
-def replayed(residuals: list[np.ndarray], step: float, ridge: float, domains: tuple[str, ...]) -> str:
-    """SQL for a row's rate after the steps whose residuals (per domain) are given: each step is projected on rate >= 0.
-
-    The gradient of a row's rate is the dot product of its posteriors with the residuals, and ridge * (rate - 1).
-    """
-    sums = ", ".join("(" + " + ".join(f"p_{d} * {float(e)!r}D" for d, e in zip(domains, r, strict=True)) + ")" for r in residuals)
-    if not residuals:
-        return "1.0D"
-    return f"aggregate(array({sums}), 1.0D, (r, g) -> greatest(0.0D, r - {step!r}D * (g + {ridge!r}D * (r - 1.0D))))"
+def rate_of(multipliers: np.ndarray, domains: tuple[str, ...]) -> str:
+    """SQL for a row's rate under the domains' multipliers: the row's gradient step from one, projected on rate >= 0."""
+    pulled = " + ".join(f"p_{d} * {float(m)!r}D" for d, m in zip(domains, multipliers, strict=True))
+    return f"greatest(0.0D, 1.0D - ({pulled}))"
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float], budget: float | None = None, rounds: int = 12, ridge: float = 0.05) -> tuple[DataFrame, list[np.ndarray]]:
-    """members with `rate`: expected domain token totals under the rates match targets * budget (default: all tokens).
+def fit_rates(members: DataFrame, targets: dict[str, float], budget: float | None = None, rounds: int = 50, ridge: float = 1e-7, tolerance: float = 1e-4) -> tuple[DataFrame, list[np.ndarray]]:
+    """members with `rate`, and the residuals of every round: expected domain token totals under the rates match targets * budget (default: all tokens).
 
-    Minimises half the sum over domains of (total / budget - target)^2, with gradients scaled per token, and the ridge.
-    Only the totals, as many as there are domains, come to the driver in each round.
+    Minimises half the sum over domains of (total / budget - target)^2, plus the ridge times half the token-weighted mean
+    of (rate - 1)^2. At the minimum a rate is the projection of 1 - p . m, where m is the residuals divided by the ridge.
+    So m is what is fitted: a round is a gradient step on the dual, scaled by the curvature of the rows whose rate is above
+    zero, and halved until the dual falls. Rounds end when every residual is within `tolerance` or the minimum is reached.
+    Only the totals, the curvature (both of the number of domains) and the value come to the driver in each round.
     """
     domains = tuple(targets)
+    k = len(domains)
     shares = np.array([targets[d] for d in domains])
     shares = shares / shares.sum()
     whole = members.agg(F.sum("n_tokens")).first()[0] or 0
     budget = float(budget or whole or 1)
-    residuals: list[np.ndarray] = []
-    # The step is the inverse of a bound on the curvature: totals move by at most sum p p' n / budget per unit of rate.
-    step = 1.0
+    pairs = [(a, b) for a in range(k) for b in range(a, k)]
+
+    def at(m: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """The dual's value, the residuals and the curvature."""
+        p = [F.col(f"p_{d}") for d in domains]
+        n = F.col("n_tokens")
+        rated = members.select("n_tokens", *[f"p_{d}" for d in domains], F.expr(rate_of(m, domains)).alias("r"))
+        free = F.when(F.col("r") > 0, n).otherwise(0)
+        sums = rated.agg(F.sum(n * F.col("r") * F.col("r")), *[F.sum(n * F.col("r") * x) for x in p], *[F.sum(free * p[a] * p[b]) for a, b in pairs]).first()
+        found = np.array([float(x or 0) for x in sums]) / budget
+        curvature = ridge * np.eye(k)
+        for (a, b), x in zip(pairs, found[1 + k :], strict=True):
+            curvature[a, b] += x
+            if a != b:
+                curvature[b, a] += x
+        return found[0] / 2 + float(shares @ m) + ridge / 2 * float(m @ m), found[1 : 1 + k] - shares, curvature
+
+    multipliers = np.zeros(k)
+    value, residual, curvature = at(multipliers)
+    residuals = [residual]
     for _ in range(rounds):
-        rate = F.expr(replayed(residuals, step, ridge, domains))
-        totals = members.select("n_tokens", *[f"p_{d}" for d in domains], rate.alias("r")).agg(*[F.sum(F.col("r") * F.col("n_tokens") * F.col(f"p_{d}")).alias(d) for d in domains]).first()
-        now = np.array([float(x or 0) for x in totals]) / budget
-        residuals.append(now - shares)
-    return members.withColumn("rate", F.expr(replayed(residuals, step, ridge, domains))), residuals
-
-
-def mix_sources(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, rounds: int = 12) -> DataFrame:
+        uphill = residual - ridge * multipliers
+        if np.abs(residual).max() <= tolerance or np.abs(uphill).max() <= tolerance * 1e-3:
+            break
+        step = np.linalg.solve(curvature, uphill)
+        size = 1.0
+        while True:
+            tried = at(multipliers + size * step)
+            if tried[0] <= value - 1e-4 * size * float(uphill @ step) or size < 1e-6:
+                break
+            size /= 2
+        multipliers = multipliers + size * step
+        value, residual, curvature = tried
+        residuals.append(residual)
+    if whole and np.abs(residual).max() > tolerance:
+        warnings.warn(f"domain totals miss their targets by {dict(zip(domains, residual.tolist(), strict=True))} of the budget", stacklevel=2)
+    return members.withColumn("rate", F.expr(rate_of(multipliers, domains))), residuals
+
+
+def mix_sources(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, rounds: int = 50) -> DataFrame:
     """doc_id, n_tokens, p_good, p_poor, p_toxic and rate (copies to take, 0 or more) of every row.
 
     Rows that repeat give a row each; null or empty texts have rates too but carry no tokens. Other columns are ignored.

@@ -161,3 +161,20 @@ def test_rates_meet_targets(spark):
     rated, residuals = mixing.fit_rates(members, {"good": 0.7, "poor": 0.3}, rounds=40, ridge=0.01)
     assert np.abs(residuals[-1]).max() < np.abs(residuals[0]).max() / 5
     assert rated.where("rate < 0").count() == 0
+
+
+def test_default_rates_meet_the_targets_themselves(spark):
+    # A common, a middling and a rare domain, soft and hard members; some toxic rates end at zero.
+    rng = np.random.default_rng(4)
+    kinds = rng.choice(3, 300, p=[0.76, 0.08, 0.16])
+    p = rng.dirichlet([0.2] * 3, 300) * 0.3 + np.eye(3)[kinds] * 0.7
+    p[:90] = np.eye(3)[kinds[:90]]
+    n = rng.integers(1, 400, 300)
+    members = spark.createDataFrame([(k, int(n[k]), *p[k].tolist()) for k in range(300)], "doc_id long, n_tokens long, p_good double, p_poor double, p_toxic double")
+    rated, _ = mixing.fit_rates(members, mixing.TARGETS)
+    rate = np.array([r.rate for r in rated.orderBy("doc_id").collect()])
+    assert rate.min() == 0 and (rate * n) @ p / n.sum() == pytest.approx(list(mixing.TARGETS.values()), abs=1e-4)
+    # Of all rates that meet the targets these lie nearest to one: a move that keeps the totals takes them further away.
+    free = np.flatnonzero(rate > 0)
+    kept = np.linalg.svd((n[free, None] * p[free]).T)[2][3:]
+    assert np.abs(kept @ (n[free] * (rate[free] - 1))).max() < 1e-6 * n.max()
