@@ -79,14 +79,14 @@ def linked(found: DataFrame, scope: int) -> DataFrame:
     """Weak parts with complementary parts within `scope` code points in the same row: rid, s, e, k.
 
     A key needs an access identifier; an endpoint needs an access identifier and a secret (assignment, hex or
-    linked shape of key). The interval join is an equi-join on row and scope cell: a part lies in the cell of its
-    start, its partner looks into its own and both neighbouring cells.
+    linked shape of key). The interval join is an equi-join on row and scope cell: a part lies in every cell that it
+    touches, its partner looks into every cell that it touches when widened by `scope` on both sides.
     """
     weak = found.where("size(weak) > 0 AND size(strong) > 0").select("rid", F.explode("weak").alias("w"), "strong")
     # Complementary parts: all strong ones, and keys for endpoints.
-    weak = weak.selectExpr("rid", "w.s AS s", "w.e AS e", "w.k AS k", f"explode(array(floor(w.s / {scope}) - 1, floor(w.s / {scope}), floor(w.s / {scope}) + 1)) AS cell")
+    weak = weak.selectExpr("rid", "w.s AS s", "w.e AS e", "w.k AS k", f"explode(sequence(floor((w.s - {scope}) / {scope}), floor((w.e + {scope}) / {scope}))) AS cell")
     other = found.where("size(weak) > 0 AND size(strong) > 0").select("rid", F.explode(F.concat("strong", F.expr("filter(weak, w -> w.k = 3)"))).alias("p"))
-    other = other.selectExpr("rid", "p.s AS ps", "p.e AS pe", "p.k AS pk", f"floor(p.s / {scope}) AS cell")
+    other = other.selectExpr("rid", "p.s AS ps", "p.e AS pe", "p.k AS pk", f"explode(sequence(floor(p.s / {scope}), floor(p.e / {scope}))) AS cell")
     near = weak.join(other, ["rid", "cell"]).where(f"ps - e <= {scope} AND s - pe <= {scope} AND NOT (ps = s AND pe = e)")
     cases = near.groupBy("rid", "s", "e", "k").agg(F.max((F.col("pk") == 1).cast("int")).alias("access"), F.max(F.col("pk").isin(0, 2, 3).cast("int")).alias("secret"))
     return cases.where("access = 1 AND (k = 3 OR secret = 1)").select("rid", "s", "e", "k")
