@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from formfields import entries
 from formfields.functions.text import clean_date, clean_digits, clean_plate, fixed_date, fixed_vin
 from formfields.operators.anchors import match_anchors
 from formfields.operators.fields import apply_secondary, compare_runs, plate_candidates, validate
@@ -75,3 +76,16 @@ def test_plates_from_page_words(spark):
     # Seven characters, 12 for the pattern, 12 for the place; distances round to 0 (10 * (60 / 1600 + 8 / 1000) on page 3); 12 off for a type's tail.
     assert found == {1: ("34AB123", 31), 3: ("15DCI65", 19)}
     assert plate_candidates(table.where("false"), pages, rois).count() == 0
+
+
+def test_labels_with_misread_characters_have_lines(spark, tmp_path, monkeypatch):
+    """Pages whose id ends in 2 have the label M0T0R N0, which equals no alias; their best lines need fuzzy labels, and the wide rows ask for them."""
+    rows = spark.sql("SELECT id AS o_orderkey, id * 3 + 1 AS o_custkey, date_add(DATE'1995-01-01', CAST(id AS int)) AS o_orderdate FROM VALUES (2L), (5L), (12L) t(id)")
+    rows.write.parquet(f"{tmp_path}/orders.parquet")
+    truth = {r.page_id: r.value for r in entries.q_form_truth(spark, str(tmp_path)).where("field = 'engine_no'").collect()}
+    found = {r.page_id: r.raw for r in entries.q_best_lines(spark, str(tmp_path)).where("field = 'engine_no'").collect()}
+    assert found[2] == truth[2] and found[12] == truth[12]
+    asked = []
+    monkeypatch.setattr(entries.A, "match_anchors", lambda words, rules, exact=False: asked.append(exact) or match_anchors(words, rules, exact))
+    entries.entry(spark, str(tmp_path))
+    assert asked == [False]
