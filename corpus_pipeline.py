@@ -52,7 +52,7 @@ STAGES = [
     ("mixing", mix_to_targets),
 ]
 
-# Shingle components, string tiling and fitted models are beyond SQL; tests/llm holds brute-force versions.
+# Shingle components, string tiling and fitted models are beyond SQL. No test covers run(); tests/llm tests some of its stages' parts.
 ORACLE_SQL = None
 
 
