@@ -1,11 +1,9 @@
 """The training-data operators on small tables: nulls, empty and repeated rows, empty tables, clashing columns, brute force."""
 
-import difflib
-
 import numpy as np
 import pytest
 
-from formfields.llm import decontamination, html_extraction, lm_scoring, mixing, ngram_join, quality_rules, secrets, toxicity, web_archive
+from formfields.llm import decontamination, lm_scoring, mixing, ngram_join, quality_rules, secrets, toxicity, web_archive
 
 SCHEMA = "doc_id long, text string, lang string, n_shingles int, rid long, score double"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -135,27 +133,6 @@ def test_archives(spark, tmp_path):
         assert found[2].payload_bytes == 0 and found[2].payload_digest == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
 
 
-def test_shared_lines_by_difflib():
-    rng = np.random.default_rng(2)
-    for _ in range(50):
-        a, b = rng.integers(0, 6, 12), rng.integers(0, 6, 10)
-        table = np.zeros((13, 11), int)
-        for i in range(12):
-            for j in range(10):
-                table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
-        assert html_extraction.shared_lines(a, b).sum() == table[-1, -1]
-        assert table[-1, -1] >= sum(m.size for m in difflib.SequenceMatcher(None, a.tolist(), b.tolist(), autojunk=False).get_matching_blocks())
-
-
-def test_main_text(spark):
-    page = "<nav><a>Home</a></nav><div class='cookie-notice'>Agree</div><article><h1>A &amp; B</h1><p>One <b>two</b></p></article><footer>f</footer>"
-    plain = "<div>Site name</div><div>Own words {} of this page are many more than shared</div>"
-    pages = spark.createDataFrame([(1, "http://a.b/x", page), (2, "http://a.b/y", None), (3, "http://c/d/1", plain.format(1)), (4, "http://c/d/2", plain.format(2)), (5, None, "<p>t</p>")], "page_id long, url string, html string")
-    found = {r.page_id: r.text for r in html_extraction.extract_main_text(pages, 1).collect()}
-    assert found[1] == "A & B One two" and found[2] == "" and found[5] == "t"
-    assert found[3] == "Own words 1 of this page are many more than shared"
-
-
 def test_rates_meet_targets(spark):
     members = spark.createDataFrame([(k, 10, 1.0 if k % 2 else 0.0, 0.0 if k % 2 else 1.0) for k in range(40)], "doc_id long, n_tokens long, p_good double, p_poor double")
     rated, residuals = mixing.fit_rates(members, {"good": 0.7, "poor": 0.3}, rounds=40, ridge=0.01)
