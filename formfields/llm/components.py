@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 from .common import written
 
 
-def smallest_reachable(links: DataFrame, most_rounds: int = 50) -> DataFrame:
+def smallest_reachable(links: DataFrame) -> DataFrame:
     """node, root for every node of links (a, b): root is the smallest node reachable.
 
     Each round replaces the links by as many or fewer that point to smaller nodes, grouped with partial
     aggregation, so a node with very many links costs no more than its links. Rounds grow with the logarithm of a
-    component's size; the lineage is cut by a written table each round.
+    component's size and go on until one changes nothing; the lineage is cut by a written table each round. Links to
+    nulls and of a node to itself are left out; an empty table gives no nodes.
     """
     edges = written(links.where("a <> b AND a IS NOT NULL AND b IS NOT NULL").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     before = None
-    for _ in range(most_rounds):
+    while True:
         # Large star: every larger neighbour of a node moves to the smallest of the node and its neighbours.
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -28,6 +29,5 @@ def smallest_reachable(links: DataFrame, most_rounds: int = 50) -> DataFrame:
         edges = written(small, "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
-            break
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
