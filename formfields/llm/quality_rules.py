@@ -15,7 +15,7 @@ STOP_WORDS = (
 
 # metric, lowest and highest value that passes (None: no bound). All ratios are per word unless named otherwise.
 THRESHOLDS: list[tuple[str, float | None, float | None]] = [
-    ("n_words", 50, 1_000_000),
+    ("n_words", 50, None),
     ("mean_word_chars", 3.0, 10.0),
     ("symbol_ratio", None, 0.1),
     ("shout_ratio", None, 0.3),
@@ -84,8 +84,17 @@ def quality_metrics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def quality_rules(docs: DataFrame, thresholds: list[tuple[str, float | None, float | None]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """quality_metrics with base_failed (under 50 words, or over half the words in repeated windows) and kept.
 
-    kept is false where base_failed, else the verdict of the threshold table. Empty and null texts fail.
+    kept is false where base_failed, else the verdict of the threshold table, which has no upper bound on length. Empty
+    and null texts fail, a null id doesn't. Rows that repeat give a row each; an empty table gives none. Other columns
+    are ignored, whatever their names.
     """
     scored = quality_metrics(docs, id_col, text_col)
     failed = scored.withColumn("base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words"))
     return failed.withColumn("kept", ~F.col("base_failed") & compiled(THRESHOLDS if thresholds is None else thresholds))
+
+
+def keep_good(docs: DataFrame, thresholds: list[tuple[str, float | None, float | None]] | None = None, text_col: str = "text") -> DataFrame:
+    """The rows that the rules keep, columns as they were. Each row is judged by its own text, whatever its id; no shuffle."""
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    kept = quality_rules(held, thresholds, "row", "text").where("kept")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
