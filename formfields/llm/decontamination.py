@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,7 +97,7 @@ def unmarked_hits(left: np.ndarray, right: np.ndarray, a_free: np.ndarray, b_fre
     return out
 
 
-SCHEMA = "doc_id long, item_id long, item_words int, n_tiles int, longest_tile int, covered int, coverage double, tiles array<struct<doc_start:int,item_start:int,words:int>>"
+PAIR = "item_id long, item_words int, n_tiles int, longest_tile int, covered int, coverage double, tiles array<struct<doc_start:int,item_start:int,words:int>>"
 
 
 def judged(item: np.ndarray, doc: np.ndarray, min_tile: int) -> tuple:
@@ -116,97 +117,116 @@ def near_seeds(doc: np.ndarray, at: np.ndarray, reach: int) -> np.ndarray:
     return keep
 
 
+def known_items(benchmark: DataFrame) -> tuple[DataFrame, int]:
+    """item_id and text of the items that have both, and the bytes of their texts."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+    return items, items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_tile: int = 5, threshold: float = 0.5, max_item_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Pairs of documents and benchmark items whose words lie under tiles to `threshold` or more.
 
     docs needs doc_id and text, benchmark item_id and text. Null ids and null or empty texts have no pairs; an item
-    shorter than min_tile words is looked for as a whole. Repeated rows give repeated pairs. Other columns are ignored.
+    shorter than min_tile words is looked for as a whole. Repeated rows give repeated pairs; of tiles that tie in length
+    the one that starts first in the document, then in the item, is marked first. Texts are tiled whole, however long.
+    An empty table on either side gives no pairs. Other columns are ignored, whatever their names.
     """
-    items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    source = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    items, size = known_items(benchmark)
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
     if size <= max_item_bytes:
-        return tiled_in_scan(source, [(r[0], r[1]) for r in items.collect()], min_tile, threshold)
+        return tiled_in_scan(source, items, min_tile, threshold)
     return tiled_by_join(source, items, min_tile, threshold)
 
 
-def rows_out(rows: list[tuple], threshold: float) -> Iterator[pa.RecordBatch]:
-    rows = [r for r in rows if r[6] >= threshold]
+def rows_out(ids: list, kind: pa.DataType, rows: list[tuple], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Rows (place of the document in ids, item, and what `judged` found) that reach the threshold."""
+    rows = [(ids[r[0]], *r[1:]) for r in rows if r[6] >= threshold]
     if rows:
         names = ["doc_id", "item_id", "item_words", "n_tiles", "longest_tile", "covered", "coverage", "tiles"]
         struct = pa.struct([("doc_start", pa.int32()), ("item_start", pa.int32()), ("words", pa.int32())])
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.list_(struct)]
+        kinds = [kind, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.list_(struct)]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
-def tiled_in_scan(docs: DataFrame, items: list[tuple[int, str]], min_tile: int, threshold: float) -> DataFrame:
-    """The benchmark is small (checked): its seeds go to every task, and only documents that share one are tiled."""
-    spark = docs.sparkSession
-    held = spark.sparkContext.broadcast([(i, w) for i, t in items if len(w := text_words(t))])
+class Seeds:
+    """The seeds of a small benchmark, by their number of words."""
 
-    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = held.value
-        by_width: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for width in {min(min_tile, len(w)) for _, w in words}:
-            mine = [(k, window_hashes(w, width)) for k, (_, w) in enumerate(words) if min(min_tile, len(w)) == width]
+    def __init__(self, items: list[tuple[int, np.ndarray]], min_tile: int):
+        self.items = items
+        self.by_width: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for width in {min(min_tile, len(w)) for _, w in items}:
+            mine = [(k, window_hashes(w, width)) for k, (_, w) in enumerate(items) if min(min_tile, len(w)) == width]
             seeds = np.concatenate([h for _, h in mine])
             owner = np.concatenate([np.full(len(h), k) for k, h in mine])
             order = np.argsort(seeds, kind="stable")
-            by_width[width] = seeds[order], owner[order]
+            self.by_width[width] = seeds[order], owner[order]
+
+    def tiled(self, column: pa.Array) -> Iterator[tuple]:
+        """(row, item_id, and what `judged` finds) of every text and item that share a seed."""
+        for first, data, at in text_slices(column):
+            hashes, text_no = words_of(data, at)
+            for width, (seeds, owner) in self.by_width.items():
+                windows = window_hashes(hashes, width)
+                if not len(windows):
+                    continue
+                windows_in = text_no[: len(windows)] == text_no[width - 1 :]
+                lo = np.searchsorted(seeds, windows)
+                hit = np.flatnonzero((seeds[np.minimum(lo, len(seeds) - 1)] == windows) & windows_in)
+                for d in np.unique(text_no[hit]):
+                    begin, end = np.searchsorted(text_no, [d, d + 1])
+                    own = hit[(hit >= begin) & (hit < end)]
+                    doc = hashes[begin:end]
+                    shared = np.unique(windows[own])
+                    for k in np.unique(owner[np.isin(seeds, shared)]):
+                        item_id, item = self.items[k]
+                        mine = own[np.isin(windows[own], seeds[owner == k])] - begin
+                        kept = near_seeds(doc, mine, len(item) + width)
+                        # A stretch between two kept ones becomes one word that is in no item.
+                        gap = ~kept & np.concatenate(([True], kept[:-1]))
+                        place = np.flatnonzero(kept | gap)
+                        short = np.where(kept[place], doc[place], np.uint64(0))
+                        n, t, longest, covered, share, tiles = judged(item, short, width)
+                        for x in tiles:
+                            x["doc_start"] = int(place[x["doc_start"]])
+                        yield first + int(d), item_id, n, t, longest, covered, share, tiles
+
+
+def sent_items(items: DataFrame) -> Broadcast:
+    """The words of a small benchmark (its size is checked by the caller), for every task."""
+    return items.sparkSession.sparkContext.broadcast([(i, w) for i, t in items.collect() if len(w := text_words(t))])
+
+
+def tiled_in_scan(docs: DataFrame, items: DataFrame, min_tile: int, threshold: float) -> DataFrame:
+    """The benchmark is small: its seeds go to every task, and only documents that share one are tiled."""
+    held = sent_items(items)
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds = Seeds(held.value, min_tile)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            rows = []
-            for first, data, at in text_slices(batch.column(1)):
-                hashes, text_no = words_of(data, at)
-                for width, (seeds, owner) in by_width.items():
-                    windows = window_hashes(hashes, width)
-                    if not len(windows):
-                        continue
-                    windows_in = text_no[: len(windows)] == text_no[width - 1 :]
-                    lo = np.searchsorted(seeds, windows)
-                    hit = np.flatnonzero((seeds[np.minimum(lo, len(seeds) - 1)] == windows) & windows_in)
-                    for d in np.unique(text_no[hit]):
-                        begin, end = np.searchsorted(text_no, [d, d + 1])
-                        own = hit[(hit >= begin) & (hit < end)]
-                        doc = hashes[begin:end]
-                        shared = np.unique(windows[own])
-                        wanted = np.unique(owner[np.isin(seeds, shared)])
-                        for k in wanted:
-                            item_id, item = words[k]
-                            mine = own[np.isin(windows[own], seeds[owner == k])] - begin
-                            kept = near_seeds(doc, mine, len(item) + width)
-                            # A stretch between two kept ones becomes one word that is in no item.
-                            gap = ~kept & np.concatenate(([True], kept[:-1]))
-                            place = np.flatnonzero(kept | gap)
-                            short = np.where(kept[place], doc[place], np.uint64(0))
-                            n, t, longest, covered, share, tiles = judged(item, short, width)
-                            for x in tiles:
-                                x["doc_start"] = int(place[x["doc_start"]])
-                            rows.append((ids[first + int(d)], item_id, n, t, longest, covered, share, tiles))
-            yield from rows_out(rows, threshold)
-
-    return docs.mapInArrow(per_batch, SCHEMA)
+            yield from rows_out(batch.column(0).to_pylist(), pa.int64(), list(seeds.tiled(batch.column(1))), threshold)
+
+    return docs.mapInArrow(per_batch, f"doc_id long, {PAIR}")
 
 
 def tiled_by_join(docs: DataFrame, items: DataFrame, min_tile: int, threshold: float) -> DataFrame:
     """A benchmark of any size: seeds of both sides meet in a shuffle, then texts of the pairs that share one."""
+    counted = items.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([min(min_tile, len(text_words(t.as_py()))) for t in b.column(1)], pa.int32())], names=["width"]) for b in batches), "width int")
+    # A handful of widths: min_tile, and the lengths of items that have fewer words.
+    used = sorted(r["width"] for r in counted.where("width > 0").distinct().collect())
 
     def seeds(df: DataFrame, name: str) -> DataFrame:
         def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids = np.asarray(batch.column(0))
                 for first, data, at in text_slices(batch.column(1)):
                     hashes, text_no = words_of(data, at)
                     for d in range(len(at) - 1):
                         begin, end = np.searchsorted(text_no, [d, d + 1])
                         words = hashes[begin:end]
-                        widths = {min_tile} if name == "doc_id" else {min(min_tile, max(1, len(words)))}
-                        if name == "doc_id":
-                            widths |= set(range(1, min_tile)) if len(words) else set()
-                        found = np.unique(np.concatenate([window_hashes(words, w) for w in widths]))
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), ids[first + d]), pa.int64()), pa.array(found.view(np.int64))], names=[name, "seed"])
+                        widths = used if name == "doc_id" else [min(min_tile, max(1, len(words)))]
+                        found = np.unique(np.concatenate([np.zeros(0, np.uint64), *(window_hashes(words, w) for w in widths)]))
+                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.full(len(found), first + d))), pa.array(found.view(np.int64))], names=[name, "seed"])
 
-        return df.mapInArrow(per_batch, f"{name} long, seed long")
+        return df.mapInArrow(per_batch, f"{name} {df.schema[name].dataType.simpleString()}, seed long")
 
     pairs = seeds(docs, "doc_id").join(seeds(items, "item_id"), "seed").select("doc_id", "item_id").distinct()
     both = pairs.join(items.withColumnRenamed("text", "item_text"), "item_id").join(docs, "doc_id")
@@ -214,16 +234,35 @@ def tiled_by_join(docs: DataFrame, items: DataFrame, min_tile: int, threshold: f
     def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for d, i, item_text, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "item_id", "item_text", "text")), strict=True):
+            for k, (i, item_text, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("item_id", "item_text", "text")), strict=True)):
                 item = text_words(item_text)
                 if len(item):
-                    rows.append((d, i, *judged(item, text_words(text), min(min_tile, len(item)))))
-            yield from rows_out(rows, threshold)
+                    rows.append((k, i, *judged(item, text_words(text), min(min_tile, len(item)))))
+            yield from rows_out(batch.column(0).to_pylist(), batch.column(0).type, rows, threshold)
+
+    return both.select("doc_id", "item_id", "item_text", "text").mapInArrow(tiled, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {PAIR}")
+
 
-    return both.select("doc_id", "item_id", "item_text", "text").mapInArrow(tiled, SCHEMA)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, min_tile: int = 5, threshold: float = 0.5, max_item_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of docs that hold no benchmark item, columns as they were.
 
+    Each row is judged by its own text, whatever its id: rows with a null id or an id that others share are no exception.
+    Rows with null or empty texts stay; with an empty benchmark all do.
+    """
+    items, size = known_items(benchmark)
+    if size <= max_item_bytes:
+        held, names = sent_items(items), docs.columns
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, min_tile: int = 5, threshold: float = 0.5) -> DataFrame:
-    """The rows of docs that hold no benchmark item, columns as they were; rows with a null id stay."""
-    bad = contaminated(docs, benchmark, min_tile, threshold).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["bad_id"], "left_anti")
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seeds = Seeds(held.value, min_tile)
+            for batch in batches:
+                bad = {row for row, *found in seeds.tiled(batch.column(batch.num_columns - 1)) if found[5] >= threshold}
+                mask = np.ones(batch.num_rows, bool)
+                mask[list(bad)] = False
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(mask)) for c in batch.columns[:-1]], names=names)
+
+        return docs.select("*", F.col("text").alias("text to read")).mapInArrow(clean, docs.schema)
+    # Equal texts are judged once: their hash stands for the document.
+    texts = docs.where("text IS NOT NULL").select(F.md5("text").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+    bad = tiled_by_join(texts, items, min_tile, threshold).select(F.col("doc_id").alias("bad text")).distinct()
+    return docs.join(bad, F.md5(docs["text"]) == bad["bad text"], "left_anti")
