@@ -2,7 +2,8 @@
 
 Strong parts (assignments, access identifiers, long hex runs) are reported always. Weak parts
 (bare mixed-class runs that look like secret keys, and endpoints) are reported only when complementary
-parts lie in the same scope: an interval join of parts within a document, by scope cell.
+parts lie in the same scope: an interval join of parts within a text, by scope cell. Every weak part needs an access
+identifier, so texts without one never meet the join.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = (
     "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
@@ -51,45 +54,64 @@ def group_length(pattern: str) -> str:
     return f"char_length(regexp_extract(x.m, '^{quoted}', 2)) >= 6"
 
 
+SALTS = 16
 NOTHING = "CAST(array() AS array<struct<s:int,e:int,k:int>>)"
 
 
-def parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each row's id with the arrays `strong` and `weak` of its parts."""
+def spans_within(rows: DataFrame, text: str = "t") -> DataFrame:
+    """rows with the arrays `strong` and `weak` of the parts of each text."""
     words = " OR ".join(f"contains(low, '{w}')" for w in ASSIGN_WORDS)
-    base = docs.select(F.col(id_col).alias("rid"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    cheap = base.select("rid", "t", F.expr("lower(t)").alias("low"))
+    own = [f"`{c}`" for c in rows.columns]
+    cheap = rows.selectExpr(*own, f"lower({text}) AS low")
     # A row without the cheap signs never meets a pattern that has to walk through it span by span.
-    marked = cheap.selectExpr("rid", "t", f"({words}) AS has_assign", "contains(t, 'AKIA') AS has_access", "rlike(t, '[0-9a-f]{24}') AS has_hex", "contains(t, '://') AS has_url", "rlike(t, '[A-Za-z0-9+/]{40}') AS has_key")
-    any_sign = marked.withColumn("t", F.expr("IF(has_assign OR has_access OR has_hex OR has_url OR has_key, t, '')"))
+    signs = cheap.selectExpr(*own, f"({words}) AS has_assign", f"contains({text}, 'AKIA') AS has_access", f"rlike({text}, '[0-9a-f]{{24}}') AS has_hex", f"contains({text}, '://') AS has_url", f"rlike({text}, '[A-Za-z0-9+/]{{40}}') AS has_key")
     strong = (
-        f"concat(IF(has_assign, {spans_of('t', 'assign', ASSIGN, group_length(ASSIGN))}, {NOTHING}), "
-        f"IF(has_access, {spans_of('t', 'access', ACCESS, 'true')}, {NOTHING}), "
-        f"IF(has_hex, {spans_of('t', 'hex', HEX, 'true')}, {NOTHING}))"
+        f"concat(IF(has_assign, {spans_of(text, 'assign', ASSIGN, group_length(ASSIGN))}, {NOTHING}), "
+        f"IF(has_access, {spans_of(text, 'access', ACCESS, 'true')}, {NOTHING}), "
+        f"IF(has_hex, {spans_of(text, 'hex', HEX, 'true')}, {NOTHING}))"
     )
     mixed = "rlike(x.m, '[A-Z]') AND rlike(x.m, '[a-z]') AND rlike(x.m, '[0-9]')"
     weak = (
-        f"concat(IF(has_key, {spans_of('t', 'key', KEY, mixed)}, {NOTHING}), "
-        f"IF(has_url, {spans_of('t', 'endpoint', ENDPOINT, 'true')}, {NOTHING}))"
+        f"concat(IF(has_key, {spans_of(text, 'key', KEY, mixed)}, {NOTHING}), "
+        f"IF(has_url, {spans_of(text, 'endpoint', ENDPOINT, 'true')}, {NOTHING}))"
     )
-    return any_sign.selectExpr("rid", f"{strong} AS strong", f"{weak} AS weak")
+    return signs.selectExpr(*own, f"{strong} AS strong", f"{weak} AS weak")
 
 
 def linked(found: DataFrame, scope: int) -> DataFrame:
-    """Weak parts with complementary parts within `scope` code points in the same row: rid, s, e, k.
+    """Weak parts with complementary parts within `scope` code points in the same text: text_key, s, e, k.
 
-    A key needs an access identifier; an endpoint needs an access identifier and a secret (assignment, hex or
-    linked shape of key). The interval join is an equi-join on row and scope cell: a part lies in every cell that it
-    touches, its partner looks into every cell that it touches when widened by `scope` on both sides.
+    found has one row for each text. A key needs an access identifier; an endpoint needs an access identifier and a
+    secret (assignment, hex or linked shape of key). The interval join is an equi-join on text and scope cell: a part
+    lies in every cell that it touches, its partner looks into every cell that it touches when widened by `scope` on
+    both sides.
     """
-    weak = found.where("size(weak) > 0 AND size(strong) > 0").select("rid", F.explode("weak").alias("w"), "strong")
+    weak = found.select("text_key", F.explode("weak").alias("w"))
+    weak = weak.selectExpr("text_key", "w.s AS s", "w.e AS e", "w.k AS k", f"explode(sequence(floor((w.s - {scope}) / {scope}), floor((w.e + {scope}) / {scope}))) AS cell")
     # Complementary parts: all strong ones, and keys for endpoints.
-    weak = weak.selectExpr("rid", "w.s AS s", "w.e AS e", "w.k AS k", f"explode(sequence(floor((w.s - {scope}) / {scope}), floor((w.e + {scope}) / {scope}))) AS cell")
-    other = found.where("size(weak) > 0 AND size(strong) > 0").select("rid", F.explode(F.concat("strong", F.expr("filter(weak, w -> w.k = 3)"))).alias("p"))
-    other = other.selectExpr("rid", "p.s AS ps", "p.e AS pe", "p.k AS pk", f"explode(sequence(floor(p.s / {scope}), floor(p.e / {scope}))) AS cell")
-    near = weak.join(other, ["rid", "cell"]).where(f"ps - e <= {scope} AND s - pe <= {scope} AND NOT (ps = s AND pe = e)")
-    cases = near.groupBy("rid", "s", "e", "k").agg(F.max((F.col("pk") == 1).cast("int")).alias("access"), F.max(F.col("pk").isin(0, 2, 3).cast("int")).alias("secret"))
-    return cases.where("access = 1 AND (k = 3 OR secret = 1)").select("rid", "s", "e", "k")
+    other = found.select("text_key", F.explode(F.concat("strong", F.expr("filter(weak, w -> w.k = 3)"))).alias("p"))
+    other = other.selectExpr("text_key", "p.s AS ps", "p.e AS pe", "p.k AS pk", f"explode(sequence(floor(p.s / {scope}), floor(p.e / {scope}))) AS cell")
+    near = weak.join(other, ["text_key", "cell"]).where(f"ps - e <= {scope} AND s - pe <= {scope} AND NOT (ps = s AND pe = e)")
+    cases = near.groupBy("text_key", "s", "e", "k").agg(F.max((F.col("pk") == 1).cast("int")).alias("access"), F.max(F.col("pk").isin(0, 2, 3).cast("int")).alias("secret"))
+    return cases.where("access = 1 AND (k = 3 OR secret = 1)").select("text_key", "s", "e", "k")
+
+
+def all_spans(docs: DataFrame, scope: int, text_col: str) -> DataFrame:
+    """row (the columns of docs), strong and mine (linked weak parts) of every row of docs.
+
+    Rows without the mark of an access identifier take their spans from their own projection. The others are joined with
+    the linked parts of their text: texts that repeat are looked at once, and their rows are salted.
+    """
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    plain = spans_within(held.where("NOT contains(t, 'AKIA')")).selectExpr("row", "strong", f"{NOTHING} AS mine")
+    marked = held.where("contains(t, 'AKIA')").withColumn("text_key", F.md5("t"))
+    texts = spans_within(marked.select("text_key", "t").where("contains(t, '://') OR rlike(t, '[A-Za-z0-9+/]{40}')")).drop("t").where("size(strong) > 0 AND size(weak) > 0")
+    once = written(texts.groupBy("text_key").agg(F.first("strong").alias("strong"), F.first("weak").alias("weak")), "secret-parts")
+    extra = linked(once, scope).groupBy("text_key").agg(F.collect_set(F.struct("s", "e", "k")).alias("mine"))
+    salted = extra.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = spans_within(marked).drop("t", "weak").withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    joined = found.join(salted, ["text_key", "salt"], "left").selectExpr("row", "strong", f"coalesce(mine, {NOTHING}) AS mine")
+    return plain.unionByName(joined)
 
 
 def joined(spans: str) -> Column:
@@ -100,38 +122,31 @@ def joined(spans: str) -> Column:
 def scan_secrets(docs: DataFrame, scope: int = 300, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_assign, n_access, n_hex, base_sha256, spans and n_weak of every row.
 
-    Offsets are code points, ends exclusive. Null or empty texts have no spans; rows that repeat (same id) each
-    give a row; a null id gives a row too, without weak parts. Other columns are ignored. `spans` lists base
-    spans and linked weak spans by start, then kind.
+    Offsets are code points, ends exclusive. A row's spans depend on its own text alone: null or empty texts have none,
+    rows that repeat each give a row, and so do rows with a null id or an id that other texts have too. Texts are taken
+    whole, however long. An empty table gives no rows. Other columns are ignored, whatever their names. `spans` lists base
+    spans and linked weak spans by start, then kind; parts that tie in both are listed by end.
     """
-    # A row number would need a sort; rows with one id are told apart by their own spans.
-    found = parts(docs, id_col, text_col)
-    # Every weak part needs an access identifier, so only texts that have its mark are looked at again.
-    marked = docs.where(F.contains(F.col(text_col), F.lit("AKIA")) & F.col(id_col).isNotNull())
-    extra = linked(parts(marked, id_col, text_col), scope)
-    extra = extra.groupBy("rid").agg(F.collect_set(F.struct("s", "e", "k")).alias("more"))
-    both = found.join(extra, "rid", "left")
-    mine = "filter(weak, w -> array_contains(coalesce(more, array()), w))"
+    found = all_spans(docs.select(F.col(id_col).alias("rid"), F.col(text_col).alias("own_text")), scope, "own_text")
     count = lambda k: F.expr(f"CAST(size(filter(strong, x -> x.k = {k})) AS long)")
-    kept = both.selectExpr("rid", "strong", f"IF(more IS NULL, {NOTHING}, {mine}) AS mine")
-    return kept.select(
-        F.col("rid").alias(id_col), count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+    return found.select(
+        F.col("row.rid").alias(id_col), count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(joined("strong"), 256).alias("base_sha256"), joined("concat(strong, mine)").alias("spans"), F.expr("CAST(size(mine) AS long)").alias("n_weak"),
     )
 
 
 def redact(docs: DataFrame, scope: int = 300, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
-    """The rows with every span of scan_secrets replaced by `mask`, columns as they were. doc_id should be unique.
+    """The rows with every span of scan_secrets replaced by `mask`, columns as they were.
 
-    Overlapping spans are masked as one. Rows without spans pass unchanged (also null texts).
+    Each row is masked by its own spans, whatever its id. Overlapping spans are masked as one. Rows without spans pass
+    unchanged (also null texts).
     """
-    spans = scan_secrets(docs, scope, text_col=text_col).where("spans <> ''").selectExpr("doc_id AS span_id", "spans AS span_list").dropDuplicates(["span_id"])
-    both = docs.join(spans, docs["doc_id"] == spans["span_id"], "left")
+    found = all_spans(docs, scope, text_col)
     cut = (
-        "aggregate(array_sort(transform(split(span_list, ','), x -> struct(CAST(split(x, ':')[1] AS int) AS s, CAST(split(x, ':')[2] AS int) AS e))), "
+        "aggregate(array_sort(transform(concat(strong, mine), x -> struct(x.s AS s, x.e AS e))), "
         "named_struct('p', 0, 'o', ''), "
-        f"(a, x) -> IF(x.e <= a.p, a, named_struct('p', x.e, 'o', IF(x.s < a.p, a.o, concat(a.o, substring({text_col}, a.p + 1, x.s - a.p), '{mask}')))), "
-        f"a -> concat(a.o, substring({text_col}, a.p + 1)))"
+        f"(a, x) -> IF(x.e <= a.p, a, named_struct('p', x.e, 'o', IF(x.s < a.p, a.o, concat(a.o, substring(row.`{text_col}`, a.p + 1, x.s - a.p), '{mask}')))), "
+        f"a -> concat(a.o, substring(row.`{text_col}`, a.p + 1)))"
     )
-    new = F.expr(f"IF(span_list IS NULL, {text_col}, {cut})")
-    return both.select(*[new.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    new = F.expr(f"IF(size(strong) + size(mine) = 0, row.`{text_col}`, {cut})")
+    return found.select(*[(new if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])

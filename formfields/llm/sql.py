@@ -42,7 +42,7 @@ weak AS ({_spans("key", 3, KEY, "regexp_matches(m, '[A-Z]') AND regexp_matches(m
   UNION ALL {_spans("endpoint", 4, ENDPOINT.replace("?:", ""), "true")}),
 other AS (SELECT * FROM strong UNION ALL SELECT * FROM weak WHERE k = 3),
 linked AS (
-  SELECT w.rn, w.kind, w.k, w.s, w.e FROM weak w JOIN other o ON o.rn = w.rn AND o.s - w.e <= 300 AND w.s - o.e <= 300 AND abs(floor(o.s / 300) - floor(w.s / 300)) <= 1 AND NOT (o.s = w.s AND o.e = w.e)
+  SELECT w.rn, w.kind, w.k, w.s, w.e FROM weak w JOIN other o ON o.rn = w.rn AND o.s - w.e <= 300 AND w.s - o.e <= 300 AND NOT (o.s = w.s AND o.e = w.e)
   GROUP BY ALL HAVING max(CAST(o.k = 1 AS INT)) = 1 AND (w.k = 3 OR max(CAST(o.k IN (0, 2, 3) AS INT)) = 1)),
 listed AS (SELECT rn, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) AS base, count(*) FILTER (k = 0) AS c0, count(*) FILTER (k = 1) AS c1, count(*) FILTER (k = 2) AS c2 FROM strong GROUP BY rn),
 whole AS (SELECT rn, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) AS spans, count(*) FILTER (k > 2) AS c3 FROM (SELECT * FROM strong UNION ALL SELECT * FROM linked) GROUP BY rn)
