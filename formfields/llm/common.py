@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import pickle
+import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Bytes of text that one pass of the numpy code holds; a longer single text is taken whole.
 SLICE_BYTES = 1 << 21
@@ -20,13 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset a session in one process (local[...]) makes its own; others have no folder that executors elsewhere can read, and must name one."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.formfields.shared.dir", None)
     if not found:
-        found = spark.conf.get("spark.formfields.shared.dir", None)
-    if not found:
-        import tempfile
-
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and the executors of {master} share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
         spark.conf.set("spark.formfields.shared.dir", found)
     return found
@@ -40,6 +43,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fitted_in_task(sample: DataFrame, fit: Callable[[pd.DataFrame], object]) -> object:
+    """What `fit` makes of a sample with a stated bound, in one task rather than on the driver; None of an empty one."""
+    made = sample.groupBy(F.lit(0).alias("all")).applyInPandas(lambda rows: pd.DataFrame({"model": [pickle.dumps(fit(rows))]}), "model binary").first()
+    return pickle.loads(made["model"]) if made else None  # noqa: S301
+
+
+def held_texts(rows: pd.DataFrame, most_bytes: dict[int, int] | int, by: str) -> pd.DataFrame:
+    """Rows (draw, lid, text, ...) in the order of their draw while they fit into the bytes, of each class of `by` apart where a dict gives them.
+
+    A text that doesn't fit is passed over and smaller ones after it still come in, so long documents are drawn less.
+    """
+    ordered = rows.sort_values(["draw", "lid"], kind="stable")
+    used: dict[int, int] = {}
+    keep = []
+    for text, kind in zip(ordered["text"], ordered[by], strict=True):
+        bound, slot = (most_bytes[kind], kind) if isinstance(most_bytes, dict) else (most_bytes, 0)
+        size = len(text.encode("utf-8", "surrogatepass"))
+        keep.append(used.get(slot, 0) + size <= bound)
+        used[slot] = used.get(slot, 0) + size * keep[-1]
+    return ordered[keep]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64, over a uint64 array."""
     x = (x ^ (x >> np.uint64(30))) * M1

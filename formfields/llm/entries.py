@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import decontamination, html_extraction, lm_scoring, mixing, ngram_join, quality_rules, secrets, token_counts, toxicity, web_archive
 from .common import shared_dir, table
@@ -25,7 +26,8 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return found.select("doc_id", "held_out", "score", "predicted", "n_toxic")
+    spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["s"], x["e"])), ",")
+    return found.select("doc_id", "held_out", "score", "predicted", "n_toxic", spans.alias("spans"))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

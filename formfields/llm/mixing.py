@@ -12,11 +12,13 @@ import warnings
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import hashed_words, text_slices, written
+from .common import fitted_in_task, hashed_words, held_texts, text_slices, written
 
 BITS = 18
 # Bounds of the fitted sample of labelled rows.
@@ -87,37 +89,41 @@ def fit_domains(texts: list[str], classes: np.ndarray, k: int = len(DOMAINS), ro
     return Domains(weights.astype(np.float32), bias)
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> tuple[list[str], np.ndarray]:
-    """Texts and domain numbers of at most `rows` labelled rows, drawn by a hash of the id."""
+def fitted_domains(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> Domains:
+    """The classifier fitted on at most `rows` labelled rows and `most_bytes` of text, drawn by a hash of the id; a task fits it.
+
+    A text beyond what is left of the bytes is passed over, so long documents are drawn less.
+    """
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1) AND toxic IN (0, 1)").groupBy(F.col("doc_id").alias("lid")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     domain = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 0, 1).otherwise(0)
     taken = known.select("lid", domain.alias("domain"), F.xxhash64("lid").alias("draw")).orderBy("draw", "lid").limit(rows)
-    found = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(taken), F.col("doc_id") == F.col("lid"))
-    texts, classes, used = [], [], 0
-    for r in found.select("lid", "domain", "draw", "text").orderBy("draw", "lid").toLocalIterator():
-        size = len(r.text.encode("utf-8", "surrogatepass"))
-        if used + size <= most_bytes:
-            used += size
-            texts.append(r.text)
-            classes.append(r.domain)
-    return texts, np.array(classes, np.int64)
-
-
-def posteriors(docs: DataFrame, model: Domains, domains: tuple[str, ...] = DOMAINS) -> DataFrame:
-    """doc_id, n_tokens and p_<domain> of every row; a null or empty text has no tokens and the model's prior."""
+    found = docs.select("doc_id", "text").where(F.octet_length("text") <= most_bytes).join(F.broadcast(taken), F.col("doc_id") == F.col("lid")).select("lid", "domain", "draw", "text")
+
+    def fit(sample: pd.DataFrame) -> Domains:
+        held = held_texts(sample, most_bytes, "domain")
+        return fit_domains(held["text"].tolist(), held["domain"].to_numpy(np.int64))
+
+    return fitted_in_task(found, fit) or fit_domains([], np.zeros(0, np.int64))
+
+
+def posteriors(docs: DataFrame, model: Domains, domains: tuple[str, ...] = DOMAINS, keep: list[str] | None = None) -> DataFrame:
+    """The columns `keep` (doc_id), n_tokens and p_<domain> of every row; a null or empty text has no tokens and the model's prior."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema["doc_id"].dataType.simpleString()
     names = [f"p_{d}" for d in domains]
+    kept = [c for c in keep or ["doc_id"] if c not in ("n_tokens", *names)]
+    schema = T.StructType([docs.schema[c] for c in kept])
+    for name, kind in (("n_tokens", T.LongType()), *((n, T.DoubleType()) for n in names)):
+        schema = schema.add(name, kind)
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
         for batch in batches:
-            for first, data, at in text_slices(batch.column(1)):
+            for first, data, at in text_slices(batch.column(0)):
                 doc, feature, sizes = document_features(data, at)
                 p = own.posteriors(doc, feature, len(sizes))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sizes)), pa.array(sizes.astype(np.int64)), *(pa.array(p[:, c].astype(np.float64)) for c in range(len(names)))], names=["doc_id", "n_tokens", *names])
+                yield pa.RecordBatch.from_arrays([*(c.slice(first, len(sizes)) for c in batch.columns[1:]), pa.array(sizes.astype(np.int64)), *(pa.array(p[:, c].astype(np.float64)) for c in range(len(names)))], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(per_batch, f"doc_id {kind}, n_tokens long, " + ", ".join(f"{n} double" for n in names))
+    return docs.select(F.col("text").alias("text to read"), *[F.col(f"`{c}`") for c in kept]).mapInArrow(per_batch, schema)
 
 
 def rate_of(multipliers: np.ndarray, domains: tuple[str, ...]) -> str:
@@ -126,8 +132,8 @@ def rate_of(multipliers: np.ndarray, domains: tuple[str, ...]) -> str:
     return f"greatest(0.0D, 1.0D - ({pulled}))"
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float], budget: float | None = None, rounds: int = 50, ridge: float = 1e-7, tolerance: float = 1e-4) -> tuple[DataFrame, list[np.ndarray]]:
-    """members with `rate`, and the residuals of every round: expected domain token totals under the rates match targets * budget (default: all tokens).
+def fit_multipliers(members: DataFrame, targets: dict[str, float], budget: float | None = None, rounds: int = 50, ridge: float = 1e-7, tolerance: float = 1e-4) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The domains' multipliers, and the residuals of every round: expected domain token totals under the rates match targets * budget (default: all tokens).
 
     Minimises half the sum over domains of (total / budget - target)^2, plus the ridge times half the token-weighted mean
     of (rate - 1)^2. At the minimum a rate is the projection of 1 - p . m, where m is the residuals divided by the ridge.
@@ -177,14 +183,34 @@ def fit_rates(members: DataFrame, targets: dict[str, float], budget: float | Non
         residuals.append(residual)
     if whole and np.abs(residual).max() > tolerance:
         warnings.warn(f"domain totals miss their targets by {dict(zip(domains, residual.tolist(), strict=True))} of the budget", stacklevel=2)
-    return members.withColumn("rate", F.expr(rate_of(multipliers, domains))), residuals
+    return multipliers, residuals
+
+
+def fit_rates(members: DataFrame, targets: dict[str, float], **options: float) -> tuple[DataFrame, list[np.ndarray]]:
+    """members (n_tokens, p_<domain>) with `rate`, and the residuals of every round of fit_multipliers."""
+    multipliers, residuals = fit_multipliers(members, targets, **options)
+    return members.withColumn("rate", F.expr(rate_of(multipliers, tuple(targets)))), residuals
 
 
 def mix_sources(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, rounds: int = 50) -> DataFrame:
     """doc_id, n_tokens, p_good, p_poor, p_toxic and rate (copies to take, 0 or more) of every row.
 
-    Rows that repeat give a row each; null or empty texts have rates too but carry no tokens. Other columns are ignored.
+    A row's rate depends on its own text and on the totals of all rows. Rows that repeat, or share an id, give a row each;
+    a null id gives a row too. Null or empty texts have rates but carry no tokens; texts are read whole, however long.
+    Without labelled rows all domains are equally likely; of labels that repeat an id the toxic and the poor one count; an
+    empty table gives no rows. Other columns are ignored, whatever their names.
     """
-    model = fit_domains(*labelled_texts(docs, labels))
-    members = written(posteriors(docs, model), "posteriors")
+    members = written(posteriors(docs, fitted_domains(docs, labels)), "posteriors")
     return fit_rates(members, targets or TARGETS, rounds=rounds)[0]
+
+
+def with_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, rounds: int = 50) -> DataFrame:
+    """The rows with n_tokens, p_good, p_poor, p_toxic and rate as mix_sources has them, beside their own columns.
+
+    Columns of docs that have those names give way. Each row is rated by its own text, whatever its id; no shuffle of texts.
+    """
+    targets = targets or TARGETS
+    model = fitted_domains(docs, labels)
+    multipliers, _ = fit_multipliers(written(posteriors(docs, model, keep=["doc_id"]), "posteriors"), targets, rounds=rounds)
+    rated = posteriors(docs, model, keep=[c for c in docs.columns if c != "rate"])
+    return rated.withColumn("rate", F.expr(rate_of(multipliers, tuple(targets))))

@@ -11,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, span_hashes, text_slices, word_spans
+from .common import LOWER, fitted_in_task, held_texts, span_hashes, text_slices, word_spans
 
 BITS = 20
 # Bounds of the fitted sample: labelled rows of each class, and bytes of text in all.
@@ -180,23 +181,25 @@ def fit_chain(texts: list[str], labels: np.ndarray, rounds: int = 30) -> Chain:
     return Chain(weights.astype(np.float32), bias, t, c)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, learn: str, class_rows: int = CLASS_ROWS, class_bytes: int = CLASS_BYTES) -> tuple[list[str], np.ndarray]:
-    """Texts and labels to fit on: of each class at most class_rows, in an order that hashes the id; bounded bytes."""
+def fitted_chain(docs: DataFrame, labels: DataFrame, learn: str, class_rows: int = CLASS_ROWS, class_bytes: int = CLASS_BYTES) -> Chain:
+    """The chain fitted on labelled rows that `learn` selects: of each class at most class_rows, in an order that hashes the id, and half of class_bytes of text.
+
+    A task fits it. A text beyond what is left of its class's bytes is passed over, so long documents are drawn less.
+    """
     known = labels.select(F.col("doc_id").alias("lid"), F.col("toxic").cast("int").alias("toxic")).where(f"lid IS NOT NULL AND toxic IN (0, 1) AND {learn.replace('doc_id', 'lid')}")
     known = known.groupBy("lid").agg(F.max("toxic").alias("toxic")).withColumn("draw", F.xxhash64("lid"))
     taken = known.where("toxic = 1").orderBy("draw", "lid").limit(class_rows).unionByName(known.where("toxic = 0").orderBy("draw", "lid").limit(class_rows))
-    texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(taken), F.col("doc_id") == F.col("lid")).select("lid", "toxic", "draw", "text")
-    rows, used = [], [0, 0]
-    for r in texts.orderBy("draw", "lid").toLocalIterator():
-        size = len(r.text.encode("utf-8", "surrogatepass"))
-        if used[r.toxic] + size <= class_bytes // 2:
-            used[r.toxic] += size
-            rows.append((r.text, r.toxic))
-    return [t for t, _ in rows], np.array([y for _, y in rows], np.int64)
+    found = docs.select("doc_id", "text").where(F.octet_length("text") <= class_bytes // 2).join(F.broadcast(taken), F.col("doc_id") == F.col("lid")).select("lid", "toxic", "draw", "text")
+
+    def fit(sample: pd.DataFrame) -> Chain:
+        held = held_texts(sample, {0: class_bytes // 2, 1: class_bytes // 2}, "toxic")
+        return fit_chain(held["text"].tolist(), held["toxic"].to_numpy(np.int64))
+
+    return fitted_in_task(found, fit) or fit_chain([], np.zeros(0, np.int64))
 
 
 def tag_documents(docs: DataFrame, chain: Chain, cut: float = 0.3, id_col: str = "doc_id", text_col: str = "text", tagged: float = 0.5) -> DataFrame:
-    """id, score, predicted, n_toxic and spans (byte offsets of tokens whose toxic marginal is `tagged` or more).
+    """id, score, predicted, n_toxic and spans (of tokens whose toxic marginal is `tagged` or more: code points, ends exclusive).
 
     Null and empty texts have a score too. Rows that repeat give a row each; other columns are ignored.
     """
@@ -214,9 +217,11 @@ def tag_documents(docs: DataFrame, chain: Chain, cut: float = 0.3, id_col: str =
                 score = calibrated(summary(marginal, clean, owner, n), own.calibration)
                 hot = np.flatnonzero(marginal >= tagged)
                 spans: list[list] = [[] for _ in range(n)]
+                # Code points before each byte: bytes that don't continue a character.
+                points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80))) if len(hot) else np.zeros(1, np.int64)
                 for k in hot.tolist():
                     d = int(owner[k])
-                    spans[d].append({"s": int(begin[k] - at[d]), "e": int(end[k] - at[d])})
+                    spans[d].append({"s": int(points[begin[k]] - points[at[d]]), "e": int(points[end[k]] - points[at[d]])})
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, n), pa.array(score), pa.array((score >= cut).astype(np.int32)), pa.array([len(s) for s in spans], pa.int64()), pa.array(spans, pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))],
                     names=[id_col, "score", "predicted", "n_toxic", "spans"],
@@ -226,9 +231,16 @@ def tag_documents(docs: DataFrame, chain: Chain, cut: float = 0.3, id_col: str =
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 4, heldout: int = 2, cut: float = 0.3) -> DataFrame:
-    """tag_documents with a chain fitted on the labelled rows whose crc32(doc_id as text) mod `modulus` is not `heldout`."""
+    """tag_documents with a chain fitted on the labelled rows whose crc32(doc_id as text) mod `modulus` is not `heldout`.
+
+    Null labels and labels of null ids are not learnt from; of labels that repeat an id the toxic one counts. Without
+    labels, or with one class only, every document scores by that class (without any: clean). Rows that repeat, share an
+    id or have a null id (never held out) give a row each; null and empty texts have the score of a text without toxic
+    tokens; an empty table gives no rows. Texts are read whole, however long. Other columns are ignored, whatever their
+    names.
+    """
     rest = "crc32(CAST(CAST(doc_id AS string) AS binary)) % {}"
-    chain = fit_chain(*labelled_sample(docs, labels, f"{rest.format(modulus)} <> {heldout}"))
+    chain = fitted_chain(docs, labels, f"{rest.format(modulus)} <> {heldout}")
     out = tag_documents(docs, chain, cut)
     held = F.coalesce(F.expr(f"{rest.format(modulus)} = {heldout}"), F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", "predicted", "n_toxic", "spans")
