@@ -31,7 +31,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), links=False)
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,8 @@ from .common import hashed_words, mix, text_slices, window_hashes, written
 END, BEGIN = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
 # Bytes of text in a block, and distinct n-grams in a fragment, on average.
 BLOCK_BYTES, FRAGMENT_ROWS = 8 << 20, 2_000_000
+# Tokens of a block that wait to be folded into its distinct n-grams.
+FOLD_TOKENS = 1 << 19
 BUCKETS = 24
 # Steps of a factor of two in the histogram that expectation-maximisation reads.
 STEPS = 4
@@ -73,21 +75,30 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, pieces: int, heldout: in
 def sent_counts(docs: DataFrame, uni: int, bi: int) -> DataFrame:
     """block, tuning, fragment, keys and counts: what each block sends to each fragment (unigrams first)."""
 
+    def folded(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """One part: the distinct hashes of all with their summed counts."""
+        keys, which = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        return [(keys, np.bincount(which, weights=np.concatenate([n for _, n in parts]), minlength=len(keys)))]
+
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, bool], list] = {}
+        # Of each block its distinct n-grams so far; tokens are folded into them as they come, so a task holds no text.
+        held: dict[tuple[int, bool], tuple[list, list]] = {}
         for batch in batches:
             block, part = np.asarray(batch.column(2)), np.asarray(batch.column(1))
             for first, tokens, pairs, number in token_hashes(batch.column(0)):
                 b, p = block[first + number], part[first + number]
                 for key in np.unique(b):
                     mine = b == key
-                    held.setdefault((int(key), bool((p[mine] == 1).any())), []).append((tokens[mine], pairs[mine], p[mine] != 2))
+                    own = held.setdefault((int(key), bool((p[mine] == 1).any())), ([], []))
+                    for parts, hashes in zip(own, (tokens, pairs), strict=True):
+                        parts.append((hashes[mine], (p[mine] != 2).astype(np.float64)))
+                        if len(parts) > 1 and sum(len(k) for k, _ in parts[1:]) > FOLD_TOKENS:
+                            parts[:] = folded(parts)
         for (key, tuning), found in held.items():
-            learn = np.concatenate([f[2] for f in found])
-            for which, fragments, base in ((0, uni, 0), (1, bi, uni)):
-                keys = Keys(np.concatenate([f[which] for f in found]), fragments)
-                counts = np.bincount(keys.inverse, weights=learn, minlength=len(keys.unique)).astype(np.uint32)[keys.order]
-                ordered = keys.unique[keys.order]
+            for parts, fragments, base in ((found[0], uni, 0), (found[1], bi, uni)):
+                unique, n = folded(parts)[0]
+                keys = Keys(unique, fragments)
+                counts, ordered = n.astype(np.uint32)[keys.order], keys.unique[keys.order]
                 rows = [k for k in range(fragments) if keys.bounds[k] < keys.bounds[k + 1]]
                 cuts = [slice(keys.bounds[k], keys.bounds[k + 1]) for k in rows]
                 yield pa.RecordBatch.from_arrays(
@@ -99,7 +110,7 @@ def sent_counts(docs: DataFrame, uni: int, bi: int) -> DataFrame:
     return docs.select("text", "part", "block").mapInArrow(per_partition, "block long, tuning boolean, fragment int, keys binary, counts binary")
 
 
-def summed(sent: DataFrame) -> DataFrame:
+def summed(sent: DataFrame, fragments: int) -> DataFrame:
     """For each row sent: total counts, and for tuning blocks the counts without any tuning document.
 
     One more row for each fragment (block null) has its training types and tokens, all and without tuning.
@@ -132,7 +143,7 @@ def summed(sent: DataFrame) -> DataFrame:
         last = pd.DataFrame({"block": pd.array([None], "Int64"), "fragment": [fragment], "tuning": [False], "total": [None], "rest": [None], "types": [int((total > 0).sum())], "tokens": [int(total.sum())], "rest_types": [int((spare > 0).sum())], "rest_tokens": [int(spare.sum())]})
         return pd.concat([rows, last], ignore_index=True)
 
-    return sent.groupBy("fragment").applyInPandas(add, "block long, fragment int, tuning boolean, total binary, rest binary, types long, tokens long, rest_types long, rest_tokens long")
+    return sent.repartition(fragments, "fragment").groupBy("fragment").applyInPandas(add, "block long, fragment int, tuning boolean, total binary, rest binary, types long, tokens long, rest_types long, rest_tokens long")
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -207,7 +218,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Counts come from all rows but those whose crc32(id as text) mod `modulus` is `heldout`. Weights are learned on
     the rows where it is `tune`, against counts without them; the final counts have them. Null texts are empty (one
-    token, the end); a null id counts as the text ''. Rows that repeat give a row each. scan: docs is a plain scan of
+    token, the end) and taken whole, however long; a null id counts as the text ''. Rows that repeat give a row each; an
+    empty table gives none. Other columns are ignored, whatever their names. N-grams are known by 64-bit hashes: of
+    n distinct ones about n^2 / 2^65 pairs are taken for one. scan: docs is a plain scan of
     files; else it is written first, since blocks are pieces of file splits.
     """
     source = docs.select(id_col, text_col) if scan else written(docs.select(id_col, text_col), "lm-texts")
@@ -217,7 +230,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bi = int(max(1, -(-size // (6 * FRAGMENT_ROWS))))
     uni = max(1, bi // 4)
     placed = blocks(source, id_col, text_col, pieces, heldout, tune, modulus)
-    returned = written(summed(sent_counts(placed, uni, bi)), "lm-counts")
+    returned = written(summed(sent_counts(placed, uni, bi), uni + bi), "lm-counts")
     stats = returned.where(f"block IS NULL AND fragment < {uni}").agg(F.sum("types"), F.sum("tokens"), F.sum("rest_types"), F.sum("rest_tokens")).first()
     types, tokens, rest_types, rest_tokens = (int(x or 0) for x in stats)
     back = returned.where("block IS NOT NULL")
@@ -235,6 +248,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             "base_score": add(np.log10((own + 1) / (tokens + types + 1))), "score": add(np.log10(p)),
         })
 
-    both = placed.groupBy("block").cogroup(back.select("block", "fragment", "total").groupBy("block"))
+    # As many partitions as blocks: a task's share doesn't grow with the table.
+    n_blocks = 2 * splits * pieces
+    dealt = back.select("block", "fragment", "total").repartition(n_blocks, "block")
+    both = placed.repartition(n_blocks, "block").groupBy("block").cogroup(dealt.groupBy("block"))
     out = both.applyInPandas(score, "rid long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select(F.col("rid").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

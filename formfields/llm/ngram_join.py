@@ -3,6 +3,8 @@
 Equal sets are one class, known by a 64-bit fingerprint of the set; classes are what is joined. The global order of
 shingles (by class count, then hash) is cut into fragments by hash. Each fragment counts on its own, in one task, how
 many classes hold each of its shingles, and hands back to every class the part of its set that occurs elsewhere too.
+Shingles that very many sets hold are found beforehand from the counts of each task; they are in every fragment's place
+in the order by those counts, and their holders are dealt out by class rather than met in one task.
 Summed over fragments, that bounds what any partner can share: only classes above the threshold go on. Candidate pairs
 come from the rare end of the order, their overlaps are again counted fragment by fragment and summed per pair.
 """
@@ -24,6 +26,11 @@ from .components import smallest_reachable
 FRAGMENT_ROWS = 1_500_000
 # Fragments of the second counting, of candidate pairs.
 PAIR_FRAGMENTS = 4
+# Shingles that this many sets hold are not counted in one task; a task reports those that its sets hold OFTEN times, and
+# at most HOT_MOST of them are sent to the tasks.
+HOT_ROWS, OFTEN, HOT_MOST = FRAGMENT_ROWS // 8, 16, 1_000_000
+# Parts in which the members of one component are looked up.
+SALTS = 16
 
 
 def shingle_sets(column: pa.Array, width: int, slice_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -51,15 +58,40 @@ def fingerprints(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def set_sizes(docs: DataFrame, width: int) -> DataFrame:
-    """rid, n (set size) and key (its class) of every row."""
+    """rid, n (set size) and key (its class) of every row.
 
-    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Besides, rows with `held`: key is a shingle that sets of a task hold again and again, and held counts them.
+    """
+
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["rid", "n", "key", "held"]
+        again: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for first, sets in shingle_sets(batch.column(1), width):
-                n = np.array([len(s) for s in sets], np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array(n), pa.array(fingerprints(sets).view(np.int64))], names=["rid", "n", "key"])
-
-    return docs.mapInArrow(per_batch, "rid long, n long, key long")
+                n, keys = np.array([len(s) for s in sets], np.int64), fingerprints(sets)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array(n), pa.array(keys.view(np.int64)), pa.nulls(len(sets), pa.int64())], names=names)
+                _, once = np.unique(keys, return_index=True)
+                shingle, held = np.unique(np.concatenate([sets[k] for k in once.tolist()]), return_counts=True)
+                again.append((shingle[held > 1], held[held > 1]))
+        if again:
+            shingle, which = np.unique(np.concatenate([s for s, _ in again]), return_inverse=True)
+            held = np.bincount(which, weights=np.concatenate([h for _, h in again]), minlength=len(shingle)).astype(np.int64)
+            often = held >= OFTEN
+            n = int(often.sum())
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(shingle[often].view(np.int64)), pa.array(held[often])], names=names)
+
+    return docs.mapInArrow(per_partition, "rid long, n long, key long, held long")
+
+
+def hot_shingles(sizes: DataFrame, hot_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that about hot_rows sets or more hold, in order, and the counts known of them; the bound rises until HOT_MOST is kept."""
+    found = sizes.where("held IS NOT NULL").groupBy("key").agg(F.sum("held").alias("held"))
+    while found.where(F.col("held") >= hot_rows).limit(HOT_MOST + 1).count() > HOT_MOST:
+        hot_rows *= 4
+    rows = found.where(F.col("held") >= hot_rows).collect()
+    shingle, held = np.array([r["key"] for r in rows], np.int64).view(np.uint64), np.array([r["held"] for r in rows], np.uint32)
+    order = np.argsort(shingle)
+    return shingle[order], held[order]
 
 
 def run_starts(x: np.ndarray) -> np.ndarray:
@@ -67,11 +99,21 @@ def run_starts(x: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))), len(x))
 
 
-def class_sets(docs: DataFrame, width: int, percent: int, fragments: int) -> DataFrame:
+def class_sets(docs: DataFrame, width: int, percent: int, fragments: int, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """rid (a class), n, hashes and counts (bytes): shingles found in other classes too, of classes that could reach the threshold.
 
     Pieces travel as arrays, one row for each slice of texts and fragment, then for each fragment and bucket of classes.
+    Hot shingles go to the bucket of their holder at once, with the counts that are known of them (fragment -1 - bucket).
     """
+    sent = docs.sparkSession.sparkContext.broadcast(hot)
+
+    def place_of(hashes: np.ndarray, owner: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        fragment = ((hashes >> np.uint64(32)) % np.uint64(fragments)).astype(np.int64)
+        table = sent.value[0]
+        if len(table):
+            is_hot = table[np.minimum(np.searchsorted(table, hashes), len(table) - 1)] == hashes
+            fragment[is_hot] = -1 - (keys[owner[is_hot]] % np.uint64(fragments)).astype(np.int64)
+        return fragment
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,11 +123,13 @@ def class_sets(docs: DataFrame, width: int, percent: int, fragments: int) -> Dat
                 whole = np.array([len(s) for s in sets], np.uint32)
                 hashes = np.concatenate(sets)
                 owner = np.repeat(np.arange(len(sets), dtype=np.uint16 if len(sets) < 65536 else np.uint32), whole)
-                fragment = (hashes >> np.uint64(32)) % np.uint64(fragments)
+                fragment = place_of(hashes, owner, keys)
                 order = np.argsort(fragment, kind="stable")
-                bounds = np.searchsorted(fragment[order], np.arange(fragments + 1, dtype=np.uint64))
-                rows = [k for k in range(fragments) if bounds[k] < bounds[k + 1]]
-                take = [order[bounds[k] : bounds[k + 1]] for k in rows]
+                if not len(order):
+                    continue
+                bounds = run_starts(fragment[order])
+                rows = fragment[order][bounds[:-1]]
+                take = [order[lo:hi] for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 held = [np.unique(owner[t], return_counts=True) for t in take]
                 columns = [[keys[u].tobytes() for u, _ in held], [whole[u].tobytes() for u, _ in held], [c.astype(np.uint32).tobytes() for _, c in held], [hashes[t].tobytes() for t in take]]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], names=["fragment", "owners", "wholes", "sizes", "hashes"])
@@ -96,6 +140,7 @@ def class_sets(docs: DataFrame, width: int, percent: int, fragments: int) -> Dat
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
         owners, wholes, sizes, hashes = joined(group)
+        fragment = int(group["fragment"].iloc[0])
         del group
         # All copies of a set are here with the same shingles: one of them counts.
         _, once = np.unique(owners, return_index=True)
@@ -103,12 +148,16 @@ def class_sets(docs: DataFrame, width: int, percent: int, fragments: int) -> Dat
         first[once] = True
         hashes = hashes[np.repeat(first, sizes)]
         owners, wholes, sizes = owners[first], wholes[first], sizes[first]
-        order = np.argsort(hashes)
-        begin = run_starts(hashes[order])
-        n = np.diff(begin)
-        found = np.empty(len(hashes), np.uint32)
-        found[order] = np.repeat(n, n)
-        del order
+        if fragment < 0:
+            table, known = sent.value
+            found = known[np.searchsorted(table, hashes)]
+        else:
+            order = np.argsort(hashes)
+            begin = run_starts(hashes[order])
+            n = np.diff(begin)
+            found = np.empty(len(hashes), np.uint32)
+            found[order] = np.repeat(n, n)
+            del order
         common = found > 1
         owner = np.repeat(np.arange(len(owners), dtype=np.uint32), sizes)[common]
         if not len(owner):
@@ -141,8 +190,9 @@ def class_sets(docs: DataFrame, width: int, percent: int, fragments: int) -> Dat
         return pd.DataFrame({"rid": keys[able].view(np.int64), "n": n[able], "hashes": [hashes[t].tobytes() for t in take], "counts": [counts[t].tobytes() for t in take]})
 
     pieces = docs.select("text").mapInArrow(cut, "fragment int, owners binary, wholes binary, sizes binary, hashes binary")
-    shared = pieces.groupBy("fragment").applyInPandas(count, "bucket int, owners binary, wholes binary, sizes binary, hashes binary, counts binary")
-    return shared.groupBy("bucket").applyInPandas(gather, "rid long, n long, hashes binary, counts binary")
+    # As many partitions as fragments: a task's share doesn't grow with the table.
+    shared = pieces.repartition(fragments, "fragment").groupBy("fragment").applyInPandas(count, "bucket int, owners binary, wholes binary, sizes binary, hashes binary, counts binary")
+    return shared.repartition(fragments, "bucket").groupBy("bucket").applyInPandas(gather, "rid long, n long, hashes binary, counts binary")
 
 
 def exploded(reps: DataFrame, percent: int) -> DataFrame:
@@ -237,19 +287,21 @@ def cross_pairs(postings: DataFrame, roots: DataFrame, percent: int) -> DataFram
     return near.select(F.least("rid", "rid2").alias("a"), F.greatest("rid", "rid2").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id and n_links of every row.
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", links: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """id, n_shingles, component_id and (where `links`) n_links of every row.
 
     component_id is the smallest id reachable by links (Jaccard of shingle sets of percent/100 or more), the row's
     own included. Texts without words link with nothing; a null id gets a null component. Rows that repeat an id are
-    one node, of which every row is returned. n_links counts verified links of the row's set to other sets; sets
+    one node, of which every row is returned. Texts are taken whole, however long; an empty table gives no rows. hot_rows
+    (how many sets make a shingle hot) changes how work is dealt, not the result. n_links counts verified links of the row's set to other sets; sets
     equal to each other are one, and links within a known component are not all looked for. Other columns are ignored.
     """
     source = docs.select(F.col(id_col).cast("long").alias("rid"), F.col(text_col).alias("text"))
-    sizes = written(set_sizes(source, width), "set-sizes")
+    found = written(set_sizes(source, width), "set-sizes")
+    sizes = found.where("held IS NULL").drop("held")
     total = sizes.agg(F.sum("n")).first()[0] or 0
     fragments = int(max(1, -(-total // FRAGMENT_ROWS)))
-    reps = written(class_sets(source.where("rid IS NOT NULL"), width, percent, fragments), "class-sets")
+    reps = written(class_sets(source.where("rid IS NOT NULL"), width, percent, fragments, hot_shingles(found, hot_rows)), "class-sets")
     postings = written(exploded(reps, percent), "postings")
     every = written(overlaps(hub_pairs(postings, percent), reps, percent), "hub-links")
     roots = smallest_reachable(every)
@@ -264,21 +316,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
     tied = written(held.select("rid", F.col("key").alias("b")).join(torn, "rid").where("a <> b").select("a", "b").distinct(), "tied-classes")
     if tied.limit(1).count():
         roots = smallest_reachable(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(tied))
-    degree = every.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
     classes = held.groupBy("key").agg(F.min("rid").alias("rep")).join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    lowest = classes.groupBy("root").agg(F.min("rep").alias("component_id"))
-    labelled = classes.join(lowest, "root").join(degree, "key", "left").select("key", "component_id", "n_links")
+    # One component may have very many classes: each looks up its lowest id in one of several places.
+    lowest = classes.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")).where("n > 1")
+    lowest = lowest.select("root", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = classes.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    labelled = salted.join(lowest, ["root", "salt"], "left").select("key", F.coalesce("component_id", "rep").alias("component_id"))
     # Few classes hold very many rows: a class is one row here, and AQE splits the other side.
     out = sizes.join(labelled, "key", "left")
-    return out.select(
-        F.col("rid").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("rid").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("component_id")), F.col("rid"))).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-    )
+    component = F.when(F.col("rid").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("component_id")), F.col("rid")))
+    columns = [F.col("rid").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")]
+    if links:
+        degree = every.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
+        out = out.join(degree, "key", "left")
+        columns.append(F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out.select(*columns)
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose id is their component's smallest, columns as they were; rows with a null id stay."""
-    found = near_duplicates(docs, width, percent, id_col, text_col)
+    found = near_duplicates(docs, width, percent, id_col, text_col, links=False)
     gone = found.where(f"component_id <> {id_col}").select(F.col(id_col).alias("gone_id")).distinct()
     return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")

@@ -35,7 +35,7 @@ def test_near_duplicates_of_nothing(spark):
     assert ngram_join.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_near_duplicates_by_brute_force(spark):
+def test_near_duplicates_by_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(3)
     texts = []
     for _ in range(12):
@@ -62,8 +62,15 @@ def test_near_duplicates_by_brute_force(spark):
                 low, high = sorted((top(ids[a]), top(ids[b])))
                 root[high] = low
     table = spark.createDataFrame([(i, t, None, None, None, None) for i, t in zip(ids, texts, strict=True)], SCHEMA)
-    found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(table).collect())
-    assert found == sorted((i, len(s), top(i)) for i, s in zip(ids, sets, strict=True))
+    wanted = sorted((i, len(s), top(i)) for i, s in zip(ids, sets, strict=True))
+    monkeypatch.setattr(ngram_join, "OFTEN", 2)
+    hot, find = [], ngram_join.hot_shingles
+    monkeypatch.setattr(ngram_join, "hot_shingles", lambda *a: hot.append(find(*a)) or hot[-1])
+    for hot_rows in (ngram_join.HOT_ROWS, 3):
+        # Shingles that three sets hold are hot in the second run.
+        found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(table, hot_rows=hot_rows).collect())
+        assert found == wanted
+    assert not len(hot[0][0]) and len(hot[1][0]) > 100
 
 
 def test_secrets(spark, docs):
