@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from formfields.llm import decontamination, lm_scoring, mixing, ngram_join, quality_rules, secrets, toxicity, web_archive
+from formfields.llm import decontamination, lm_scoring, mixing, ngram_join, quality_rules, secrets, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, n_shingles int, rid long, score double"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -129,17 +129,6 @@ def test_chain_marginals_by_enumeration():
     assert np.isclose(np.exp(clean[0]), paths[0, 0, 0] / z)
 
 
-def test_archives(spark, tmp_path):
-    pages = spark.createDataFrame([(1, "http://a/x y", "<p>WARC/1.1\r\n\r\né</p>"), (2, None, None), (3, "http://b", "<p>WARC/1.1\r\n\r\né</p>")], "page_id long, url string, html string")
-    for version in (1, 2):
-        at = f"file://{tmp_path}/{version}"
-        web_archive.write_arc(pages, f"{at}/arc", version)
-        web_archive.archive_to_warc(spark, f"{at}/arc", f"{at}/warc")
-        found = {r.page_id: r for r in web_archive.read_warc(spark, f"{at}/warc").collect()}
-        assert found[3].payload == "<p>WARC/1.1\r\n\r\né</p>" and found[1].refers_to == 3 and found[1].record_type == "revisit"
-        assert found[2].payload_bytes == 0 and found[2].payload_digest == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
-
-
 def test_rates_meet_targets(spark):
     members = spark.createDataFrame([(k, 10, 1.0 if k % 2 else 0.0, 0.0 if k % 2 else 1.0) for k in range(40)], "doc_id long, n_tokens long, p_good double, p_poor double")
     rated, residuals = mixing.fit_rates(members, {"good": 0.7, "poor": 0.3}, rounds=40, ridge=0.01)
