@@ -1,4 +1,8 @@
-"""A corpus pipeline of five stages; each is written as Parquet and reread before the next one."""
+"""A corpus pipeline of five stages; each is written as Parquet and reread before the next one.
+
+Null and empty texts fail the quality rules. Texts are taken whole, however long; an empty table stays empty; columns
+besides doc_id and text pass through as they are.
+"""
 
 from __future__ import annotations
 
@@ -9,39 +13,39 @@ from pyspark.sql import functions as F
 
 from formfields.llm.common import shared_dir, table
 from formfields.llm.decontamination import decontaminate
-from formfields.llm.mixing import mix_sources
+from formfields.llm.mixing import with_rates
 from formfields.llm.ngram_join import one_of_each
-from formfields.llm.quality_rules import quality_rules
+from formfields.llm.quality_rules import keep_good
 from formfields.llm.secrets import redact
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    bad = quality_rules(docs).where("NOT kept").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["bad_id"], "left_anti")
+    """Documents that the quality rules keep; each row is judged by its own text, also where its id is null or repeats."""
+    return keep_good(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near copies."""
+    """One document, the one with the smallest id, of each group of near copies. Rows with one id are one document; null ids stay."""
     return one_of_each(docs)
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
+    """Documents without a benchmark item; each row is judged by its own text."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their secrets masked; n_chars follows the new text."""
+    """All documents, each with the secrets of its own text masked; n_chars, where it is there and known, follows the new text."""
     masked = redact(docs)
-    length = F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else None
-    return masked.withColumn("n_chars", length) if length is not None else masked
+    if "n_chars" not in docs.columns:
+        return masked
+    length = F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return masked.withColumn("n_chars", length)
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with the rate at which to draw each, and its domain posteriors."""
-    rates = mix_sources(docs, table(spark, sf_dir, "labels")).select(F.col("doc_id").alias("rate_id"), "n_tokens", "p_good", "p_poor", "p_toxic", "rate").dropDuplicates(["rate_id"])
-    return docs.join(rates, docs["doc_id"].eqNullSafe(rates["rate_id"]), "left").drop("rate_id")
+    """All documents with the rate at which to draw each, its tokens and domain posteriors; columns of those names give way."""
+    return with_rates(docs, table(spark, sf_dir, "labels"))
 
 
 STAGES = [
@@ -52,7 +56,7 @@ STAGES = [
     ("mixing", mix_to_targets),
 ]
 
-# Shingle components, string tiling and fitted models are beyond SQL. No test covers run(); tests/llm tests some of its stages' parts.
+# Shingle components, string tiling and fitted models are beyond SQL; tests/llm holds run() against brute force.
 ORACLE_SQL = None
 
 
