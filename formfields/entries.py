@@ -7,25 +7,50 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.text import clean_date, clean_digits, fixed_date
+from .functions.text import clean_date, clean_digits, fixed_date, vin_in_context
 from .operators import anchors as A
 from .operators import fields as V
+from .operators import layout as L
+from .operators import second_pass as S
 from .operators import words as W
+from .operators.candidates import page_regex_candidates, region_words
+from .operators.run import run_corpus
+from .oracles import later_sql
 from .plans.rules import ANCHORS, FIELD_ORDER, FIELDS, anchor_rules, field_rules
-from .sources import forms
+from .sources import forms, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_held: list[DataFrame] = []
+
+
 def found(spark: SparkSession, d: str, exact: bool) -> tuple[DataFrame, DataFrame]:
-    # Read again and again below; lost blocks are computed anew.
+    """Words and labels, read again and again below; lost blocks are computed anew, and what an earlier query held is let go."""
+    while _held:
+        _held.pop().unpersist()
     words = forms.form_words(spark, d).persist()
-    return words, A.match_anchors(words, anchor_rules(spark), exact).persist()
+    labels = A.match_anchors(words, anchor_rules(spark), exact).persist()
+    _held.extend((words, labels))
+    return words, labels
 
 
 def fields_of(spark: SparkSession, d: str) -> DataFrame:
+    """The whole run: second readings of owners' names on every third page, rescues of engine numbers too."""
     words, anchors = found(spark, d, exact=False)
-    return V.validate(V.extract_fields(words, forms.pages(words), field_rules(spark), anchors))
+    return run_corpus(words, forms.pages(words), field_rules(spark), anchors, second_readings(spark, d), with_engine_rescue=True)
+
+
+def second_readings(spark: SparkSession, d: str) -> DataFrame:
+    """A second reader's owner_name on every third page; on every ninth it finds nothing."""
+    names = forms.form_truth(spark, d).where("field = 'owner_name' AND page_id % 3 = 0")
+    return names.select("page_id", "field", F.when(F.col("page_id") % 9 == 0, "EMPTY_PATCH").otherwise(F.col("value")).alias("raw"))
+
+
+def nothing_read(spark: SparkSession, d: str, field: str) -> DataFrame:
+    """Pages whose field is empty, for the rescues."""
+    pages = forms.form_truth(spark, d).select("page_id").distinct()
+    return pages.select("page_id", F.lit(field).alias("field"), F.lit(None).cast("string").alias("value"), F.lit("").alias("raw"), F.lit("empty_fallback").alias("method"), F.lit(0).alias("confidence_score"), F.lit(True).alias("low_confidence"))
 
 
 def q_form_truth(spark: SparkSession, d: str) -> DataFrame:
@@ -58,7 +83,9 @@ def q_page_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_page_skew(spark: SparkSession, d: str) -> DataFrame:
-    return W.page_skew(forms.form_words(spark, d))
+    """Pages are tilted by their number: a word sinks or rises with its place across the page."""
+    tilted = forms.form_words(spark, d).withColumn("y", F.col("y") + F.floor(F.col("x") * (F.col("page_id") % 7 - 3) / 50).cast("int"))
+    return W.page_skew(tilted).select("page_id", F.round("skew_angle_deg", 6).alias("skew_angle_deg"))
 
 
 def q_scope_words(spark: SparkSession, d: str) -> DataFrame:
@@ -109,9 +136,106 @@ def q_clean_digits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_extract_fields(spark: SparkSession, d: str) -> DataFrame:
+    words, anchors = found(spark, d, exact=False)
+    return V.extract_fields(words, forms.pages(words), field_rules(spark), anchors)
+
+
+def q_run_corpus(spark: SparkSession, d: str) -> DataFrame:
     return fields_of(spark, d)
 
 
+def q_rule_effects(spark: SparkSession, d: str) -> DataFrame:
+    words, anchors = found(spark, d, exact=True)
+    lines = V.best_lines(words, V.value_windows(forms.pages(words), field_rules(spark), anchors)).select("page_id", "field", "method", "raw", F.lit(4).alias("priority"), F.lit(3).alias("cand_no"))
+    scored = V.standardize(lines, field_rules(spark))
+    before = V.chosen(scored, forms.pages(words), field_rules(spark))
+    return V.rule_effects(before, V.validate(before), scored)
+
+
+def q_page_regex(spark: SparkSession, d: str) -> DataFrame:
+    """Patterns for the pages, every third, whose labels are taken as not found."""
+    words, anchors = found(spark, d, exact=True)
+    return page_regex_candidates(words, field_rules(spark), anchors.where("page_id % 3 > 0")).select("page_id", "field", "method", "raw")
+
+
+def q_region_text(spark: SparkSession, d: str) -> DataFrame:
+    words, anchors = found(spark, d, exact=True)
+    return region_words(words, V.resolve_rois(forms.pages(words), field_rules(spark), anchors)).select("page_id", "field", "text")
+
+
+def q_second_pass(spark: SparkSession, d: str) -> DataFrame:
+    """All ten fields of the second pass, as if none had been read before."""
+    words = forms.form_words(spark, d)
+    least = S.LEAST | S.OPTIONAL
+    return S.second_pass_best(S.second_pass_candidates(words, forms.pages(words), list(least)), least).select("page_id", "field", "value", "raw", "method", F.round("score", 4).alias("score"))
+
+
+def q_serial_rescue(spark: SparkSession, d: str) -> DataFrame:
+    words = forms.form_words(spark, d)
+    return S.serial_rescue(words, forms.pages(words), nothing_read(spark, d, "serial_no")).select("page_id", "value", "method", "confidence_score", "low_confidence")
+
+
+def q_engine_rescue(spark: SparkSession, d: str) -> DataFrame:
+    words = forms.form_words(spark, d)
+    return S.engine_rescue(words, forms.pages(words), nothing_read(spark, d, "engine_no")).select("page_id", "value", "method", "confidence_score", "low_confidence")
+
+
+def q_vin_fix(spark: SparkSession, d: str) -> DataFrame:
+    """Chassis numbers with characters that are often misread, repaired by their neighbours."""
+    rows = forms.form_truth(spark, d).where("field = 'chassis_no'")
+    misread = F.concat(F.lit("VE"), F.when(F.col("page_id") % 2 == 0, "I").otherwise("1"), F.substring("value", 4, 1), F.when(F.col("page_id") % 3 == 0, "8N5T").otherwise("5A8"), F.substring("value", 5, 10))
+    return rows.select("page_id", vin_in_context(misread).alias("value"))
+
+
+def q_validate_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Final forms of values with what is wrong with some of them."""
+    rows = forms.form_truth(spark, d).withColumn("value", F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("NO "), "value")).when(F.col("page_id") % 4 == 1, F.substring("value", 1, 6)).otherwise(F.col("value")))
+    fields = rows.where("field IN ('model_year', 'tax_or_id_no', 'serial_no', 'inspection_date', 'engine_no')").select("page_id", "field", "value", F.col("value").alias("raw"), F.lit("roi_line").alias("method"), F.lit(9).alias("confidence_score"), F.lit(False).alias("low_confidence"))
+    return V.validate(fields).select("page_id", "field", "value", "method", "low_confidence", "abstain_reason", "postprocess_applied")
+
+
+def q_exemplars(spark: SparkSession, d: str) -> DataFrame:
+    words = forms.form_words(spark, d)
+    images = forms.pages(words).select("page_id", (2 * F.col("doc_w")).alias("image_w"), (2 * F.col("doc_h")).alias("image_h"))
+    return A.exemplars(words, images, 65.0)
+
+
+def q_exemplar_report(spark: SparkSession, d: str) -> DataFrame:
+    return A.exemplar_report(q_exemplars(spark, d).where("page_id % 3 > 0"), anchor_rules(spark))
+
+
+def q_page_coverage(spark: SparkSession, d: str) -> DataFrame:
+    words, anchors = found(spark, d, exact=True)
+    return A.page_coverage(anchors, anchor_rules(spark), forms.pages(words))
+
+
+def q_anchor_debug(spark: SparkSession, d: str) -> DataFrame:
+    return A.anchor_debug(forms.form_words(spark, d), anchor_rules(spark))
+
+
+def q_words_csv(spark: SparkSession, d: str) -> DataFrame:
+    words = forms.form_words(spark, d)
+    return tables.words_table(words, forms.pages(words))
+
+
+def q_payload_words(spark: SparkSession, d: str) -> DataFrame:
+    return W.payload_to_words(forms.form_payloads(spark, d)).select("page_id", "word_no", "text", F.round("conf", 6).alias("conf"), "x", "y", "w", "h", "line_num")
+
+
+def q_payload_text(spark: SparkSession, d: str) -> DataFrame:
+    return W.payload_text(forms.form_payloads(spark, d))
+
+
+def q_labelled_sections(spark: SparkSession, d: str) -> DataFrame:
+    return L.labelled_sections(forms.form_markup(spark, d))
+
+
+def q_result_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of the truth, and back to the wide form."""
+    truth = forms.form_truth(spark, d).select("page_id", "field", "value", F.col("value").alias("raw"), F.lit("truth").alias("method"), F.lit(100).alias("confidence_score"), F.lit(False).alias("low_confidence"))
+    return tables.wide_results(tables.to_documents(truth), FIELD_ORDER)
+
+
 def q_method_quality(spark: SparkSession, d: str) -> DataFrame:
     return V.method_quality(fields_of(spark, d), forms.form_truth(spark, d))
 
@@ -216,7 +340,6 @@ WINDOWS = f"""SELECT page_id, field, {CLIP} FROM (
 def oracle_sql() -> dict[str, str]:
     runs = "runs AS (SELECT event_type AS provider, event_type <> 'error' AS ok, value AS seconds FROM events)"
     wide = ", ".join(f"coalesce(max(CASE WHEN field = '{f}' THEN value END), '') AS {f}" for f in FIELD_ORDER)
-    date = "CASE WHEN page_id % 2 = 0 THEN value ELSE value END"
     return {
         "form_truth": f"SELECT page_id, field, value FROM ({TRUTH})",
         "form_words": f"WITH {WORDS} SELECT * FROM words",
@@ -224,18 +347,16 @@ def oracle_sql() -> dict[str, str]:
         "clean_words": f"WITH {WORDS} SELECT page_id, count(*) AS n_words, avg(conf) AS avg_conf FROM words WHERE conf >= 75 GROUP BY page_id",
         "assemble_lines": f"WITH {WORDS}, {ASSEMBLED} SELECT * FROM joined",
         "page_text": f"WITH {WORDS}, {ASSEMBLED} SELECT page_id, string_agg({folded('text')}, chr(10) ORDER BY y, x, line_num) AS text FROM joined GROUP BY page_id",
-        "page_skew": f"WITH {WORDS} SELECT DISTINCT page_id, CAST(0.0 AS DOUBLE) AS skew_angle_deg FROM words",
         "scope_words": f"WITH {WORDS}, {EXTENTS}, {RULES}, {SCOPED} SELECT page_id, anchor, word_no, text FROM scoped",
         "alias_overlap_probe": f"WITH {WORDS}, {ASSEMBLED}, {ALIASES}, t AS (SELECT DISTINCT page_id, line_num, x, y, unnest(string_split(trim(regexp_replace({folded('text')}, '[^A-Z0-9 ]+', ' ', 'g')), ' ')) AS token FROM joined), a AS (SELECT anchor, token, count(*) AS times FROM (SELECT anchor, unnest(string_split(norm, ' ')) AS token FROM aliases) GROUP BY ALL) SELECT page_id, anchor, line_num, CAST(sum(times) AS BIGINT) AS token_overlap, min(x) AS x, min(y) AS y FROM t JOIN a USING (token) GROUP BY page_id, anchor, line_num",
         "exact_anchors": f"WITH {CHAIN} SELECT * FROM anchors",
         "anchor_coverage": f"WITH {CHAIN} SELECT r.anchor, count(a.page_id) AS n_found, (SELECT count(DISTINCT page_id) FROM words) AS n_pages, count(a.page_id) / CAST((SELECT count(DISTINCT page_id) FROM words) AS DOUBLE) AS hit_rate FROM rules r LEFT JOIN anchors a USING (anchor) GROUP BY r.anchor",
         "resolve_rois": f"WITH {CHAIN}, {FIELD_RULES} {ROIS}",
         "value_windows": f"WITH {CHAIN}, {FIELD_RULES} {WINDOWS}",
-        "clean_dates": f"SELECT page_id, field, {date} AS cleaned, {date} AS fixed FROM ({TRUTH}) WHERE field LIKE '%date'",
         "clean_digits": "SELECT doc_id, coalesce((SELECT d FROM (SELECT unnest(regexp_extract_all(text, '[0-9]+')) AS d, unnest(range(1, len(regexp_extract_all(text, '[0-9]+')) + 1)) AS i) ORDER BY length(d) DESC, i LIMIT 1), '') AS digits FROM documents",
         "export_wide": f"SELECT page_id, {wide} FROM ({TRUTH}) GROUP BY page_id",
         "compare_runs": f"WITH t AS ({TRUTH}) SELECT field, CASE WHEN page_id % 7 = 3 AND field = 'brand' THEN 'only_left' WHEN page_id % 5 = 0 AND field = 'type' AND lower(value) <> value THEN 'changed' ELSE 'same' END AS state, count(*) AS n FROM t GROUP BY ALL",
         "run_summary": f"WITH {runs} SELECT provider, count(*) AS n_runs, count(*) FILTER (ok) AS n_ok, round(sum(seconds) FILTER (ok), 3) AS total_seconds, round(avg(seconds) FILTER (ok), 3) AS avg_seconds FROM runs GROUP BY provider",
         "latency_stats": f"WITH {runs} SELECT provider, round(avg(seconds), 3) AS mean_s, min(seconds) AS min_s, max(seconds) AS max_s FROM runs GROUP BY provider",
         "markup_text": """WITH l AS (SELECT page_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(html, chr(13), chr(10)), '<img[^>]*>', ' ', 'gi'), '</(tr|table|td)>', chr(10), 'gi'), '<br *\\/?>', chr(10), 'gi'), '<[^>]+>', ' ', 'g'), chr(10)), lambda t: trim(regexp_replace(t, '[ \\t\\f\\x0B]+', ' ', 'g'))), lambda t: regexp_matches(t, '[A-Za-z0-9ÇĞİÖŞÜçğıöşü]')) AS k FROM pages) SELECT page_id, unnest(range(0, len(k))) AS line_no, unnest(k) AS text FROM l""",
-    }
+    } | later_sql(TRUTH, WORDS, ASSEMBLED, CHAIN, EXTENTS, RULES, FIELD_RULES, ROIS, folded, lambda c: f"trim(regexp_replace({folded(c)}, '[^A-Z0-9 ]+', ' ', 'g'))")

@@ -2,14 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Turkish letters and their ASCII capitals, and words that are labels rather than values.
+# Turkish letters and their ASCII capitals, words that are labels rather than values (of any field, of
+# owners, of types), the pattern of a plate, and words that are shown with Turkish letters.
 FOLD_FROM = "ÇĞİÖŞÜÂÎÛçğıiöşüâîû"
 FOLD_TO = "CGIOSUAIUCGIIOSUAIU"
 LABEL_WORDS = "PLAKA MARKASI MARKA TIPI TIP MODEL YILI MOTOR SASE SERI BELGE TESCIL TARIHI DIGER BILGILER NOTER SOYADI ADI VERGI NO".split()
 
+OWNER_LABELS = "SOYADI ADI TICARI UNVANI UNVAN ADRESI ADRES NOTER"
+TYPE_LABELS = "TIPI TIP TYPE MODEL YILI MARKASI MARKA"
+PLATE = "^[0-9]{2}[A-Z]{1,3}[0-9]{2,4}$"
+DISPLAY_WORDS = {
+    "GRI": "GRİ", "ESKISEHIR": "ESKİŞEHİR", "ESKISEHR": "ESKİŞEHİR", "TEPEBASI": "TEPEBAŞI", "ULUONDER": "ULUÖNDER", "NOTERLIGI": "NOTERLİĞİ",
+    "VERILDIGI": "VERİLDİĞİ", "KIMLIK": "KİMLİK", "OTOMOBIL": "OTOMOBİL", "BENZINLI": "BENZİNLİ", "TITANYUM": "TİTANYUM",
+}
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of the value, which is computed once however often body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def behind(df: DataFrame, **made: Column) -> DataFrame:
+    """df with further columns that stand behind a Generate, so that expressions over them read them rather than repeat their work."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in made.items()]))))
+
 
 def folded(text: Column) -> Column:
     """Upper-case ASCII form of Turkish text; other letters are upper-cased only."""
@@ -30,10 +51,11 @@ def null_if_blank(text: Column) -> Column:
 
 def clean_plate(raw: Column) -> Column:
     """The first run of one to four tokens whose concatenation is a plate; else the tokens together."""
-    tokens = F.filter(F.split(F.regexp_replace(folded(raw), "[^A-Z0-9]+", " "), " "), lambda t: t != "")
-    runs = F.flatten(F.transform(tokens, lambda _t, i: F.transform(F.sequence(F.lit(1), F.least(F.lit(4), F.size(tokens) - i)), lambda n: F.array_join(F.slice(tokens, i + 1, n), ""))))
-    plates = F.filter(runs, lambda r: F.rlike(r, F.lit("^[0-9]{2}[A-Z]{1,3}[0-9]{2,4}$")))
-    return F.coalesce(F.get(plates, 0), F.array_join(tokens, ""))
+    def read(tokens: Column) -> Column:
+        runs = F.flatten(F.transform(tokens, lambda _t, i: F.transform(F.sequence(F.lit(1), F.least(F.lit(4), F.size(tokens) - i)), lambda n: F.array_join(F.slice(tokens, i + 1, n), ""))))
+        return F.coalesce(F.get(F.filter(runs, lambda r: F.rlike(r, F.lit(PLATE))), 0), F.array_join(tokens, ""))
+
+    return let(F.filter(F.split(F.regexp_replace(folded(raw), "[^A-Z0-9]+", " "), " "), lambda t: t != ""), read)
 
 
 def first_longest(items: Column) -> Column:
@@ -46,40 +68,57 @@ def clean_digits(raw: Column) -> Column:
 
 
 def clean_date(raw: Column) -> Column:
-    """dd/mm/yyyy from day, month and two- or four-digit year parted by / . or -; '' where there is none."""
-    text = F.regexp_replace(raw, "[.-]", "/")
-    pattern = "([0-9]{1,2})/([0-9]{1,2})/([0-9]{4}|[0-9]{2})"
-    part = lambda k: F.regexp_extract(text, pattern, k)
-    year = F.when(F.length(part(3)) == 2, F.concat(F.lit("20"), part(3))).otherwise(part(3))
-    return F.when(part(3) == "", "").otherwise(F.concat_ws("/", F.lpad(part(1), 2, "0"), F.lpad(part(2), 2, "0"), year))
+    """dd/mm/yyyy from day, month and year parted by / . or -; two-digit years are of this century; '' where there is none."""
+    pattern = "([0-9]{1,2})\\s*/\\s*([0-9]{1,2})\\s*/\\s*([0-9]{2,4})"
+
+    def read(text: Column) -> Column:
+        day, month, year = (F.regexp_extract(text, pattern, k) for k in (1, 2, 3))
+        return F.when(year == "", "").otherwise(F.concat_ws("/", F.lpad(day, 2, "0"), F.lpad(month, 2, "0"), F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year)))
+
+    return let(F.regexp_replace(folded(raw), "[.-]", "/"), read)
+
+
+def is_mixed(text: Column) -> Column:
+    return F.rlike(text, F.lit("[A-Z]")) & F.rlike(text, F.lit("[0-9]"))
+
+
+def alnum_token(raw: Column) -> Column:
+    """The token of letters, digits and hyphens with the most letters and digits, those with both preferred, the first among equals."""
+    size = lambda t: F.length(F.replace(t, F.lit("-"), F.lit("")))
+    longest = lambda items: F.aggregate(items, F.lit(""), lambda best, x: F.when(size(x) > size(best), x).otherwise(best))
+    read = lambda tokens: let(F.filter(tokens, is_mixed), lambda mixed: longest(F.when(F.size(mixed) > 0, mixed).otherwise(tokens)))
+    return let(F.regexp_extract_all(folded(raw), F.lit("([A-Z0-9-]+)"), 1), read)
 
 
 def clean_alnum(raw: Column) -> Column:
-    """The longest token of letters and digits, those with both preferred, the first among equals."""
-    tokens = F.regexp_extract_all(folded(raw), F.lit("([A-Z0-9]+)"), 1)
-    mixed = F.filter(tokens, lambda t: F.rlike(t, F.lit("[A-Z]")) & F.rlike(t, F.lit("[0-9]")))
-    return F.when(F.size(mixed) > 0, first_longest(mixed)).otherwise(first_longest(tokens))
+    return F.replace(alnum_token(raw), F.lit("-"), F.lit(""))
 
 
 def clean_text(raw: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(folded(raw), "[^A-Z0-9 ./-]+", " "), " +", " "))
 
 
+def without_words(text: Column, words: str) -> Column:
+    """The text without these whole words, blanks collapsed."""
+    return collapsed(F.regexp_replace(text, "\\b(?:" + words.replace(" ", "|") + ")\\b", " "))
+
+
 def clean_owner(raw: Column) -> Column:
-    """Up to ten words of two letters or more, without label words."""
-    words = F.split(clean_text(raw), " ")
-    kept = F.filter(words, lambda w: (F.length(w) > 1) & ~w.isin(LABEL_WORDS))
-    return F.array_join(F.slice(kept, 1, 10), " ")
+    """Up to ten parts of two characters or more, without the words of an owner's labels."""
+    parts = F.filter(F.split(without_words(clean_text(raw), OWNER_LABELS), " "), lambda w: F.length(w) > 1)
+    return F.array_join(F.slice(parts, 1, 10), " ")
 
 
 def clean_type(raw: Column) -> Column:
-    """A vehicle type: words without labels; up to three where one mixes letters and digits, else up to four."""
-    words = F.filter(F.split(clean_text(raw), " "), lambda w: (w != "") & ~w.isin(LABEL_WORDS))
-    mixed = F.exists(words, lambda t: F.rlike(t, F.lit("[A-Z]")) & F.rlike(t, F.lit("[0-9]")))
-    return F.array_join(F.slice(words, 1, F.when(mixed, 3).otherwise(4)), " ")
+    """A vehicle type without label words: a token alone, else up to three tokens that mix letters and digits, else up to four."""
+    def read(tokens: Column) -> Column:
+        mixed = F.filter(tokens, is_mixed)
+        return F.array_join(F.when((F.size(tokens) > 1) & F.exists(tokens, is_mixed), F.slice(mixed, 1, 3)).otherwise(F.slice(tokens, 1, 4)), " ")
+
+    return let(F.regexp_extract_all(without_words(clean_text(raw), TYPE_LABELS), F.lit("([A-Z0-9.-]+)"), 1), read)
 
 
-STRATEGIES = {"plate": clean_plate, "digits": clean_digits, "date": clean_date, "alnum_upper": clean_alnum, "text_upper": clean_text, "owner_text": clean_owner, "vehicle_type": clean_type, "keep": collapsed}
+STRATEGIES = {"plate": clean_plate, "digits": clean_digits, "date": clean_date, "alnum_upper": clean_alnum, "alnum_hyphen_upper": alnum_token, "text_upper": clean_text, "owner_text": clean_owner, "vehicle_type": clean_type, "keep": collapsed}
 
 
 def cleaned(strategy: Column, raw: Column) -> Column:
@@ -91,31 +130,87 @@ def cleaned(strategy: Column, raw: Column) -> Column:
 
 
 def fixed_vin(raw: Column) -> Column:
-    """A chassis number of 15 to 17 characters: O in the first three reads 0, then O and Q read 0 and I reads 1; NULL else."""
-    code = F.regexp_replace(folded(raw), "[^A-Z0-9]", "")
-    repaired = F.translate(code, "OQI", "001")
-    cut = F.when(F.length(repaired) == 18, F.substring(repaired, 1, 17)).otherwise(repaired)
+    """A chassis number of 15 to 17 characters: of the first three O reads 0, of the rest O and Q read 0 and I reads 1; an 18th is cut off; NULL else."""
+    text = F.upper(F.trim(raw))
+    repaired = F.concat(F.translate(F.substring(text, 1, 3), "O", "0"), F.translate(F.substring(text, 4, 1 << 20), "OQI", "001"))
+    code = F.regexp_replace(repaired, "[^A-Z0-9]", "")
+    cut = F.when(F.length(code) == 18, F.substring(code, 1, 17)).otherwise(code)
     return F.when(F.length(cut).between(15, 17), cut)
 
 
 def fixed_date(raw: Column) -> Column:
-    """A clean date that exists and lies in 1900 to 2100; NULL else."""
-    text = clean_date(raw)
-    year = F.expr("try_cast({} as int)".format("NULL")) if text is None else F.substring(text, 7, 4).try_cast("int")
-    return F.when(F.try_to_date(F.nullif(text, F.lit("")), "dd/MM/yyyy").isNotNull() & year.between(1900, 2100), text)
+    """The first date in the text as dd/mm/yyyy, its parts in range and its year in 1900 to 2100; NULL else."""
+    pattern = "([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{2,4})"
+    part = lambda k: F.regexp_extract(raw, pattern, k)
+    year = F.when(F.length(part(3)) == 2, F.concat(F.lit("20"), part(3))).otherwise(part(3))
+    number = lambda c: F.nullif(c, F.lit("")).cast("int")
+    fits = number(part(1)).between(1, 31) & number(part(2)).between(1, 12) & number(year).between(1900, 2100)
+    return F.when(fits, F.concat_ws("/", F.lpad(part(1), 2, "0"), F.lpad(part(2), 2, "0"), number(year).cast("string")))
+
+
+def fixed_plate(raw: Column) -> Column:
+    """A plate, O and I of its first two places read as digits; text that is none even then stays as it was, without blanks."""
+    text = F.regexp_replace(F.upper(raw), "\\s+", "")
+    repaired = F.concat(F.translate(F.substring(text, 1, 2), "OI", "01"), F.substring(text, 3, 1 << 20))
+    return F.when(F.rlike(repaired, F.lit(PLATE)), repaired).otherwise(text)
+
+
+def fixed_engine(raw: Column) -> Column:
+    """Beyond the three characters of the maker's code, O reads 0 and I reads 1."""
+    text = F.upper(F.trim(raw))
+    return F.concat(F.substring(text, 1, 3), F.translate(F.substring(text, 4, 1 << 20), "OI", "01"))
+
+
+def last_of(text: Column, pattern: str) -> Column:
+    """The last match of the pattern; NULL for none."""
+    return F.try_element_at(F.regexp_extract_all(text, F.lit(f"({pattern})"), 1), F.lit(-1))
 
 
 def validated(field: Column, value: Column) -> Column:
     """The final form of a field's value, NULL where it can't be one."""
-    digits = clean_digits(value)
-    plate = clean_plate(value)
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    letters = F.regexp_replace(F.upper(value), "[^A-ZÇĞİÖŞÜ-]", "")
     return (
-        F.when(field == "plate", F.coalesce(F.when(F.rlike(plate, F.lit("^[0-9]{2}[A-Z]{1,3}[0-9]{2,4}$")), plate), value))
+        F.when(field == "plate", fixed_plate(value))
         .when(field == "chassis_no", fixed_vin(value))
+        .when(field == "engine_no", fixed_engine(value))
         .when(field.isin("first_registration_date", "registration_date", "inspection_date"), fixed_date(value))
-        .when(field == "model_year", F.when(F.rlike(digits, F.lit("^[0-9]{4}$")) & digits.try_cast("int").between(1950, 2039), digits))
-        .when(field == "tax_or_id_no", F.when(F.length(digits).isin(10, 11), digits))
-        .when(field == "serial_no", F.when(F.length(digits) >= 4, digits))
-        .when(field == "brand", F.when(F.regexp_count(folded(value), F.lit("[A-Z]")) >= 2, value))
-        .otherwise(value)
+        .when(field == "model_year", null_if_blank(F.regexp_extract(value, "\\b(19[5-9][0-9]|20[0-3][0-9])\\b", 1)))
+        .when(field == "tax_or_id_no", F.when(F.length(digits).isin(10, 11), digits).otherwise(null_if_blank(F.regexp_extract(value, "([0-9]{10,11})", 1))))
+        .when(field == "serial_no", last_of(value, "[0-9]{4,7}"))
+        .when(field == "brand", F.when(F.length(letters) >= 2, F.upper(value)))
+        .otherwise(F.trim(value))
     )
+
+
+def vin_in_context(value: Column) -> Column:
+    """A chassis number of 15 to 18 characters with what its neighbours tell: 8 after a letter reads B, 5 between letters S, V then E reads VF, and I after VF or VE reads 1. NULL for other lengths.
+
+    Each place sees the repairs of those before it.
+    """
+    letter = lambda c: F.rlike(c, F.lit("^[A-Z]$"))
+
+    def read(code: Column) -> Column:
+        def step(done: Column, i: Column) -> Column:
+            here, before, after = F.substr(code, i, F.lit(1)), F.right(done, F.lit(1)), F.substr(code, i + 1, F.lit(1))
+            return F.concat(done, (
+                F.when((here == "8") & letter(before), "B").when((here == "5") & letter(before) & letter(after), "S")
+                .when((here == "E") & (i == 2) & (done == "V"), "F").when((here == "I") & (i == 3) & done.isin("VF", "VE"), "1").otherwise(here)
+            ))
+
+        return F.when(F.length(code).between(15, 18), F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(code), F.lit(1))), F.lit(""), step))
+
+    return let(F.regexp_replace(F.upper(value), "[^A-Z0-9]", ""), read)
+
+
+def only_allowed(text: Column, allowed: Column) -> Column:
+    """The characters of the text that the whitelist holds; all of them where it is NULL."""
+    kept = F.array_join(F.filter(F.split(text, ""), lambda c: F.contains(allowed, c)), "")
+    return F.when(allowed.isNull(), text).otherwise(kept)
+
+
+def shown(text: Column) -> Column:
+    """Whole words of the display dictionary with their Turkish letters."""
+    for plain, restored in DISPLAY_WORDS.items():
+        text = F.regexp_replace(text, f"\\b{plain}\\b", restored)
+    return text

@@ -112,9 +112,16 @@ def alias_overlap_probe(words: DataFrame, anchors: DataFrame, lines: DataFrame)
     return tokens.join(F.broadcast(wanted), "token").groupBy("page_id", "anchor", "line_num").agg(F.sum("times").alias("token_overlap"), F.min("x").alias("x"), F.min("y").alias("y"))
 
 
-def merge_anchors(found: DataFrame, hits: DataFrame, least: float = 0.62) -> DataFrame:
-    """Text anchors, and the best template hit of anchors that text has not found (page_id, anchor, template_file, score, x, y, w, h)."""
-    best = hits.where(F.col("score") >= least).groupBy("page_id", "anchor").agg(F.max_by(F.struct("template_file", "score", "x", "y", "w", "h"), F.col("score")).alias("b"))
+def merge_anchors(found: DataFrame, hits: DataFrame, least: float = 0.62, own_least: dict[str, float] | None = None) -> DataFrame:
+    """Text anchors, and the best template hit of anchors that text has not found (page_id, anchor, template_file, score, x, y, w, h).
+
+    own_least: other thresholds than `least`, by anchor. Of hits with one score the first by file name, then by place, counts.
+    """
+    bound = F.lit(least)
+    for anchor, own in (own_least or {}).items():
+        bound = F.when(F.col("anchor") == anchor, own).otherwise(bound)
+    order = F.struct(-F.col("score"), "template_file", "y", "x", "w", "h")
+    best = hits.where(F.col("score") >= bound).groupBy("page_id", "anchor").agg(F.min_by(F.struct("template_file", "score", "x", "y", "w", "h"), order).alias("b"))
     more = best.join(found, ["page_id", "anchor"], "left_anti").select("page_id", "anchor", F.concat(F.lit("[template:"), "b.template_file", F.lit("]")).alias("alias"), F.col("b.score").alias("score"), F.col("b.x").alias("ax"), F.col("b.y").alias("ay"), F.col("b.w").alias("aw"), F.col("b.h").alias("ah"))
     return found.unionByName(more)
 
@@ -123,4 +130,77 @@ def anchor_coverage(found: DataFrame, anchors: DataFrame, pages: DataFrame) -> D
     """Of each anchor: pages on which it was found, pages in all, and their ratio."""
     hits = found.groupBy("anchor").agg(F.count("*").alias("n_found"))
     total = pages.agg(F.count("*").alias("n_pages"))
-    return anchors.select("anchor").join(hits, "anchor", "left").join(F.broadcast(total)).select("anchor", F.coalesce("n_found", F.lit(0)).alias("n_found"), "n_pages", (F.coalesce("n_found", F.lit(0)) / F.greatest("n_pages", F.lit(1))).alias("hit_rate"))
+    return anchors.select("anchor").join(hits, "anchor", "left").crossJoin(F.broadcast(total)).select("anchor", F.coalesce("n_found", F.lit(0)).alias("n_found"), "n_pages", (F.coalesce("n_found", F.lit(0)) / F.greatest("n_pages", F.lit(1))).alias("hit_rate"))
+
+
+def page_coverage(found: DataFrame, anchors: DataFrame, pages: DataFrame) -> DataFrame:
+    """Of each page: anchors found, and anchors defined."""
+    hits = found.groupBy("page_id").agg(F.countDistinct("anchor").alias("n_found"))
+    defined = anchors.agg(F.count("*").alias("n_defined"))
+    return pages.select("page_id").join(hits, "page_id", "left").crossJoin(F.broadcast(defined)).select("page_id", F.coalesce("n_found", F.lit(0)).alias("n_found"), "n_defined")
+
+
+def anchor_debug(words: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Every word in an anchor's search region with the alias whose tokens it is most like (the first among equals), and whether that would do.
+
+    Ratios are Ratcliff-Obershelp's alone; the search region is given in pixels of the words' extents.
+    """
+    sized = words.join(page_extents(words), "page_id")
+    region = lambda share, whole, none: F.coalesce((F.col(share) * F.col(whole)).cast("int"), none)
+    boxed = sized.crossJoin(F.broadcast(anchors.select("anchor_no", "anchor", "min_score", "aliases", "rx", "ry", "rw", "rh"))).select(
+        *words.columns, "anchor", "min_score", "aliases", region("rx", "ext_w", F.lit(0)).alias("region_x"), region("ry", "ext_h", F.lit(0)).alias("region_y"),
+        F.greatest(F.lit(1), region("rw", "ext_w", F.col("ext_w"))).alias("region_w"), F.greatest(F.lit(1), region("rh", "ext_h", F.col("ext_h"))).alias("region_h"),
+    ).where(center_in("x", "y", "w", "h", F.col("region_x"), F.col("region_y"), F.col("region_w"), F.col("region_h")))
+    normed = boxed.withColumn("word_norm", match_form(F.col("text")))
+    tokens = F.flatten(F.transform("aliases", lambda a: F.transform(F.filter(F.split(match_form(a), " "), lambda t: t != ""), lambda t: F.struct(a.alias("alias"), t.alias("token")))))
+    paired = normed.withColumn("pairs", F.when(F.col("word_norm") != "", tokens).otherwise(F.array().cast("array<struct<alias:string,token:string>>")))
+    rated = paired.withColumn("ratios", sequence_ratios(F.transform("pairs", lambda _p: F.col("word_norm")), F.transform("pairs", lambda p: p["token"])))
+    best = F.aggregate(
+        F.arrays_zip(F.col("pairs"), F.col("ratios")), F.struct(F.lit("").alias("alias"), F.lit(0.0).alias("score")),
+        lambda b, p: F.when(p["ratios"] > b["score"], F.struct(p["pairs"]["alias"].alias("alias"), p["ratios"].alias("score"))).otherwise(b),
+    )
+    out = rated.withColumn("best", best)
+    return out.select(
+        "page_id", "anchor", F.col("text").alias("word_text"), "word_norm", F.round("conf", 2).alias("word_conf"), "block_num", "par_num", "line_num",
+        F.col("x").alias("word_x"), F.col("y").alias("word_y"), F.col("w").alias("word_w"), F.col("h").alias("word_h"), F.round(F.col("x") + F.col("w") / 2, 2).alias("word_center_x"), F.round(F.col("y") + F.col("h") / 2, 2).alias("word_center_y"),
+        "region_x", "region_y", "region_w", "region_h", F.round("min_score", 4).alias("anchor_min_score"), F.col("best.alias").alias("best_alias"), F.round("best.score", 4).alias("best_alias_token_score"), (F.col("best.score") >= F.col("min_score")).cast("int").alias("best_alias_pass"),
+    )
+
+
+# Words that mark an anchor's label on a page, for the collection of exemplars.
+LABEL_KEYWORDS = {
+    "plate_label": ["PLAKA"], "brand_label": ["MARKASI", "MARKA"], "type_label": ["TIPI", "TIP"], "model_year_label": ["MODEL", "YILI"], "engine_no_label": ["MOTOR", "NO"], "chassis_no_label": ["SASE", "SASE NO", "ŞASE"], "tax_no_label": ["VERGI", "NO"],
+    "surname_label": ["SOYADI"], "name_label": ["ADI"], "first_registration_label": ["ILK", "TESCIL"], "registration_label": ["TESCIL", "TARIHI"], "inspection_label": ["MUAYENE", "DIGER"], "serial_label": ["BELGE", "SERI"],
+}
+PADDING, LEAST_SIDE = 4, 5
+
+
+def scale_boxes(words: DataFrame, images: DataFrame) -> DataFrame:
+    """words with their boxes in the image's pixels (sx, sy, sw, sh) and the padded, clipped box around (x1, y1, x2, y2). images: page_id, image_w, image_h."""
+    met = words.join(page_extents(words), "page_id").join(images, "page_id")
+    at = lambda c, image, whole: (F.col(c) * F.col(image) / F.col(whole)).cast("int")
+    scaled = met.select("*", at("x", "image_w", "ext_w").alias("sx"), at("y", "image_h", "ext_h").alias("sy"), at("w", "image_w", "ext_w").alias("sw"), at("h", "image_h", "ext_h").alias("sh")).drop("ext_w", "ext_h")
+    return scaled.select(
+        "*", F.greatest(F.lit(0), F.col("sx") - PADDING).alias("x1"), F.greatest(F.lit(0), F.col("sy") - PADDING).alias("y1"),
+        F.least("image_w", F.col("sx") + F.col("sw") + PADDING).alias("x2"), F.least("image_h", F.col("sy") + F.col("sh") + PADDING).alias("y2"),
+    )
+
+
+def exemplars(words: DataFrame, images: DataFrame, min_conf: float = 55.0, most: int = 5) -> DataFrame:
+    """The first `most` words of each anchor's keywords over the corpus (by page, then word), sure and large enough: anchor, page_id, word_no and the padded box.
+
+    Each partition keeps its own first ones before they meet, so no anchor's words gather in one task.
+    """
+    text = F.upper(F.trim("text"))
+    named = F.array_compact(F.array(*[F.when(F.exists(F.array(*map(F.lit, keys)), lambda k: F.contains(text, k)), F.lit(a)) for a, keys in LABEL_KEYWORDS.items()]))
+    found = scale_boxes(words.where(F.col("conf") >= min_conf), images).where(f"sw >= {LEAST_SIDE} AND sh >= {LEAST_SIDE}").withColumn("anchor", F.explode(named))
+    place = F.struct("page_id", "word_no", "x1", "y1", "x2", "y2")
+    salted = found.groupBy("anchor", F.pmod(F.xxhash64("page_id"), F.lit(64)).alias("salt")).agg(F.slice(F.sort_array(F.collect_list(place)), 1, most).alias("held"))
+    return salted.groupBy("anchor").agg(F.slice(F.sort_array(F.flatten(F.collect_list("held"))), 1, most).alias("held")).select("anchor", F.explode("held").alias("e")).select("anchor", "e.*")
+
+
+def exemplar_report(found: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Exemplars of each anchor, also of those without any, and whether they are enough (three), some or none."""
+    counts = found.groupBy("anchor").agg(F.count("*").alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    return anchors.select("anchor").join(counts, "anchor", "left").select("anchor", n.alias("n"), F.when(n >= 3, "enough").when(n > 0, "some").otherwise("none").alias("grade"))

@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import cleaned, folded, null_if_blank, validated
+from ..functions.filters import ADDRESS_WORDS, TYPE_BLEED, field_filter, post_clean
+from ..functions.text import PLATE, behind, cleaned, collapsed, folded, is_mixed, null_if_blank, validated, vin_in_context
 from .anchors import center_in
+from .brands import canonical_brands
+from .candidates import crop_candidates, page_regex_candidates, region_candidates
 from .words import assemble_lines
 
 
@@ -25,7 +28,7 @@ def boxed(df: DataFrame, keep: list[str], x: Column, y: Column, w: Column, h: Co
 
 def resolve_rois(pages: DataFrame, rules: DataFrame, anchors: DataFrame) -> DataFrame:
     """The region of each page and field: the anchor's box moved by the rule's offset, else the rule's fallback, else no row."""
-    every = pages.join(F.broadcast(rules)).join(anchors.select("page_id", "anchor", "ax", "ay", "aw", "ah"), ["page_id", "anchor"], "left")
+    every = pages.crossJoin(F.broadcast(rules)).join(anchors.select("page_id", "anchor", "ax", "ay", "aw", "ah"), ["page_id", "anchor"], "left")
     part = lambda share, whole: (F.col(share) * F.col(whole)).cast("int")
     by_anchor = F.col("ax").isNotNull() & F.col("dx").isNotNull()
     pick = lambda a, b: F.when(by_anchor, a).otherwise(b)
@@ -92,27 +95,33 @@ def best_roi_lines(words: DataFrame, rois: DataFrame) -> DataFrame:
 
 def score_of(strategy: Column, value: Column) -> Column:
     """How well a cleaned value fits its strategy."""
-    size = F.coalesce(F.length(value), F.lit(0))
-    mixed = F.rlike(value, F.lit("[A-Z]")) & F.rlike(value, F.lit("[0-9]"))
-    bonus = lambda n: F.when(mixed, n).otherwise(0)
-    words = F.split(value, " ")
-    summed = lambda most, longest: F.aggregate(F.slice(words, 1, most), F.lit(0), lambda a, w: a + F.least(F.length(w), F.lit(longest)))
-    longest_word = F.array_max(F.transform(words, F.length))
+    size = lambda c: F.coalesce(F.length(c), F.lit(0))
+    pure = F.regexp_replace(value, "[^A-Z0-9]", "")
+    words, parts = F.regexp_extract_all(value, F.lit("([A-Z0-9]+)"), 1), F.regexp_extract_all(value, F.lit("([A-Z0-9.-]+)"), 1)
+    summed = lambda items, most, longest: F.aggregate(F.slice(items, 1, most), F.lit(0), lambda a, w: a + F.least(F.length(w), F.lit(longest)))
+    owner = summed(F.filter(words, lambda w: F.rlike(w, F.lit("[A-Z]"))), 6, 1 << 20) - F.when(F.rlike(value, F.lit("\\b(?:SOYADI|ADI|TICARI|UNVAN|ADRES|NOTER)\\b")), 12).otherwise(0)
+    bonus = lambda mixed, n: F.when(mixed, n).otherwise(0)
     return F.coalesce(
         F.when(value.isNull(), 0)
-        .when(strategy == "plate", size + F.when(F.rlike(value, F.lit("^[0-9]{2}[A-Z]{1,3}[0-9]{2,4}$")), 12).otherwise(0))
+        .when(strategy == "plate", size(pure) + F.when(F.rlike(pure, F.lit(PLATE)), 12).otherwise(0))
         .when(strategy == "date", F.when(F.rlike(value, F.lit("^[0-9]{2}/[0-9]{2}/[0-9]{4}$")), 100).otherwise(0))
-        .when(strategy == "alnum_upper", size + bonus(8)).when(strategy == "text_upper", longest_word + bonus(4))
-        .when(strategy == "owner_text", summed(6, 99)).when(strategy == "vehicle_type", summed(4, 12) + bonus(8)).otherwise(size),
+        .when(strategy == "alnum_upper", size(value) + bonus(is_mixed(value), 8)).when(strategy == "alnum_hyphen_upper", size(pure) + bonus(is_mixed(pure), 8))
+        .when(strategy == "text_upper", F.coalesce(F.array_max(F.transform(words, F.length)), F.lit(0)) + bonus(F.exists(words, is_mixed), 4))
+        .when(strategy == "owner_text", F.greatest(F.lit(0), owner)).when(strategy == "vehicle_type", F.when(F.size(parts) > 0, summed(parts, 4, 12) + bonus(F.exists(parts, is_mixed), 8))).otherwise(size(value)),
         F.lit(0),
     ).cast("int")
 
 
+RULE_COLUMNS = ["field", "strategy", "threshold", "force_method", "min_len", "prefer_mixed", "prefixes"]
+
+
 def standardize(candidates: DataFrame, rules: DataFrame) -> DataFrame:
-    """Candidates with their cleaned value and score, by their field's strategy."""
-    met = candidates.join(F.broadcast(rules.select("field", "strategy", "threshold", "force_method")), "field")
-    value = met.withColumn("value", cleaned(F.col("strategy"), F.col("raw")))
-    return value.withColumn("score", score_of(F.col("strategy"), F.col("value")))
+    """Candidates (field, raw, ...) with `cleaned` (by their field's strategy, without prefixes), its score, and `value`, what the field's filter leaves of it."""
+    met = candidates.join(F.broadcast(rules.select(*RULE_COLUMNS)), "field")
+    # Each step reads what the one before has made; as one expression they would be repeated hundreds of times over.
+    first = behind(met, first=cleaned(F.col("strategy"), collapsed(F.col("raw"))))
+    kept = behind(first, cleaned=post_clean(F.col("first"), F.col("prefixes"), F.col("min_len"), F.col("prefer_mixed"))).drop("first")
+    return canonical_brands(behind(kept, score=score_of(F.col("strategy"), F.col("cleaned")), value=field_filter(F.col("field"), F.col("cleaned"))))
 
 
 def best_candidates(scored: DataFrame) -> DataFrame:
@@ -122,8 +131,7 @@ def best_candidates(scored: DataFrame) -> DataFrame:
     return able.withColumn("rn", F.row_number().over(order)).where("rn = 1").select("page_id", "field", "value", "raw", "method", F.col("score").alias("confidence_score"))
 
 
-# A plate, and the tails of vehicle types that look like one.
-PLATE = "^[0-9]{2}[A-Z]{1,3}[0-9]{2,4}$"
+# The tails of vehicle types that look like a plate.
 TYPE_TAIL = "(DCI|TDI|HDI|CDI|VVT|TSI|OIL|DIZEL|DIESEL)[0-9]{1,3}$"
 
 
@@ -154,29 +162,105 @@ def plate_candidates(words: DataFrame, pages: DataFrame, rois: DataFrame) -> Dat
     return best.select("page_id", F.lit("plate").alias("field"), F.lit("semantic_plate_page_words").alias("method"), "raw", F.col("raw").alias("value"), "score")
 
 
-def extract_fields(words: DataFrame, pages: DataFrame, rules: DataFrame, anchors: DataFrame) -> DataFrame:
-    """page_id, field, value, raw, method, confidence_score and low_confidence for every page and field."""
-    by_anchor = best_lines(words, value_windows(pages, rules, anchors)).select("page_id", "field", "method", "raw", F.lit(4).alias("priority"), F.lit(3).alias("cand_no"))
+def chosen(scored: DataFrame, pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """page_id, field, value, raw, method, confidence_score and low_confidence for every page and field: the best candidate, or none."""
+    best = best_candidates(scored)
+    every = pages.select("page_id").crossJoin(F.broadcast(rules.select("field", "threshold"))).join(best, ["page_id", "field"], "left")
+    return every.select("page_id", "field", "value", "raw", F.coalesce("method", F.lit("empty_fallback")).alias("method"), F.coalesce("confidence_score", F.lit(0)).alias("confidence_score"), F.coalesce(F.col("confidence_score") < F.col("threshold"), F.col("threshold") > 0).alias("low_confidence"))
+
+
+def candidate_pool(words: DataFrame, pages: DataFrame, rules: DataFrame, anchors: DataFrame, page_regex: bool = False, crops: DataFrame | None = None) -> DataFrame:
+    """Scored candidates of all families: words of the regions, page patterns (off by default), lines beside labels, lines of regions, crop readings."""
     rois = resolve_rois(pages, rules, anchors)
+    by_anchor = best_lines(words, value_windows(pages, rules, anchors)).select("page_id", "field", "method", "raw", F.lit(4).alias("priority"), F.lit(3).alias("cand_no"))
     by_roi = best_roi_lines(words, rois).select("page_id", "field", "method", "raw", F.lit(3).alias("priority"), F.lit(4).alias("cand_no"))
-    plates = plate_candidates(words, pages, rois).join(F.broadcast(rules.select("field", "strategy", "threshold", "force_method")), "field").select("*", F.lit(6).alias("priority"), F.lit(0).alias("cand_no"))
-    best = best_candidates(standardize(by_anchor.unionByName(by_roi), rules).unionByName(plates))
-    every = pages.select("page_id").join(F.broadcast(rules.select("field", "threshold"))).join(best, ["page_id", "field"], "left")
-    return every.select("page_id", "field", "value", "raw", F.coalesce("method", F.lit("empty_fallback")).alias("method"), F.coalesce("confidence_score", F.lit(0)).alias("confidence_score"), F.coalesce(F.col("confidence_score") < F.col("threshold"), F.col("threshold") > 0).alias("low_confidence"))
+    plain = by_anchor.unionByName(by_roi)
+    if page_regex:
+        plain = plain.unionByName(page_regex_candidates(words, rules, anchors))
+    if crops is not None:
+        plain = plain.unionByName(crop_candidates(crops))
+    columns = ["page_id", "field", "method", "raw", "priority", "cand_no", "strategy", "threshold", "force_method", "value", "score"]
+    plates = plate_candidates(words, pages, rois).join(F.broadcast(rules.select(*RULE_COLUMNS)), "field").select("*", F.lit(6).alias("priority"), F.lit(0).alias("cand_no"))
+    raw = region_candidates(words, rois)
+    found = standardize(raw, rules).withColumn("score", F.when(F.col("value").isNotNull(), score_of(F.col("strategy"), F.col("value")) + F.col("bonus")).otherwise(0))
+    return standardize(plain, rules).select(*columns).unionByName(plates.select(*columns)).unionByName(found.select(*columns))
+
+
+def extract_fields(words: DataFrame, pages: DataFrame, rules: DataFrame, anchors: DataFrame, page_regex: bool = False, crops: DataFrame | None = None) -> DataFrame:
+    """page_id, field, value, raw, method, confidence_score and low_confidence for every page and field.
+
+    page_regex: also patterns over the page's text, for fields without a label. crops: readings of cropped regions
+    (page_id, field, variant, raw), taken for the fields that needs_crop_reading lists.
+    """
+    return chosen(candidate_pool(words, pages, rules, anchors, page_regex, crops), pages, rules)
+
+
+def needs_crop_reading(fields: DataFrame, rules: DataFrame, mode: str = "fallback", margin: int = 0) -> DataFrame:
+    """page_id and field of the regions to read again: none (disabled), all (always), or those without a value or with a score near the threshold."""
+    met = fields.join(F.broadcast(rules.select("field", "threshold")), "field")
+    fragile = F.col("field").isin("owner_name", "owner_surname", "brand") & (F.col("confidence_score") < F.col("threshold") + max(2, margin))
+    near = (F.col("threshold") > 0) & (F.col("confidence_score") < F.col("threshold") + max(0, margin))
+    wanted = {"disabled": F.lit(False), "always": F.lit(True)}.get(mode, F.col("value").isNull() | fragile | near)
+    return met.where(wanted).select("page_id", "field")
+
+
+def fix_vins(fields: DataFrame) -> DataFrame:
+    """Fields whose chassis number is repaired by its context; the method says so."""
+    read = behind(fields, fixed=F.when(F.col("field") == "chassis_no", vin_in_context(F.col("value"))))
+    changed = F.coalesce(F.col("fixed") != F.regexp_replace(F.upper("value"), "[^A-Z0-9]", ""), F.lit(False))
+    new = {"value": F.when(changed, F.col("fixed")).otherwise(F.col("value")), "method": F.when(changed, F.concat_ws("|", F.nullif("method", F.lit("")), F.lit("vin_char_fix_v28"))).otherwise(F.col("method"))}
+    return read.select(*[new.get(c, F.col(c)).alias(c) for c in fields.columns], changed.alias("vin_char_fix_applied"))
 
 
 def validate(fields: DataFrame) -> DataFrame:
     """Fields in their final form; a value that can't be one is NULL, with a reason."""
-    fixed = null_if_blank(validated(F.col("field"), F.col("value")))
+    fields = behind(fields, fixed=null_if_blank(validated(F.col("field"), F.col("value"))))
+    fixed = F.col("fixed")
     lost = F.col("value").isNotNull() & fixed.isNull()
-    return fields.select("page_id", "field", fixed.alias("value"), "raw", "method", "confidence_score", (F.col("low_confidence") | lost).alias("low_confidence"), F.when(lost, "postprocess_validation_failed").alias("abstain_reason"), (fixed.isNotNull() & ~fixed.eqNullSafe(F.col("value"))).alias("postprocess_applied"))
+    reason = F.lit("postprocess_validation_failed")
+    return fields.select("page_id", "field", fixed.alias("value"), "raw", F.when(lost, reason).otherwise(F.col("method")).alias("method"), "confidence_score", (F.col("low_confidence") | lost).alias("low_confidence"), F.when(lost, reason).alias("abstain_reason"), (fixed.isNotNull() & ~fixed.eqNullSafe(F.col("value"))).alias("postprocess_applied"))
+
+
+def needs_secondary(fields: DataFrame, least: int = 0) -> DataFrame:
+    """page_id and field where a second reader is asked: no value, low confidence, an address read as an owner, labels read as a type, or a low score."""
+    text = folded(F.col("value"))
+    owner = F.col("field").isin("owner_name", "owner_surname")
+    asked = F.col("value").isNull() | F.col("low_confidence") | F.when(owner, F.rlike(text, F.lit(ADDRESS_WORDS))).otherwise(((F.col("field") == "type") & F.rlike(text, F.lit(TYPE_BLEED))) | (F.col("confidence_score") < least))
+    return fields.where(asked).select("page_id", "field")
+
+
+def apply_secondary(fields: DataFrame, readings: DataFrame, rules: DataFrame, allowed: list[str] | None = None, least: int = 0, method: str = "glm_roi_fallback") -> DataFrame:
+    """Fields with a second reader's values (page_id, field, raw) where one is asked (needs_secondary) and the field is allowed (default: all).
+
+    A blank reading, or one with EMPTY_PATCH, empties the field for sure; one that cleans to nothing leaves it alone; else
+    the cleaned reading replaces the value, the score is the larger of both and the low flag follows the reading's own.
+    """
+    asked = needs_secondary(fields, least)
+    if allowed is not None:
+        asked = asked.where(F.col("field").isin(allowed))
+    wanted = readings.select("page_id", "field", F.coalesce(collapsed(F.col("raw")), F.lit("")).alias("raw")).join(asked, ["page_id", "field"])
+    read = standardize(wanted, rules).select("page_id", "field", F.col("raw").alias("second"), F.col("value").alias("second_value"), score_of(F.col("strategy"), F.col("value")).alias("second_score"), "threshold")
+    met = fields.join(read, ["page_id", "field"], "left")
+    empty = F.col("second").isNotNull() & ((F.col("second") == "") | F.contains("second", F.lit("EMPTY_PATCH")))
+    taken = ~empty & F.col("second_value").isNotNull()
+    pick = lambda when_empty, when_taken, else_: F.when(empty, when_empty).when(taken, when_taken).otherwise(else_)
+    return met.select(
+        "page_id", "field", pick(F.lit(None), F.col("second_value"), F.col("value")).alias("value"),
+        pick(F.when(F.contains("second", F.lit("EMPTY_PATCH")), "").otherwise(F.col("second")), F.col("second"), F.col("raw")).alias("raw"), pick(F.lit(method), F.lit(method), F.col("method")).alias("method"),
+        pick(F.lit(100), F.greatest("second_score", "confidence_score"), F.col("confidence_score")).alias("confidence_score"),
+        pick(F.lit(False), (F.col("threshold") > 0) & (F.col("second_score") < F.col("threshold")), F.col("low_confidence")).alias("low_confidence"), F.coalesce(empty | taken, F.lit(False)).alias("secondary_applied"),
+    )
 
 
-def apply_secondary(fields: DataFrame, readings: DataFrame) -> DataFrame:
-    """Fields with a second reader's values (page_id, field, raw): blank or EMPTY_PATCH empties the field, else the reading replaces it."""
-    met = fields.join(readings.select("page_id", "field", F.col("raw").alias("second")), ["page_id", "field"], "left")
-    blank = F.col("second").isNotNull() & ((F.trim("second") == "") | F.contains(F.upper("second"), F.lit("EMPTY_PATCH")))
-    return met.select("page_id", "field", F.when(blank, None).otherwise(F.coalesce(F.when(F.col("second").isNotNull(), null_if_blank(F.upper("second"))), F.col("value"))).alias("value"), "raw", "method", F.when(blank, 100).otherwise(F.col("confidence_score")).alias("confidence_score"), (~blank & F.col("low_confidence")).alias("low_confidence"), F.col("second").isNotNull().alias("secondary_applied"))
+def rule_effects(before: DataFrame, after: DataFrame, scored: DataFrame) -> DataFrame:
+    """field, rule, n_in, n_changed, n_rejected and n_abstained: what cleaning, the field filter and the final form did to candidates and values."""
+    count = lambda name, c: F.count_if(F.coalesce(c, F.lit(False))).alias(name)
+    zero = F.lit(0).cast("long")
+    clean = scored.groupBy("field").agg(F.count("*").alias("n_in"), count("n_changed", F.col("cleaned") != F.col("raw")), count("n_rejected", F.col("cleaned").isNull())).select("field", F.lit("clean").alias("rule"), "n_in", "n_changed", "n_rejected", zero.alias("n_abstained"))
+    able = scored.where("cleaned IS NOT NULL").groupBy("field").agg(F.count("*").alias("n_in"), count("n_changed", F.col("value") != F.col("cleaned")), count("n_rejected", F.col("value").isNull())).select("field", F.lit("filter").alias("rule"), "n_in", "n_changed", "n_rejected", zero.alias("n_abstained"))
+    met = after.select("page_id", "field", F.col("value").alias("now"), "abstain_reason").join(before.where("value IS NOT NULL").select("page_id", "field", "value"), ["page_id", "field"])
+    final = met.groupBy("field").agg(F.count("*").alias("n_in"), count("n_changed", F.col("now") != F.col("value")), count("n_abstained", F.col("abstain_reason").isNotNull())).select("field", F.lit("final").alias("rule"), "n_in", "n_changed", zero.alias("n_rejected"), "n_abstained")
+    return clean.unionByName(able).unionByName(final)
 
 
 def compare_runs(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ A word row is page_id, word_no, text, conf, x, y, w, h, line_num. Everything is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -23,19 +23,22 @@ def lines_to_words(lines: DataFrame) -> DataFrame:
 
     word_no follows (y, x) on the page, then the word's place in its line. Lines without a word give no row.
     """
-    split = lines.withColumn("parts", F.expr("filter(split(text, '[\\\\x20\\\\x09-\\\\x0D]+'), p -> p <> '')")).where(F.size("parts") > 0)
-    fold = (
-        "aggregate(transform(parts, (p, i) -> struct(p, i)), "
-        "named_struct('at', x, 'left', w, 'chars', CAST(char_length(array_join(parts, '')) AS int), 'out', CAST(array() AS array<struct<text:string,x:int,w:int>>)), "
-        "(a, s) -> named_struct("
-        "'at', a.at + IF(s.i = size(parts) - 1, greatest(1, a.left), greatest(1, CAST(rint(a.left * char_length(s.p) / a.chars) AS int))), "
-        "'left', a.left - IF(s.i = size(parts) - 1, greatest(1, a.left), greatest(1, CAST(rint(a.left * char_length(s.p) / a.chars) AS int))), "
-        "'chars', a.chars - CAST(char_length(s.p) AS int), "
-        "'out', concat(a.out, array(named_struct('text', s.p, 'x', a.at, 'w', IF(s.i = size(parts) - 1, greatest(1, a.left), greatest(1, CAST(rint(a.left * char_length(s.p) / a.chars) AS int))))))), "
-        "a -> a.out)"
+    space = "[\\\\x20\\\\x09-\\\\x0D]"
+    # Lines of one word, the most of them, never meet the functions over arrays.
+    parts = f"IF(rlike(text, '{space}'), filter(split(text, '{space}+'), p -> p <> ''), IF(text = '' OR text IS NULL, CAST(array() AS array<string>), array(text)))"
+    split = lines.withColumn("parts", F.expr(parts)).where(F.size("parts") > 0)
+    # The width of a word is computed once (w); the starts of the words after the first are what is kept.
+    width = "greatest(1, CAST(rint((x + w - a.at) * char_length(p) / a.chars) AS int))"
+    starts = (
+        "array_insert(aggregate(slice(parts, 1, greatest(size(parts) - 1, 0)), named_struct('at', x, 'chars', CAST(char_length(array_join(parts, '')) AS int), 'out', CAST(array() AS array<int>)), "
+        f"(a, p) -> element_at(transform(array({width}), w1 -> named_struct('at', a.at + w1, 'chars', a.chars - CAST(char_length(p) AS int), 'out', array_append(a.out, a.at + w1))), 1), a -> a.out), 1, x)"
     )
-    cut = split.select("page_id", "line_no", "conf", "y", "h", F.expr(fold).alias("words"))
-    rows = cut.select("page_id", "line_no", "conf", "y", "h", F.posexplode("words").alias("part_no", "v"))
+    placed = (
+        "IF(size(parts) = 1, array(named_struct('text', parts[0], 'x', x, 'w', greatest(1, w))), "
+        f"transform(array({starts}), s -> transform(parts, (p, i) -> named_struct('text', p, 'x', s[i], 'w', greatest(1, coalesce(get(s, i + 1), x + w) - s[i]))))[0])"
+    )
+    cut = split.select("page_id", "line_no", "conf", "y", "h", F.expr(placed).alias("words"))
+    rows = cut.select("page_id", "line_no", "conf", "y", "h", F.posexplode_outer("words").alias("part_no", "v"))
     order = Window.partitionBy("page_id").orderBy("y", "v.x", "line_no", "part_no")
     return rows.select(
         "page_id", (F.row_number().over(order) - 1).alias("word_no"), F.col("v.text").alias("text"), "conf", F.col("v.x").alias("x"), "y", F.col("v.w").alias("w"), "h", F.lit(1).alias("block_num"), F.lit(1).alias("par_num"), F.col("line_no").alias("line_num")
@@ -69,17 +72,50 @@ def page_skew(words: DataFrame) -> DataFrame:
     return ends.select("page_id", F.when(F.abs(angle) <= 30, angle).alias("angle")).groupBy("page_id").agg(F.coalesce(F.percentile("angle", 0.5), F.lit(0.0)).alias("skew_angle_deg"))
 
 
-def payload_to_words(payloads: DataFrame) -> DataFrame:
-    """Words of recogniser payloads (page_id, rec_texts, rec_scores, rec_boxes as x1, y1, x2, y2): scores up to 1 are percent times 100."""
-    rows = payloads.select("page_id", F.posexplode(F.arrays_zip("rec_texts", "rec_scores", "rec_boxes")).alias("line_no", "r"))
-    score = F.coalesce(F.col("r.rec_scores"), F.lit(0.0))
-    box = F.col("r.rec_boxes")
-    lines = rows.where(F.trim("r.rec_texts") != "").select(
-        "page_id", "line_no", F.col("r.rec_texts").alias("text"), F.when(score <= 1, score * 100).otherwise(score).alias("conf"),
-        F.greatest(F.lit(0), F.floor(F.get(box, 0)).cast("int")).alias("x"), F.greatest(F.lit(0), F.floor(F.get(box, 1)).cast("int")).alias("y"),
-        F.greatest(F.lit(1), (F.ceil(F.get(box, 2)) - F.floor(F.get(box, 0))).cast("int")).alias("w"), F.greatest(F.lit(1), (F.ceil(F.get(box, 3)) - F.floor(F.get(box, 1))).cast("int")).alias("h"),
-    )
-    return lines_to_words(lines.where("x IS NOT NULL AND y IS NOT NULL"))
+def points_box(points: Column) -> Column:
+    """x, y, w, h around points: floors of the least, ceilings of the largest, corners not below 0, sides of one or more; NULL without points."""
+    xs, ys = F.transform(points, lambda p: F.get(p, 0)), F.transform(points, lambda p: F.get(p, 1))
+    low = lambda c: F.floor(F.array_min(c)).cast("int")
+    side = lambda c: F.greatest(F.lit(1), F.ceil(F.array_max(c)).cast("int") - F.floor(F.array_min(c)).cast("int"))
+    box = F.struct(F.greatest(F.lit(0), low(xs)).alias("x"), F.greatest(F.lit(0), low(ys)).alias("y"), side(xs).alias("w"), side(ys).alias("h"))
+    return F.when(F.size(F.array_compact(xs)) > 0, box)
+
+
+def corners_box(corners: Column) -> Column:
+    """The box of x1, y1, x2, y2 in any order."""
+    return F.when(F.size(corners) == 4, points_box(F.array(F.slice(corners, 1, 2), F.slice(corners, 3, 2))))
+
+
+def payload_lines(payloads: DataFrame, min_conf: float = 0.0) -> DataFrame:
+    """The lines of recogniser payloads (page_id, result_no, rec_texts, rec_scores, rec_polys, rec_boxes, text_word, text_word_boxes) that have text and confidence, numbered over the page's results.
+
+    Scores up to 1 are percent times 100; a missing one is 0. words: the line's own words with boxes, where both come in equal number; box: the polygon's, else the box's.
+    """
+    rows = payloads.select("page_id", "result_no", F.posexplode("rec_texts").alias("k", "raw"), "rec_scores", "rec_polys", "rec_boxes", "text_word", "text_word_boxes")
+    at = lambda c: F.get(F.col(c), F.col("k"))
+    score = F.coalesce(at("rec_scores"), F.lit(0.0))
+    paired = F.when(F.size(at("text_word")) == F.size(at("text_word_boxes")), F.zip_with(at("text_word"), at("text_word_boxes"), lambda t, b: F.struct(F.trim(t).alias("text"), corners_box(b).alias("box"))))
+    able = F.filter(paired, lambda v: v["text"].isNotNull() & (v["text"] != "") & v["box"].isNotNull())
+    lines = rows.select("page_id", "result_no", "k", F.trim("raw").alias("text"), F.when(score <= 1, score * 100).otherwise(score).alias("conf"), able.alias("words"), F.coalesce(points_box(at("rec_polys")), corners_box(at("rec_boxes"))).alias("box"))
+    number = F.row_number().over(Window.partitionBy("page_id").orderBy("result_no", "k"))
+    return lines.where((F.col("text") != "") & (F.col("conf") >= min_conf)).withColumn("line_no", number)
+
+
+def payload_to_words(payloads: DataFrame, min_conf: float = 0.0) -> DataFrame:
+    """Words of recogniser payloads in the order of their lines: a line's own word boxes where it has any, else its box split by characters; lines without a box give no word."""
+    lines = payload_lines(payloads, min_conf)
+    own = lines.where("size(words) > 0").select("page_id", F.col("line_no").alias("line_num"), "conf", F.posexplode("words").alias("part", "v")).select("page_id", "line_num", "part", "v.text", "conf", "v.box.*")
+    boxed = lines.where("coalesce(size(words), 0) <= 0 AND box IS NOT NULL").select("page_id", "line_no", "text", "conf", "box.*")
+    split = lines_to_words(boxed).select("page_id", "line_num", F.col("word_no").alias("part"), "text", "conf", "x", "y", "w", "h")
+    order = Window.partitionBy("page_id").orderBy("line_num", "part")
+    return own.unionByName(split).select("page_id", (F.row_number().over(order) - 1).alias("word_no"), "text", "conf", "x", "y", "w", "h", F.lit(1).alias("block_num"), F.lit(1).alias("par_num"), "line_num")
+
+
+def payload_text(payloads: DataFrame) -> DataFrame:
+    """page_id and text: the texts of all results that aren't blank, one a line."""
+    rows = payloads.select("page_id", "result_no", F.posexplode("rec_texts").alias("k", "raw")).where(F.trim("raw") != "")
+    held = rows.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("result_no", "k", F.trim("raw").alias("text")))).alias("ls"))
+    return held.select("page_id", F.array_join(F.transform("ls", lambda x: x["text"]), "\n").alias("text"))
 
 
 def markup_to_text(pages: DataFrame) -> DataFrame:

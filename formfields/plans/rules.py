@@ -36,9 +36,21 @@ FIELDS = [
     ("inspection_date", "inspection_label", (0.0, 0.022, 0.18, 0.065), (0.64, 0.74, 0.22, 0.07), "below", (0.005, 0.003, 0.18, 0.08), "roi_line", "date", 12),
     ("serial_no", "serial_label", (0.0, 0.022, 0.22, 0.07), (0.64, 0.83, 0.26, 0.08), "right", (0.005, 0.002, 0.22, 0.04), "roi_line", "keep", 6),
 ]
+# Least length, whether mixed letters and digits are preferred, and label prefixes to strip, of the fields that have any.
+POST_CLEAN = {
+    "engine_no": (0, False, ["MOTOR NO", "MOTORNO", "MOTOR N0", "PSMOTORNO", "PS MOTORNO", "P5MOTORNO", "P5 MOTORNO", "SMOTORNO", "S MOTORNO", "M0T0RN0", "M0T0R NO", "M0T0RNO"]),
+    "type": (2, True, ["TIPI", "TIP", "TYPE"]),
+    "owner_surname": (3, False, ["SOYADI", "TICARI UNVANI", "UNVANI"]),
+    "owner_name": (2, False, ["ADI"]),
+    "first_registration_date": (10, False, []),
+    "registration_date": (10, False, []),
+    "inspection_date": (10, False, []),
+    "serial_no": (4, False, ["BELGE", "SERI", "SERI:"]),
+}
+BRANDS = "RENAULT FORD MERCEDES-BENZ VOLKSWAGEN TOYOTA HYUNDAI KIA BMW AUDI FIAT OPEL PEUGEOT CITROEN NISSAN HONDA MAZDA VOLVO SKODA SEAT DACIA MITSUBISHI SUZUKI ISUZU TATA SYM MONDIAL ARORA CITYCOCO CUSWA".split()
 FIELD_ORDER = ["plate", "brand", "type", "model_year", "engine_no", "chassis_no", "tax_or_id_no", "owner_surname", "owner_name", "first_registration_date", "registration_date", "inspection_date", "serial_no"]
 ANCHOR_COLUMNS = ["anchor", "min_score", "aliases", "rx", "ry", "rw", "rh"]
-FIELD_COLUMNS = ["field", "anchor", "dx", "dy", "dw", "dh", "fx", "fy", "fw", "fh", "direction", "ml", "mt", "mr", "mb", "force_method", "strategy", "threshold"]
+FIELD_COLUMNS = ["field", "anchor", "dx", "dy", "dw", "dh", "fx", "fy", "fw", "fh", "direction", "ml", "mt", "mr", "mb", "force_method", "strategy", "threshold", "min_len", "prefer_mixed", "prefixes"]
 
 
 def anchor_rows() -> list[tuple]:
@@ -46,7 +58,7 @@ def anchor_rows() -> list[tuple]:
 
 
 def field_rows() -> list[tuple]:
-    return [(k, f, a, *off, *(fall or (None,) * 4), way, *margin, force, strategy, threshold) for k, (f, a, off, fall, way, margin, force, strategy, threshold) in enumerate(FIELDS)]
+    return [(k, f, a, *off, *(fall or (None,) * 4), way, *margin, force, strategy, threshold, *POST_CLEAN.get(f, (0, False, []))) for k, (f, a, off, fall, way, margin, force, strategy, threshold) in enumerate(FIELDS)]
 
 
 def anchor_rules(spark: SparkSession) -> DataFrame:
@@ -56,4 +68,4 @@ def anchor_rules(spark: SparkSession) -> DataFrame:
 def field_rules(spark: SparkSession) -> DataFrame:
     numbers = ", ".join(f"{c} double" for c in "dx dy dw dh fx fy fw fh".split())
     margins = ", ".join(f"{c} double" for c in "ml mt mr mb".split())
-    return spark.createDataFrame(field_rows(), f"field_no int, field string, anchor string, {numbers}, direction string, {margins}, force_method string, strategy string, threshold int")
+    return spark.createDataFrame(field_rows(), f"field_no int, field string, anchor string, {numbers}, direction string, {margins}, force_method string, strategy string, threshold int, min_len int, prefer_mixed boolean, prefixes array<string>")

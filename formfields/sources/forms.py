@@ -81,13 +81,17 @@ def form_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def form_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    truth = truth_rows(spark, sf_dir)
+    """Label and value lines of every page, and its corner; one row of the truth gives all of its lines."""
     labels, values, _ = LINES.split("UNION ALL")
-    own = truth.where("NOT (page_id % 10 = 4 AND field IN ('engine_no', 'serial_no'))").select("page_id", (2 * F.col("field_no")).alias("line_no"), F.expr(parts_of(labels)).alias("text"), F.col("lx").alias("x"), F.col("ly").alias("y"), F.col("lw").alias("w"))
-    read = truth.select("page_id", (2 * F.col("field_no") + 1).alias("line_no"), F.expr(values[values.index("CASE") : values.index(" END,") + 4]).alias("text"), F.col("vx").alias("x"), F.col("vy").alias("y"), F.col("vw").alias("w"))
-    corner = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("page_id"), F.lit(26).alias("line_no"), F.lit("X").alias("text"), F.lit(1580).alias("x"), F.lit(980).alias("y"), F.lit(20).alias("w"))
-    lines = own.unionByName(read).unionByName(corner)
-    return lines.select("page_id", "line_no", "text", *[F.col(c).cast("int") for c in ("x", "y", "w")], F.lit(24).alias("h"), (60 + (F.col("page_id") * 7 + F.col("line_no") * 13) % 40).cast("double").alias("conf"))
+    own, read = parts_of(labels), values[values.index("CASE") : values.index(" END,") + 4]
+    line = "named_struct('line_no', {no}, 'text', {text}, 'x', CAST({x} AS int), 'y', CAST({y} AS int), 'w', CAST({w} AS int))"
+    cells = [
+        f"IF(page_id % 10 = 4 AND field IN ('engine_no', 'serial_no'), NULL, {line.format(no='2 * field_no', text=own, x='lx', y='ly', w='lw')})",
+        line.format(no="2 * field_no + 1", text=read, x="vx", y="vy", w="vw"),
+        f"IF(field_no = 0, {line.format(no='26', text=repr('X'), x='1580', y='980', w='20')}, NULL)",
+    ]
+    lines = truth_rows(spark, sf_dir).select("page_id", F.explode(F.expr(f"array({', '.join(cells)})")).alias("l")).where("l IS NOT NULL").select("page_id", "l.*")
+    return lines.select("page_id", "line_no", "text", "x", "y", "w", F.lit(24).alias("h"), (60 + (F.col("page_id") * 7 + F.col("line_no") * 13) % 40).cast("double").alias("conf"))
 
 
 def form_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,3 +100,34 @@ def form_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages(words: DataFrame) -> DataFrame:
     return words.select("page_id").distinct().select("page_id", F.lit(PAGE_W).alias("doc_w"), F.lit(PAGE_H).alias("doc_h"))
+
+
+# A page of mark-up whose labelled cells hold the truth, in portable SQL.
+MARKUP = """
+'<table><tr><td>(Y.I) VERILDIGI IL / ILCE</td><td>ESKISEHIR</td></tr><tr><td>(A) PLAKA</td><td>' || plate || '</td></tr><tr><td>(B) ILK TESCIL TARIHI</td><td>' || first_registration_date || '</td></tr><tr><td>(Y.2)</td></tr><tr><td>(I) TESCIL TARIHI</td><td>' || registration_date ||
+'</td></tr><tr><td>(D.1) MARKASI</td><td>' || brand || '</td></tr><tr><td>(D.2) TIPI</td></tr><tr><td>(D.3) TICARI ADI</td><td>' || type || '</td></tr><tr><td>(D.4) MODEL YILI</td><td>' || model_year || '</td></tr><tr><td>(J)</td></tr><tr><td>(D.5) CINSI</td><td>OTOMOBIL</td></tr><tr><td>(R) RENGI</td><td>GRI</td></tr>' ||
+'<tr><td>(P.5) MOTOR NO</td><td>' || engine_no || '</td></tr><tr><td>(E) SASE NO</td><td>' || chassis_no || '</td></tr><tr><td>(G.1)</td></tr><tr><td>(Y.4) T.C. KIMLIK NO/VERGI NO</td><td>' || CASE WHEN page_id % 10 = 4 THEN '' ELSE tax_or_id_no END || '</td></tr><tr><td>(C.1.1) SOYADI/TICARI UNVANI</td><td>' || owner_surname ||
+'</td></tr><tr><td>(C.1.2) ADI</td><td>' || owner_name || '</td></tr><tr><td>(C.1.3) ADRESI</td></tr><tr><td>(Z.1)</td></tr><tr><td>(Z.2) DIGER BILGILER MUA.GEC.TRH:</td><td>' || inspection_date || '</td></tr><tr><td>(Z.3.4)</td></tr><tr><td>BELGE SERI. AB N° ' || serial_no || '</td></tr></table>'
+"""
+
+
+def form_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id and html: one table a page; every tenth page lacks its tax number."""
+    truth = form_truth(spark, sf_dir)
+    wide = truth.groupBy("page_id").pivot("field", [r[1] for r in layout_rows()]).agg(F.first("value"))
+    return wide.select("page_id", F.expr(MARKUP).alias("html"))
+
+
+def form_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' lines as recogniser payloads: one result for labels, one for values; polygons for the one, boxes for the other."""
+    lines = form_lines(spark, sf_dir)
+    corners = F.array(*[F.col(c).cast("double") for c in ("x", "y")], (F.col("x") + F.col("w")).cast("double"), (F.col("y") + F.col("h")).cast("double"))
+    points = F.array(F.slice(corners, 1, 2), F.array(F.get(corners, 2), F.get(corners, 1)), F.slice(corners, 3, 2), F.array(F.get(corners, 0), F.get(corners, 3)))
+    line = F.struct("line_no", "text", (F.col("conf") / 100).alias("score"), points.alias("points"), corners.alias("corners"))
+    held = lines.groupBy("page_id", (F.col("line_no") % 2).alias("result_no")).agg(F.sort_array(F.collect_list(line)).alias("ls"))
+    part = lambda name: F.transform("ls", lambda x: x[name])
+    odd = F.col("result_no") == 1
+    return held.select(
+        "page_id", "result_no", part("text").alias("rec_texts"), part("score").alias("rec_scores"), F.when(~odd, part("points")).alias("rec_polys"), F.when(odd, part("corners")).alias("rec_boxes"),
+        F.lit(None).cast("array<array<string>>").alias("text_word"), F.lit(None).cast("array<array<array<double>>>").alias("text_word_boxes"),
+    )

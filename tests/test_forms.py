@@ -7,6 +7,7 @@ from formfields.functions.text import clean_date, clean_digits, clean_plate, fix
 from formfields.operators.anchors import match_anchors
 from formfields.operators.fields import apply_secondary, compare_runs, plate_candidates, validate
 from formfields.operators.words import clean_words, lines_to_words, page_skew
+from formfields.plans.rules import field_rules
 
 
 def one(spark, column):
@@ -42,9 +43,18 @@ def test_abstain_and_secondary(spark):
     fields = spark.createDataFrame([(1, "inspection_date", "31/13/2020", "31/13/2020", "roi_line", 100, False), (1, "owner_name", "ALI", "ALI", "roi_line", 3, True)], schema)
     done = {r.field: r for r in validate(fields).collect()}
     assert done["inspection_date"].value is None and done["inspection_date"].abstain_reason == "postprocess_validation_failed"
-    readings = spark.createDataFrame([(1, "owner_name", "EMPTY_PATCH")], "page_id long, field string, raw string")
-    read = {r.field: r for r in apply_secondary(fields, readings).collect()}
-    assert read["owner_name"].value is None and not read["owner_name"].low_confidence
+
+
+def test_secondary_readings(spark):
+    """Only asked for where a field needs it; blank ones empty the field, ones that clean to nothing leave it, others are cleaned, filtered and scored."""
+    schema = "page_id long, field string, value string, raw string, method string, confidence_score int, low_confidence boolean"
+    fields = spark.createDataFrame([(p, "owner_name", "ALI", "ALI", "roi_line", 3, True) for p in range(1, 5)] + [(5, "owner_name", "MEHMET", "MEHMET", "roi_line", 6, False), (6, "type", None, None, "empty_fallback", 0, True)], schema)
+    readings = spark.createDataFrame([(1, "owner_name", "x EMPTY_PATCH"), (2, "owner_name", "Adı: Mehmet Ali"), (3, "owner_name", "LTD"), (4, "owner_name", " "), (5, "owner_name", "VELI"), (6, "type", "TIPI C4X")], "page_id long, field string, raw string")
+    read = {r.page_id: (r.value, r.raw, r.method, r.confidence_score, r.low_confidence, r.secondary_applied) for r in apply_secondary(fields, readings, field_rules(spark)).collect()}
+    assert read[1] == (None, "", "glm_roi_fallback", 100, False, True) and read[4] == (None, "", "glm_roi_fallback", 100, False, True)
+    assert read[2] == ("MEHMET ALI", "Adı: Mehmet Ali", "glm_roi_fallback", 9, False, True)
+    assert read[3] == ("ALI", "ALI", "roi_line", 3, True, False) and read[5] == ("MEHMET", "MEHMET", "roi_line", 6, False, False)
+    assert read[6] == ("C4X", "TIPI C4X", "glm_roi_fallback", 11, False, True)
 
 
 def test_compare_runs(spark):
