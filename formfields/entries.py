@@ -125,6 +125,28 @@ def q_best_lines(spark: SparkSession, d: str) -> DataFrame:
     return V.best_lines(words, V.value_windows(forms.pages(words), field_rules(spark), anchors)).select("page_id", "field", "method", "raw")
 
 
+def q_best_lines_exact(spark: SparkSession, d: str) -> DataFrame:
+    """The lines beside labels that equal an alias."""
+    words, anchors = found(spark, d, exact=True)
+    return V.best_lines(words, V.value_windows(forms.pages(words), field_rules(spark), anchors)).select("page_id", "field", "method", "raw")
+
+
+def q_roi_lines(spark: SparkSession, d: str) -> DataFrame:
+    words, anchors = found(spark, d, exact=True)
+    return V.best_roi_lines(words, V.resolve_rois(forms.pages(words), field_rules(spark), anchors)).select("page_id", "field", "method", "raw")
+
+
+def q_line_quality(spark: SparkSession, d: str) -> DataFrame:
+    """True and false values and misses of lines taken as they are."""
+    lines = q_best_lines_exact(spark, d).select("page_id", "field", "method", F.col("raw").alias("value"))
+    return V.method_quality(lines, forms.form_truth(spark, d))
+
+
+def q_fill_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Filled fields of each page where some have been lost."""
+    return V.fill_counts(forms.form_truth(spark, d).withColumn("value", F.when((F.col("page_id") * 31 + F.length("value")) % 5 > 0, F.col("value"))))
+
+
 def q_clean_dates(spark: SparkSession, d: str) -> DataFrame:
     rows = forms.form_truth(spark, d).where("field LIKE '%date'").withColumn("raw", F.when(F.col("page_id") % 2 == 0, F.replace("value", F.lit("/"), F.lit("."))).otherwise(F.concat(F.lit("TARIH: "), "value")))
     return rows.select("page_id", "field", clean_date(F.col("raw")).alias("cleaned"), fixed_date(F.col("raw")).alias("fixed"))
@@ -359,4 +381,4 @@ def oracle_sql() -> dict[str, str]:
         "run_summary": f"WITH {runs} SELECT provider, count(*) AS n_runs, count(*) FILTER (ok) AS n_ok, round(sum(seconds) FILTER (ok), 3) AS total_seconds, round(avg(seconds) FILTER (ok), 3) AS avg_seconds FROM runs GROUP BY provider",
         "latency_stats": f"WITH {runs} SELECT provider, round(avg(seconds), 3) AS mean_s, min(seconds) AS min_s, max(seconds) AS max_s FROM runs GROUP BY provider",
         "markup_text": """WITH l AS (SELECT page_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(html, chr(13), chr(10)), '<img[^>]*>', ' ', 'gi'), '</(tr|table|td)>', chr(10), 'gi'), '<br *\\/?>', chr(10), 'gi'), '<[^>]+>', ' ', 'g'), chr(10)), lambda t: trim(regexp_replace(t, '[ \\t\\f\\x0B]+', ' ', 'g'))), lambda t: regexp_matches(t, '[A-Za-z0-9ÇĞİÖŞÜçğıöşü]')) AS k FROM pages) SELECT page_id, unnest(range(0, len(k))) AS line_no, unnest(k) AS text FROM l""",
-    } | later_sql(TRUTH, WORDS, ASSEMBLED, CHAIN, EXTENTS, RULES, FIELD_RULES, ROIS, folded, lambda c: f"trim(regexp_replace({folded(c)}, '[^A-Z0-9 ]+', ' ', 'g'))")
+    } | later_sql(TRUTH, WORDS, ASSEMBLED, CHAIN, EXTENTS, RULES, FIELD_RULES, ROIS, WINDOWS, folded, lambda c: f"trim(regexp_replace({folded(c)}, '[^A-Z0-9 ]+', ' ', 'g'))")

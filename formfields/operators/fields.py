@@ -280,6 +280,11 @@ def fill_rate(fields: DataFrame) -> DataFrame:
     return fields.groupBy("field").agg(F.count("*").alias("n"), F.count_if(F.col("value").isNotNull()).alias("n_filled"))
 
 
+def fill_counts(fields: DataFrame) -> DataFrame:
+    """Fields of each page, and how many of them are filled."""
+    return fields.groupBy("page_id").agg(F.count("*").alias("n"), F.count_if(F.col("value").isNotNull() & (F.trim("value") != "")).alias("n_filled"))
+
+
 def export_wide(fields: DataFrame, order: list[str]) -> DataFrame:
     """One row a page, a column for each field in a fixed order, '' for none."""
     wide = fields.groupBy("page_id").pivot("field", order).agg(F.first("value"))

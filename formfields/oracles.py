@@ -20,7 +20,7 @@ def shown(column: str) -> str:
     return column
 
 
-def later_sql(truth: str, words: str, assembled: str, chain: str, extents: str, rules: str, field_rules: str, rois: str, folded, norm) -> dict[str, str]:
+def later_sql(truth: str, words: str, assembled: str, chain: str, extents: str, rules: str, field_rules: str, rois: str, windows: str, folded, norm) -> dict[str, str]:
     ends = "SELECT page_id, line_num, x, word_no, x + w / 2.0 AS cx, y + CAST(floor(x * (page_id % 7 - 3) / 50.0) AS INT) + h / 2.0 AS cy, row_number() OVER (PARTITION BY page_id, line_num ORDER BY x, word_no) AS f, row_number() OVER (PARTITION BY page_id, line_num ORDER BY x DESC, word_no DESC) AS l, count(*) OVER (PARTITION BY page_id, line_num) AS n FROM words"
     skew = f"""WITH {words}, e AS ({ends}), s AS (SELECT a.page_id, CASE WHEN a.n > 1 THEN degrees(atan2(b.cy - a.cy, b.cx - a.cx)) END AS angle FROM e a JOIN e b ON a.page_id = b.page_id AND a.line_num = b.line_num AND a.f = 1 AND b.l = 1)
 SELECT page_id, round(coalesce(quantile_cont(angle, 0.5) FILTER (abs(angle) <= 30), 0.0), 6) AS skew_angle_deg FROM s GROUP BY page_id"""
@@ -38,6 +38,23 @@ cells AS (
   UNION ALL SELECT page_id, 'tax_or_id_no', 'page_regex_tax_or_id', regexp_extract_all(t, '\\b[0-9]{{10,11}}\\b')[1] FROM text)
 SELECT c.page_id, c.field, c.method, c.raw FROM cells c JOIN field_rules r USING (field) WHERE raw IS NOT NULL AND NOT EXISTS (SELECT 1 FROM anchors a WHERE a.page_id = c.page_id AND a.page_id % 3 > 0 AND a.anchor = r.anchor)"""
     region = f"WITH {chain}, {field_rules}, rois AS ({rois}) SELECT r.page_id, r.field, string_agg(w.text, ' ' ORDER BY w.y, w.x, w.word_no) AS text FROM rois r JOIN words w ON w.page_id = r.page_id AND w.x >= rx AND w.y >= ry AND w.x + w.w <= rx + rw AND w.y + w.h <= ry + rh GROUP BY r.page_id, r.field"
+    upper_count = lambda chars: f"length(regexp_replace(upper(text), '[^{chars}]', '', 'g'))"
+    tokens = "regexp_extract_all(upper(text), '[A-Z0-9]+')"
+    quality = (
+        f"(coalesce(list_max(list_transform({tokens}, lambda t: length(t))), 0) + CASE WHEN len(list_filter({tokens}, lambda t: regexp_matches(t, '[A-Z]') AND regexp_matches(t, '[0-9]'))) > 0 THEN 5 ELSE 0 END"
+        f" + least({upper_count('A-Z')}, 8) // 3 + least({upper_count('0-9')}, 8) // 3)"
+    )
+    lines_of = lambda regions, keys: f"""SELECT r.page_id, r.field, {keys}, w.line_num, string_agg(w.text, ' ' ORDER BY w.x, w.word_no) AS text, min(w.x) AS x, min(w.y) AS y, max(w.x + w.w) - min(w.x) AS w, max(w.y + w.h) - min(w.y) AS h, avg(w.conf) AS avg_conf
+  FROM {regions} r JOIN words w ON w.page_id = r.page_id AND w.x + w.w / 2.0 BETWEEN rx AND rx + rw AND w.y + w.h / 2.0 BETWEEN ry AND ry + rh GROUP BY r.page_id, r.field, {keys}, w.line_num"""
+    best = f"""{chain}, {field_rules}, win AS ({windows}), boxes AS (SELECT win.*, direction, ax, ay, aw, ah FROM win JOIN field_rules USING (field) JOIN anchors ON anchors.page_id = win.page_id AND anchors.anchor = field_rules.anchor),
+lines_in AS ({lines_of('boxes', 'r.direction, r.ax, r.ay, r.aw, r.ah')}),
+able AS (SELECT *, {quality} AS q, CASE WHEN direction = 'right' THEN x >= ax + aw - 4 ELSE y >= ay + ah - 4 END AS front FROM lines_in WHERE {upper_count('A-Z0-9')} >= 2),
+pool AS (SELECT *, bool_or(front) OVER (PARTITION BY page_id, field) AS any_front FROM able),
+ranked AS (SELECT *, CASE WHEN direction = 'right' THEN abs(y + h / 2.0 - ay - ah / 2.0) + 0.35::DOUBLE * greatest(0, ax + aw - x) - 2.5::DOUBLE * q ELSE abs(y - ay - ah) - 2.0::DOUBLE * q END AS s FROM pool WHERE front OR NOT any_front),
+best AS (SELECT page_id, field, CASE WHEN direction = 'right' THEN 'anchor_right_line' ELSE 'anchor_below_line' END AS method, text AS raw FROM ranked QUALIFY row_number() OVER (PARTITION BY page_id, field ORDER BY s, avg_conf DESC, x, y, line_num) = 1)"""
+    roi_lines = f"""WITH {chain}, {field_rules}, rois AS ({rois}), lines_in AS ({lines_of('rois', 'r.rx, r.ry, r.rw, r.rh')})
+SELECT page_id, field, 'roi_line' AS method, text AS raw FROM lines_in QUALIFY row_number() OVER (PARTITION BY page_id, field ORDER BY abs(y + h / 2.0 - ry - rh / 2.0), avg_conf DESC, x, y, line_num) = 1"""
+    line_quality = f"WITH {best} SELECT b.field, method, count(*) FILTER (raw = value) AS tp, count(*) FILTER (raw IS DISTINCT FROM value) AS fp, CAST(0 AS BIGINT) AS fn FROM best b LEFT JOIN ({truth}) t ON t.page_id = b.page_id AND t.field = b.field GROUP BY b.field, method"
     year = "'^(?:19|20)[0-9]{2}$'"
     rescued = "SELECT p.page_id, value, CASE WHEN value IS NULL THEN 'empty_fallback' ELSE '{method}' END AS method, CASE WHEN value IS NULL THEN 0 ELSE {score} END AS confidence_score, value IS NULL AS low_confidence FROM (SELECT DISTINCT page_id FROM words) p LEFT JOIN best USING (page_id)"
     serial = f"""WITH {words}, inside AS (SELECT page_id, word_no, text FROM words WHERE (x + w / 2.0) / 1600 BETWEEN 0.52::DOUBLE AND 0.52::DOUBLE + 0.45::DOUBLE AND (y + h / 2.0) / 1000 BETWEEN 0.78::DOUBLE AND 0.78::DOUBLE + 0.2::DOUBLE),
@@ -86,6 +103,8 @@ SELECT page_id, {", ".join(f"{value(n)} AS {n}" for n in SECTIONS)} FROM c WHERE
     dates = f"""WITH r AS (SELECT page_id, field, regexp_extract({raw}, '([0-9]{{1,2}})\\s*[/.-]\\s*([0-9]{{1,2}})\\s*[/.-]\\s*([0-9]{{2,4}})', ['a', 'b', 'c']) AS p FROM ({truth}) WHERE field LIKE '%date'), d AS (SELECT page_id, field, p, lpad(p.a, 2, '0') || '/' || lpad(p.b, 2, '0') || '/' || CASE WHEN length(p.c) = 2 THEN '20' || p.c ELSE p.c END AS d FROM r)
 SELECT page_id, field, d AS cleaned, CASE WHEN CAST(p.a AS INT) BETWEEN 1 AND 31 AND CAST(p.b AS INT) BETWEEN 1 AND 12 AND CAST(substr(d, 7) AS INT) BETWEEN 1900 AND 2100 THEN d END AS fixed FROM d"""
     return {
+        "best_lines_exact": f"WITH {best} SELECT page_id, field, method, raw FROM best", "roi_lines": roi_lines, "line_quality": line_quality,
+        "fill_counts": f"SELECT page_id, count(*) AS n, count(*) FILTER ((page_id * 31 + length(value)) % 5 > 0) AS n_filled FROM ({truth}) GROUP BY page_id",
         "page_skew": skew, "page_regex": regex, "region_text": region, "serial_rescue": serial, "engine_rescue": engine, "vin_fix": vin, "validate_fields": valid, "exemplars": f"WITH {exemplars} SELECT anchor, page_id, word_no, x1, y1, x2, y2 FROM exemplars", "exemplar_report": report,
         "page_coverage": f"WITH {chain} SELECT page_id, (SELECT count(*) FROM anchors a WHERE a.page_id = p.page_id) AS n_found, (SELECT count(*) FROM rules) AS n_defined FROM (SELECT DISTINCT page_id FROM words) p",
         "words_csv": f"WITH {words} SELECT page_id, text, {norm('text')} AS norm_text, round(conf, 2) AS conf, x, y, w, h, round(x / 1600.0::DOUBLE, 4) AS norm_x, round(y / 1000.0::DOUBLE, 4) AS norm_y, 1 AS block, 1 AS par, line_num AS line FROM words",
