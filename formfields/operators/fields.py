@@ -221,12 +221,16 @@ def validate(fields: DataFrame) -> DataFrame:
     return fields.select("page_id", "field", fixed.alias("value"), "raw", F.when(lost, reason).otherwise(F.col("method")).alias("method"), "confidence_score", (F.col("low_confidence") | lost).alias("low_confidence"), F.when(lost, reason).alias("abstain_reason"), (fixed.isNotNull() & ~fixed.eqNullSafe(F.col("value"))).alias("postprocess_applied"))
 
 
-def needs_secondary(fields: DataFrame, least: int = 0) -> DataFrame:
-    """page_id and field where a second reader is asked: no value, low confidence, an address read as an owner, labels read as a type, or a low score."""
+def asks_second_reader(least: int) -> Column:
+    """Whether a row of fields is to be read again: no value, low confidence, an address read as an owner, labels read as a type, or a low score."""
     text = folded(F.col("value"))
     owner = F.col("field").isin("owner_name", "owner_surname")
-    asked = F.col("value").isNull() | F.col("low_confidence") | F.when(owner, F.rlike(text, F.lit(ADDRESS_WORDS))).otherwise(((F.col("field") == "type") & F.rlike(text, F.lit(TYPE_BLEED))) | (F.col("confidence_score") < least))
-    return fields.where(asked).select("page_id", "field")
+    return F.coalesce(F.col("value").isNull() | F.col("low_confidence") | F.when(owner, F.rlike(text, F.lit(ADDRESS_WORDS))).otherwise(((F.col("field") == "type") & F.rlike(text, F.lit(TYPE_BLEED))) | (F.col("confidence_score") < least)), F.lit(False))
+
+
+def needs_secondary(fields: DataFrame, least: int = 0) -> DataFrame:
+    """page_id and field where a second reader is asked."""
+    return fields.where(asks_second_reader(least)).select("page_id", "field")
 
 
 def apply_secondary(fields: DataFrame, readings: DataFrame, rules: DataFrame, allowed: list[str] | None = None, least: int = 0, method: str = "glm_roi_fallback") -> DataFrame:
@@ -235,14 +239,13 @@ def apply_secondary(fields: DataFrame, readings: DataFrame, rules: DataFrame, al
     A blank reading, or one with EMPTY_PATCH, empties the field for sure; one that cleans to nothing leaves it alone; else
     the cleaned reading replaces the value, the score is the larger of both and the low flag follows the reading's own.
     """
-    asked = needs_secondary(fields, least)
+    wanted = readings.select("page_id", "field", F.coalesce(collapsed(F.col("raw")), F.lit("")).alias("raw"))
     if allowed is not None:
-        asked = asked.where(F.col("field").isin(allowed))
-    wanted = readings.select("page_id", "field", F.coalesce(collapsed(F.col("raw")), F.lit("")).alias("raw")).join(asked, ["page_id", "field"])
+        wanted = wanted.where(F.col("field").isin(allowed))
     read = standardize(wanted, rules).select("page_id", "field", F.col("raw").alias("second"), F.col("value").alias("second_value"), score_of(F.col("strategy"), F.col("value")).alias("second_score"), "threshold")
-    met = fields.join(read, ["page_id", "field"], "left")
+    met = fields.join(read, ["page_id", "field"], "left").withColumn("second", F.when(asks_second_reader(least), F.col("second")))
     empty = F.col("second").isNotNull() & ((F.col("second") == "") | F.contains("second", F.lit("EMPTY_PATCH")))
-    taken = ~empty & F.col("second_value").isNotNull()
+    taken = F.col("second").isNotNull() & ~empty & F.col("second_value").isNotNull()
     pick = lambda when_empty, when_taken, else_: F.when(empty, when_empty).when(taken, when_taken).otherwise(else_)
     return met.select(
         "page_id", "field", pick(F.lit(None), F.col("second_value"), F.col("value")).alias("value"),
