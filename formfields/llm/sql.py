@@ -144,16 +144,22 @@ FROM d LEFT JOIN t ON t.rn = d.rn LEFT JOIN top ON top.rn = d.rn AND top.k = 1 L
 """
 
 
+def _differs(rest: str) -> str:
+    b1, n1, b2, n2 = "v.b::DOUBLE", "v.l::DOUBLE", f"({rest}.b::DOUBLE - v.b)", f"({rest}.l::DOUBLE - v.l)"
+    gap = f"({b1} * {n2} - {b2} * {n1})"
+    return f"(v.l > 0 AND {rest}.l > v.l AND {gap} <> 0 AND {gap} * {gap} * ({n1} + {n2}) >= {U.APART} * ({b1} + {b2}) * ({n1} + {n2} - {b1} - {b2}) * {n1} * {n2})"
+
+
 def _level(k: int) -> str:
     """One level of the template tree: r{k} to r{k + 1}."""
-    b1, n1, b2, n2 = "v.b::DOUBLE", "v.l::DOUBLE", "(a.b - v.b)::DOUBLE", "(a.l - v.l)::DOUBLE"
-    gap = f"({b1} * {n2} - {b2} * {n1})"
-    alike = f"v.l = 0 OR a.l = v.l OR {gap} * {gap} * ({n1} + {n2}) < {U.APART} * ({b1} + {b2}) * ({n1} + {n2} - {b1} - {b2}) * {n1} * {n2} OR {gap} = 0"
     return f"""
 x{k} AS MATERIALIZED (SELECT *, coalesce(segments[{k + 1}], '') AS value FROM r{k}),
-k{k} AS (
-  SELECT v.host, v.template, v.value, CASE WHEN {alike} THEN '{U.MERGED}' ELSE v.value END AS branch
+v{k} AS MATERIALIZED (
+  SELECT v.*, CASE WHEN {_differs("a")} THEN sign(v.b * a.l - a.b * v.l) ELSE 0 END AS side
   FROM (SELECT host, template, value, sum(l) AS l, sum(b) AS b FROM x{k} GROUP BY ALL HAVING sum(n) >= {U.SUPPORT} AND value <> '') v JOIN (SELECT host, template, sum(l) AS l, sum(b) AS b FROM x{k} GROUP BY ALL) a USING (host, template)),
+k{k} AS (
+  SELECT v.host, v.template, v.value, CASE WHEN side = 0 THEN '{U.MERGED}' WHEN s.l > v.l AND NOT {_differs("s")} THEN CASE WHEN side < 0 THEN '{U.BETTER}' ELSE '{U.WORSE}' END ELSE v.value END AS branch
+  FROM v{k} v LEFT JOIN (SELECT host, template, side, sum(l) AS l, sum(b) AS b FROM v{k} GROUP BY ALL) s USING (host, template, side)),
 r{k + 1} AS MATERIALIZED (SELECT host, shape, n, l, b, segments, template || coalesce(branch, CASE WHEN value = '' THEN '' ELSE '{U.VARIABLE}' END) AS template FROM x{k} LEFT JOIN k{k} USING (host, template, value)),"""
 
 

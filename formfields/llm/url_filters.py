@@ -2,19 +2,20 @@
 
 The tree is grown for each host, level by level, from counts: segments of a path that are seen too seldom under their
 parent are variable and become a wildcard; frequent ones whose labelled pages don't differ in their share of bad pages
-from those of their siblings are merged into one branch; the others stay apart. The share of bad pages of a template is
+from those of their siblings are merged into one branch; of the others, those that are better than their siblings are
+merged where they are alike among themselves, and so are those that are worse; what is like no sibling stays apart. The share of bad pages of a template is
 smoothed towards that of its parent, up to the host's and to all pages', and templates above a threshold are rejected.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
 
-# Wildcards: a variable segment, siblings that were merged, and all that lies deeper than the tree.
-VARIABLE, MERGED, TAIL = "/*", "/~", "/**"
+# Wildcards: a variable segment, siblings that were merged (all alike; better and worse than the others), all deeper than the tree.
+VARIABLE, MERGED, BETTER, WORSE, TAIL = "/*", "/~", "/~good", "/~bad", "/**"
 # Two shares differ where the squared z of their difference reaches this.
 APART = 3.84
 # Segments of a path that are levels of their own.
@@ -87,11 +88,21 @@ def salted_join(rows: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
     return rows.withColumn("salt", salt).join(many, [*keys, "salt"], "left").drop("salt")
 
 
+def differs(all_labelled: str, all_bad: str) -> Column:
+    """Whether the share of bad of a row (labelled, bad) differs from that of the rest of its group; never where either has no labelled page."""
+    b1, n1 = F.col("bad").cast("double"), F.col("labelled").cast("double")
+    b2, n2 = F.col(all_bad).cast("double") - b1, F.col(all_labelled).cast("double") - n1
+    gap = b1 * n2 - b2 * n1
+    # The squared z of two shares, multiplied out.
+    return (n1 > 0) & (n2 > 0) & (gap != 0) & (gap * gap * (n1 + n2) >= F.lit(APART) * (b1 + b2) * (n1 + n2 - b1 - b2) * n1 * n2)
+
+
 def templates(paths: DataFrame, support: int = SUPPORT) -> DataFrame:
     """paths (host, shape, n, labelled, bad) with their template.
 
     One level a round: the values under each parent are counted, rare ones become VARIABLE, frequent ones whose share of
-    bad pages is like that of their siblings together become MERGED. What a level decides is the parent of the next.
+    bad pages is like that of their siblings together become MERGED, the others BETTER or WORSE where there are several
+    alike, or keep their text. What a level decides is the parent of the next.
     """
     rows = paths.withColumn("segments", F.expr("transform(slice(split(shape, '/'), 2, 99), s -> concat('/', s))")).withColumn("template", F.lit(""))
     depth = min(DEPTH + 1, rows.agg(F.max(F.size("segments"))).first()[0] or 0)
@@ -100,11 +111,11 @@ def templates(paths: DataFrame, support: int = SUPPORT) -> DataFrame:
         rows = rows.withColumn("value", F.coalesce(F.get("segments", F.lit(level)), F.lit("")))
         values = rows.groupBy("host", "template", "value").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")]).where((F.col("n") >= support) & (F.col("value") != ""))
         parents = rows.groupBy("host", "template").agg(F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
-        b1, n1, b2, n2 = F.col("bad"), F.col("labelled"), F.col("all_bad") - F.col("bad"), F.col("all_labelled") - F.col("labelled")
-        gap = (b1 * n2 - b2 * n1).cast("double")
-        spread = F.lit(APART) * (b1 + b2).cast("double") * (n1 + n2 - b1 - b2).cast("double") * n1.cast("double") * n2.cast("double")
-        alike = (n1 == 0) | (n2 == 0) | (gap * gap * (n1 + n2).cast("double") < spread) | (gap == 0)
-        kept = values.join(parents, ["host", "template"]).select("host", "template", "value", F.when(alike, F.lit(MERGED)).otherwise(F.col("value")).alias("branch"))
+        against = values.join(parents, ["host", "template"]).withColumn("side", F.when(differs("all_labelled", "all_bad"), F.signum(F.col("bad") * F.col("all_labelled") - F.col("all_bad") * F.col("labelled"))).otherwise(0.0))
+        apart = against.where("side <> 0").groupBy("host", "template", "side").agg(F.sum("labelled").alias("side_labelled"), F.sum("bad").alias("side_bad"))
+        alike = (F.col("side_labelled") > F.col("labelled")) & ~differs("side_labelled", "side_bad")
+        named = F.when(F.col("side") == 0, F.lit(MERGED)).when(alike, F.when(F.col("side") < 0, F.lit(BETTER)).otherwise(F.lit(WORSE))).otherwise(F.col("value"))
+        kept = against.join(apart, ["host", "template", "side"], "left").select("host", "template", "value", named.alias("branch"))
         branch = F.coalesce("branch", F.when(F.col("value") == "", F.lit("")).otherwise(F.lit(VARIABLE)))
         rows = salted_join(rows, kept, ["host", "template", "value"]).withColumn("template", F.concat("template", branch)).drop("branch", "value")
         if level % 2:
