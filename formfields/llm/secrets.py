@@ -29,24 +29,38 @@ KINDS = ("assign", "access", "hex", "key", "endpoint")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 
+def let(name: str, value: str, body: str) -> str:
+    """SQL: body with `name` bound to a value that is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+# Entries of an array that one step of a running fold looks at: few, so that a step is cheap, and so few blocks of them.
+FOLD = 64
+
+
+def before_each(values: str, step: str, nothing: str) -> str:
+    """SQL: for each entry of an array (the name of a column or of a bound value) the fold of those before it; step folds {a} and {b}.
+
+    Two levels of blocks, so that n entries cost some n * FOLD / 2 steps and nothing is copied that grows with n.
+    """
+    fold = lambda array: f"aggregate({array}, {nothing}, (s, x) -> {step.format(a='s', b='x')})"
+    blocks = f"transform(sequence(0, size({values}) div {FOLD}), b -> {fold(f'slice({values}, b * {FOLD} + 1, {FOLD})')})"
+    heads = f"transform(blocks, (v, b) -> {fold('slice(blocks, 1, b)')})"
+    both = step.format(a=f"get(heads, i div {FOLD})", b=fold(f"slice({values}, (i div {FOLD}) * {FOLD} + 1, i % {FOLD})"))
+    return let("blocks", blocks, let("heads", heads, f"transform({values}, (v, i) -> {both})"))
+
+
 def spans_of(text: str, kind: str, pattern: str, measure: str) -> str:
     """SQL: array of structs (s, e, k) of the leftmost non-overlapping matches whose measure passes.
 
     Offsets come from the lengths of the gaps between matches and of the matches themselves.
     """
     quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    gaps = f"transform(split({text}, '{quoted}', -1), g -> char_length(g))"
-    found = f"regexp_extract_all({text}, '{quoted}', 0)"
-    rank = KINDS.index(kind)
-    walked = (
-        f"aggregate(zip_with({gaps}, {found}, (g, m) -> struct(g AS g, m AS m)), "
-        "named_struct('p', 0, 'o', CAST(array() AS array<struct<s:int,e:int,k:int>>)), "
-        "(a, x) -> IF(x.m IS NULL, a, named_struct("
-        "'p', a.p + x.g + char_length(x.m), "
-        f"'o', IF({measure}, concat(a.o, array(named_struct('s', a.p + x.g, 'e', a.p + x.g + char_length(x.m), 'k', {rank}))), a.o))), "
-        "a -> a.o)"
-    )
-    return walked
+    parts = f"struct(transform(split({text}, '{quoted}', -1), g -> char_length(g)) AS g, regexp_extract_all({text}, '{quoted}', 0) AS m)"
+    sizes = "transform(p.m, (m, i) -> get(p.g, i) + char_length(m))"
+    places = "transform(p.m, (m, i) -> struct(get(begin, i) + get(p.g, i) AS s, get(begin, i) + get(sizes, i) AS e, m AS m))"
+    passed = f"transform(filter({places}, x -> {measure}), x -> struct(x.s AS s, x.e AS e, {KINDS.index(kind)} AS k))"
+    return let("p", parts, let("sizes", sizes, let("begin", before_each("sizes", "{a} + {b}", "0"), passed)))
 
 
 def group_length(pattern: str) -> str:
@@ -55,6 +69,8 @@ def group_length(pattern: str) -> str:
 
 
 SALTS = 16
+# Code points of the blocks into which a text is cut to be masked.
+BLOCK = 2048
 NOTHING = "CAST(array() AS array<struct<s:int,e:int,k:int>>)"
 
 
@@ -142,11 +158,16 @@ def redact(docs: DataFrame, scope: int = 300, text_col: str = "text", mask: str
     unchanged (also null texts).
     """
     found = all_spans(docs, scope, text_col)
-    cut = (
-        "aggregate(array_sort(transform(concat(strong, mine), x -> struct(x.s AS s, x.e AS e))), "
-        "named_struct('p', 0, 'o', ''), "
-        f"(a, x) -> IF(x.e <= a.p, a, named_struct('p', x.e, 'o', IF(x.s < a.p, a.o, concat(a.o, substring(row.`{text_col}`, a.p + 1, x.s - a.p), '{mask}')))), "
-        f"a -> concat(a.o, substring(row.`{text_col}`, a.p + 1)))"
-    )
+    # Spans that begin before the end of an earlier one lie under the same mask.
+    spans = "array_sort(transform(concat(strong, mine), x -> struct(x.s AS s, x.e AS e)))"
+    masks = "filter(transform(spans, (x, i) -> struct(x.s AS s, get(reach, i) AS before)), x -> x.s >= x.before)"
+    covered = let("ends", "transform(spans, x -> x.e)", let("reach", before_each("ends", "greatest({a}, {b})", "0"), let("masks", masks, "struct(masks AS masks, array_max(ends) AS last)")))
+    # Texts are cut into blocks once, since a place far into a text is found by walking there.
+    blocks = f"regexp_extract_all(row.`{text_col}`, '(?s).{{1,{BLOCK}}}', 0)"
+    first, last = f"get(blocks, p.a div {BLOCK})", f"get(blocks, p.b div {BLOCK})"
+    whole = f"array_join(slice(blocks, p.a div {BLOCK} + 2, greatest(0, p.b div {BLOCK} - p.a div {BLOCK} - 1)), '')"
+    piece = f"IF(p.a div {BLOCK} = p.b div {BLOCK}, coalesce(substring({first}, p.a % {BLOCK} + 1, p.b - p.a), ''), concat(substring({first}, p.a % {BLOCK} + 1), {whole}, coalesce(substring({last}, 1, p.b % {BLOCK}), '')))"
+    between = f"concat(transform(c.masks, x -> struct(x.before AS a, x.s AS b)), array(struct(c.last AS a, char_length(row.`{text_col}`) AS b)))"
+    cut = let("spans", spans, let("c", covered, let("blocks", blocks, f"array_join(transform({between}, p -> {piece}), '{mask}')")))
     new = F.expr(f"IF(size(strong) + size(mine) = 0, row.`{text_col}`, {cut})")
     return found.select(*[(new if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])
