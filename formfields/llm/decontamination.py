@@ -15,7 +15,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, span_hashes, text_slices, window_hashes
+from .common import LOWER, STEP, mix, span_hashes, text_slices, window_hashes
 
 # Benchmarks up to this many bytes of text go to every task; larger ones are joined by seed.
 BROADCAST_BYTES = 32 << 20
@@ -51,20 +51,18 @@ def tile(left: np.ndarray, right: np.ndarray, min_tile: int) -> np.ndarray:
     tiles: list[tuple[int, int, int]] = []
     wanted = max(min(len(left), len(right)), 1)
     while wanted >= min_tile:
-        hits = unmarked_hits(left, right, a_free, b_free, wanted)
-        found = []
-        for i, j in hits:
-            n = wanted
-            while i + n < len(left) and j + n < len(right) and a_free[i + n] and b_free[j + n] and left[i + n] == right[j + n]:
-                n += 1
-            found.append((-n, i, j))
-        for n, i, j in sorted(found):
-            n = -n
+        i_hits, j_hits = unmarked_hits(left, right, a_free, b_free, wanted)
+        sizes = reaches(left, right, a_free, b_free, i_hits, j_hits, wanted)
+        found = np.lexsort((j_hits, i_hits, -sizes)).tolist()
+        for i, j, n in zip(i_hits[found].tolist(), j_hits[found].tolist(), sizes[found].tolist(), strict=True):
+            if not (a_free[i] and b_free[j] and a_free[i + n - 1] and b_free[j + n - 1]):
+                continue
             if a_free[i : i + n].all() and b_free[j : j + n].all() and (left[i : i + n] == right[j : j + n]).all():
                 a_free[i : i + n] = b_free[j : j + n] = False
                 tiles.append((i, j, n))
-        again = unmarked_hits(left, right, a_free, b_free, wanted) if found else []
-        if again:
+                if min(a_free.sum(), b_free.sum()) < wanted:
+                    break
+        if found and len(unmarked_hits(left, right, a_free, b_free, wanted)[0]):
             continue
         if wanted == min_tile:
             break
@@ -72,29 +70,80 @@ def tile(left: np.ndarray, right: np.ndarray, min_tile: int) -> np.ndarray:
     return np.array(tiles, np.int64).reshape(-1, 3)
 
 
-def unmarked_hits(left: np.ndarray, right: np.ndarray, a_free: np.ndarray, b_free: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """Starts of equal unmarked runs of n words (Karp-Rabin), without those that only continue another hit."""
+def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of n words, put together from those of 1, 2, 4, ... words."""
+    count, size, at = len(words) - n + 1, 1, 0
+    doubled, out = words, np.zeros(count, np.uint64)
+    while size <= n:
+        if n & size:
+            out = mix(out * STEP + doubled[at : at + count])
+            at += size
+        if 2 * size <= n:
+            doubled = mix(doubled[:-size] * STEP + doubled[size:])
+        size *= 2
+    return out
+
+
+def reaches(left: np.ndarray, right: np.ndarray, a_free: np.ndarray, b_free: np.ndarray, i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """How many words each hit of n words goes on for, as far as unmarked words agree; all hits grow side by side."""
+    sizes = np.full(len(i), n, np.int64)
+    growing = np.arange(len(i))
+    while len(growing):
+        x, y = i[growing] + sizes[growing], j[growing] + sizes[growing]
+        within = (x < len(left)) & (y < len(right))
+        growing, x, y = growing[within], x[within], y[within]
+        growing = growing[a_free[x] & b_free[y] & (left[x] == right[y])]
+        sizes[growing] += 1
+    return sizes
+
+
+def unmarked_hits(left: np.ndarray, right: np.ndarray, a_free: np.ndarray, b_free: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of equal unmarked runs of n words (Karp-Rabin), without those that only continue another hit.
+
+    A hit continues another where the unmarked words before it are equal. Starts are sorted by hash and word before, so
+    such pairs are passed over as a range: texts that repeat a word don't give all pairs of their places.
+    """
+    none = np.zeros(0, np.int64)
     if len(left) < n or len(right) < n:
-        return []
+        return none, none
 
     def open_runs(free: np.ndarray) -> np.ndarray:
         marked = np.concatenate(([0], np.cumsum(~free)))
         return np.flatnonzero(marked[n:] == marked[:-n])
 
+    def before(words: np.ndarray, free: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The unmarked word before each place, and whether there is one."""
+        there = (at > 0) & free[np.maximum(at - 1, 0)]
+        return np.where(there, words[np.maximum(at - 1, 0)], np.uint64(0)), there
+
     ia, ib = open_runs(a_free), open_runs(b_free)
     if not len(ia) or not len(ib):
-        return []
-    ha, hb = window_hashes(left, n)[ia], window_hashes(right, n)[ib]
-    order = np.argsort(hb, kind="stable")
-    lo, hi = np.searchsorted(hb[order], ha, "left"), np.searchsorted(hb[order], ha, "right")
-    out = []
-    for k in np.flatnonzero(hi > lo):
-        i = int(ia[k])
-        for j in ib[order[lo[k] : hi[k]]].tolist():
-            continues = i > 0 and j > 0 and a_free[i - 1] and b_free[j - 1] and left[i - 1] == right[j - 1]
-            if not continues:
-                out.append((i, j))
-    return out
+        return none, none
+    ha, hb = run_hashes(left, n)[ia], run_hashes(right, n)[ib]
+    known = np.isin(ha, hb)
+    ia, ha = ia[known], ha[known]
+    if not len(ia):
+        return none, none
+    (pa, ta), (pb, tb) = before(left, a_free, ia), before(right, b_free, ib)
+    hashes, number = np.unique(np.concatenate((ha, hb)), return_inverse=True)
+    words, word = np.unique(np.concatenate((pa, pb)), return_inverse=True)
+    width = len(words) + 1
+    key = number * width + np.where(np.concatenate((ta, tb)), word + 1, 0)
+    mine, theirs, own = key[: len(ia)], key[len(ia) :], number[: len(ia)]
+    order = np.argsort(theirs, kind="stable")
+    theirs = theirs[order]
+    lo, hi = np.searchsorted(theirs, own * width), np.searchsorted(theirs, (own + 1) * width)
+    # Places with the same word before; a start without one continues nothing.
+    skip_lo = np.where(ta, np.searchsorted(theirs, mine, "left"), lo)
+    skip_hi = np.where(ta, np.searchsorted(theirs, mine, "right"), lo)
+
+    def spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = last - first
+        at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
+        return np.repeat(ia, size), ib[order[at]]
+
+    parts = [spread(lo, skip_lo), spread(skip_hi, hi)]
+    return np.concatenate([i for i, _ in parts]), np.concatenate([j for _, j in parts])
 
 
 PAIR = "item_id long, item_words int, n_tiles int, longest_tile int, covered int, coverage double, tiles array<struct<doc_start:int,item_start:int,words:int>>"
