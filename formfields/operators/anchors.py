@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions.text import match_form
+from ..functions.text import behind, let, match_form
+from ..scratch import written
 from .words import page_extents
 
 
@@ -69,40 +70,108 @@ def mean(items: Column) -> Column:
     return F.aggregate(items, F.lit(0.0), lambda acc, x: acc + x) / F.size(items)
 
 
+# Tables of similar pairs up to this many rows go to every task; larger ones are joined by their strings.
+BROADCAST_PAIRS = 200_000
+
+
+def similar_pairs(pairs: DataFrame) -> DataFrame:
+    """p, q and their similarity: Ratcliff-Obershelp's ratio or the share that Levenshtein leaves, the larger. Each distinct pair (p, q) is compared once, however often a corpus has it."""
+    return rated_pairs(pairs).select("p", "q", F.greatest("ratio", levenshtein_share(F.col("p"), F.col("q"))).alias("similarity"))
+
+
+def rated_pairs(pairs: DataFrame) -> DataFrame:
+    """p, q and Ratcliff-Obershelp's ratio of the distinct pairs."""
+    once = pairs.select("p", "q").distinct()
+    return once.withColumn("ratio", sequence_ratios(F.array("p"), F.array("q"))[0])
+
+
+def joined_pairs(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """rows (p, q, ...) left join the written table `known` of pairs, whose size is checked before it is sent to every task."""
+    return rows.join(F.broadcast(known) if known.count() <= BROADCAST_PAIRS else known, ["p", "q"], "left")
+
+
+def page_rows(words: DataFrame) -> DataFrame:
+    """page_id, extents, and the words that have a match form as one array in their order: no, norm, line (block, paragraph, line) and box."""
+    word = F.struct(F.col("word_no").alias("no"), "norm", F.struct("block_num", "par_num", "line_num").alias("line"), "x", "y", "w", "h")
+    return words.withColumn("norm", match_form(F.col("text"))).groupBy("page_id").agg(
+        F.max(F.col("x") + F.col("w")).alias("ext_w"), F.max(F.col("y") + F.col("h")).alias("ext_h"), F.sort_array(F.collect_list(F.when(F.col("norm") != "", word))).alias("ws"),
+    )
+
+
+def label_scopes(words: DataFrame, anchors: DataFrame) -> DataFrame:
+    """page_id, anchor_no, anchor, min_score, aliases and ws: the words of each page in each anchor's search region, in their order. A page is one row, so nothing but its words is shuffled."""
+    listed = alias_tokens(anchors).groupBy("anchor_no").agg(F.sort_array(F.collect_list(F.struct("alias_no", "alias", "tokens", F.array_join("tokens", "").alias("joined")))).alias("aliases"))
+    rules = anchors.select("anchor_no", "anchor", "min_score", "rx", "ry", "rw", "rh").join(F.broadcast(listed), "anchor_no")
+    met = page_rows(words).join(F.broadcast(rules))
+    region = lambda share, whole: f"CAST({share} * {whole} AS int)"
+    inside = (
+        f"rx IS NULL OR (w.x + w.w / 2 BETWEEN {region('rx', 'ext_w')} AND {region('rx', 'ext_w')} + greatest(1, {region('rw', 'ext_w')}) "
+        f"AND w.y + w.h / 2 BETWEEN {region('ry', 'ext_h')} AND {region('ry', 'ext_h')} + greatest(1, {region('rh', 'ext_h')}))"
+    )
+    return behind(met, scope=F.expr(f"filter(ws, w -> {inside})")).select("page_id", "anchor_no", "anchor", "min_score", "aliases", F.col("scope").alias("ws")).where("size(ws) > 0")
+
+
+def phrases(by_token: str, merged: str, max_tokens: int) -> str:
+    """SQL: the pairs of an alias and a phrase of ws that meet a condition, as structs (alias_no, kind, m, i, n, alias): kind 0 token by token, kind 1 run together.
+
+    A phrase is n words in a row on one line from place i on; m is n where the phrase is run together, else 0.
+    """
+    one_line = "forall(slice(ws, i + 2, n - 1), v -> v.line = w.line)"
+    cell = lambda kind, m: f"named_struct('alias_no', l.alias_no, 'kind', {kind}, 'm', {m}, 'i', i, 'n', n, 'alias', l.alias)"
+    place = lambda n, test, made: f"filter(transform(ws, (w, i) -> get(transform(array({n}), n -> IF(i + n <= size(ws) AND ({test}) AND {one_line}, {made}, NULL)), 0)), x -> x IS NOT NULL)"
+    tokenwise = f"flatten(transform(filter(aliases, l -> size(l.tokens) <= {max_tokens}), l -> {place('size(l.tokens)', by_token, cell(0, 0))}))"
+    together = f"flatten(transform(filter(aliases, l -> size(l.tokens) > 1), l -> flatten(transform(array(1, 2, 3), k -> {place('k', merged, cell(1, 'n'))}))))"
+    return f"concat({tokenwise}, {together})"
+
+
+def bound_of(a: str, b: str) -> str:
+    """SQL: no mean similarity of the strings of two arrays, place by place, is higher; only characters that occur in both can match."""
+    common = "least(char_length(x) - char_length(translate(x, y, '')), char_length(y) - char_length(translate(y, x, '')))"
+    one = f"greatest(2.0D * {common} / (char_length(x) + char_length(y)), CAST({common} AS double) / greatest(char_length(x), char_length(y)))"
+    return f"aggregate(zip_with({a}, {b}, (x, y) -> {one}), 0.0D, (s, v) -> s + v) / size({a})"
+
+
 def match_anchors(words: DataFrame, anchors: DataFrame, exact: bool = False, max_tokens: int = 4) -> DataFrame:
     """page_id, anchor, alias, score and box of the best phrase of each anchor on each page.
 
     A phrase is n words in a row on one line, or one to three words run together that match the alias without its
-    blanks. Scores are the mean similarity of tokens. Where a phrase of a page equals an alias of an anchor, no other
-    can be better, so only the rest is compared, and of that only what can reach the least score. All of it keeps
-    the partitioning by page and anchor. exact: equality only, no Python.
+    blanks. Scores are the mean similarity of tokens. A page is one row with its words as an array. Where a phrase of a
+    page equals an alias of an anchor, no other can be better. Of the rest, what can reach the least score is written with
+    the labels found, and its distinct pairs of strings are compared once over the corpus. exact: equality only, no Python
+    and no table.
     """
-    scoped = scope_words(words, anchors).withColumn("norm", match_form(F.col("text"))).where("norm <> ''")
-    group = Window.partitionBy("page_id", "anchor_no")
-    order = group.orderBy("word_no")
-    word = F.struct("norm", "block_num", "par_num", "line_num", "x", "y", "w", "h")
-    # The word and those after it on the page; a run ends where the line changes.
-    following = scoped.withColumn("ws", F.collect_list(word).over(order.rowsBetween(0, max_tokens - 1)))
-    on_line = lambda n: F.forall(F.slice("ws", 1, n), lambda v: (v["block_num"] == F.col("block_num")) & (v["par_num"] == F.col("par_num")) & (v["line_num"] == F.col("line_num")))
-    runs = following.select("page_id", "anchor_no", "anchor", "word_no", "ws", F.explode(F.filter(F.sequence(F.lit(1), F.size("ws")), lambda n: on_line(n))).alias("n"))
-    phrases = runs.select("page_id", "anchor_no", "anchor", "word_no", "n", F.slice("ws", 1, F.col("n")).alias("bs")).withColumn("ts", F.transform("bs", lambda v: v["norm"])).withColumn("joined", F.array_join("ts", ""))
-    aliases = F.broadcast(alias_tokens(anchors).select("anchor_no", "alias_no", "alias", "min_score", "tokens", "n_tokens", F.array_join("tokens", "").alias("alias_joined")))
-    by_token = F.when(F.col("n") == F.col("n_tokens"), F.struct(F.lit(0).alias("kind"), F.col("ts").alias("a"), F.col("tokens").alias("b")))
-    merged = F.when((F.col("n_tokens") > 1) & (F.col("n") <= 3) & (F.abs(F.length("joined") - F.length("alias_joined")) <= 2), F.struct(F.lit(1).alias("kind"), F.array("joined").alias("a"), F.array("alias_joined").alias("b")))
-    met = phrases.join(aliases, "anchor_no").select("page_id", "anchor_no", "anchor", "word_no", "n", "bs", "alias_no", "alias", "min_score", F.explode(F.array_compact(F.array(by_token, merged))).alias("c"))
-    met = met.select("*", "c.kind", "c.a", "c.b").drop("c").withColumn("equal", F.col("a") == F.col("b"))
+    scopes = label_scopes(words, anchors)
+    words_of = "transform(slice(ws, i + 1, n), v -> v.norm)"
+    equal = phrases(f"w.norm = l.tokens[0] AND {words_of} = l.tokens", f"startswith(l.joined, w.norm) AND array_join({words_of}, '') = l.joined", max_tokens)
+    box = lambda c: f"get(transform(array(slice(ws, {c}.i + 1, {c}.n)), bs -> get(transform(array(struct(array_min(transform(bs, b -> b.x)) AS x, array_min(transform(bs, b -> b.y)) AS y)), o -> struct(o.x AS x, o.y AS y, array_max(transform(bs, b -> b.x + b.w)) - o.x AS w, array_max(transform(bs, b -> b.y + b.h)) - o.y AS h)), 0)), 0)"
+    sure = behind(scopes, best=F.expr(f"array_min({equal})"))
     if exact:
-        scored = met.where("equal").withColumn("score", F.lit(1.0))
-    else:
-        able = F.col("equal") | (mean(F.zip_with("a", "b", similarity_bound)) >= F.col("min_score") - 1e-9)
-        rest = met.where(able).withColumn("any_equal", F.max("equal").over(group)).where("equal OR NOT any_equal")
-        sims = F.zip_with(sequence_ratios("a", "b"), F.zip_with("a", "b", levenshtein_share), lambda x, y: F.greatest(x, y))
-        scored = rest.withColumn("score", mean(sims))
-    rank = group.orderBy(F.desc("score"), "alias_no", "kind", F.when(F.col("kind") == 1, F.col("n")).otherwise(0), "word_no")
-    best = scored.where("score >= min_score").withColumn("rn", F.row_number().over(rank)).where("rn = 1")
-    low = lambda c: F.array_min(F.transform("bs", lambda b: b[c]))
-    high = lambda c, s: F.array_max(F.transform("bs", lambda b: b[c] + b[s]))
-    return best.select("page_id", "anchor", "alias", "score", low("x").alias("ax"), low("y").alias("ay"), (high("x", "w") - low("x")).alias("aw"), (high("y", "h") - low("y")).alias("ah"))
+        return placed(sure.where("best IS NOT NULL").selectExpr("page_id", "anchor", "best.alias AS alias", "1.0D AS score", f"{box('best')} AS box"))
+    near = phrases("true", f"abs(char_length(array_join({words_of}, '')) - char_length(l.joined)) <= 2", max_tokens)
+    alias = "get(filter(aliases, l -> l.alias_no = c.alias_no), 0)"
+    texts = "transform(slice(ws, c.i + 1, c.n), v -> v.norm)"
+    sides = f"struct(c, IF(c.kind = 0, {texts}, array(array_join({texts}, ''))) AS a, IF(c.kind = 0, {alias}.tokens, array({alias}.joined)) AS b)"
+    able = f"filter(transform({near}, c -> {sides}), s -> {bound_of('s.a', 's.b')} >= min_score - 1e-9)"
+    rest = f"IF(best IS NULL, transform({able}, s -> struct(s.c AS c, {box('s.c')} AS box, s.a AS a, s.b AS b)), NULL)"
+    held = written(sure.selectExpr("page_id", "anchor_no", "anchor", "min_score", "best.alias AS alias", f"IF(best IS NULL, NULL, {box('best')}) AS box", f"{rest} AS candidates").where("box IS NOT NULL OR size(candidates) > 0"), "labels")
+    found = held.where("box IS NOT NULL").select("page_id", "anchor", "alias", F.lit(1.0).alias("score"), "box")
+    return placed(found.unionByName(similar_phrases(held.where("box IS NULL"))))
+
+
+def placed(found: DataFrame) -> DataFrame:
+    return found.select("page_id", "anchor", "alias", "score", F.col("box.x").alias("ax"), F.col("box.y").alias("ay"), F.col("box.w").alias("aw"), F.col("box.h").alias("ah"))
+
+
+def similar_phrases(held: DataFrame) -> DataFrame:
+    """page_id, anchor, alias, score and box of the best of the candidates (c, box, a, b) of each page and anchor that reaches the least score."""
+    parts = held.select("page_id", "anchor", "min_score", F.explode("candidates").alias("s")).select("page_id", "anchor", "min_score", "s.c", "s.box", F.posexplode(F.arrays_zip(F.col("s.a").alias("p"), F.col("s.b").alias("q"))).alias("k", "pair"))
+    parts = parts.select("page_id", "anchor", "min_score", "c", "box", "k", "pair.p", "pair.q")
+    known = written(similar_pairs(parts.where("p <> q")), "pairs")
+    rated = joined_pairs(parts, known).withColumn("similarity", F.coalesce("similarity", F.lit(1.0)))
+    scored = rated.groupBy("page_id", "anchor", "min_score", "c", "box").agg(F.sort_array(F.collect_list(F.struct("k", "similarity"))).alias("sims"))
+    scored = scored.withColumn("score", mean(F.transform("sims", lambda s: s["similarity"]))).where("score >= min_score")
+    best = scored.groupBy("page_id", "anchor").agg(F.min(F.struct((-F.col("score")).alias("lost"), "c", "box")).alias("b"))
+    return best.select("page_id", "anchor", F.col("b.c.alias").alias("alias"), (-F.col("b.lost")).alias("score"), F.col("b.box").alias("box"))
 
 
 def alias_overlap_probe(words: DataFrame, anchors: DataFrame, lines: DataFrame) -> DataFrame:
@@ -153,11 +222,14 @@ def anchor_debug(words: DataFrame, anchors: DataFrame) -> DataFrame:
     ).where(center_in("x", "y", "w", "h", F.col("region_x"), F.col("region_y"), F.col("region_w"), F.col("region_h")))
     normed = boxed.withColumn("word_norm", match_form(F.col("text")))
     tokens = F.flatten(F.transform("aliases", lambda a: F.transform(F.filter(F.split(match_form(a), " "), lambda t: t != ""), lambda t: F.struct(a.alias("alias"), t.alias("token")))))
-    paired = normed.withColumn("pairs", F.when(F.col("word_norm") != "", tokens).otherwise(F.array().cast("array<struct<alias:string,token:string>>")))
-    rated = paired.withColumn("ratios", sequence_ratios(F.transform("pairs", lambda _p: F.col("word_norm")), F.transform("pairs", lambda p: p["token"])))
+    # Words and tokens without a common character have the ratio 0; the others are distinct pairs of one table.
+    wanted = words.select(match_form(F.col("text")).alias("p")).where("p <> ''").distinct().join(F.broadcast(anchors.select(F.explode(tokens).alias("t")).select(F.col("t.token").alias("q")).distinct()))
+    known = written(rated_pairs(wanted.where(similarity_bound(F.col("p"), F.col("q")) > 0)), "ratios")
+    listed = known.groupBy("p").agg(F.map_from_entries(F.collect_list(F.struct("q", "ratio"))).alias("ratios")).withColumnRenamed("p", "word_norm")
+    rated = normed.join(F.broadcast(listed) if known.count() <= BROADCAST_PAIRS else listed, "word_norm", "left")
     best = F.aggregate(
-        F.arrays_zip(F.col("pairs"), F.col("ratios")), F.struct(F.lit("").alias("alias"), F.lit(0.0).alias("score")),
-        lambda b, p: F.when(p["ratios"] > b["score"], F.struct(p["pairs"]["alias"].alias("alias"), p["ratios"].alias("score"))).otherwise(b),
+        tokens, F.struct(F.lit("").alias("alias"), F.lit(0.0).alias("score")),
+        lambda b, p: let(F.coalesce(F.get(F.array(F.col("ratios")[p["token"]]), 0), F.lit(0.0)), lambda r: F.when(r > b["score"], F.struct(p["alias"].alias("alias"), r.alias("score"))).otherwise(b)),
     )
     out = rated.withColumn("best", best)
     return out.select(
