@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import pickle
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,6 +12,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import clear_written, dropped, scratch, shared_dir, written
+
+__all__ = ["clear_written", "dropped", "scratch", "shared_dir", "written"]
 # Bytes of text that one pass of the numpy code holds; a longer single text is taken whole.
 SLICE_BYTES = 1 << 21
 M1, M2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -23,26 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset a session in one process (local[...]) makes its own; others have no folder that executors elsewhere can read, and must name one."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.formfields.shared.dir", None)
-    if not found:
-        master = spark.conf.get("spark.master", "")
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and the executors of {master} share")
-        found = "file://" + tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
-        spark.conf.set("spark.formfields.shared.dir", found)
-    return found
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write a table into the shared folder and read it again. Survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fitted_in_task(sample: DataFrame, fit: Callable[[pd.DataFrame], object]) -> object:
     """What `fit` makes of a sample with a stated bound, in one task rather than on the driver; None of an empty one."""
     made = sample.groupBy(F.lit(0).alias("all")).applyInPandas(lambda rows: pd.DataFrame({"model": [pickle.dumps(fit(rows))]}), "model binary").first()

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fitted_in_task, hashed_words, held_texts, text_slices, written
+from .common import dropped, fitted_in_task, hashed_words, held_texts, text_slices, written
 
 BITS = 18
 # Bounds of the fitted sample of labelled rows.
@@ -211,6 +211,8 @@ def with_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | N
     """
     targets = targets or TARGETS
     model = fitted_domains(docs, labels)
-    multipliers, _ = fit_multipliers(written(posteriors(docs, model, keep=["doc_id"]), "posteriors"), targets, rounds=rounds)
+    members = written(posteriors(docs, model, keep=["doc_id"]), "posteriors")
+    multipliers, _ = fit_multipliers(members, targets, rounds=rounds)
+    dropped(members)
     rated = posteriors(docs, model, keep=[c for c in docs.columns if c != "rate"])
     return rated.withColumn("rate", F.expr(rate_of(multipliers, tuple(targets))))

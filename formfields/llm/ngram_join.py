@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, hashed_words, mix, text_slices, window_hashes, written
+from .common import dropped, SLICE_BYTES, hashed_words, mix, text_slices, window_hashes, written
 from .components import smallest_reachable
 
 # Shingles that a fragment's task holds on average.
@@ -303,19 +303,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
     fragments = int(max(1, -(-total // FRAGMENT_ROWS)))
     reps = written(class_sets(source.where("rid IS NOT NULL"), width, percent, fragments, hot_shingles(found, hot_rows)), "class-sets")
     postings = written(exploded(reps, percent), "postings")
-    every = written(overlaps(hub_pairs(postings, percent), reps, percent), "hub-links")
-    roots = smallest_reachable(every)
+    found_links = [written(overlaps(hub_pairs(postings, percent), reps, percent), "hub-links")]
+    roots = smallest_reachable(found_links[0])
     for meet in (lambda r: hub_pairs(postings, percent, r), lambda r: cross_pairs(postings, r, percent)):
         more = written(overlaps(meet(roots), reps, percent), "more-links")
         if more.limit(1).count():
-            roots = smallest_reachable(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-            every = every.unionByName(more)
+            last, roots = roots, smallest_reachable(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+            dropped(last)
+            found_links.append(more)
+        else:
+            dropped(more)
+    dropped(reps, postings)
+    every = found_links[0]
+    for more in found_links[1:]:
+        every = every.unionByName(more)
+    if not links:
+        dropped(*found_links)
     # Rows of one id are one node: where their sets differ, the classes are one component.
     held = sizes.where("rid IS NOT NULL AND n > 0")
     torn = held.groupBy("rid").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("rid", "a")
     tied = written(held.select("rid", F.col("key").alias("b")).join(torn, "rid").where("a <> b").select("a", "b").distinct(), "tied-classes")
     if tied.limit(1).count():
-        roots = smallest_reachable(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(tied))
+        last, roots = roots, smallest_reachable(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(tied))
+        dropped(last)
+    dropped(tied)
     classes = held.groupBy("key").agg(F.min("rid").alias("rep")).join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     # One component may have very many classes: each looks up its lowest id in one of several places.
     lowest = classes.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n")).where("n > 1")

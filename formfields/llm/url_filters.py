@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import dropped, written
 
 # Wildcards: a variable segment, siblings that were merged (all alike; better and worse than the others), all deeper than the tree.
 VARIABLE, MERGED, BETTER, WORSE, TAIL = "/*", "/~", "/~good", "/~bad", "/**"
@@ -106,6 +106,7 @@ def templates(paths: DataFrame, support: int = SUPPORT) -> DataFrame:
     """
     rows = paths.withColumn("segments", F.expr("transform(slice(split(shape, '/'), 2, 99), s -> concat('/', s))")).withColumn("template", F.lit(""))
     depth = min(DEPTH + 1, rows.agg(F.max(F.size("segments"))).first()[0] or 0)
+    held: DataFrame | None = None
     for level in range(depth):
         # The end of a path is a value like others, but is never variable.
         rows = rows.withColumn("value", F.coalesce(F.get("segments", F.lit(level)), F.lit("")))
@@ -119,6 +120,9 @@ def templates(paths: DataFrame, support: int = SUPPORT) -> DataFrame:
         branch = F.coalesce("branch", F.when(F.col("value") == "", F.lit("")).otherwise(F.lit(VARIABLE)))
         rows = salted_join(rows, kept, ["host", "template", "value"]).withColumn("template", F.concat("template", branch)).drop("branch", "value")
         rows = written(rows, "templates")
+        if held:
+            dropped(held)
+        held = rows
     return rows.drop("segments")
 
 

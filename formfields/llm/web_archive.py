@@ -2,8 +2,8 @@
 
 Files are written with Spark's text sink (one record per row, its end as the line separator) and read whole, one
 file a row, so they work on any store. A writer of ARC files starts a new one after so many records as make up
-FILE_BYTES at most; records larger than that have files of their own. WARC files are bounded by FILE_RECORDS and by the
-partitions of the shuffle that they come from. Payloads are bytes throughout and need be no text.
+FILE_BYTES at most; records larger than that have files of their own. WARC files are bounded in the same way by
+FILE_RECORDS and WARC_BYTES. Payloads are bytes throughout and need be no text.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FILE_RECORDS, FILE_BYTES = 2000, 64 << 20
-# Payload bytes up to which records lie in files of FILE_RECORDS, of an eighth of that, and so on.
-SMALL = FILE_BYTES // FILE_RECORDS
+from .common import dropped, written
+
+FILE_RECORDS, FILE_BYTES, WARC_BYTES = 2000, 64 << 20, 256 << 20
 # The header lines of a version block, and the fields of a record line, by ARC version.
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -55,12 +55,13 @@ def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
         lines.select("value").write.mode("append").text(path)
 
 
-def size_class() -> Column:
-    """0 for payloads up to SMALL bytes, then one more for each factor of eight, and the last for all beyond FILE_BYTES."""
-    size = F.octet_length("html")
-    classes = F.when(size <= SMALL, 0)
+def size_class(size: Column | None = None, file_bytes: int = FILE_BYTES) -> Column:
+    """0 for payloads of which FILE_RECORDS make up file_bytes at most, then one more for each factor of eight, and the last for all beyond."""
+    size = F.octet_length("html") if size is None else size
+    small = file_bytes // FILE_RECORDS
+    classes = F.when(size <= small, 0)
     for k in range(1, 5):
-        classes = classes.when(size <= SMALL << 3 * k, k)
+        classes = classes.when(size <= small << 3 * k, k)
     return classes.otherwise(5)
 
 
@@ -188,16 +189,21 @@ def as_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
-def with_types(records: DataFrame, at_least: int = 0) -> DataFrame:
+def payloads_known(records: DataFrame) -> DataFrame:
+    """payload_digest, payload_bytes and, of the records with an HTTP head, the last (page_id, record_id) that has it."""
+    http = F.octet_length("http") > 0
+    return records.groupBy("payload_digest", "payload_bytes").agg(F.max(F.when(http, F.struct("page_id", "record_id"))).alias("last"))
+
+
+def with_types(records: DataFrame, known: DataFrame, at_least: int = 0) -> DataFrame:
     """record_type, refers_to and refers_id: of records with equal payloads of at_least bytes or more, the one with the largest page id is the response.
 
     A payload that very many pages share is one row after partial aggregation; the join's other side can be split. Of
     pages that tie in their id (or have none: those come last) the greatest identifier is the response. Records without
-    an HTTP head are resources, and neither refer nor are referred to.
+    an HTTP head are resources, and neither refer nor are referred to. known is what payloads_known finds in the records.
     """
     http = F.octet_length("http") > 0
-    last = records.where(http & (F.col("payload_bytes") >= at_least)).groupBy("payload_digest", "payload_bytes").agg(F.max(F.struct("page_id", "record_id")).alias("last"))
-    both = records.join(last, ["payload_digest", "payload_bytes"], "left")
+    both = records.join(known.where(F.col("last").isNotNull() & (F.col("payload_bytes") >= at_least)), ["payload_digest", "payload_bytes"], "left")
     revisit = http & F.col("last").isNotNull() & ~F.col("record_id").eqNullSafe(F.col("last.record_id"))
     return both.select(*records.columns, F.when(revisit, "revisit").when(http, "response").otherwise("resource").alias("record_type"), F.when(revisit, F.col("last.page_id")).alias("refers_to"), F.when(revisit, F.col("last.record_id")).alias("refers_id"))
 
@@ -221,9 +227,12 @@ def warc_text(records: DataFrame) -> Column:
     )
 
 
-def write_warc(records: DataFrame, path: str) -> None:
-    out = records.select(warc_text(records).alias("value"))
-    out.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(path)
+def write_warc(records: DataFrame, path: str, classes: list[int]) -> None:
+    """WARC files of the records, those of each size class apart, so that a file holds WARC_BYTES of payloads at most or a single record."""
+    out = records.select(warc_text(records).alias("value"), size_class(F.col("payload_bytes"), WARC_BYTES).alias("size_class"))
+    for size in classes or [0]:
+        rows = out.where(F.col("size_class") == size).select("value")
+        rows.write.mode("append").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", max(1, FILE_RECORDS >> 3 * size)).option("compression", "gzip").text(path)
 
 
 def warc_records(content: bytes) -> Iterator[tuple[dict, bytes]]:
@@ -268,6 +277,13 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 
 
 def archive_to_warc(spark: SparkSession, arc_path: str, warc_path: str, at_least: int = 0) -> None:
-    """Convert ARC files to WARC files, equal payloads of at_least bytes or more kept once."""
-    records = with_types(convert_arc(read_files(spark, arc_path)), at_least)
-    write_warc(records, warc_path)
+    """Convert ARC files to WARC files, equal payloads of at_least bytes or more kept once.
+
+    Records that repeat are a record each. A folder of ARC files without records gives WARC files without records; one
+    without files is an error of the reader.
+    """
+    records = convert_arc(read_files(spark, arc_path))
+    known = written(payloads_known(records), "payloads")
+    classes = sorted(r[0] for r in known.select(size_class(F.col("payload_bytes"), WARC_BYTES)).distinct().collect())
+    write_warc(with_types(records, known, at_least), warc_path, classes)
+    dropped(known)

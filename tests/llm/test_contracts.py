@@ -170,3 +170,45 @@ def test_quality_keeps_rows_by_their_own_text(spark):
     kept = [(r.doc_id, len(r.text)) for r in quality_rules.keep_good(table(spark, rows)).collect()]
     assert sorted(kept, key=str) == sorted([(1, len(good)), (None, len(good)), (4, len(rows[-1][1]))], key=str)
     assert quality_rules.keep_good(table(spark, [])).count() == 0 and quality_rules.quality_rules(table(spark, [])).count() == 0
+
+
+def test_long_texts_of_few_words_are_tiled_in_time():
+    import time
+
+    began = time.time()
+    for n_doc, n_item in ((20_000, 1_000), (1_000_000, 1_000)):
+        tiles = D.tile(D.text_words("word " * n_doc), D.text_words("word " * n_item), 5)
+        assert tiles.tolist() == [[0, 0, n_item]]
+    rng = np.random.default_rng(3)
+    for _ in range(80):
+        doc, item = rng.integers(0, 2, rng.integers(1, 60)).astype(np.uint64), rng.integers(0, 2, rng.integers(1, 30)).astype(np.uint64)
+        got = D.tile(doc, item, 3)
+        covered_doc, covered_item = np.zeros(len(doc), int), np.zeros(len(item), int)
+        for i, j, n in got:
+            assert (doc[i : i + n] == item[j : j + n]).all()
+            covered_doc[i : i + n] += 1
+            covered_item[j : j + n] += 1
+        assert max(covered_doc.max(), covered_item.max()) <= 1
+        longest = max((n for n in range(1, len(item) + 1) for j in range(len(item) - n + 1) if any((doc[i : i + n] == item[j : j + n]).all() for i in range(len(doc) - n + 1))), default=0)
+        assert longest < 3 and not len(got) or longest >= 3 and got[:, 2].max() == longest
+    assert time.time() - began < 60
+
+
+def test_long_lists_of_checksums_are_scanned_and_masked_in_time(spark):
+    import time
+
+    began = time.time()
+    sums = [hashlib.md5(str(k).encode()).hexdigest() for k in range(40_000)]
+    text = "\n".join(f"é {s}" for s in sums)
+    found = secrets.scan_secrets(table(spark, [(1, text)])).first()
+    assert found.n_hex == len(sums) and found.spans.startswith("hex:2:34,hex:37:69,")
+    masked = [r.text for r in secrets.redact(table(spark, [(1, text), (2, None), (3, "no secrets"), (4, "token=abcdef0123456789abcdef0123456789 end")])).orderBy("doc_id").collect()]
+    assert masked == ["\n".join("é [SECRET]" for _ in sums), None, "no secrets", "[SECRET] end"]
+    assert time.time() - began < 60
+
+
+def test_masks_over_block_edges(spark):
+    rng = np.random.default_rng(5)
+    for at in (secrets.BLOCK - 40, secrets.BLOCK - 16, secrets.BLOCK, 2 * secrets.BLOCK - 32, 5000):
+        text = "é" * at + " " + "ab12" * 8 + " " + "x" * int(rng.integers(0, 3 * secrets.BLOCK)) + " password=hunter22;" + "𝒳" * 3000
+        assert secrets.redact(table(spark, [(1, text)])).first().text == re.sub("password=hunter22|(ab12){8}", "[SECRET]", text)

@@ -88,8 +88,17 @@ def test_legacy_files_with_damage(spark, tmp_path):
 
 def test_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(A, "FILE_RECORDS", 8)
-    monkeypatch.setattr(A, "SMALL", 100)
-    rows = [(k, f"http://a/{k}", b"s" * 50) for k in range(20)] + [(100 + k, f"http://b/{k}", b"m" * 700) for k in range(5)]
+    monkeypatch.setattr(A.size_class, "__defaults__", (None, 800))
+    monkeypatch.setattr(A, "WARC_BYTES", 800)
+    rows = [(k, f"http://a/{k}", b"s%3d" % k + b"s" * 46) for k in range(20)] + [(100 + k, f"http://b/{k}", b"m" * 700 + b"%d" % k) for k in range(5)]
     A.write_arc(table(spark, rows).coalesce(1), f"file://{tmp_path}/arc")
     counts = sorted(sum("skipped" not in r for r in A.arc_records(gzip.decompress(f.read_bytes()))) for f in (tmp_path / "arc").glob("*.gz"))
     assert counts == [1] * 5 + [4, 8, 8]
+    assert len(read_back(spark, f"file://{tmp_path}")) == 25
+    held = [[int(h["X-Payload-Length"]) for h, _ in A.warc_records(gzip.decompress(f.read_bytes()))] for f in (tmp_path / "warc").glob("*.gz")]
+    assert sum(map(len, held)) == 25 and all(len(sizes) == 1 or sum(sizes) <= 800 for sizes in held)
+
+
+def test_empty_archives(spark, tmp_path):
+    A.write_arc(table(spark, []), f"file://{tmp_path}/arc")
+    assert read_back(spark, f"file://{tmp_path}") == []
