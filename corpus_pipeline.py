@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formfields.llm.common import shared_dir, table
+from formfields.llm.common import scratch, shared_dir, table
 from formfields.llm.decontamination import decontaminate
 from formfields.llm.mixing import with_rates
 from formfields.llm.ngram_join import one_of_each
@@ -44,9 +44,15 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with the rate at which to draw each, its tokens and domain posteriors; columns of those names give way."""
-    return with_rates(docs, table(spark, sf_dir, "labels"))
+    """All documents with the rate at which to draw each, its tokens and domain posteriors; columns of those names give way.
 
+    The quality rules have removed the poor documents, so good and toxic have targets and what is left of poor has none.
+    """
+    return with_rates(docs, table(spark, sf_dir, "labels"), TARGETS)
+
+
+# Shares of the expected tokens of the domains that the last stage's input can meet.
+TARGETS = {"good": 0.98, "toxic": 0.02}
 
 STAGES = [
     ("quality_rules", keep_quality),
@@ -65,6 +71,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = f"{shared_dir(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         path = f"{at}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
