@@ -14,6 +14,7 @@ from .operators import layout as L
 from .operators import second_pass as S
 from .operators import words as W
 from .operators.candidates import page_regex_candidates, region_words
+from .operators.extraction import extract_fields
 from .operators.run import run_corpus
 from .oracles import later_sql
 from .plans.rules import ANCHORS, FIELD_ORDER, FIELDS, anchor_rules, field_rules
@@ -159,7 +160,7 @@ def q_clean_digits(spark: SparkSession, d: str) -> DataFrame:
 
 def q_extract_fields(spark: SparkSession, d: str) -> DataFrame:
     words, anchors = found(spark, d, exact=False)
-    return V.extract_fields(words, forms.pages(words), field_rules(spark), anchors)
+    return extract_fields(words, forms.pages(words), field_rules(spark), anchors)
 
 
 def q_run_corpus(spark: SparkSession, d: str) -> DataFrame:

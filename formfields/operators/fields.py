@@ -10,7 +10,6 @@ from ..functions.filters import ADDRESS_WORDS, TYPE_BLEED, field_filter, post_cl
 from ..functions.text import PLATE, behind, cleaned, collapsed, folded, is_mixed, null_if_blank, validated, vin_in_context
 from .anchors import center_in
 from .brands import canonical_brands
-from .candidates import crop_candidates, page_regex_candidates, region_candidates
 from .words import assemble_lines
 
 
@@ -26,35 +25,47 @@ def boxed(df: DataFrame, keep: list[str], x: Column, y: Column, w: Column, h: Co
     return df.select(*keep, cx.alias("rx"), cy.alias("ry"), cw.alias("rw"), ch.alias("rh"))
 
 
-def resolve_rois(pages: DataFrame, rules: DataFrame, anchors: DataFrame) -> DataFrame:
-    """The region of each page and field: the anchor's box moved by the rule's offset, else the rule's fallback, else no row."""
-    every = pages.crossJoin(F.broadcast(rules)).join(anchors.select("page_id", "anchor", "ax", "ay", "aw", "ah"), ["page_id", "anchor"], "left")
-    part = lambda share, whole: (F.col(share) * F.col(whole)).cast("int")
+def part(share: str, whole: str) -> Column:
+    return (F.col(share) * F.col(whole)).cast("int")
+
+
+def roi_cells() -> tuple[Column, tuple[Column, Column, Column, Column]]:
+    """Whether a page and rule (with its anchor's box ax, ay, aw, ah, or nulls) have a region, and its box before it is moved into the page."""
     by_anchor = F.col("ax").isNotNull() & F.col("dx").isNotNull()
     pick = lambda a, b: F.when(by_anchor, a).otherwise(b)
-    held = every.where(by_anchor | F.col("fx").isNotNull())
-    return boxed(
-        held, ["page_id", "field"], pick(F.col("ax") + part("dx", "doc_w"), part("fx", "doc_w")), pick(F.col("ay") + part("dy", "doc_h"), part("fy", "doc_h")),
+    cells = (
+        pick(F.col("ax") + part("dx", "doc_w"), part("fx", "doc_w")), pick(F.col("ay") + part("dy", "doc_h"), part("fy", "doc_h")),
         pick(F.greatest(F.lit(1), part("dw", "doc_w")), F.greatest(F.lit(1), part("fw", "doc_w"))), pick(F.greatest(F.lit(1), part("dh", "doc_h")), F.greatest(F.lit(1), part("fh", "doc_h"))),
     )
+    return by_anchor | F.col("fx").isNotNull(), cells
 
 
-def value_windows(pages: DataFrame, rules: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Where the value of each anchor found is looked for: a box to the right of the label, or below it."""
-    met = anchors.join(F.broadcast(rules), "anchor").join(pages, "page_id")
-    part = lambda share, whole: (F.col(share) * F.col(whole)).cast("int")
-    sized = lambda a, b, whole: ((F.col(b) + (F.col(a) if isinstance(a, str) else a)) * F.col(whole)).cast("int")
+def window_cells() -> tuple[Column, Column, Column, Column]:
+    """Where the value of a label is looked for, before the box is moved into the page: to the right of the label, or below it."""
+    sized = lambda a, b, whole: ((F.col(b) + F.col(a)) * F.col(whole)).cast("int")
     right = F.col("direction") == "right"
     pick = lambda a, b: F.when(right, a).otherwise(b)
     across = ((F.col("mr") - F.col("ml")) * F.col("doc_w")).cast("int")
     down = ((F.col("mb") - F.col("mt")) * F.col("doc_h")).cast("int")
-    return boxed(
-        met, ["page_id", "field", "direction", "ax", "ay", "aw", "ah"],
+    return (
         pick(F.col("ax") + F.col("aw") + part("ml", "doc_w"), F.col("ax") - part("ml", "doc_w")), pick(F.col("ay") - part("mt", "doc_h"), F.col("ay") + F.col("ah") + part("mt", "doc_h")),
         F.greatest(F.lit(1), pick(across, F.col("aw") + sized("ml", "mr", "doc_w"))), F.greatest(F.lit(1), pick(F.col("ah") + sized("mt", "mb", "doc_h"), down)),
     )
 
 
+def resolve_rois(pages: DataFrame, rules: DataFrame, anchors: DataFrame) -> DataFrame:
+    """The region of each page and field: the anchor's box moved by the rule's offset, else the rule's fallback, else no row."""
+    every = pages.crossJoin(F.broadcast(rules)).join(anchors.select("page_id", "anchor", "ax", "ay", "aw", "ah"), ["page_id", "anchor"], "left")
+    held, cells = roi_cells()
+    return boxed(every.where(held), ["page_id", "field"], *cells)
+
+
+def value_windows(pages: DataFrame, rules: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Where the value of each anchor found is looked for: a box to the right of the label, or below it."""
+    met = anchors.join(F.broadcast(rules), "anchor").join(pages, "page_id")
+    return boxed(met, ["page_id", "field", "direction", "ax", "ay", "aw", "ah"], *window_cells())
+
+
 def words_in(words: DataFrame, regions: DataFrame) -> DataFrame:
     """Words whose centre lies in a region of their page, with that region's columns."""
     return words.join(regions, "page_id").where(center_in("x", "y", "w", "h", F.col("rx"), F.col("ry"), F.col("rw"), F.col("rh")))
@@ -169,30 +180,10 @@ def chosen(scored: DataFrame, pages: DataFrame, rules: DataFrame) -> DataFrame:
     return every.select("page_id", "field", "value", "raw", F.coalesce("method", F.lit("empty_fallback")).alias("method"), F.coalesce("confidence_score", F.lit(0)).alias("confidence_score"), F.coalesce(F.col("confidence_score") < F.col("threshold"), F.col("threshold") > 0).alias("low_confidence"))
 
 
-def candidate_pool(words: DataFrame, pages: DataFrame, rules: DataFrame, anchors: DataFrame, page_regex: bool = False, crops: DataFrame | None = None) -> DataFrame:
-    """Scored candidates of all families: words of the regions, page patterns (off by default), lines beside labels, lines of regions, crop readings."""
-    rois = resolve_rois(pages, rules, anchors)
-    by_anchor = best_lines(words, value_windows(pages, rules, anchors)).select("page_id", "field", "method", "raw", F.lit(4).alias("priority"), F.lit(3).alias("cand_no"))
-    by_roi = best_roi_lines(words, rois).select("page_id", "field", "method", "raw", F.lit(3).alias("priority"), F.lit(4).alias("cand_no"))
-    plain = by_anchor.unionByName(by_roi)
-    if page_regex:
-        plain = plain.unionByName(page_regex_candidates(words, rules, anchors))
-    if crops is not None:
-        plain = plain.unionByName(crop_candidates(crops))
-    columns = ["page_id", "field", "method", "raw", "priority", "cand_no", "strategy", "threshold", "force_method", "value", "score"]
-    plates = plate_candidates(words, pages, rois).join(F.broadcast(rules.select(*RULE_COLUMNS)), "field").select("*", F.lit(6).alias("priority"), F.lit(0).alias("cand_no"))
-    raw = region_candidates(words, rois)
-    found = standardize(raw, rules).withColumn("score", F.when(F.col("value").isNotNull(), score_of(F.col("strategy"), F.col("value")) + F.col("bonus")).otherwise(0))
-    return standardize(plain, rules).select(*columns).unionByName(plates.select(*columns)).unionByName(found.select(*columns))
-
-
-def extract_fields(words: DataFrame, pages: DataFrame, rules: DataFrame, anchors: DataFrame, page_regex: bool = False, crops: DataFrame | None = None) -> DataFrame:
-    """page_id, field, value, raw, method, confidence_score and low_confidence for every page and field.
-
-    page_regex: also patterns over the page's text, for fields without a label. crops: readings of cropped regions
-    (page_id, field, variant, raw), taken for the fields that needs_crop_reading lists.
-    """
-    return chosen(candidate_pool(words, pages, rules, anchors, page_regex, crops), pages, rules)
+def permitted(raw: Column, whitelist: Column) -> Column:
+    """Text without the characters that a rule doesn't permit; a missing or empty list permits all."""
+    kept = F.array_join(F.filter(F.split(raw, ""), lambda c: F.contains(whitelist, c)), "")
+    return F.when(F.coalesce(whitelist, F.lit("")) == "", raw).otherwise(kept)
 
 
 def needs_crop_reading(fields: DataFrame, rules: DataFrame, mode: str = "fallback", margin: int = 0) -> DataFrame:
@@ -218,7 +209,8 @@ def validate(fields: DataFrame) -> DataFrame:
     fixed = F.col("fixed")
     lost = F.col("value").isNotNull() & fixed.isNull()
     reason = F.lit("postprocess_validation_failed")
-    return fields.select("page_id", "field", fixed.alias("value"), "raw", F.when(lost, reason).otherwise(F.col("method")).alias("method"), "confidence_score", (F.col("low_confidence") | lost).alias("low_confidence"), F.when(lost, reason).alias("abstain_reason"), (fixed.isNotNull() & ~fixed.eqNullSafe(F.col("value"))).alias("postprocess_applied"))
+    boxes = [c for c in ("roi", "value_box") if c in fields.columns]
+    return fields.select("page_id", "field", fixed.alias("value"), "raw", *boxes, F.when(lost, reason).otherwise(F.col("method")).alias("method"), "confidence_score", (F.col("low_confidence") | lost).alias("low_confidence"), F.when(lost, reason).alias("abstain_reason"), (fixed.isNotNull() & ~fixed.eqNullSafe(F.col("value"))).alias("postprocess_applied"))
 
 
 def asks_second_reader(least: int) -> Column:
@@ -239,7 +231,10 @@ def apply_secondary(fields: DataFrame, readings: DataFrame, rules: DataFrame, al
     A blank reading, or one with EMPTY_PATCH, empties the field for sure; one that cleans to nothing leaves it alone; else
     the cleaned reading replaces the value, the score is the larger of both and the low flag follows the reading's own.
     """
-    wanted = readings.select("page_id", "field", F.coalesce(collapsed(F.col("raw")), F.lit("")).alias("raw"))
+    raw = F.col("raw")
+    if "whitelist" in rules.columns:
+        readings, raw = readings.join(F.broadcast(rules.select("field", "whitelist")), "field"), permitted(raw, F.col("whitelist"))
+    wanted = readings.select("page_id", "field", F.coalesce(collapsed(raw), F.lit("")).alias("raw"))
     if allowed is not None:
         wanted = wanted.where(F.col("field").isin(allowed))
     read = standardize(wanted, rules).select("page_id", "field", F.col("raw").alias("second"), F.col("value").alias("second_value"), score_of(F.col("strategy"), F.col("value")).alias("second_score"), "threshold")
@@ -252,6 +247,7 @@ def apply_secondary(fields: DataFrame, readings: DataFrame, rules: DataFrame, al
         pick(F.when(F.contains("second", F.lit("EMPTY_PATCH")), "").otherwise(F.col("second")), F.col("second"), F.col("raw")).alias("raw"), pick(F.lit(method), F.lit(method), F.col("method")).alias("method"),
         pick(F.lit(100), F.greatest("second_score", "confidence_score"), F.col("confidence_score")).alias("confidence_score"),
         pick(F.lit(False), (F.col("threshold") > 0) & (F.col("second_score") < F.col("threshold")), F.col("low_confidence")).alias("low_confidence"), F.coalesce(empty | taken, F.lit(False)).alias("secondary_applied"),
+        *(["roi", F.when(taken, F.col("roi")).otherwise(F.col("value_box")).alias("value_box")] if "roi" in fields.columns else []),
     )
 
 
