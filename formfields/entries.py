@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,28 +12,34 @@ from .functions.text import clean_date, clean_digits, fixed_date, vin_in_context
 from .operators import anchors as A
 from .operators import fields as V
 from .operators import layout as L
+from .operators import page_rows as P
 from .operators import second_pass as S
 from .operators import words as W
+from .operators.brands import canonical_brands
 from .operators.candidates import page_regex_candidates, region_words
-from .operators.extraction import extract_fields
-from .operators.run import run_corpus
+from .operators.extraction import choose, extract_fields, second_choice
+from .operators.run import run_corpus, run_rule_sets
 from .oracles import later_sql
-from .plans.rules import ANCHORS, FIELD_ORDER, FIELDS, anchor_rules, field_rules
+from .plans.rules import ANCHORS, FIELD_ORDER, FIELDS, POST_CLEAN, anchor_rules, field_rules
+from .scratch import shared_dir, written
 from .sources import forms, tables
+from .streaming import intake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_held: list[DataFrame] = []
+# What is held in memory, by application: a session that has ended has let go of it already.
+_held: dict[str, list[DataFrame]] = {}
 
 
 def found(spark: SparkSession, d: str, exact: bool) -> tuple[DataFrame, DataFrame]:
     """Words and labels, read again and again below; lost blocks are computed anew, and what an earlier query held is let go."""
-    while _held:
-        _held.pop().unpersist()
+    held = _held.setdefault(spark.sparkContext.applicationId, [])
+    while held:
+        held.pop().unpersist()
     words = forms.form_words(spark, d).persist()
     labels = A.match_anchors(words, anchor_rules(spark), exact).persist()
-    _held.extend((words, labels))
+    held.extend((words, labels))
     return words, labels
 
 
@@ -297,6 +304,116 @@ def q_markup_text(spark: SparkSession, d: str) -> DataFrame:
     return W.markup_to_text(spark.read.parquet(f"{d}/pages.parquet"))
 
 
+def q_line_boxes(spark: SparkSession, d: str) -> DataFrame:
+    """The lines beside labels and in the middle of regions, found in pages as rows, with the region and the line's own box."""
+    words, anchors = found(spark, d, exact=True)
+    lines = P.field_lines(P.region_table(P.page_table(words, forms.pages(words), anchors), field_rules(spark)))
+    beside = lines.where("beside IS NOT NULL").select("page_id", "field", "roi", F.when(F.col("direction") != "right", "anchor_below_line").otherwise("anchor_right_line").alias("method"), F.col("beside").alias("line"), "doc_w", "doc_h")
+    within = lines.where("within IS NOT NULL").select("page_id", "field", "roi", F.lit("roi_line").alias("method"), F.col("within").alias("line"), "doc_w", "doc_h")
+    every = beside.unionByName(within).withColumn("box", P.fitted(F.col("line")))
+    return every.select("page_id", "field", "method", F.col("line.text").alias("raw"), *[F.col(f"roi.{c}").alias(f"roi_{c}") for c in "xywh"], *[F.col(f"box.{c}").alias(c) for c in "xywh"])
+
+
+def first_choice(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Scored candidates of two fields of digits, some missing and some cut short, and what is chosen of them."""
+    rows = forms.form_truth(spark, d).where("field IN ('model_year', 'tax_or_id_no')").join(F.broadcast(field_rules(spark).select("field", "threshold", "force_method")), "field")
+    value = F.when(F.col("page_id") % 3 == 1, F.substring("value", 1, 2)).when(F.col("page_id") % 3 == 2, F.col("value"))
+    box = F.struct(F.lit(10).alias("x"), F.lit(20).alias("y"), F.lit(300).alias("w"), F.lit(40).alias("h"))
+    scored = rows.select("page_id", "field", box.alias("roi"), F.lit("roi_line").alias("method"), F.col("value").alias("raw"), F.lit(3).alias("priority"), F.lit(4).alias("cand_no"), value.alias("value"), F.coalesce(F.length(value), F.lit(0)).alias("score"), "threshold", "force_method", box.alias("value_box"))
+    return scored, choose(scored)
+
+
+def q_crop_gate(spark: SparkSession, d: str) -> DataFrame:
+    """The list of regions to read again."""
+    return V.needs_crop_reading(first_choice(spark, d)[1], field_rules(spark), "fallback", 0)
+
+
+def q_crop_choice(spark: SparkSession, d: str) -> DataFrame:
+    """Fields chosen again with three readings of their crops, where the gate asks for them."""
+    scored, first = first_choice(spark, d)
+    truth = forms.form_truth(spark, d)
+    variant = F.explode(F.array(F.lit("preprocessed"), F.lit("preprocessed_alt"), F.lit("raw"))).alias("variant")
+    read = F.when(F.col("variant") == "raw", F.concat("value", F.lit(" X9"))).when((F.col("variant") == "preprocessed") & (F.col("page_id") % 2 == 0), F.concat(F.lit("NO 1 "), "value")).otherwise("")
+    crops = truth.select("page_id", "field", "value", variant).select("page_id", "field", "variant", read.alias("raw"))
+    return second_choice(scored, first, crops, field_rules(spark)).select("page_id", "field", "value", "raw", "method", "confidence_score", "low_confidence")
+
+
+def q_secondary_choice(spark: SparkSession, d: str) -> DataFrame:
+    """A second reader's names, and its word that there is none, for the pages that ask for them."""
+    names = forms.form_truth(spark, d).where("field = 'owner_name'")
+    empty = F.col("page_id") % 3 == 0
+    fields = names.select("page_id", "field", F.when(~empty, F.col("value")).alias("value"), F.col("value").alias("raw"), F.lit("roi_line").alias("method"), F.when(empty, 0).otherwise(F.length("value")).alias("confidence_score"), (empty | (F.col("page_id") % 3 == 1)).alias("low_confidence"))
+    number = F.col("page_id") % 4
+    readings = names.where(number < 3).select("page_id", "field", F.when(number == 0, "EMPTY_PATCH").when(number == 1, " ").otherwise(F.col("value")).alias("raw"))
+    return V.apply_secondary(fields, readings, field_rules(spark))
+
+
+def q_template_anchors(spark: SparkSession, d: str) -> DataFrame:
+    """Serial labels by text, and by template hits on the pages that lack them."""
+    _, anchors = found(spark, d, exact=True)
+    pages = forms.form_truth(spark, d).where("field = 'plate'")
+    hit = lambda file, shift, score: F.struct(F.lit(file).alias("template_file"), score.alias("score"), (F.lit(900) + shift).alias("x"), F.lit(830).alias("y"), F.lit(150).alias("w"), F.lit(24).alias("h"))
+    score = F.lit(0.605) + F.col("page_id") % 7 / 100
+    hits = pages.where("page_id % 5 = 4").select("page_id", F.lit("serial_label").alias("anchor"), F.inline(F.array(hit("b.png", 0, score), hit("a.png", 3, score), hit("c.png", 5, score - 0.01))))
+    return A.merge_anchors(anchors, hits).where("anchor = 'serial_label'")
+
+
+def q_brand_names(spark: SparkSession, d: str) -> DataFrame:
+    """Brands as they are, with a number, after their label, and none."""
+    rows = forms.form_truth(spark, d).where("field = 'brand'")
+    number = F.col("page_id") % 4
+    read = F.when(number == 1, F.concat("value", F.lit(" 15"))).when(number == 2, F.concat(F.lit("MARKASI "), "value")).when(number == 3, F.concat(F.lit("QQ"), F.col("page_id") % 7)).otherwise(F.col("value"))
+    return canonical_brands(rows.select("page_id", "field", read.alias("value")))
+
+
+def conversation_layouts(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations as nested layouts: turns with a text, a note and marked items, and keys that hold no text."""
+    nothing = F.lit(None).cast("string")
+    turn = F.struct(
+        "turn", F.lit("no text").alias("label"), F.col("text").alias("content"),
+        F.struct(F.concat(F.lit("note "), "turn").alias("note"), F.array(F.struct(F.concat(F.lit("see "), F.col("turn") % 3).alias("md"), nothing.alias("other")), F.struct(nothing.alias("md"), F.concat(F.lit("note "), F.col("turn") - 1).alias("other"))).alias("items"), F.struct(F.lit("never").alias("text")).alias("page")).alias("extra"),
+    )
+    rows = spark.read.parquet(f"{d}/conversations.parquet").groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    layout = F.struct(F.concat(F.lit("conversation "), "conv_id").alias("title"), F.lit(3).alias("score"), "turns")
+    return rows.select(F.col("conv_id").alias("page_id"), F.to_json(layout).alias("json"))
+
+
+def q_layout_json(spark: SparkSession, d: str) -> DataFrame:
+    return L.flatten_json(conversation_layouts(spark, d))
+
+
+def request_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Events as requests, read as a stream of files."""
+    # A pattern, so that the table may be one file as well as a folder of files.
+    rows = intake.stream_requests(spark, f"{d}/events.parque[t]", schema=spark.read.parquet(f"{d}/events.parquet").schema)
+    return rows.select(F.col("event_id").alias("request_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("provider"), F.col("value").alias("latency_ms"))
+
+
+def q_request_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """The counters of a service after a stream of requests has been taken in."""
+    at = f"{shared_dir(spark)}/requests-{uuid.uuid4().hex}"
+    intake.run_metrics(request_stream(spark, d), f"{at}/out", f"{at}/checkpoint").awaitTermination()
+    return intake.latest_metrics(spark, f"{at}/out").select("provider", "requests", "avg_latency_ms", "max_latency_ms")
+
+
+def rule_set_rules(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """Two sets as loaded rules: the one of record, and one that takes no lines beside labels."""
+    anchors, fields = tables.rule_documents(ANCHORS, FIELDS, POST_CLEAN, "of_record")
+    more_anchors, more_fields = tables.rule_documents(ANCHORS, FIELDS, POST_CLEAN, "regions_only")
+    more_fields = [f | {"prefer_anchor": False} for f in more_fields]
+    rows = lambda schema, found: spark.createDataFrame([tuple(r.get(c.split()[0]) for c in schema.split(", ")) + (k,) for k, r in enumerate(found)], schema + ", position int")
+    loaded = tables.load_rules(rows(tables.ANCHOR_RULES, anchors + more_anchors), rows(tables.FIELD_RULES, fields + more_fields))
+    return loaded[0], loaded[1]
+
+
+def q_compare_rule_sets(spark: SparkSession, d: str) -> DataFrame:
+    """What another rule set changes, by field: both run in one pass."""
+    words = forms.form_words(spark, d)
+    every = written(run_rule_sets(words, forms.pages(words), *rule_set_rules(spark)), "rule-sets")
+    of = lambda name: every.where(F.col("rule_set") == name)
+    return V.compare_runs(of("of_record"), of("regions_only")).groupBy("field", "state").agg(F.count("*").alias("n"))
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_run_corpus_wide(spark, sf_dir)
 

@@ -126,9 +126,17 @@ def score_of(strategy: Column, value: Column) -> Column:
 RULE_COLUMNS = ["field", "strategy", "threshold", "force_method", "min_len", "prefer_mixed", "prefixes"]
 
 
+def with_rules(rows: DataFrame, rules: DataFrame, *columns: str) -> DataFrame:
+    """rows (field, ...) with columns of their field's rule. Where rules come in several sets (rule_set), the rows' page_id is a struct that names the set."""
+    if "rule_set" not in rules.columns:
+        return rows.join(F.broadcast(rules.select("field", *columns)), "field")
+    held = rules.select("rule_set", "field", *columns)
+    return rows.withColumn("rule_set", F.col("page_id.rule_set")).join(F.broadcast(held), ["rule_set", "field"]).drop("rule_set")
+
+
 def standardize(candidates: DataFrame, rules: DataFrame) -> DataFrame:
     """Candidates (field, raw, ...) with `cleaned` (by their field's strategy, without prefixes), its score, and `value`, what the field's filter leaves of it."""
-    met = candidates.join(F.broadcast(rules.select(*RULE_COLUMNS)), "field")
+    met = with_rules(candidates, rules, *RULE_COLUMNS[1:])
     # Each step reads what the one before has made; as one expression they would be repeated hundreds of times over.
     first = behind(met, first=cleaned(F.col("strategy"), collapsed(F.col("raw"))))
     kept = behind(first, cleaned=post_clean(F.col("first"), F.col("prefixes"), F.col("min_len"), F.col("prefer_mixed"))).drop("first")
@@ -188,7 +196,7 @@ def permitted(raw: Column, whitelist: Column) -> Column:
 
 def needs_crop_reading(fields: DataFrame, rules: DataFrame, mode: str = "fallback", margin: int = 0) -> DataFrame:
     """page_id and field of the regions to read again: none (disabled), all (always), or those without a value or with a score near the threshold."""
-    met = fields.join(F.broadcast(rules.select("field", "threshold")), "field")
+    met = with_rules(fields, rules, "threshold")
     fragile = F.col("field").isin("owner_name", "owner_surname", "brand") & (F.col("confidence_score") < F.col("threshold") + max(2, margin))
     near = (F.col("threshold") > 0) & (F.col("confidence_score") < F.col("threshold") + max(0, margin))
     wanted = {"disabled": F.lit(False), "always": F.lit(True)}.get(mode, F.col("value").isNull() | fragile | near)
@@ -233,7 +241,7 @@ def apply_secondary(fields: DataFrame, readings: DataFrame, rules: DataFrame, al
     """
     raw = F.col("raw")
     if "whitelist" in rules.columns:
-        readings, raw = readings.join(F.broadcast(rules.select("field", "whitelist")), "field"), permitted(raw, F.col("whitelist"))
+        readings, raw = with_rules(readings, rules, "whitelist"), permitted(raw, F.col("whitelist"))
     wanted = readings.select("page_id", "field", F.coalesce(collapsed(raw), F.lit("")).alias("raw"))
     if allowed is not None:
         wanted = wanted.where(F.col("field").isin(allowed))

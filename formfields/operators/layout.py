@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import behind, collapsed, folded, shown
+from ..scratch import dropped, written
 from .words import markup_to_text
 
 # Sections of a marked-up form, by the labels before and after them.
@@ -48,6 +49,52 @@ def flatten_layout(layouts: DataFrame) -> DataFrame:
     return layouts.select("page_id", F.array_join(F.coalesce(kept, F.array().cast("array<string>")), "\n").alias("text"))
 
 
+# The texts of a block, in the order in which they count, and what is no text.
+TEXTS = ("content", "text", "markdown", "md")
+NO_TEXT = ("bbox", "bbox_2d", "index", "label", "type", "score", "page")
+
+
+def layout_parts(layouts: DataFrame) -> DataFrame:
+    """page_id, place and part: the texts of nested layouts (page_id, json) of any depth; places sort them in the order of the walk.
+
+    Of an object first its own texts, then all its values in their order but those that are no text; of an array its
+    items; a string is a text. One level of all pages is opened a round, until nothing is left to open, so the rounds are as
+    many as the deepest layout has levels. Values keep the order of the document, which a VARIANT has not, so that only
+    tells their kinds. JSON that can't be read has no parts.
+    """
+    kind = lambda v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    root = F.try_parse_json("json")
+    unquoted = F.when(kind(root) == "STRING", F.variant_get(root, "$", "string")).otherwise(F.col("json"))
+    left = layouts.select("page_id", F.array().cast("array<int>").alias("place"), unquoted.alias("text"), kind(root).alias("kind")).where("kind IN ('STRING', 'OBJECT', 'ARRAY')")
+    parts = left.where("kind = 'STRING'").select("page_id", "place", F.col("text").alias("part"))
+    left = left.where("kind <> 'STRING'")
+    while True:
+        # What the plan of a round grows by is cut off by a written table.
+        left = written(left, "layout-level")
+        if not left.limit(1).count():
+            dropped(left)
+            return parts
+        objects, arrays = left.where("kind = 'OBJECT'"), left.where("kind = 'ARRAY'")
+        texts, values = F.from_json("text", "map<string,string>"), F.from_json("text", "map<string,variant>")
+        keyed = objects.select("page_id", "place", texts.alias("texts"), values.alias("values"))
+        own = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), F.when(kind(F.col("values")[n]) == "STRING", F.col("texts")[n]).alias("part")) for k, n in enumerate(TEXTS)]), lambda x: x["part"].isNotNull())
+        direct = keyed.select("page_id", "place", F.inline(own)).select("page_id", F.array_append("place", F.col("k")).alias("place"), "part")
+        opened = keyed.select("page_id", "place", "values", F.posexplode("texts").alias("k", "key", "text")).where(~F.col("key").isin(*NO_TEXT)).select("page_id", "place", "k", "text", kind(F.col("values")[F.col("key")]).alias("kind"))
+        listed = arrays.select("page_id", "place", F.from_json("text", "array<variant>").alias("values"), F.posexplode(F.from_json("text", "array<string>")).alias("k", "text")).select("page_id", "place", "k", "text", kind(F.get("values", F.col("k"))).alias("kind"))
+        below = opened.unionByName(listed).select("page_id", F.array_append("place", F.col("k") + len(TEXTS)).alias("place"), "text", "kind")
+        parts = parts.unionByName(direct).unionByName(below.where("kind = 'STRING'").select("page_id", "place", F.col("text").alias("part")))
+        left = below.where("kind IN ('OBJECT', 'ARRAY')")
+
+
+def flatten_json(layouts: DataFrame) -> DataFrame:
+    """page_id and text of nested layouts (page_id, json) of any depth: the parts of layout_parts without fences and blanks, each once where it first stands, one a line; '' for none."""
+    parts = layout_parts(layouts).withColumn("part", without_fences(F.col("part"))).where("part <> ''")
+    first = parts.groupBy("page_id", "part").agg(F.min("place").alias("place"))
+    held = first.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("place", "part"))).alias("ps"))
+    text = F.array_join(F.transform("ps", lambda p: p["part"]), "\n")
+    return layouts.select("page_id").distinct().join(held, "page_id", "left").select("page_id", F.coalesce(text, F.lit("")).alias("text"))
+
+
 def blocks_text(layouts: DataFrame) -> DataFrame:
     """page_id and text: the contents of the blocks of the first level, parted by empty lines."""
     contents = F.filter(F.transform(F.flatten("blocks"), lambda b: F.trim(b["content"])), lambda c: c.isNotNull() & (c != ""))

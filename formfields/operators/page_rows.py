@@ -155,4 +155,5 @@ def page_candidates(table: DataFrame, rules: DataFrame) -> DataFrame:
     read = let(region_reading(field, F.col("inside")), lambda r: F.when(r["raw"].isNotNull(), cell(r["method"], r["raw"], 5, 1, fitted(r["box"]), r["bonus"])))
     region = F.when(F.size("inside") > 0, read)
     cells = F.array_compact(F.array(plate, region, beside, within))
-    return met.select("page_id", "field", "roi", F.inline_outer(cells))
+    key = F.struct("rule_set", "page_id") if "rule_set" in rules.columns else F.col("page_id")
+    return met.select(key.alias("page_id"), "field", "roi", F.inline_outer(cells))

@@ -102,7 +102,30 @@ SELECT page_id, {", ".join(f"{value(n)} AS {n}" for n in SECTIONS)} FROM c WHERE
     raw = "CASE WHEN page_id % 2 = 0 THEN replace(value, '/', '.') ELSE 'TARIH: ' || value END"
     dates = f"""WITH r AS (SELECT page_id, field, regexp_extract({raw}, '([0-9]{{1,2}})\\s*[/.-]\\s*([0-9]{{1,2}})\\s*[/.-]\\s*([0-9]{{2,4}})', ['a', 'b', 'c']) AS p FROM ({truth}) WHERE field LIKE '%date'), d AS (SELECT page_id, field, p, lpad(p.a, 2, '0') || '/' || lpad(p.b, 2, '0') || '/' || CASE WHEN length(p.c) = 2 THEN '20' || p.c ELSE p.c END AS d FROM r)
 SELECT page_id, field, d AS cleaned, CASE WHEN CAST(p.a AS INT) BETWEEN 1 AND 31 AND CAST(p.b AS INT) BETWEEN 1 AND 12 AND CAST(substr(d, 7) AS INT) BETWEEN 1900 AND 2100 THEN d END AS fixed FROM d"""
+    boxes = f"""WITH {best.replace("text AS raw FROM ranked", "text AS raw, x, y, w, h FROM ranked")}, rois AS ({rois}),
+in_rois AS ({lines_of('rois', 'r.rx, r.ry, r.rw, r.rh')}),
+middle AS (SELECT page_id, field, 'roi_line' AS method, text AS raw, x, y, w, h FROM in_rois QUALIFY row_number() OVER (PARTITION BY page_id, field ORDER BY abs(y + h / 2.0 - ry - rh / 2.0), avg_conf DESC, x, y, line_num) = 1)
+SELECT b.*, rx AS roi_x, ry AS roi_y, rw AS roi_w, rh AS roi_h FROM (SELECT * FROM best UNION ALL SELECT * FROM middle) b LEFT JOIN rois USING (page_id, field)"""
+    digit_fields = f"SELECT page_id, field, value AS v, CASE field WHEN 'model_year' THEN 4 ELSE 9 END AS threshold FROM ({truth}) WHERE field IN ('model_year', 'tax_or_id_no')"
+    # A third of the pages has its value; the others have none, or two digits, which is below both thresholds.
+    gate = f"SELECT page_id, field FROM ({digit_fields}) WHERE page_id % 3 < 2"
+    crop = f"""SELECT page_id, field, v AS value, CASE WHEN page_id % 3 = 2 THEN v WHEN page_id % 2 = 0 THEN 'NO 1 ' || v ELSE v || ' X9' END AS raw,
+  CASE WHEN page_id % 3 = 2 THEN 'roi_line' WHEN page_id % 2 = 0 THEN 'roi_tesseract_preprocessed' ELSE 'roi_tesseract_raw' END AS method, length(v) AS confidence_score, false AS low_confidence FROM ({digit_fields})"""
+    second = f"""SELECT page_id, field, CASE WHEN asked AND page_id % 4 < 2 THEN NULL WHEN asked AND page_id % 4 = 2 OR page_id % 3 > 0 THEN v END AS value, CASE WHEN asked AND page_id % 4 < 2 THEN '' ELSE v END AS raw,
+  CASE WHEN asked AND page_id % 4 < 3 THEN 'glm_roi_fallback' ELSE 'roi_line' END AS method, CASE WHEN asked AND page_id % 4 < 2 THEN 100 WHEN asked AND page_id % 4 = 2 OR page_id % 3 > 0 THEN length(v) ELSE 0 END AS confidence_score,
+  CASE WHEN asked AND page_id % 4 < 2 THEN false WHEN asked AND page_id % 4 = 2 THEN length(v) < 4 ELSE page_id % 3 < 2 END AS low_confidence, asked AND page_id % 4 < 3 AS secondary_applied
+FROM (SELECT page_id, field, value AS v, page_id % 3 < 2 AS asked FROM ({truth}) WHERE field = 'owner_name')"""
+    template = f"""WITH {chain} SELECT * FROM anchors WHERE anchor = 'serial_label'
+UNION ALL SELECT page_id, 'serial_label', '[template:a.png]', 0.605::DOUBLE + page_id % 7 / 100::DOUBLE, 903, 830, 150, 24 FROM (SELECT DISTINCT page_id FROM words) p WHERE page_id % 5 = 4 AND page_id % 7 >= 2 AND NOT EXISTS (SELECT 1 FROM anchors a WHERE a.page_id = p.page_id AND a.anchor = 'serial_label')"""
+    nested = """WITH p AS (
+  SELECT conv_id, turn, unnest([0, 1, 2, 3]) AS k, unnest([trim(regexp_replace(text, '\s+', ' ', 'g')), 'note ' || turn, 'see ' || turn % 3, 'note ' || (turn - 1)]) AS part FROM conversations
+  UNION ALL SELECT DISTINCT conv_id, -1, 0, 'conversation ' || conv_id FROM conversations),
+f AS (SELECT conv_id, part, min([turn, k]) AS place FROM p WHERE part <> '' GROUP BY conv_id, part)
+SELECT conv_id AS page_id, string_agg(part, chr(10) ORDER BY place) AS text FROM f GROUP BY conv_id"""
     return {
+        "line_boxes": boxes, "crop_gate": gate, "crop_choice": crop, "secondary_choice": second, "template_anchors": template, "layout_json": nested,
+        "brand_names": f"SELECT page_id, field, CASE WHEN page_id % 4 < 3 THEN value END AS value FROM ({truth}) WHERE field = 'brand'",
+        "request_metrics": "SELECT event_type AS provider, count(*) AS requests, round(avg(value), 1) AS avg_latency_ms, max(value) AS max_latency_ms FROM events GROUP BY event_type",
         "best_lines_exact": f"WITH {best} SELECT page_id, field, method, raw FROM best", "roi_lines": roi_lines, "line_quality": line_quality,
         "fill_counts": f"SELECT page_id, count(*) AS n, count(*) FILTER ((page_id * 31 + length(value)) % 5 > 0) AS n_filled FROM ({truth}) GROUP BY page_id",
         "page_skew": skew, "page_regex": regex, "region_text": region, "serial_rescue": serial, "engine_rescue": engine, "vin_fix": vin, "validate_fields": valid, "exemplars": f"WITH {exemplars} SELECT anchor, page_id, word_no, x1, y1, x2, y2 FROM exemplars", "exemplar_report": report,
