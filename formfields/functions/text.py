@@ -210,7 +210,7 @@ def only_allowed(text: Column, allowed: Column) -> Column:
 
 
 def shown(text: Column) -> Column:
-    """Whole words of the display dictionary with their Turkish letters."""
-    for plain, restored in DISPLAY_WORDS.items():
-        text = F.regexp_replace(text, f"\\b{plain}\\b", restored)
-    return text
+    """Text with the display words in Turkish letters: one pass over its words and what stands between them."""
+    restored = F.create_map(*[F.lit(w) for pair in DISPLAY_WORDS.items() for w in pair])
+    pieces = F.regexp_extract_all(text, F.lit("([A-Za-z0-9_]+|[^A-Za-z0-9_]+)"), 1)
+    return F.array_join(F.transform(pieces, lambda w: F.coalesce(restored[w], w)), "")

@@ -19,6 +19,7 @@ SECTIONS = {
 }
 SHOWN = ("brand", "type", "vehicle_class", "color", "displacement", "power", "owner_surname", "owner_name", "address", "serial_no", "place", "approver")
 NEEDED = ("plate", "brand", "tax_or_id_no")
+SECTIONS_AT_ONCE = 5
 # What a summary record reads after its keywords, the first group of each.
 SUMMARY = {
     "plate": "\\b([0-9]{2}[A-Z]{1,3}[0-9]{2,4})\\b", "first_registration_date": "ILK\\s+TESCIL\\s+TARIHI\\s+([0-9]{2}/[0-9]{2}/[0-9]{4})", "registration_date": "TESCIL\\s+TARIHI\\s+([0-9]{2}/[0-9]{2}/[0-9]{4})", "brand": "MARKASI\\s+([A-Z-]+)",
@@ -111,7 +112,10 @@ def labelled_sections(pages: DataFrame) -> DataFrame:
     """page_id and the text between the labels of each section, of pages (page_id, html) with a table that has a plate, a brand and a tax number; '' for sections that are missing."""
     read = behind(pages.where(F.contains(F.lower("html"), F.lit("<table"))).select("page_id", "html"), norm=flat_text(F.col("html"))).drop("html")
     grab = lambda a, b: collapsed(F.regexp_extract("norm", f"(?is){a}\\s*(.*?)\\s*{b}", 1))
-    cells = behind(read, **{name: grab(a, b) for name, (a, b) in SECTIONS.items()})
+    # A few sections at a time, so that the code made for a step stays small enough to be compiled.
+    cells, names = read, list(SECTIONS)
+    for k in range(0, len(names), SECTIONS_AT_ONCE):
+        cells = behind(cells, **{name: grab(*SECTIONS[name]) for name in names[k : k + SECTIONS_AT_ONCE]})
     final = {
         "serial_no": F.trim(F.regexp_replace("serial_no", "N°|NO", "")),
         "approver": F.regexp_replace("approver", "\\s+(S\\.N\\.Y\\.[0-9]+)\\s*$", " ($1)"),
