@@ -17,6 +17,8 @@ from ..scratch import clear_written, dropped, scratch, shared_dir, written
 __all__ = ["clear_written", "dropped", "scratch", "shared_dir", "written"]
 # Bytes of text that one pass of the numpy code holds; a longer single text is taken whole.
 SLICE_BYTES = 1 << 21
+# Partitions of a shuffle whose groups (blocks, fragments) grow with the corpus; a partition of more takes them one by one.
+MOST_PARTITIONS = 20_000
 M1, M2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_words, mix, text_slices, window_hashes, written
+from .common import MOST_PARTITIONS, hashed_words, mix, text_slices, window_hashes, written
 
 END, BEGIN = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
 # Bytes of text in a block, and distinct n-grams in a fragment, on average.
@@ -52,7 +52,9 @@ class Keys:
         self.unique, self.inverse = np.unique(hashes, return_inverse=True)
         place = (self.unique >> np.uint64(40)) % np.uint64(fragments)
         self.order = np.argsort(place, kind="stable")
-        self.bounds = np.searchsorted(place[self.order], np.arange(fragments + 1, dtype=np.uint64))
+        # The fragments that are there, and where each begins and ends: a block's work doesn't grow with all fragments.
+        self.fragments, begin = np.unique(place[self.order], return_index=True)
+        self.bounds = np.append(begin, len(self.unique))
 
     def per_token(self, in_order: np.ndarray) -> np.ndarray:
         values = np.empty(len(self.unique), np.int64)
@@ -99,8 +101,8 @@ def sent_counts(docs: DataFrame, uni: int, bi: int) -> DataFrame:
                 unique, n = folded(parts)[0]
                 keys = Keys(unique, fragments)
                 counts, ordered = n.astype(np.uint32)[keys.order], keys.unique[keys.order]
-                rows = [k for k in range(fragments) if keys.bounds[k] < keys.bounds[k + 1]]
-                cuts = [slice(keys.bounds[k], keys.bounds[k + 1]) for k in rows]
+                rows = keys.fragments.tolist()
+                cuts = [slice(a, b) for a, b in zip(keys.bounds[:-1], keys.bounds[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([key] * len(rows), pa.int64()), pa.array([tuning] * len(rows)), pa.array([base + k for k in rows], pa.int32()),
                      pa.array([ordered[c].tobytes() for c in cuts], pa.binary()), pa.array([counts[c].tobytes() for c in cuts], pa.binary())],
@@ -143,7 +145,7 @@ def summed(sent: DataFrame, fragments: int) -> DataFrame:
         last = pd.DataFrame({"block": pd.array([None], "Int64"), "fragment": [fragment], "tuning": [False], "total": [None], "rest": [None], "types": [int((total > 0).sum())], "tokens": [int(total.sum())], "rest_types": [int((spare > 0).sum())], "rest_tokens": [int(spare.sum())]})
         return pd.concat([rows, last], ignore_index=True)
 
-    return sent.repartition(fragments, "fragment").groupBy("fragment").applyInPandas(add, "block long, fragment int, tuning boolean, total binary, rest binary, types long, tokens long, rest_types long, rest_tokens long")
+    return sent.repartition(min(fragments, MOST_PARTITIONS), "fragment").groupBy("fragment").applyInPandas(add, "block long, fragment int, tuning boolean, total binary, rest binary, types long, tokens long, rest_types long, rest_tokens long")
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -248,8 +250,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             "base_score": add(np.log10((own + 1) / (tokens + types + 1))), "score": add(np.log10(p)),
         })
 
-    # As many partitions as blocks: a task's share doesn't grow with the table.
-    n_blocks = 2 * splits * pieces
+    # As many partitions as blocks, up to what a driver can schedule; beyond, a partition takes several blocks one after the other.
+    n_blocks = min(2 * splits * pieces, MOST_PARTITIONS)
     dealt = back.select("block", "fragment", "total").repartition(n_blocks, "block")
     both = placed.repartition(n_blocks, "block").groupBy("block").cogroup(dealt.groupBy("block"))
     out = both.applyInPandas(score, "rid long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

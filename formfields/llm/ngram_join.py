@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, SLICE_BYTES, hashed_words, mix, text_slices, window_hashes, written
+from .common import MOST_PARTITIONS, SLICE_BYTES, dropped, hashed_words, mix, text_slices, window_hashes, written
 from .components import smallest_reachable
 
 # Shingles that a fragment's task holds on average.
@@ -190,9 +190,10 @@ def class_sets(docs: DataFrame, width: int, percent: int, fragments: int, hot: t
         return pd.DataFrame({"rid": keys[able].view(np.int64), "n": n[able], "hashes": [hashes[t].tobytes() for t in take], "counts": [counts[t].tobytes() for t in take]})
 
     pieces = docs.select("text").mapInArrow(cut, "fragment int, owners binary, wholes binary, sizes binary, hashes binary")
-    # As many partitions as fragments: a task's share doesn't grow with the table.
-    shared = pieces.repartition(fragments, "fragment").groupBy("fragment").applyInPandas(count, "bucket int, owners binary, wholes binary, sizes binary, hashes binary, counts binary")
-    return shared.repartition(fragments, "bucket").groupBy("bucket").applyInPandas(gather, "rid long, n long, hashes binary, counts binary")
+    # As many partitions as fragments, up to what a driver can schedule; beyond, a partition takes several fragments one after the other.
+    partitions = min(fragments, MOST_PARTITIONS)
+    shared = pieces.repartition(partitions, "fragment").groupBy("fragment").applyInPandas(count, "bucket int, owners binary, wholes binary, sizes binary, hashes binary, counts binary")
+    return shared.repartition(partitions, "bucket").groupBy("bucket").applyInPandas(gather, "rid long, n long, hashes binary, counts binary")
 
 
 def exploded(reps: DataFrame, percent: int) -> DataFrame:
