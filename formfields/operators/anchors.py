@@ -114,13 +114,16 @@ def label_scopes(words: DataFrame, anchors: DataFrame) -> DataFrame:
 def phrases(by_token: str, merged: str, max_tokens: int) -> str:
     """SQL: the pairs of an alias and a phrase of ws that meet a condition, as structs (alias_no, kind, m, i, n, alias): kind 0 token by token, kind 1 run together.
 
-    A phrase is n words in a row on one line from place i on; m is n where the phrase is run together, else 0.
+    A phrase is n words in a row on one line from place i on; m is n where the phrase is run together, else 0. Conditions
+    are of the word w at i, the alias l and {n}.
     """
-    one_line = "forall(slice(ws, i + 2, n - 1), v -> v.line = w.line)"
-    cell = lambda kind, m: f"named_struct('alias_no', l.alias_no, 'kind', {kind}, 'm', {m}, 'i', i, 'n', n, 'alias', l.alias)"
-    place = lambda n, test, made: f"filter(transform(ws, (w, i) -> get(transform(array({n}), n -> IF(i + n <= size(ws) AND ({test}) AND {one_line}, {made}, NULL)), 0)), x -> x IS NOT NULL)"
-    tokenwise = f"flatten(transform(filter(aliases, l -> size(l.tokens) <= {max_tokens}), l -> {place('size(l.tokens)', by_token, cell(0, 0))}))"
-    together = f"flatten(transform(filter(aliases, l -> size(l.tokens) > 1), l -> flatten(transform(array(1, 2, 3), k -> {place('k', merged, cell(1, 'n'))}))))"
+    def place(n: str, test: str, kind: int, m: str) -> str:
+        fits = f"({test.format(n=n)}) AND i + {n} <= size(ws) AND forall(slice(ws, i + 2, {n} - 1), v -> v.line = w.line)"
+        cell = f"named_struct('alias_no', l.alias_no, 'kind', {kind}, 'm', {m}, 'i', i, 'n', {n}, 'alias', l.alias)"
+        return f"filter(transform(ws, (w, i) -> IF({fits}, {cell}, NULL)), x -> x IS NOT NULL)"
+
+    tokenwise = f"flatten(transform(filter(aliases, l -> size(l.tokens) <= {max_tokens}), l -> {place('size(l.tokens)', by_token, 0, '0')}))"
+    together = f"flatten(transform(filter(aliases, l -> size(l.tokens) > 1), l -> flatten(transform(array(1, 2, 3), k -> {place('k', merged, 1, 'k')}))))"
     return f"concat({tokenwise}, {together})"
 
 
@@ -141,7 +144,7 @@ def match_anchors(words: DataFrame, anchors: DataFrame, exact: bool = False, max
     and no table.
     """
     scopes = label_scopes(words, anchors)
-    words_of = "transform(slice(ws, i + 1, n), v -> v.norm)"
+    words_of = "transform(slice(ws, i + 1, {n}), v -> v.norm)"
     equal = phrases(f"w.norm = l.tokens[0] AND {words_of} = l.tokens", f"startswith(l.joined, w.norm) AND array_join({words_of}, '') = l.joined", max_tokens)
     box = lambda c: f"get(transform(array(slice(ws, {c}.i + 1, {c}.n)), bs -> get(transform(array(struct(array_min(transform(bs, b -> b.x)) AS x, array_min(transform(bs, b -> b.y)) AS y)), o -> struct(o.x AS x, o.y AS y, array_max(transform(bs, b -> b.x + b.w)) - o.x AS w, array_max(transform(bs, b -> b.y + b.h)) - o.y AS h)), 0)), 0)"
     sure = behind(scopes, best=F.expr(f"array_min({equal})"))
@@ -153,7 +156,8 @@ def match_anchors(words: DataFrame, anchors: DataFrame, exact: bool = False, max
     sides = f"struct(c, IF(c.kind = 0, {texts}, array(array_join({texts}, ''))) AS a, IF(c.kind = 0, {alias}.tokens, array({alias}.joined)) AS b)"
     able = f"filter(transform({near}, c -> {sides}), s -> {bound_of('s.a', 's.b')} >= min_score - 1e-9)"
     rest = f"IF(best IS NULL, transform({able}, s -> struct(s.c AS c, {box('s.c')} AS box, s.a AS a, s.b AS b)), NULL)"
-    held = written(sure.selectExpr("page_id", "anchor_no", "anchor", "min_score", "best.alias AS alias", f"IF(best IS NULL, NULL, {box('best')}) AS box", f"{rest} AS candidates").where("box IS NOT NULL OR size(candidates) > 0"), "labels")
+    read = behind(sure, box=F.expr(f"IF(best IS NULL, NULL, {box('best')})"), candidates=F.expr(rest))
+    held = written(read.selectExpr("page_id", "anchor_no", "anchor", "min_score", "best.alias AS alias", "box", "candidates").where("box IS NOT NULL OR size(candidates) > 0"), "labels")
     found = held.where("box IS NOT NULL").select("page_id", "anchor", "alias", F.lit(1.0).alias("score"), "box")
     return placed(found.unionByName(similar_phrases(held.where("box IS NULL"))))
 
