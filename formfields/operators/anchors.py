@@ -99,7 +99,7 @@ def page_rows(words: DataFrame) -> DataFrame:
 
 
 def label_scopes(words: DataFrame, anchors: DataFrame) -> DataFrame:
-    """page_id, anchor_no, anchor, min_score, aliases and ws: the words of each page in each anchor's search region, in their order. A page is one row, so nothing but its words is shuffled."""
+    """page_id, anchor_no, anchor, min_score, aliases, ws and norms (their match forms): the words of each page in each anchor's search region, in their order. A page is one row, so nothing but its words is shuffled."""
     listed = alias_tokens(anchors).groupBy("anchor_no").agg(F.sort_array(F.collect_list(F.struct("alias_no", "alias", "tokens", F.array_join("tokens", "").alias("joined")))).alias("aliases"))
     rules = anchors.select("anchor_no", "anchor", "min_score", "rx", "ry", "rw", "rh").join(F.broadcast(listed), "anchor_no")
     met = page_rows(words).join(F.broadcast(rules))
@@ -108,22 +108,22 @@ def label_scopes(words: DataFrame, anchors: DataFrame) -> DataFrame:
         f"rx IS NULL OR (w.x + w.w / 2 BETWEEN {region('rx', 'ext_w')} AND {region('rx', 'ext_w')} + greatest(1, {region('rw', 'ext_w')}) "
         f"AND w.y + w.h / 2 BETWEEN {region('ry', 'ext_h')} AND {region('ry', 'ext_h')} + greatest(1, {region('rh', 'ext_h')}))"
     )
-    return behind(met, scope=F.expr(f"filter(ws, w -> {inside})")).select("page_id", "anchor_no", "anchor", "min_score", "aliases", F.col("scope").alias("ws")).where("size(ws) > 0")
+    return behind(met, scope=F.expr(f"filter(ws, w -> {inside})")).select("page_id", "anchor_no", "anchor", "min_score", "aliases", F.col("scope").alias("ws"), F.transform("scope", lambda v: v["norm"]).alias("norms")).where("size(ws) > 0")
 
 
-def phrases(by_token: str, merged: str, max_tokens: int) -> str:
+def phrases(by_token: str, merged: str, max_tokens: int, able_by_token: str = "true", able_merged: str = "true") -> str:
     """SQL: the pairs of an alias and a phrase of ws that meet a condition, as structs (alias_no, kind, m, i, n, alias): kind 0 token by token, kind 1 run together.
 
     A phrase is n words in a row on one line from place i on; m is n where the phrase is run together, else 0. Conditions
-    are of the word w at i, the alias l and {n}.
+    are of the word w at i, the alias l and {n}; aliases that fail the able tests (of l and norms) are not looked for.
     """
     def place(n: str, test: str, kind: int, m: str) -> str:
         fits = f"({test.format(n=n)}) AND i + {n} <= size(ws) AND forall(slice(ws, i + 2, {n} - 1), v -> v.line = w.line)"
         cell = f"named_struct('alias_no', l.alias_no, 'kind', {kind}, 'm', {m}, 'i', i, 'n', {n}, 'alias', l.alias)"
         return f"filter(transform(ws, (w, i) -> IF({fits}, {cell}, NULL)), x -> x IS NOT NULL)"
 
-    tokenwise = f"flatten(transform(filter(aliases, l -> size(l.tokens) <= {max_tokens}), l -> {place('size(l.tokens)', by_token, 0, '0')}))"
-    together = f"flatten(transform(filter(aliases, l -> size(l.tokens) > 1), l -> flatten(transform(array(1, 2, 3), k -> {place('k', merged, 1, 'k')}))))"
+    tokenwise = f"flatten(transform(filter(aliases, l -> size(l.tokens) <= {max_tokens} AND {able_by_token}), l -> {place('size(l.tokens)', by_token, 0, '0')}))"
+    together = f"flatten(transform(filter(aliases, l -> size(l.tokens) > 1 AND {able_merged}), l -> flatten(transform(array(1, 2, 3), k -> {place('k', merged, 1, 'k')}))))"
     return f"concat({tokenwise}, {together})"
 
 
@@ -144,15 +144,15 @@ def match_anchors(words: DataFrame, anchors: DataFrame, exact: bool = False, max
     and no table.
     """
     scopes = label_scopes(words, anchors)
-    words_of = "transform(slice(ws, i + 1, {n}), v -> v.norm)"
-    equal = phrases(f"w.norm = l.tokens[0] AND {words_of} = l.tokens", f"startswith(l.joined, w.norm) AND array_join({words_of}, '') = l.joined", max_tokens)
+    words_of = "slice(norms, i + 1, {n})"
+    equal = phrases(f"w.norm = l.tokens[0] AND {words_of} = l.tokens", f"startswith(l.joined, w.norm) AND array_join({words_of}, '') = l.joined", max_tokens, "array_contains(norms, l.tokens[0])", "exists(norms, v -> startswith(l.joined, v))")
     box = lambda c: f"get(transform(array(slice(ws, {c}.i + 1, {c}.n)), bs -> get(transform(array(struct(array_min(transform(bs, b -> b.x)) AS x, array_min(transform(bs, b -> b.y)) AS y)), o -> struct(o.x AS x, o.y AS y, array_max(transform(bs, b -> b.x + b.w)) - o.x AS w, array_max(transform(bs, b -> b.y + b.h)) - o.y AS h)), 0)), 0)"
     sure = behind(scopes, best=F.expr(f"array_min({equal})"))
     if exact:
         return placed(sure.where("best IS NOT NULL").selectExpr("page_id", "anchor", "best.alias AS alias", "1.0D AS score", f"{box('best')} AS box"))
     near = phrases("true", f"abs(char_length(array_join({words_of}, '')) - char_length(l.joined)) <= 2", max_tokens)
     alias = "get(filter(aliases, l -> l.alias_no = c.alias_no), 0)"
-    texts = "transform(slice(ws, c.i + 1, c.n), v -> v.norm)"
+    texts = "slice(norms, c.i + 1, c.n)"
     sides = f"struct(c, IF(c.kind = 0, {texts}, array(array_join({texts}, ''))) AS a, IF(c.kind = 0, {alias}.tokens, array({alias}.joined)) AS b)"
     able = f"filter(transform({near}, c -> {sides}), s -> {bound_of('s.a', 's.b')} >= min_score - 1e-9)"
     rest = f"IF(best IS NULL, transform({able}, s -> struct(s.c AS c, {box('s.c')} AS box, s.a AS a, s.b AS b)), NULL)"
