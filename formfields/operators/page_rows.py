@@ -35,9 +35,24 @@ def as_box(cells: tuple[Column, Column, Column, Column]) -> Column:
     return F.struct(*[c.cast("int").alias(n) for c, n in zip(cells, "xywh", strict=True)])
 
 
-def centred_in(words: str, box: str) -> str:
-    """SQL: the words whose centre lies in a box; none where the box is null."""
-    return f"filter({words}, w -> coalesce(w.x + w.w / 2 BETWEEN {box}.x AND {box}.x + {box}.w AND w.y + w.h / 2 BETWEEN {box}.y AND {box}.y + {box}.h, false))"
+def centred_in(box: Column) -> Column:
+    """The words of `ws` whose centre lies in a box; null where the box is null."""
+    inside = lambda w: (w["x"] + w["w"] / 2).between(box["x"], box["x"] + box["w"]) & (w["y"] + w["h"] / 2).between(box["y"], box["y"] + box["h"])
+    return F.when(box.isNotNull(), F.filter("ws", inside))
+
+
+def contained_in(box: Column) -> Column:
+    """The words of `ws` that lie in a box with all their edges, in reading order; null where the box is null."""
+    inside = lambda w: (w["x"] >= box["x"]) & (w["y"] >= box["y"]) & (w["x"] + w["w"] <= box["x"] + box["w"]) & (w["y"] + w["h"] <= box["y"] + box["h"])
+    read = lambda w: F.struct(w["y"].alias("y"), w["x"].alias("x"), w["no"].alias("no"), w["text"].alias("text"), w["w"].alias("w"), w["h"].alias("h"))
+    return F.when(box.isNotNull(), F.array_sort(F.transform(F.filter("ws", inside), read)))
+
+
+def near_plate(roi: Column) -> Column:
+    """The words of `ws` in the upper left part of the page, by the plate's region, that were read with some confidence."""
+    lowest = F.least(F.col("doc_h"), F.greatest(roi["y"] + 2 * roi["h"], (F.col("doc_h") * 0.46).cast("int")))
+    inside = lambda w: (w["y"] + w["h"] / 2 <= lowest) & (w["x"] + w["w"] / 2 <= (F.col("doc_w") * 0.68).cast("int")) & (w["conf"] >= 10)
+    return F.when(roi.isNotNull(), F.filter("ws", inside))
 
 
 def lines_of(words: str) -> str:
@@ -85,16 +100,14 @@ def fitted(box: Column) -> Column:
 
 
 def plate_runs() -> Column:
-    """The plates among one to four tokens in a row on a line, in the upper left part of the page by the plate's region (`roi`): structs of score, box and text, the best first by order.
+    """The plates among one to four tokens in a row on a line, of the words `near` the plate's region (`roi`): structs of score, box and text, the best first by order.
 
     Tokens of a line are those of its words by x; the score falls with the distance from the region.
     """
-    lowest = F.least(F.col("doc_h"), F.greatest(F.col("roi.y") + 2 * F.col("roi.h"), (F.col("doc_h") * 0.46).cast("int")))
-    near = F.filter("ws", lambda w: (w["y"] + w["h"] / 2 <= lowest) & (w["x"] + w["w"] / 2 <= (F.col("doc_w") * 0.68).cast("int")) & (w["conf"] >= 10))
     tokens = lambda w: F.transform(
         F.regexp_extract_all(folded(w["text"]), F.lit("([A-Z0-9]+)"), 1), lambda t, k: F.struct(w["line"].alias("line"), w["x"].alias("x"), w["no"].alias("no"), k.alias("k"), t.alias("token"), w["y"].alias("y"), w["w"].alias("w"), w["h"].alias("h")),
     )
-    ordered = F.array_sort(F.flatten(F.transform(near, tokens)))
+    ordered = F.array_sort(F.flatten(F.transform("near", tokens)))
 
     def runs(ts: Column) -> Column:
         def at(first: Column, i: Column) -> Column:
@@ -120,20 +133,29 @@ CELL = "struct<method:string,raw:string,priority:int,cand_no:int,bonus:int,plate
 
 
 def region_table(table: DataFrame, rules: DataFrame) -> DataFrame:
-    """A row for each page and rule with `roi`, the box of the rule's region, and `window`, where the value of a label that was found is looked for; null where there is none."""
+    """A row for each page and rule with `roi`, the box of the rule's region, and `window`, where the value of a label that was found is looked for; null where there is none.
+
+    The words that each is about stand in place of the page's: window_ws and roi_ws (centres inside), inside (all edges in
+    the region, for fields that read it whole) and near (for plates). A page's words are copied once for each rule, no further.
+    """
     every = table.crossJoin(F.broadcast(rules)).withColumn("label", F.col("labels")[F.col("anchor")])
     for c in ("ax", "ay", "aw", "ah"):
         every = every.withColumn(c, F.col(f"label.{c}"))
     held, cells = roi_cells()
     roi = F.when(held, as_box(clipped(*cells, F.col("doc_w"), F.col("doc_h"))))
     window = F.when(F.col("ax").isNotNull(), as_box(clipped(*window_cells(), F.col("doc_w"), F.col("doc_h"))))
-    return behind(every.drop("labels", "label"), roi=roi, window=window)
+    wanted = F.col("prefer_anchor") if "prefer_anchor" in rules.columns else F.lit(True)
+    made = let(F.struct(roi.alias("roi"), window.alias("window")), lambda b: F.struct(
+        b["roi"].alias("roi"), b["window"].alias("window"), F.when(wanted, centred_in(b["window"])).alias("window_ws"), centred_in(b["roi"]).alias("roi_ws"),
+        F.when(F.col("field").isin(*REGION_FIELDS), contained_in(b["roi"])).alias("inside"), F.when(F.col("field") == "plate", near_plate(b["roi"])).alias("near"),
+    ))
+    kept = [c for c in every.columns if c not in ("ws", "labels", "label")]
+    return every.select("*", F.inline(F.array(made))).select(*kept, "roi", "window", "window_ws", "roi_ws", "inside", "near")
 
 
 def field_lines(regions: DataFrame) -> DataFrame:
     """The rows of region_table with `beside`, the best line of the value window, and `within`, the line in the middle of the region."""
-    wanted = F.col("prefer_anchor") if "prefer_anchor" in regions.columns else F.lit(True)
-    read = behind(regions, window_lines=F.when(wanted, F.expr(lines_of(centred_in("ws", "window")))), roi_lines=F.expr(lines_of(centred_in("ws", "roi"))))
+    read = behind(regions, window_lines=F.expr(lines_of("window_ws")), roi_lines=F.expr(lines_of("roi_ws"))).drop("window_ws", "roi_ws")
     return behind(read, beside=best_line(), within=middle_line()).drop("window_lines", "roi_lines")
 
 
@@ -145,9 +167,7 @@ def page_candidates(table: DataFrame, rules: DataFrame) -> DataFrame:
     """
     lines = field_lines(region_table(table, rules))
     field = F.col("field")
-    contained = "filter(ws, w -> coalesce(w.x >= roi.x AND w.y >= roi.y AND w.x + w.w <= roi.x + roi.w AND w.y + w.h <= roi.y + roi.h, false))"
-    inside = F.when(field.isin(*REGION_FIELDS), F.expr(f"array_sort(transform({contained}, w -> struct(w.y AS y, w.x AS x, w.no AS no, w.text AS text, w.w AS w, w.h AS h)))"))
-    met = behind(lines, inside=inside, plate=F.when((field == "plate") & F.col("roi").isNotNull(), F.array_min(plate_runs())))
+    met = behind(lines, plate=F.when(F.col("near").isNotNull(), F.array_min(plate_runs())))
     cell = lambda method, raw, priority, number, box, bonus=None, score=None: F.struct(method.alias("method"), raw.alias("raw"), F.lit(priority).alias("priority"), F.lit(number).alias("cand_no"), F.lit(bonus).cast("int").alias("bonus") if not isinstance(bonus, Column) else bonus.alias("bonus"), (F.lit(None).cast("int") if score is None else score).alias("plate_score"), box.alias("value_box")).cast(CELL)
     beside = F.when(F.col("beside").isNotNull(), cell(F.when(F.col("direction") != "right", "anchor_below_line").otherwise("anchor_right_line"), F.col("beside.text"), 4, 3, fitted(F.col("beside"))))
     within = F.when(F.col("within").isNotNull(), cell(F.lit("roi_line"), F.col("within.text"), 3, 4, fitted(F.col("within"))))
