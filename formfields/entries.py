@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.text import clean_date, clean_digits, fixed_date, vin_in_context
+from .functions.filters import field_filter
+from .functions.text import STRATEGIES, behind, clean_date, clean_digits, clean_text, fixed_date, null_if_blank, vin_in_context
 from .operators import anchors as A
 from .operators import fields as V
 from .operators import layout as L
@@ -24,6 +25,7 @@ from .plans.rules import ANCHORS, FIELD_ORDER, FIELDS, POST_CLEAN, anchor_rules,
 from .scratch import shared_dir, written
 from .sources import forms, tables
 from .streaming import intake
+from .value_oracles import value_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -418,6 +420,21 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_run_corpus_wide(spark, sf_dir)
 
 
+FILTERED = ("plate", "brand", "serial_no", "owner_surname", "owner_name", "type", "chassis_no", "tax_or_id_no", "inspection_date")
+
+
+def q_standard_values(spark: SparkSession, d: str) -> DataFrame:
+    """What each strategy makes of every line of every page."""
+    lines = W.assemble_lines(forms.form_words(spark, d))
+    return lines.select("page_id", "line_num", *[null_if_blank(clean(F.col("text"))).alias(name) for name, clean in STRATEGIES.items()])
+
+
+def q_field_filters(spark: SparkSession, d: str) -> DataFrame:
+    """What the filters of nine fields leave of every line of every page; lines without a letter or digit are left out."""
+    lines = behind(W.assemble_lines(forms.form_words(spark, d)).select("page_id", "line_num", "text"), plain=clean_text(F.col("text"))).where("plain <> ''")
+    return lines.select("page_id", "line_num", *[field_filter(F.lit(f), F.col("plain")).alias(f) for f in FILTERED])
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: f for name, f in globals().items() if name.startswith("q_")}
 
@@ -499,4 +516,4 @@ def oracle_sql() -> dict[str, str]:
         "run_summary": f"WITH {runs} SELECT provider, count(*) AS n_runs, count(*) FILTER (ok) AS n_ok, round(sum(seconds) FILTER (ok), 3) AS total_seconds, round(avg(seconds) FILTER (ok), 3) AS avg_seconds FROM runs GROUP BY provider",
         "latency_stats": f"WITH {runs} SELECT provider, round(avg(seconds), 3) AS mean_s, min(seconds) AS min_s, max(seconds) AS max_s FROM runs GROUP BY provider",
         "markup_text": """WITH l AS (SELECT page_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(html, chr(13), chr(10)), '<img[^>]*>', ' ', 'gi'), '</(tr|table|td)>', chr(10), 'gi'), '<br *\\/?>', chr(10), 'gi'), '<[^>]+>', ' ', 'g'), chr(10)), lambda t: trim(regexp_replace(t, '[ \\t\\f\\x0B]+', ' ', 'g'))), lambda t: regexp_matches(t, '[A-Za-z0-9ÇĞİÖŞÜçğıöşü]')) AS k FROM pages) SELECT page_id, unnest(range(0, len(k))) AS line_no, unnest(k) AS text FROM l""",
-    } | later_sql(TRUTH, WORDS, ASSEMBLED, CHAIN, EXTENTS, RULES, FIELD_RULES, ROIS, WINDOWS, folded, lambda c: f"trim(regexp_replace({folded(c)}, '[^A-Z0-9 ]+', ' ', 'g'))")
+    } | value_sql(WORDS, ASSEMBLED, folded) | later_sql(TRUTH, WORDS, ASSEMBLED, CHAIN, EXTENTS, RULES, FIELD_RULES, ROIS, WINDOWS, folded, lambda c: f"trim(regexp_replace({folded(c)}, '[^A-Z0-9 ]+', ' ', 'g'))")

@@ -117,7 +117,7 @@ SELECT b.*, rx AS roi_x, ry AS roi_y, rw AS roi_w, rh AS roi_h FROM (SELECT * FR
 FROM (SELECT page_id, field, value AS v, page_id % 3 < 2 AS asked FROM ({truth}) WHERE field = 'owner_name')"""
     template = f"""WITH {chain} SELECT * FROM anchors WHERE anchor = 'serial_label'
 UNION ALL SELECT page_id, 'serial_label', '[template:a.png]', 0.605::DOUBLE + page_id % 7 / 100::DOUBLE, 903, 830, 150, 24 FROM (SELECT DISTINCT page_id FROM words) p WHERE page_id % 5 = 4 AND page_id % 7 >= 2 AND NOT EXISTS (SELECT 1 FROM anchors a WHERE a.page_id = p.page_id AND a.anchor = 'serial_label')"""
-    nested = """WITH p AS (
+    nested = r"""WITH p AS (
   SELECT conv_id, turn, unnest([0, 1, 2, 3]) AS k, unnest([trim(regexp_replace(text, '\s+', ' ', 'g')), 'note ' || turn, 'see ' || turn % 3, 'note ' || (turn - 1)]) AS part FROM conversations
   UNION ALL SELECT DISTINCT conv_id, -1, 0, 'conversation ' || conv_id FROM conversations),
 f AS (SELECT conv_id, part, min([turn, k]) AS place FROM p WHERE part <> '' GROUP BY conv_id, part)
