@@ -25,7 +25,7 @@ from .plans.rules import ANCHORS, FIELD_ORDER, FIELDS, POST_CLEAN, anchor_rules,
 from .scratch import shared_dir, written
 from .sources import forms, tables
 from .streaming import intake
-from .value_oracles import value_sql
+from .value_oracles import DOC_WORDS, value_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -499,6 +499,7 @@ def oracle_sql() -> dict[str, str]:
     wide = ", ".join(f"coalesce(max(CASE WHEN field = '{f}' THEN value END), '') AS {f}" for f in FIELD_ORDER)
     return {
         "form_truth": f"SELECT page_id, field, value FROM ({TRUTH})",
+        "doc_words": DOC_WORDS,
         "form_words": f"WITH {WORDS} SELECT * FROM words",
         "page_extents": f"WITH {WORDS}, {EXTENTS} SELECT * FROM ext",
         "clean_words": f"WITH {WORDS} SELECT page_id, count(*) AS n_words, avg(conf) AS avg_conf FROM words WHERE conf >= 75 GROUP BY page_id",

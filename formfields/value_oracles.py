@@ -76,3 +76,14 @@ SELECT page_id, line_num, CASE WHEN regexp_matches(found, '{PLATE}') THEN found
   CASE WHEN length({digits}) IN (10, 11) THEN {digits} END AS tax_or_id_no,
   CASE WHEN regexp_matches(plain, '^[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}$') AND {part(1, 2)} BETWEEN 1 AND 31 AND {part(4, 2)} BETWEEN 1 AND 12 AND {part(7, 4)} BETWEEN 1950 AND 2035 THEN plain END AS inspection_date FROM n"""
     return {"standard_values": standard, "field_filters": filters}
+
+
+# The width left in a line is shared by the characters left; a list holds the place reached, the characters left and the starts so far.
+SHARED = "greatest(1, CAST(round_even((w - a[1]) * b[1] / CAST(a[2] AS DOUBLE), 0) AS BIGINT))"
+DOC_WORDS = f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(0, len(string_split(text, chr(10))))) AS line_no FROM documents),
+p AS (SELECT doc_id, line_no, CAST(10 * length(text) AS BIGINT) AS w, {kept("string_split_regex(text, '[ \\t-\\r]+')", "x <> ''")} AS parts FROM l),
+r AS (SELECT *, list_reduce(list_concat([[CAST(0 AS BIGINT), CAST(length(array_to_string(parts, '')) AS BIGINT)]], list_transform(parts, lambda x: [CAST(length(x) AS BIGINT)])), lambda a, b: list_concat([a[1] + {SHARED}, a[2] - b[1]], a[3:], [a[1] + {SHARED}])) AS done FROM p WHERE len(parts) > 0),
+s AS (SELECT *, list_concat([CAST(0 AS BIGINT)], done[3:]) AS starts FROM r),
+o AS (SELECT *, unnest(parts) AS word, unnest(range(1, len(parts) + 1)) AS i FROM s)
+SELECT doc_id AS page_id, row_number() OVER (PARTITION BY doc_id ORDER BY 30 * line_no, starts[i], line_no, i) - 1 AS word_no, word AS text, CAST(40 + (doc_id * 7 + line_no * 13) % 61 AS DOUBLE) AS conf,
+  starts[i] AS x, 30 * line_no AS y, greatest(1, CASE WHEN i < len(parts) THEN starts[i + 1] ELSE w END - starts[i]) AS w, 20 AS h, 1 AS block_num, 1 AS par_num, line_no AS line_num FROM o"""
