@@ -25,7 +25,7 @@ from .plans.rules import ANCHORS, FIELD_ORDER, FIELDS, POST_CLEAN, anchor_rules,
 from .scratch import shared_dir, written
 from .sources import forms, tables
 from .streaming import intake
-from .value_oracles import DOC_WORDS, value_sql
+from .value_oracles import DOC_WORDS, choice_sql, value_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -435,6 +435,23 @@ def q_field_filters(spark: SparkSession, d: str) -> DataFrame:
     return lines.select("page_id", "line_num", *[field_filter(F.lit(f), F.col("plain")).alias(f) for f in FILTERED])
 
 
+def q_field_choices(spark: SparkSession, d: str) -> DataFrame:
+    """The choice among three readings of each value: scores that tie or fall short of the threshold, a forced method on every fifth page, readings that the filter took."""
+    truth = forms.form_truth(spark, d).select("page_id", "field", "value", F.length("value").alias("n"))
+    ways = F.array(*[F.struct(F.lit(k).alias("cand_no"), F.lit(m).alias("method"), F.lit(p).alias("priority")) for k, m, p in CHOICES])
+    rows = truth.select("*", F.inline(ways))
+    turn = F.col("page_id") + 3 * F.col("cand_no") + F.col("n")
+    none = F.lit(None).cast(P.BOX)
+    return choose(rows.select(
+        "page_id", "field", none.alias("roi"), "method", F.concat("value", F.lit(" "), "method").alias("raw"), "priority", "cand_no", F.when(turn % 4 > 0, F.concat("value", F.lit("/"), "method")).alias("value"), (turn % 3 * 5).cast("int").alias("score"),
+        (F.col("page_id") % 4 * 3).cast("int").alias("threshold"), F.when(F.col("page_id") % 5 == 0, "roi_line").alias("force_method"), none.alias("value_box"),
+    )).select("page_id", "field", "value", "raw", "method", "confidence_score", "low_confidence")
+
+
+# Readings of q_field_choices: order of arrival, method, priority; the last two have one priority.
+CHOICES = [(1, "semantic_owner_roi_words", 5), (3, "anchor_right_line", 4), (4, "roi_line", 4)]
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: f for name, f in globals().items() if name.startswith("q_")}
 
@@ -499,7 +516,7 @@ def oracle_sql() -> dict[str, str]:
     wide = ", ".join(f"coalesce(max(CASE WHEN field = '{f}' THEN value END), '') AS {f}" for f in FIELD_ORDER)
     return {
         "form_truth": f"SELECT page_id, field, value FROM ({TRUTH})",
-        "doc_words": DOC_WORDS,
+        "doc_words": DOC_WORDS, "field_choices": choice_sql(TRUTH, values(CHOICES)),
         "form_words": f"WITH {WORDS} SELECT * FROM words",
         "page_extents": f"WITH {WORDS}, {EXTENTS} SELECT * FROM ext",
         "clean_words": f"WITH {WORDS} SELECT page_id, count(*) AS n_words, avg(conf) AS avg_conf FROM words WHERE conf >= 75 GROUP BY page_id",

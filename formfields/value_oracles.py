@@ -78,6 +78,15 @@ SELECT page_id, line_num, CASE WHEN regexp_matches(found, '{PLATE}') THEN found
     return {"standard_values": standard, "field_filters": filters}
 
 
+def choice_sql(truth: str, ways: str) -> str:
+    return f"""WITH r AS (
+  SELECT page_id, field, value AS v, length(value) AS n, cand_no, method, priority, page_id + 3 * cand_no + length(value) AS turn, page_id % 4 * 3 AS threshold, page_id % 5 = 0 AND method = 'roi_line' AS forced FROM ({truth}) CROSS JOIN (VALUES {ways}) w(cand_no, method, priority)),
+a AS (SELECT *, turn % 3 * 5 AS score FROM r WHERE turn % 4 > 0 AND (threshold = 0 OR turn % 3 * 5 >= threshold)),
+b AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY page_id, field ORDER BY forced DESC, score DESC, priority DESC, cand_no) = 1)
+SELECT p.page_id, p.field, v || '/' || method AS value, v || ' ' || method AS raw, coalesce(method, 'empty_fallback') AS method, CAST(coalesce(score, 0) AS INT) AS confidence_score, v IS NULL AND p.threshold > 0 AS low_confidence
+FROM (SELECT DISTINCT page_id, field, threshold FROM r) p LEFT JOIN b USING (page_id, field)"""
+
+
 # The width left in a line is shared by the characters left; a list holds the place reached, the characters left and the starts so far.
 SHARED = "greatest(1, CAST(round_even((w - a[1]) * b[1] / CAST(a[2] AS DOUBLE), 0) AS BIGINT))"
 DOC_WORDS = f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(0, len(string_split(text, chr(10))))) AS line_no FROM documents),
