@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from .common import dropped, written
 
 FILE_RECORDS, FILE_BYTES, WARC_BYTES = 2000, 64 << 20, 256 << 20
+# How hard the text sink's gzip tries: beyond this level files hardly shrink, and the time grows.
+GZIP = {"compression": "gzip", "zlib.compress.level": "FOUR"}
 # The header lines of a version block, and the fields of a record line, by ARC version.
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -50,7 +52,7 @@ def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
     lines = rows.select(F.concat(F.lit(first + "\n"), F.concat_ws(" ", *fields), F.lit("\n"), head, F.col("html").cast("string")).alias("value"), size_class().alias("size_class"))
     for size in sorted(r[0] for r in rows.select(size_class()).distinct().collect()):
         out = lines.where(F.col("size_class") == size).select("value")
-        out.write.mode("append").option("lineSep", "\n").option("maxRecordsPerFile", max(1, FILE_RECORDS >> 3 * size)).option("compression", "gzip").text(path)
+        out.write.mode("append").option("lineSep", "\n").option("maxRecordsPerFile", max(1, FILE_RECORDS >> 3 * size)).options(**GZIP).text(path)
     if not rows.limit(1).count():
         lines.select("value").write.mode("append").text(path)
 
@@ -232,7 +234,7 @@ def write_warc(records: DataFrame, path: str, classes: list[int]) -> None:
     out = records.select(warc_text(records).alias("value"), size_class(F.col("payload_bytes"), WARC_BYTES).alias("size_class"))
     for size in classes or [0]:
         rows = out.where(F.col("size_class") == size).select("value")
-        rows.write.mode("append").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", max(1, FILE_RECORDS >> 3 * size)).option("compression", "gzip").text(path)
+        rows.write.mode("append").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", max(1, FILE_RECORDS >> 3 * size)).options(**GZIP).text(path)
 
 
 def warc_records(content: bytes) -> Iterator[tuple[dict, bytes]]:
