@@ -1,7 +1,10 @@
 """Regions and lines of pages as rows, column by column: against the form word by word, and without copies of a page's words."""
 
+from difflib import SequenceMatcher
+
 from pyspark.sql import functions as F
 
+from formfields.operators import anchors as A
 from formfields.operators import fields as V
 from formfields.operators import page_rows as P
 from formfields.plans.rules import field_rules
@@ -41,3 +44,15 @@ def test_lines_of_regions_word_by_word(spark):
 def test_words_are_not_copied_for_each_rule(spark):
     plan = P.region_table(P.page_table(*pages_of(spark)), field_rules(spark))._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan
+
+
+def test_words_that_differ_in_digits_are_rated_once(spark, monkeypatch):
+    seen = []
+    rated = A.rated_pairs
+    monkeypatch.setattr(A, "rated_pairs", lambda pairs: seen.append(pairs.select("p", "q").distinct().count()) or rated(pairs))
+    rules = spark.createDataFrame([(0, "engine", 0.7, ["MOTOR NO", "MOTORNO"], None, None, None, None)], "anchor_no int, anchor string, min_score double, aliases array<string>, rx double, ry double, rw double, rh double")
+    words = spark.createDataFrame([(k, 0, f"MOT{k:05d}", 90.0, 0, 0, 50, 24, 1, 1, 0) for k in range(300)], WORDS)
+    found = A.anchor_debug(words, rules).collect()
+    ratio = max(SequenceMatcher(None, "MOT00000", t).ratio() for t in ("MOTOR", "MOTORNO"))
+    assert len(found) == 300 and {(r.best_alias, r.best_alias_token_score) for r in found} == {("MOTOR NO", round(ratio, 4))}
+    assert sum(seen) <= 3
