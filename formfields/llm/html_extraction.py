@@ -7,7 +7,7 @@ and no page lacks a neighbour because a block ends; the deleted lines go back to
 
 Two things differencing alone can't tell are told apart as follows. Copies of an article share its lines though they
 are no template: a page that holds one of another's telling lines (the longest of those that at most half of the pages
-around have) is its copy and no partner for it. Menus, adverts and footers may differ on every page: blocks whose mark-up
+around have), or all of its lines, is its copy and no partner for it. Menus, adverts and footers may differ on every page: blocks whose mark-up
 names them go whether or not they are shared.
 """
 
@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import MOST_PARTITIONS, written
 
@@ -57,7 +58,7 @@ RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in RAW}
 
 # What mark-up says of a line: nothing, that it lies in an article, that it lies outside of one.
 PLAIN, INSIDE, APART = 0, 1, 2
-# The neighbourhood in (host, path) order, to each side; the partners compared for lines of an article; how many of them
+# The pages to each side in (host, path) order that tell which lines are rare, and that are looked at first for partners; the partners compared for lines of an article; how many of them
 # there must be, since a sentence that two articles quote is shared as well.
 REACH, PARTNERS, LEAST_PARTNERS = 32, 8, 4
 # Rows of a block, besides those that overlap.
@@ -237,11 +238,13 @@ def common_lines(a: np.ndarray, b: np.ndarray, also: frozenset[int]) -> set[int]
 class Page:
     """A page's lines as hashes; main numbers its own lines (of its article, or plain ones), longest first."""
 
-    def __init__(self, host: str, path: str, lines: bytes, kinds: bytes, sizes: bytes):
-        self.host, self.path = host, path
+    def __init__(self, place: int, host: str, path: str, lines: bytes, kinds: bytes, sizes: bytes):
+        self.place, self.host, self.path = place, host, path
         self.lines, self.kinds = np.frombuffer(lines, np.int64), np.frombuffer(kinds, np.uint8)
         self.all = self.lines.tolist()
-        self.held = frozenset(self.all)
+        # The hash of all lines counts as one that the page holds and that tells it: pages that are equal are copies.
+        self.whole = int.from_bytes(hashlib.blake2b(lines, digest_size=8).digest(), "little", signed=True)
+        self.held = frozenset(self.all) | {self.whole}
         wanted = INSIDE if INSIDE in kinds else PLAIN
         lengths = np.frombuffer(sizes, np.uint32)
         self.main = sorted(np.flatnonzero(self.kinds == wanted).tolist(), key=lambda k: (-int(lengths[k]), k))
@@ -265,7 +268,7 @@ def find_telling_lines(pages: list[Page]) -> None:
         while low < at - REACH:
             counts.subtract(pages[low].held)
             low += 1
-        page.telling = list(islice((page.all[k] for k in page.main if 2 * counts[page.all[k]] <= high - low), TELLING_LINES))
+        page.telling = [*islice((page.all[k] for k in page.main if 2 * counts[page.all[k]] <= high - low), TELLING_LINES), page.whole]
 
 
 def nearness(a: str, b: str) -> int:
@@ -273,40 +276,51 @@ def nearness(a: str, b: str) -> int:
     return next((k for k in range(n) if a[k] != b[k]), n)
 
 
-def partners(pages: list[Page], at: int) -> Iterator[Page]:
-    """The pages of the host nearest by path (the longer common beginning, then the fewer pages between, then the one before), without copies of the page or of each other."""
-    page = pages[at]
-    before, after = at - 1, at + 1
+def around(pages: list[Page], at: int, step: int) -> Iterator[Page | None]:
+    """The pages of the host to one side, the nearest first; None where more follow after REACH of them."""
+    for k in range(at + step, at + step * (REACH + 2), step):
+        if not (0 <= k < len(pages) and pages[k].host == pages[at].host):
+            return
+        yield pages[k] if abs(k - at) <= REACH else None
+
+
+def partners(page: Page, before: Iterator[Page | None], after: Iterator[Page | None]) -> Iterator[Page | None]:
+    """The pages of the host nearest by path (the longer common beginning, then the fewer pages between, then the one before), without copies of the page or of each other.
+
+    before and after: the pages to each side, the nearest first. Where a side ends in None, more of it is not at hand, and
+    which page is next is not known: None, and no more.
+    """
     taken: list[Page] = []
-    while True:
-        left = pages[before] if before >= max(0, at - REACH) and pages[before].host == page.host else None
-        right = pages[after] if after < min(len(pages), at + REACH + 1) and pages[after].host == page.host else None
-        if left is None and right is None:
+    left, right = next(before, False), next(after, False)
+    while left is not False or right is not False:
+        if left is None or right is None:
+            yield None
             return
         by_left = nearness(page.path, left.path) if left else -1
         by_right = nearness(page.path, right.path) if right else -1
-        if by_left > by_right or by_left == by_right and at - before <= after - at:
-            next_page, before = left, before - 1
+        if by_left > by_right or by_left == by_right and page.place - left.place <= right.place - page.place:
+            next_page, left = left, next(before, False)
         else:
-            next_page, after = right, after + 1
+            next_page, right = right, next(after, False)
         if not page.copies(next_page) and not any(p.copies(next_page) for p in taken):
             taken.append(next_page)
             yield next_page
 
 
-def deleted_lines(pages: list[Page], at: int) -> list[int]:
-    """Numbers of the page's lines that go: those shared with its nearest partner, and of an article those shared with each of several.
+def deleted_lines(page: Page, before: Iterator[Page | None], after: Iterator[Page | None]) -> list[int] | None:
+    """Numbers of the page's lines that go: those shared with its nearest partner, and of an article those shared with each of several. None where pages that are not at hand decide.
 
     A page that would leave nothing of this one is no partner either.
     """
-    page = pages[at]
     if not page.host or not page.main:
         return []
     main = frozenset(page.main)
     gone: set[int] = set()
     inside: set[int] | None = None
     met = 0
-    for partner in partners(pages, at):
+    for partner in partners(page, before, after):
+        if partner is None:
+            return None
         shared = common_lines(page.lines, partner.lines, partner.held)
         if main <= shared:
             continue
@@ -391,33 +405,131 @@ def numbered(ordered: DataFrame) -> tuple[DataFrame, int]:
     return held.join(F.broadcast(begin), "part").withColumn("place", F.col("start") + F.col("own")).drop("part", "own", "start"), total
 
 
+PAGE = ["place", "host", "path", "lines", "kinds", "sizes"]
+
+
+def told_pages(group: pd.DataFrame) -> tuple[pd.DataFrame, list[Page]]:
+    """The rows of a block in order, and their pages with telling lines."""
+    group = group.sort_values("place")
+    held = [Page(*row) for row in group[PAGE].itertuples(index=False)]
+    find_telling_lines(held)
+    return group, held
+
+
 def differences(pages: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """k1, k2, gone: the numbers of the lines to delete, for each distinct row that has any."""
+    """k1, k2, gone: the numbers of the lines to delete, for each distinct row that has any.
+
+    Most pages find their partners among REACH pages to each side; for the others all of their host is looked through (farther).
+    """
     rows = written(page_lines(pages), "page-lines")
     places, total = numbered(rows.repartitionByRange("host", "path", "page_id", "k1", "k2").sortWithinPartitions("host", "path", "page_id", "k1", "k2"))
     # A row goes to its own block and to those where it is a neighbour, or a neighbour's neighbour.
     edges = F.sequence(F.floor((F.greatest(F.col("place") - 2 * REACH, F.lit(0))) / block_rows), F.floor((F.col("place") + 2 * REACH) / block_rows))
-    spread = places.withColumn("block", F.explode(edges))
+    # As many partitions as blocks, up to what a driver can schedule; beyond, a partition takes several blocks one after the other.
+    dealt = lambda df: df.withColumn("block", F.explode(edges)).repartition(min(total // block_rows + 1, MOST_PARTITIONS), "block").groupBy("block")
 
     def per_block(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("place")
-        held = [Page(*row) for row in group[["host", "path", "lines", "kinds", "sizes"]].itertuples(index=False)]
-        find_telling_lines(held)
+        group, held = told_pages(group)
         own = (group["place"] // block_rows == key[0]).to_numpy()
-        gone = [(k, deleted_lines(held, k)) for k in np.flatnonzero(own).tolist()]
-        gone = [(k, g) for k, g in gone if g]
+        gone = [(k, deleted_lines(held[k], around(held, k, -1), around(held, k, 1))) for k in np.flatnonzero(own).tolist()]
+        gone = [(k, g) for k, g in gone if g != []]
         at = [k for k, _ in gone]
-        return pd.DataFrame({"k1": group["k1"].to_numpy()[at], "k2": group["k2"].to_numpy()[at], "gone": pd.Series([g for _, g in gone], dtype=object)})
+        return pd.DataFrame({"k1": group["k1"].to_numpy()[at], "k2": group["k2"].to_numpy()[at], "host": group["host"].to_numpy()[at], "gone": pd.Series([g for _, g in gone], dtype=object)})
+
+    def told(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group, held = told_pages(group)
+        group["telling"] = pd.Series([p.telling for p in held], dtype=object, index=group.index)
+        group["held"] = pd.Series([list(p.held) for p in held], dtype=object, index=group.index)
+        return group[group["place"] // block_rows == key[0]][["k1", "k2", *PAGE, "telling", "held"]]
+
+    found = written(dealt(places).applyInPandas(per_block, "k1 long, k2 long, host string, gone array<int>"), "differences")
+    unknown = found.where("gone IS NULL")
+    if unknown.isEmpty():
+        return found.select("k1", "k2", "gone")
+    hosts = unknown.select("host").distinct()
+    every = dealt(places.join(hosts, "host", "left_semi")).applyInPandas(told, "k1 long, k2 long, place long, host string, path string, lines binary, kinds binary, sizes binary, telling array<long>, held array<long>")
+    return found.where("gone IS NOT NULL").select("k1", "k2", "gone").unionByName(farther(written(every, "told-lines"), unknown.select("k1", "k2")))
+
+
+def runs_of(rows: DataFrame, items: str, wanted: DataFrame) -> DataFrame:
+    """host, line, first and last place of each run of rows side by side that have a line among `items`, for the lines wanted (host, line)."""
+    having = rows.select("host", "place", F.explode(items).alias("line")).join(wanted.distinct(), ["host", "line"], "left_semi")
+    number = F.row_number().over(Window.partitionBy("host", "line").orderBy("place"))
+    return having.withColumn("run", F.col("place") - number).groupBy("host", "line", "run").agg(F.min("place").alias("first"), F.max("place").alias("last")).drop("run")
+
+
+def free_places(at: int, end: int, step: int, runs: list[tuple[int, int]], most: int) -> tuple[list[int], bool]:
+    """The places from `at` (without it) to `end` in which no run lies, up to `most` of them, and whether there are more. runs are in order, the nearest first."""
+    out: list[int] = []
+    at += step
+    nearest = iter(runs)
+    run = next(nearest, None)
+    while (end - at) * step >= 0:
+        low, high = run or (None, None)
+        if run and (high < at if step > 0 else low > at):
+            run = next(nearest, None)
+        elif run and low <= at <= high:
+            at = (high if step > 0 else low) + step
+        elif len(out) == most:
+            return out, True
+        else:
+            out.append(at)
+            at += step
+    return out, False
 
-    # As many partitions as blocks, up to what a driver can schedule; beyond, a partition takes several blocks one after the other.
-    return spread.repartition(min(total // block_rows + 1, MOST_PARTITIONS), "block").groupBy("block").applyInPandas(per_block, "k1 long, k2 long, gone array<int>")
+
+def farther(rows: DataFrame, unknown: DataFrame) -> DataFrame:
+    """k1, k2, gone of the rows (k1, k2) whose partners lie beyond REACH: exact, over whole hosts.
+
+    rows: all pages of the hosts in question, with their telling lines. Copies mostly lie side by side, so those of a page are known as runs of places and are
+    stepped over without a look at each. Of the others the nearest are compared first, and more of them until all pages have been decided.
+    """
+    asked = rows.join(unknown, ["k1", "k2"], "left_semi")
+    lines = lambda c: asked.select("place", "host", F.explode(c).alias("line"))
+    copies = [lines(mine).join(runs_of(rows, theirs, lines(mine).select("host", "line")), ["host", "line"]) for mine, theirs in (("telling", "held"), ("held", "telling"))]
+    runs = copies[0].unionByName(copies[1]).groupBy("place").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs"))
+    ends = rows.groupBy("host").agg(F.min("place").alias("low"), F.max("place").alias("high"))
+    left = written(asked.select("place", "host").join(ends, "host").join(runs, "place", "left").drop("host"), "copy-runs")
+    out, most = None, 4 * PARTNERS
+    while left is not None:
+        # The more places a page asks for, the fewer pages are decided in one group.
+        together = max(1, 256 * 4 * PARTNERS // most)
+
+        def near(batches: Iterator[pd.DataFrame], most: int = most) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                cells = []
+                for at, low, high, runs in batch[["place", "low", "high", "runs"]].itertuples(index=False):
+                    known = [] if runs is None else [(r["first"], r["last"]) for r in runs]
+                    before = free_places(at, low, -1, sorted((r for r in known if r[0] < at), key=lambda r: -r[1]), most)
+                    cells.append((at, *before, *free_places(at, high, 1, [r for r in known if r[1] > at], most)))
+                yield pd.DataFrame(cells, columns=["place", "before", "more_before", "after", "more_after"])
+
+        def decide(key: tuple, pages: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+            held = {}
+            for row, telling in zip(others[PAGE].itertuples(index=False), others["telling"], strict=True):
+                held[row.place] = page = Page(*row)
+                page.telling = list(telling)
+            keys = dict(zip(others["place"], zip(others["k1"], others["k2"], strict=True), strict=True))
+            side = lambda places, more: iter([held[k] for k in places] + [None] * bool(more))
+            cells = [(r.place, *keys[r.place], deleted_lines(held[r.place], side(r.before, r.more_before), side(r.after, r.more_after))) for r in pages.itertuples(index=False)]
+            return pd.DataFrame(cells, columns=["place", "k1", "k2", "gone"])
+
+        at = left.mapInPandas(near, "place long, before array<long>, more_before boolean, after array<long>, more_after boolean").withColumn("block", F.floor(F.col("place") / together))
+        at = written(at, "near-places")
+        needed = at.select(F.col("block").alias("of"), F.explode(F.concat(F.array("place"), "before", "after")).alias("place")).distinct().join(rows.drop("held"), "place")
+        done = written(at.groupBy("block").cogroup(needed.groupBy("of")).applyInPandas(decide, "place long, k1 long, k2 long, gone array<int>"), "differences")
+        known = done.where("gone IS NOT NULL AND size(gone) > 0").select("k1", "k2", "gone")
+        out = known if out is None else out.unionByName(known)
+        rest = done.where("gone IS NULL").select("place")
+        left, most = None if rest.isEmpty() else left.join(rest, "place", "left_semi"), 8 * most
+    return out
 
 
 def extract_main_text(pages: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """page_id, url, text, n_chars and n_shared (lines deleted as shared) of every row.
 
-    A page is compared with the nearest pages of its host that are no copies of it (REACH rows to each side, in the order
-    of paths). Lines shared with the nearest go; lines inside an article go where each of PARTNERS pages (at least
+    A page is compared with the nearest pages of its host, in the order of paths, that are no copies of it, however far off
+    they lie. Lines shared with the nearest go; lines inside an article go where each of PARTNERS pages (at least
     LEAST_PARTNERS, where the host has no more) has them. Blocks that mark-up sets apart go in any case, and where a page
     has an article so does what lies outside it. The result doesn't depend on partitions or block_rows.
     Null or empty html gives an empty text; a null url has no host and is compared with nothing. Rows that repeat give

@@ -208,3 +208,49 @@ def test_broken_pages_are_read_in_time():
     assert page_blocks("1 &#" + "9" * 10_000 + "; 2 &#" + "0" * 10_000 + "65; &#x41;") == [("1 \ufffd 2 A A", 0)]
     assert page_blocks("x < y <3 </ z") == [("x < y <3 </ z", 0)]
     assert time.time() - began < 60
+
+
+def far_pages():
+    """Two pages beyond many copies of one, and the same on a host with fewer copies."""
+    body = "<div>Site name</div><div>{}</div><div>{}</div>"
+    copies = lambda host, n: [(f"http://{host}/m/{k:04}", body.format("A long line that the copies of one text all share", "and its end")) for k in range(n)]
+    others = lambda host: [(f"http://{host}/{p}", body.format(f"Something else, told at length as number {p}", "")) for p in ("a", "z")]
+    return [(k, u, h) for k, (u, h) in enumerate(copies("far", 150) + others("far") + copies("near", 20) + others("near"))]
+
+
+def test_partners_beyond_many_copies(spark):
+    """A page among more copies than REACH to each side is compared with what lies farther off; before, it had no partner."""
+    found = texts(spark, far_pages())
+    assert found == texts(spark, far_pages(), block_rows=9)
+    assert {found[k] for k in (*range(150), *range(152, 172))} == {"A long line that the copies of one text all share and its end"}
+    assert found[150] == "Something else, told at length as number a"
+
+
+def test_whole_hosts_are_looked_through(spark):
+    """Stepping over runs of copies and looking at more pages step by step gives what a walk over all pages of the host gives."""
+    rng = np.random.default_rng(8)
+    pages, sizes = [], {}
+    for k in range(60):
+        kind = H.INSIDE if rng.random() < 0.5 else H.PLAIN
+        lines = [(H.PLAIN, "site"), (kind, "read first")] + [(kind, f"text {t}" + " x" * int(t % 7)) for t in sorted(set(rng.integers(0, 25, rng.integers(1, 4)).tolist()))]
+        pages.append(H.Page(k, "h", f"/p/{rng.integers(0, 20):02}", *packed(lines)))
+        sizes[pages[-1].held] = packed(lines)[2]
+    pages.sort(key=lambda p: p.path)
+    for at, page in enumerate(pages):
+        page.place = at
+    H.find_telling_lines(pages)
+    whole = [H.deleted_lines(p, iter(pages[:at][::-1]), iter(pages[at + 1 :])) for at, p in enumerate(pages)]
+    rows = spark.createDataFrame([(p.place, -p.place, p.place, p.host, p.path, p.lines.tobytes(), p.kinds.tobytes(), sizes[p.held], p.telling, list(p.held)) for p in pages], "k1 long, k2 long, place long, host string, path string, lines binary, kinds binary, sizes binary, telling array<long>, held array<long>")
+    got = {r.k1: r.gone for r in H.farther(rows, rows.select("k1", "k2")).collect()}
+    assert [got.get(k, []) for k in range(60)] == whole and any(whole)
+
+
+def packed(lines):
+    return np.array([H.line_hash(t) for _, t in lines], np.int64).tobytes(), bytes(k for k, _ in lines), np.array([len(t) for _, t in lines], np.uint32).tobytes()
+
+
+def test_free_places_step_over_runs():
+    assert H.free_places(10, 0, -1, [(8, 9), (7, 9), (3, 4)], 4) == ([6, 5, 2, 1], True)
+    assert H.free_places(10, 0, -1, [(8, 9), (0, 6)], 4) == ([7], False)
+    assert H.free_places(3, 9, 1, [(4, 4), (4, 6), (9, 9)], 2) == ([7, 8], False)
+    assert H.free_places(3, 3, 1, [], 2) == ([], False)
