@@ -28,6 +28,8 @@ from .streaming import intake
 from .value_oracles import DOC_WORDS, choice_sql, value_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Bytes of text of a partition of documents.
+DOC_BYTES = 2 << 20
 
 
 def found(spark: SparkSession, d: str, exact: bool) -> tuple[DataFrame, DataFrame]:
@@ -62,8 +64,11 @@ def q_form_words(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_doc_words(spark: SparkSession, d: str) -> DataFrame:
-    lines = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "text"))
-    return W.lines_to_words(lines.select(F.col("doc_id").alias("page_id"), "line_no", "text", F.lit(0).alias("x"), (30 * F.col("line_no")).alias("y"), (10 * F.length("text")).alias("w"), F.lit(20).alias("h"), (40 + (F.col("doc_id") * 7 + F.col("line_no") * 13) % 61).cast("double").alias("conf")))
+    docs = spark.read.parquet(f"{d}/documents.parquet").select(F.col("doc_id").alias("page_id"), "text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Texts are dealt out by document before they grow into words; a partition has some quarter of a million of these.
+    lines = docs.repartition(size // DOC_BYTES + 1, "page_id").select("page_id", F.posexplode(F.split("text", "\n")).alias("line_no", "text"))
+    return W.lines_to_words(lines.select("page_id", "line_no", "text", F.lit(0).alias("x"), (30 * F.col("line_no")).alias("y"), (10 * F.length("text")).alias("w"), F.lit(20).alias("h"), (40 + (F.col("page_id") * 7 + F.col("line_no") * 13) % 61).cast("double").alias("conf")))
 
 
 def q_page_extents(spark: SparkSession, d: str) -> DataFrame:

@@ -15,6 +15,9 @@ from pyspark.sql.window import Window
 
 from ..functions.text import folded
 
+# Words of a long line that are placed in one go.
+PIECE = 32
+
 
 def clean_words(words: DataFrame, min_conf: float = 0.0) -> DataFrame:
     """Words with text and at least min_conf; a confidence that is no number counts as -1."""
@@ -31,11 +34,13 @@ def lines_to_words(lines: DataFrame) -> DataFrame:
     # Lines of one word, the most of them, never meet the functions over arrays.
     parts = f"IF(rlike(text, '{space}'), filter(split(text, '{space}+'), p -> p <> ''), IF(text = '' OR text IS NULL, CAST(array() AS array<string>), array(text)))"
     split = lines.withColumn("parts", F.expr(parts)).where(F.size("parts") > 0)
-    # The width of a word is computed once (w); the starts of the words after the first are what is kept.
+    # The width of a word is computed once (w1); the starts of the words after the first are what is kept, in pieces of a fixed number of words: an array is copied for each item that it gains.
     width = "greatest(1, CAST(rint((x + w - a.at) * char_length(p) / a.chars) AS int))"
+    step = f"(a, p) -> element_at(transform(array({width}), w1 -> named_struct('at', a.at + w1, 'chars', a.chars - CAST(char_length(p) AS int), 'out', array_append(a.out, a.at + w1))), 1)"
+    piece = f"aggregate(slice(parts, {PIECE} * c + 1, least({PIECE}, size(parts) - 1 - {PIECE} * c)), named_struct('at', b.at, 'chars', b.chars, 'out', CAST(array() AS array<int>)), {step})"
     starts = (
-        "array_insert(aggregate(slice(parts, 1, greatest(size(parts) - 1, 0)), named_struct('at', x, 'chars', CAST(char_length(array_join(parts, '')) AS int), 'out', CAST(array() AS array<int>)), "
-        f"(a, p) -> element_at(transform(array({width}), w1 -> named_struct('at', a.at + w1, 'chars', a.chars - CAST(char_length(p) AS int), 'out', array_append(a.out, a.at + w1))), 1), a -> a.out), 1, x)"
+        f"flatten(aggregate(sequence(0, (size(parts) - 2) div {PIECE}), named_struct('at', x, 'chars', CAST(char_length(array_join(parts, '')) AS int), 'out', array(array(x))), "
+        f"(b, c) -> element_at(transform(array({piece}), a -> named_struct('at', a.at, 'chars', a.chars, 'out', array_append(b.out, a.out))), 1), b -> b.out))"
     )
     placed = (
         "IF(size(parts) = 1, array(named_struct('text', parts[0], 'x', x, 'w', greatest(1, w))), "
