@@ -74,3 +74,21 @@ def test_texts_are_dealt_out_before_they_grow_into_words(spark, tmp_path, monkey
     spark.createDataFrame([(k, f"a b\nc {k}") for k in range(9)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     shown = plan(entries.q_doc_words(spark, str(tmp_path)))
     assert shown.count("Exchange hashpartitioning") == 1 and shown.index("Window") < shown.index("posexplode") < shown.index("Exchange hashpartitioning")
+
+
+def test_fields_that_the_gate_leaves_are_not_joined_again(spark, tmp_path):
+    """Before, the first choice was joined with itself for the regions and once more for the fields that stay."""
+    shown = plan(entries.q_crop_choice(spark, orders(spark, tmp_path)))
+    assert "LeftAnti" not in shown and shown.count("LeftSemi") == 1
+
+
+def test_fields_without_a_rule_stay(spark):
+    from formfields.operators import extraction as X
+    from formfields.operators.fields import crop_gate
+
+    first = spark.createDataFrame([(1, "brand", None, 0), (1, "odd", None, 0)], "page_id long, field string, value string, confidence_score int").withColumn("roi", F.struct(F.lit(1).alias("x")))
+    rules = spark.createDataFrame([("brand", 3)], "field string, threshold int")
+    for mode, wanted in (("disabled", set()), ("fallback", {"brand"}), ("always", {"brand"})):
+        rows = crop_gate(first, rules, mode).collect()
+        assert len(rows) == 2 and {r.field for r in rows if r.asked} == wanted
+    assert X.crop_gate is crop_gate
